@@ -1,0 +1,134 @@
+"""Land batches as Avro files: ``table=<name>/meta_load_date=<day>/<shard>-<load id><suffix>``."""
+
+from __future__ import annotations
+
+import json
+import posixpath
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+from datetime import UTC, datetime
+
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from quayside.batch import ERROR_SUFFIX, META, TABLE, Batch, quoted, session, visible
+from quayside.sources.files import file_system
+from quayside.sinks.avro_codec import ContainerWriter, record_type
+
+FORMAT = "quayside_avro"
+STAGE = "_temporary"
+
+
+@dataclass(frozen=True)
+class AvroSink:
+    root: str
+    directory: str = "default"
+    error_suffix: str = ERROR_SUFFIX
+    suffix: str = ".avro"
+    shards: int | None = None
+
+
+def land_avro(batch: Batch, sink: AvroSink, day: datetime | None = None) -> str:
+    """Write good rows and rejects below the root; returns the id of this load."""
+    load_id = str(uuid.uuid4())
+    date = (day or datetime.now(UTC)).strftime("%Y-%m-%d")
+    write_avro(batch.good, batch.layout, sink, sink.directory, date, load_id)
+    if batch.bad_tables != []:
+        write_avro(batch.bad, None, sink, sink.directory + sink.error_suffix, date, load_id)
+    return load_id
+
+
+def write_avro(
+    df: DataFrame, layout: dict | None, sink: AvroSink, default: str, date: str, load_id: str
+) -> None:
+    """One job for all destinations; a file has just the columns of its destination."""
+    session(df).dataSource.register(AvroDirectory)
+    columns = visible(df)
+    kinds = {c: df.schema[c].dataType for c in columns}
+    layouts = {default if t is None else t: known for t, known in (layout or {}).items()}
+    rows = df.drop(META).withColumn(TABLE, F.coalesce(F.col(TABLE), F.lit(default)))
+    rows = rows.select(TABLE, *[quoted(c) for c in columns])
+    # Rebalancing gives a task rows of few tables, and a big table several tasks.
+    rows = rows.repartition(sink.shards) if sink.shards else rows.hint("rebalance", TABLE)
+    (
+        rows.write.format(FORMAT)
+        .mode("append")
+        .option("root", sink.root.rstrip("/"))
+        .option("suffix", sink.suffix)
+        .option("date", date)
+        .option("load_id", load_id)
+        .option("layouts", json.dumps(layouts))
+        .option("kinds", T.StructType([T.StructField(c, kinds[c]) for c in columns]).json())
+        .save()
+    )
+
+
+class AvroDirectory(DataSource):
+    """Spark's write side of the directory layout."""
+
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return AvroDirectoryWriter(dict(self.options))
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: list[tuple[str, str]]
+
+
+class AvroDirectoryWriter(DataSourceArrowWriter):
+    """Tasks write to a staging folder; the commit moves what successful tasks wrote."""
+
+    def __init__(self, options: dict[str, str]):
+        self.options = options
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        o, context = self.options, TaskContext.get()
+        shard, attempt = context.partitionId(), context.taskAttemptId()
+        layouts = json.loads(o["layouts"])
+        kinds = {f.name: f for f in T.StructType.fromJson(json.loads(o["kinds"])).fields}
+        filesystem, root = file_system(o["root"])
+        opened: dict[str, ContainerWriter] = {}
+        files = []
+        for batch in iterator:
+            for row in batch.to_pylist():
+                table = row.pop(TABLE)
+                writer = opened.get(table)
+                if writer is None:
+                    names = layouts.get(table, list(kinds))
+                    schema = record_type(T.StructType([kinds[n] for n in names]), "row")
+                    folder = f"table={table}/meta_load_date={o['date']}"
+                    final = f"{root}/{folder}/{shard}-{o['load_id']}{o['suffix']}"
+                    staged = f"{root}/{STAGE}/{o['load_id']}/{attempt}/{folder}/{shard}"
+                    filesystem.create_dir(posixpath.dirname(staged), recursive=True)
+                    files.append((staged, final))
+                    stream = filesystem.open_output_stream(staged, compression=None)
+                    writer = ContainerWriter(stream, schema)
+                    opened[table] = writer
+                writer.append(row)
+        for writer in opened.values():
+            writer.close()
+        return Written(files)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        filesystem, root = file_system(self.options["root"])
+        for message in messages:
+            for staged, final in message.files if message else ():
+                filesystem.create_dir(posixpath.dirname(final), recursive=True)
+                filesystem.move(staged, final)
+        self.abort([])
+
+    def abort(self, messages: list[Written | None]) -> None:
+        filesystem, root = file_system(self.options["root"])
+        own = f"{root}/{STAGE}/{self.options['load_id']}"
+        if filesystem.get_file_info(own).type.name == "Directory":
+            filesystem.delete_dir(own)
+

@@ -1,0 +1,341 @@
+"""The Avro container format, as far as the Avro sink and source need it inside tasks."""
+
+from __future__ import annotations
+
+import io
+import json
+import os
+import struct
+import zlib
+from collections.abc import Callable, Iterator
+from datetime import UTC, date, datetime, timedelta
+from decimal import Decimal
+from typing import Any, BinaryIO
+
+from pyspark.sql import types as T
+
+# The first bytes of a container file.
+MAGIC = b"Obj\x01"
+EPOCH, EPOCH_DAY = datetime(1970, 1, 1, tzinfo=UTC), date(1970, 1, 1)
+BLOCK = 1 << 18
+Encoder = Callable[[bytearray, Any], None]
+
+
+def avro_type(kind: T.DataType, name: str) -> Any:
+    """The Avro schema of a Spark type; everything may be null."""
+    plain = {
+        T.StringType(): "string",
+        T.BooleanType(): "boolean",
+        T.ByteType(): "int",
+        T.ShortType(): "int",
+        T.IntegerType(): "int",
+        T.LongType(): "long",
+        T.FloatType(): "float",
+        T.DoubleType(): "double",
+        T.BinaryType(): "bytes",
+        T.DateType(): {"type": "int", "logicalType": "date"},
+        T.TimestampType(): {"type": "long", "logicalType": "timestamp-micros"},
+        T.TimestampNTZType(): {"type": "long", "logicalType": "local-timestamp-micros"},
+    }
+    if isinstance(kind, T.ArrayType):
+        made: Any = {"type": "array", "items": avro_type(kind.elementType, name + "_item")}
+    elif isinstance(kind, T.MapType):
+        made = {"type": "map", "values": avro_type(kind.valueType, name + "_value")}
+    elif isinstance(kind, T.StructType):
+        made = record_type(kind, name)
+    elif isinstance(kind, T.DecimalType):
+        made = {
+            "type": "bytes",
+            "logicalType": "decimal",
+            "precision": kind.precision,
+            "scale": kind.scale,
+        }
+    else:
+        made = plain[kind]
+    return ["null", made]
+
+
+def record_type(kind: T.StructType, name: str) -> dict:
+    fields = [
+        {"name": f.name, "type": avro_type(f.dataType, f"{name}_{f.name}"), "default": None}
+        for f in kind.fields
+    ]
+    return {"type": "record", "name": name, "fields": fields}
+
+
+def put_long(out: bytearray, n: int) -> None:
+    n = (n << 1) ^ (n >> 63)
+    while n > 0x7F:
+        out.append((n & 0x7F) | 0x80)
+        n >>= 7
+    out.append(n)
+
+
+def put_bytes(out: bytearray, data: bytes) -> None:
+    put_long(out, len(data))
+    out += data
+
+
+def encoder(schema: Any) -> Encoder:
+    """A function that appends a value of the schema to a buffer."""
+    if isinstance(schema, list):
+        write = encoder(schema[1])
+
+        def nullable(out: bytearray, value: Any) -> None:
+            out.append(0 if value is None else 2)
+            if value is not None:
+                write(out, value)
+
+        return nullable
+    kind = schema if isinstance(schema, str) else schema["type"]
+    logical = None if isinstance(schema, str) else schema.get("logicalType")
+    if kind == "array":
+        item = encoder(schema["items"])
+
+        def array(out: bytearray, value: list) -> None:
+            if value:
+                put_long(out, len(value))
+                for v in value:
+                    item(out, v)
+            out.append(0)
+
+        return array
+    if kind == "map":
+        entry = encoder(schema["values"])
+
+        def mapping(out: bytearray, value: Any) -> None:
+            pairs = list(value.items() if isinstance(value, dict) else value)
+            if pairs:
+                put_long(out, len(pairs))
+                for k, v in pairs:
+                    put_bytes(out, k.encode())
+                    entry(out, v)
+            out.append(0)
+
+        return mapping
+    if kind == "record":
+        parts = [(f["name"], encoder(f["type"])) for f in schema["fields"]]
+
+        def record(out: bytearray, value: dict) -> None:
+            for name, write_field in parts:
+                write_field(out, value.get(name))
+
+        return record
+    if logical == "decimal":
+        scale = schema["scale"]
+
+        def decimal(out: bytearray, value: Decimal) -> None:
+            n = int(value.scaleb(scale))
+            put_bytes(out, n.to_bytes((n.bit_length() + 8) // 8, "big", signed=True))
+
+        return decimal
+    micros = timedelta(microseconds=1)
+    converted = {
+        "date": lambda out, v: put_long(out, (v - EPOCH_DAY).days),
+        "timestamp-micros": lambda out, v: put_long(out, (aware(v) - EPOCH) // micros),
+        "local-timestamp-micros": lambda out, v: put_long(out, (aware(v) - EPOCH) // micros),
+    }
+    if logical in converted:
+        return converted[logical]
+    return {
+        "string": lambda out, v: put_bytes(out, v.encode()),
+        "bytes": lambda out, v: put_bytes(out, v),
+        "boolean": lambda out, v: out.append(1 if v else 0),
+        "int": put_long,
+        "long": put_long,
+        "float": lambda out, v: out.extend(struct.pack("<f", v)),
+        "double": lambda out, v: out.extend(struct.pack("<d", v)),
+    }[kind]
+
+
+def aware(value: datetime) -> datetime:
+    return value if value.tzinfo else value.replace(tzinfo=UTC)
+
+
+class ContainerWriter:
+    """Appends records to a container file, block by block."""
+
+    def __init__(self, stream: BinaryIO, schema: dict):
+        self.stream, self.write_record = stream, encoder(schema)
+        self.sync, self.block, self.count = os.urandom(16), bytearray(), 0
+        head = bytearray(MAGIC)
+        put_long(head, 2)
+        for key, value in (("avro.schema", json.dumps(schema)), ("avro.codec", "deflate")):
+            put_bytes(head, key.encode())
+            put_bytes(head, value.encode())
+        head.append(0)
+        stream.write(bytes(head) + self.sync)
+
+    def append(self, record: dict) -> None:
+        self.write_record(self.block, record)
+        self.count += 1
+        if len(self.block) >= BLOCK:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.count:
+            packer = zlib.compressobj(wbits=-15)
+            data = packer.compress(bytes(self.block)) + packer.flush()
+            head = bytearray()
+            put_long(head, self.count)
+            put_long(head, len(data))
+            self.stream.write(bytes(head) + data + self.sync)
+            self.block, self.count = bytearray(), 0
+
+    def close(self) -> None:
+        self.flush()
+        self.stream.close()
+
+
+# --- reading --------------------------------------------------------------------------
+
+
+def get_long(data: BinaryIO) -> int:
+    n = shift = 0
+    while True:
+        b = data.read(1)[0]
+        n |= (b & 0x7F) << shift
+        if b < 0x80:
+            return (n >> 1) ^ -(n & 1)
+        shift += 7
+
+
+def get_bytes(data: BinaryIO) -> bytes:
+    return data.read(get_long(data))
+
+
+def blocks_of(data: BinaryIO, read_one: Callable[[BinaryIO], Any]) -> Iterator[Any]:
+    while count := get_long(data):
+        if count < 0:
+            get_long(data)
+        for _ in range(abs(count)):
+            yield read_one(data)
+
+
+def decoder(schema: Any) -> Callable[[BinaryIO], Any]:
+    """A function that reads a value of the schema."""
+    if isinstance(schema, list):
+        branches = [decoder(s) for s in schema]
+        return lambda data: branches[get_long(data)](data)
+    kind = schema if isinstance(schema, str) else schema["type"]
+    logical = None if isinstance(schema, str) else schema.get("logicalType")
+    if kind == "array":
+        item = decoder(schema["items"])
+        return lambda data: list(blocks_of(data, item))
+    if kind == "map":
+        entry = decoder(schema["values"])
+        return lambda data: dict(
+            blocks_of(data, lambda d: (get_bytes(d).decode(), entry(d)))
+        )
+    if kind == "record":
+        parts = [(f["name"], decoder(f["type"])) for f in schema["fields"]]
+        return lambda data: {name: read(data) for name, read in parts}
+    if logical == "decimal":
+        scale = schema["scale"]
+        return lambda data: Decimal(int.from_bytes(get_bytes(data), "big", signed=True)).scaleb(
+            -scale
+        )
+    converted = {
+        "date": lambda data: EPOCH_DAY + timedelta(days=get_long(data)),
+        "timestamp-millis": lambda data: EPOCH + timedelta(milliseconds=get_long(data)),
+        "timestamp-micros": lambda data: EPOCH + timedelta(microseconds=get_long(data)),
+        "local-timestamp-micros": lambda data: EPOCH.replace(tzinfo=None)
+        + timedelta(microseconds=get_long(data)),
+    }
+    if logical in converted:
+        return converted[logical]
+    if kind == "enum":
+        return lambda data: schema["symbols"][get_long(data)]
+    if kind == "fixed":
+        return lambda data: data.read(schema["size"])
+    return {
+        "null": lambda data: None,
+        "string": lambda data: get_bytes(data).decode(),
+        "bytes": get_bytes,
+        "boolean": lambda data: data.read(1) == b"\x01",
+        "int": get_long,
+        "long": get_long,
+        "float": lambda data: struct.unpack("<f", data.read(4))[0],
+        "double": lambda data: struct.unpack("<d", data.read(8))[0],
+    }[kind]
+
+
+def spark_type(schema: Any) -> T.DataType:
+    """The Spark type of an Avro schema; of a union, its one type besides null."""
+    if isinstance(schema, list):
+        own = [s for s in schema if s != "null"]
+        if len(own) > 1:
+            raise ValueError(f"union of several types: {own}")
+        return spark_type(own[0]) if own else T.StringType()
+    kind = schema if isinstance(schema, str) else schema["type"]
+    logical = None if isinstance(schema, str) else schema.get("logicalType")
+    if kind == "array":
+        return T.ArrayType(spark_type(schema["items"]))
+    if kind == "map":
+        return T.MapType(T.StringType(), spark_type(schema["values"]))
+    if kind == "record":
+        return T.StructType(
+            [T.StructField(f["name"], spark_type(f["type"])) for f in schema["fields"]]
+        )
+    if logical == "decimal":
+        return T.DecimalType(schema["precision"], schema["scale"])
+    by_logical = {
+        "date": T.DateType(),
+        "timestamp-millis": T.TimestampType(),
+        "timestamp-micros": T.TimestampType(),
+        "local-timestamp-micros": T.TimestampNTZType(),
+    }
+    if logical in by_logical:
+        return by_logical[logical]
+    return {
+        "string": T.StringType(),
+        "enum": T.StringType(),
+        "bytes": T.BinaryType(),
+        "fixed": T.BinaryType(),
+        "boolean": T.BooleanType(),
+        "int": T.IntegerType(),
+        "long": T.LongType(),
+        "float": T.FloatType(),
+        "double": T.DoubleType(),
+    }[kind]
+
+
+def read_header(stream: BinaryIO) -> tuple[dict, str, bytes]:
+    """The schema, codec and sync marker of a container file."""
+    if stream.read(4) != MAGIC:
+        raise ValueError("not an Avro container file")
+    facts = dict(blocks_of(stream, lambda d: (get_bytes(d).decode(), get_bytes(d))))
+    codec = facts.get("avro.codec", b"null").decode()
+    return json.loads(facts["avro.schema"]), codec, stream.read(16)
+
+
+def read_records(stream: BinaryIO) -> Iterator[dict]:
+    schema, codec, _ = read_header(stream)
+    read = decoder(schema)
+    while True:
+        head = stream.read(1)
+        if not head:
+            return
+        count = get_long(Chained(head, stream))
+        data = get_bytes(stream)
+        stream.read(16)
+        if codec == "deflate":
+            data = zlib.decompress(data, wbits=-15)
+        elif codec != "null":
+            raise ValueError(f"unknown Avro codec {codec!r}")
+        block = io.BytesIO(data)
+        for _ in range(count):
+            yield read(block)
+
+
+class Chained:
+    """A byte that was read ahead, then the rest of a stream."""
+
+    def __init__(self, head: bytes, stream: BinaryIO):
+        self.head, self.stream = head, stream
+
+    def read(self, n: int) -> bytes:
+        if self.head:
+            head, self.head = self.head, b""
+            return head
+        return self.stream.read(n)

@@ -1,0 +1,60 @@
+"""Avro container files, with the ``key=value`` folders of their paths as columns."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayside.batch import META, TABLE, Batch, no_rejects
+from quayside.sinks.avro_codec import read_header, read_records, spark_type
+from quayside.sources.files import list_files, open_path
+from quayside.sources.units import emitter, spread, units
+
+HEADER = "fields string"
+
+
+def read_avro(spark: SparkSession, patterns: list[str], folders: tuple[str, ...] = ()) -> Batch:
+    """Rows of Avro files; files may have different columns, a column has one type.
+
+    ``folders`` names keys of ``key=value`` folders to read as columns.
+    """
+    work = units(list_files(spark, patterns))
+    found = spread(work).mapInArrow(header_reader(), HEADER).distinct().collect()
+    kinds: dict[str, T.DataType] = {}
+    for row in sorted(found, key=lambda r: r["fields"]):
+        for field in T.StructType.fromJson(json.loads(row["fields"])).fields:
+            known = kinds.setdefault(field.name, field.dataType)
+            if known != field.dataType:
+                raise ValueError(f"column {field.name} is {known} and {field.dataType}")
+    fields = [T.StructField(f"c{i}", kind) for i, kind in enumerate(kinds.values())]
+    fields += [T.StructField("path", T.StringType()), T.StructField("file_name", T.StringType())]
+    rows = spread(work).mapInArrow(row_reader(list(kinds), T.StructType(fields)), T.StructType(fields))
+    parts = [F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in folders]
+    good = rows.select(
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(kinds)],
+        *parts,
+        F.lit(None).cast("string").alias(TABLE),
+        F.struct(F.col("file_name").alias("meta_file_name")).alias(META),
+    )
+    return Batch(good, no_rejects(good), bad_tables=[])
+
+
+def header_reader():
+    def rows(unit: dict) -> Iterator[tuple]:
+        with open_path(unit["path"]) as stream:
+            yield (spark_type(read_header(stream)[0]).json(),)
+
+    return emitter(rows, HEADER)
+
+
+def row_reader(names: list[str], schema: T.StructType):
+    def rows(unit: dict) -> Iterator[tuple]:
+        with open_path(unit["path"]) as stream:
+            for record in read_records(stream):
+                yield (*[record.get(n) for n in names], unit["path"], unit["file_name"])
+
+    return emitter(rows, schema)
