@@ -100,6 +100,17 @@ def session(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns without computing them a second time.
+
+    Spark would move the filter, and a copy of what it looks at, below the projection; a
+    column that is not deterministic holds it where it is.
+    """
+    row = "_row"
+    held = df.withColumn(row, F.monotonically_increasing_id())
+    return held.filter(condition & (F.col(row) >= 0)).drop(row)
+
+
 def from_frame(df: DataFrame) -> Batch:
     """Wrap rows that need no parsing."""
     good = with_hidden(df)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.batch import META, TABLE, Batch, LandingError, error_record, no_rejects, quoted
+from quayside.batch import META, TABLE, Batch, LandingError, error_record, keep, no_rejects, quoted
 from quayside.functions.names import clean_name, clean_name_column
 
 TEXT, UNSEEN = T.StringType(), T.NullType()
@@ -77,7 +77,7 @@ def parse_documents(
         if json_null == "text":
             cell = null_as_text(cell, kind, present)
         selected.append(clean_keys(cell, kind, replacement).alias(name))
-    good = parsed.filter(ok).select(*selected, TABLE, META)
+    good = keep(parsed, ok).select(*selected, TABLE, META)
 
     message = F.lit("not a valid JSON object")
     if bad_tables == []:

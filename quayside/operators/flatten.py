@@ -12,18 +12,18 @@ from pyspark.sql import types as T
 from quayside.batch import HIDDEN, TABLE, Batch, LandingError, quoted, visible
 
 COLUMN_LIMIT = 10_000
-# A leaf below a container: its steps (map keys and 1-based indexes), where its columns
-# stand among the others, and how many columns it takes (-1: one, n: an array of n).
+# A leaf below a container: its steps (map keys and 1-based indexes), and how many columns
+# it takes: -1 is one, n is an array of n.
 STEPS = "array<string>"
-PLACE = "array<int>"
-LEAF = f"struct<steps:{STEPS},place:{PLACE},n:int>"
+LEAF = f"struct<steps:{STEPS},n:int>"
+SET = -2
 
 
 @dataclass(frozen=True)
 class Leaf:
     column: str
     steps: tuple[str, ...]
-    place: tuple[int, ...]
+    place: tuple[int, int]
 
     @property
     def name(self) -> str:
@@ -98,15 +98,13 @@ def find_leaves(
     for column in nested:
         value = quoted(column)
         here = F.coalesce(leaves(value, kinds[column]), none)
-        # A marker (n = -2) per row in which the container is set, even if it is empty.
-        marker = F.when(
-            value.isNotNull(), F.array(leaf([], [], F.lit(-2)))
-        ).otherwise(none)
+        # A marker per row in which the container is set, even if it is empty.
+        marker = F.when(value.isNotNull(), F.array(leaf(NO_STEPS, F.lit(SET)))).otherwise(none)
         per_column.append(F.transform(F.concat(here, marker), labelled_as(column)))
     rows = (
-        good.select(TABLE, F.explode(F.concat(*per_column)).alias("e"))
+        good.select(TABLE, F.posexplode(F.concat(*per_column)).alias("at", "e"))
         .groupBy(TABLE, "e.column", "e.leaf.steps")
-        .agg(F.min("e.leaf.place").alias("place"), F.max("e.leaf.n").alias("n"))
+        .agg(F.min("at").alias("at"), F.max("e.leaf.n").alias("n"))
         .limit(max_columns + 1)
         .collect()
     )
@@ -117,8 +115,8 @@ def find_leaves(
         total += max(row["n"], 0)
         if total > max_columns:
             raise LandingError(f"flattening would make more than {max_columns} columns")
-        for steps, place in expand(tuple(row["steps"]), tuple(row["place"]), row["n"]):
-            found.setdefault(row[TABLE], set()).add(Leaf(row["column"], steps, place))
+        for steps, i in expand(tuple(row["steps"]), row["n"]):
+            found.setdefault(row[TABLE], set()).add(Leaf(row["column"], steps, (row["at"], i)))
     return found, set(nested) - seen
 
 
@@ -126,20 +124,20 @@ def labelled_as(column: str) -> Callable[[Column], Column]:
     return lambda found: F.struct(F.lit(column).alias("column"), found.alias("leaf"))
 
 
-def expand(steps: tuple, place: tuple, n: int) -> Iterator[tuple[tuple, tuple]]:
+def expand(steps: tuple[str, ...], n: int) -> Iterator[tuple[tuple[str, ...], int]]:
     if n == -1:
-        yield steps, place
+        yield steps, 0
     for i in range(1, n + 1):
-        yield (*steps, str(i)), (*place, i)
+        yield (*steps, str(i)), i
 
 
-def leaf(steps, place, n: Column) -> Column:
-    def listed(parts, kind):
-        return F.array(*parts).cast(kind) if isinstance(parts, list) else parts
+NO_STEPS: list[str] = []
 
-    return F.struct(
-        listed(steps, STEPS).alias("steps"), listed(place, PLACE).alias("place"), n.cast("int").alias("n")
-    )
+
+def leaf(steps: Column | list, n: Column) -> Column:
+    if steps is NO_STEPS:
+        steps = F.array().cast(STEPS)
+    return F.struct(steps.alias("steps"), n.cast("int").alias("n"))
 
 
 def leaves(value: Column, kind: T.DataType) -> Column:
@@ -147,27 +145,19 @@ def leaves(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.ArrayType):
         if not is_container(kind.elementType):
             length = F.when(value.isNotNull(), F.size(value)).otherwise(F.lit(0))
-            return F.array(leaf([], [], length))
+            return F.array(leaf(NO_STEPS, length))
         return F.flatten(
-            F.transform(
-                value,
-                lambda v, i: below((i + 1).cast("string"), i + 1, v, kind.elementType),
-            )
+            F.transform(value, lambda v, i: below((i + 1).cast("string"), v, kind.elementType))
         )
     entries = F.map_entries(value)
-    return F.flatten(
-        F.transform(entries, lambda e, i: below(e["key"], i + 1, e["value"], kind.valueType))
-    )
+    return F.flatten(F.transform(entries, lambda e: below(e["key"], e["value"], kind.valueType)))
 
 
-def below(step: Column, at: Column, value: Column, kind: T.DataType) -> Column:
+def below(step: Column, value: Column, kind: T.DataType) -> Column:
     if not is_container(kind):
-        return F.array(leaf(F.array(step), F.array(at), F.lit(-1)))
+        return F.array(leaf(F.array(step), F.lit(-1)))
     deeper = F.transform(
-        leaves(value, kind),
-        lambda x: leaf(
-            F.concat(F.array(step), x["steps"]), F.concat(F.array(at), x["place"]), x["n"]
-        ),
+        leaves(value, kind), lambda x: leaf(F.concat(F.array(step), x["steps"]), x["n"])
     )
     return F.coalesce(deeper, F.array().cast(f"array<{LEAF}>"))
 

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.batch import HIDDEN, META, TABLE, Batch, error_record, quoted
+from quayside.batch import HIDDEN, META, TABLE, Batch, error_record, keep, quoted
 
 
 def standardise(batch: Batch, target: dict[str, str]) -> Batch:
@@ -30,7 +30,7 @@ def standardise(batch: Batch, target: dict[str, str]) -> Batch:
     ]
     marked = df.withColumn("_failed", F.array_compact(F.array(*failed).cast("array<string>")))
     ok = F.size("_failed") == 0
-    good = marked.filter(ok).select(*[fit[c].alias(c) for c in columns], *HIDDEN)
+    good = keep(marked, ok).select(*[fit[c].alias(c) for c in columns], *HIDDEN)
     bad = marked.filter(~ok).select(
         *error_record(
             F.concat(F.lit("cannot cast "), F.array_join("_failed", ", ")),

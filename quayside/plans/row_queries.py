@@ -338,7 +338,7 @@ def d1_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "d2_standardise",
     """
     SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'bad' ELSE 'good' END AS side,
-           CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderkey END AS o_orderkey,
+           CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderkey::VARCHAR END AS o_orderkey,
            CASE WHEN o_orderpriority <> '1-URGENT' AND o_orderstatus <> 'F'
                 THEN CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS price,
            CASE WHEN o_orderpriority <> '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -361,13 +361,13 @@ def d2_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = standardise(from_frame(texts), target)
     good = batch.good.select(
         F.lit("good").alias("side"),
-        "o_orderkey",
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
         F.col("price").cast("string").alias("price"),
         F.col("day").cast("string").alias("day"),
     )
     bad = batch.bad.select(
         F.lit("bad").alias("side"),
-        F.lit(None).cast("bigint").alias("o_orderkey"),
+        F.lit(None).cast("string").alias("o_orderkey"),
         F.lit(None).cast("string").alias("price"),
         F.col("rawData").alias("day"),
     )
@@ -376,12 +376,12 @@ def d2_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "d3_constant",
-    "SELECT n_nationkey, n_name, 'ward 7' AS meta_source FROM nation",
+    "SELECT c_custkey, c_name, 'ward 7' AS meta_source FROM customer",
 )
 def d3_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = from_frame(table(spark, sf_dir, "nation"))
-    shown = inject_metadata(constant_metadata(nations, "meta_source", "ward 7")).rows()
-    return shown.select("n_nationkey", "n_name", "meta_source")
+    customers = from_frame(table(spark, sf_dir, "customer"))
+    shown = inject_metadata(constant_metadata(customers, "meta_source", "ward 7")).rows()
+    return shown.select("c_custkey", "c_name", "meta_source")
 
 
 @query(
@@ -406,16 +406,16 @@ def d4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "d11_timestamp_name",
     """
-    SELECT r_regionkey, r_name, '2024-02-29' AS loaded_on FROM region
+    SELECT s_suppkey, s_name, '2024-02-29' AS loaded_on FROM supplier
     """,
 )
 def d11_timestamp_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = from_frame(table(spark, sf_dir, "region"))
+    suppliers = from_frame(table(spark, sf_dir, "supplier"))
     shown = inject_metadata(
-        regions, load_timestamp=LOADED, load_timestamp_name="bq_load_timestamp"
+        suppliers, load_timestamp=LOADED, load_timestamp_name="bq_load_timestamp"
     ).rows()
     day = F.date_format("bq_load_timestamp", "yyyy-MM-dd")
-    return shown.select("r_regionkey", "r_name", day.alias("loaded_on"))
+    return shown.select("s_suppkey", "s_name", day.alias("loaded_on"))
 
 
 @query(

@@ -156,7 +156,6 @@ def csv_dialect(step: Step):
         quote=step.get("quoteChar"),
         null_string=step.get("nullString", ""),
         comment=step.get("commentMarker"),
-        record_separator=step.get("recordSeparator"),
         ignore_empty_lines=step.get("ignoreEmptyLines", True),
         ignore_surrounding_spaces=step.get("ignoreSurroundingSpaces", False),
     )

@@ -63,10 +63,7 @@ def land_tables(batch: Batch, sink: TableSink, batch_id: str | None = None) -> N
     """
     land_side(batch.good, batch.layout, known_tables(batch), sink, sink.table, batch_id)
     default = None if sink.table is None else sink.table + sink.error_suffix
-    tables = batch.bad_tables
-    if tables is None and not batch.routed:
-        tables = [None]
-    land_side(batch.bad, None, tables, sink, default, batch_id, skip_empty=True)
+    land_side(batch.bad, None, batch.bad_tables, sink, default, batch_id)
 
 
 def known_tables(batch: Batch) -> list[str | None] | None:
@@ -82,16 +79,11 @@ def land_side(
     sink: TableSink,
     default: str | None,
     batch_id: str | None,
-    skip_empty: bool = False,
 ) -> None:
+    """Write the rows of one side; without known ``tables`` the rows tell, if there are any."""
     if tables == []:
         return
-    if tables is not None and len(tables) == 1:
-        parts = {tables[0]: df}
-        if skip_empty and df.isEmpty():
-            return
-    else:
-        parts = split_by_table(df)
+    parts = {tables[0]: df} if tables and len(tables) == 1 else split_by_table(df)
     for table, rows in parts.items():
         target = table if table is not None else default
         if target is None:

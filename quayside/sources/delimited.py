@@ -22,13 +22,15 @@ from quayside.functions.names import (
     generic_header,
     without_dot_slash,
 )
-from quayside.sources.dialects import Dialect, dialect, records, text_lines
+from quayside.sources.dialects import Dialect, dialect, line_end, records, text_lines
 from quayside.sources.files import list_files
-from quayside.sources.units import NONE, emitter, open_unit, split_size, spread, units
+from quayside.sources.units import NONE, UNIT, emitter, open_unit, split_size, spread, units
 
 # A header for the files whose name matches a pattern: (pattern, column names).
 HeaderRule = tuple[str, list[str]]
-PROBE = "path string, file_name string, names array<string>, width int, whole boolean"
+PROBE = (
+    "path string, file_name string, names array<string>, width int, line_end string, whole boolean"
+)
 ORIGIN = "bad string, message string, file_name string, archive string"
 
 
@@ -54,9 +56,8 @@ def read_delimited(
     """
     d, skip = format or dialect(), tuple(skip)
     plain = compression == NONE
-    work = units(list_files(spark, patterns), compression, skip)
-    if plain:
-        work = cut_closed_files(work, d)
+    listed = list_files(spark, patterns)
+    work = plain_units(listed, d) if plain else units(listed, compression, skip)
 
     choice = HeaderChoice(d, has_header, header, replacement, allow_extra_columns, generic_prefix)
     probed = (
@@ -66,24 +67,26 @@ def read_delimited(
         .agg(
             F.max("names").alias("names"),
             F.max("width").alias("width"),
+            F.max("line_end").alias("line_end"),
             F.max("whole").alias("whole"),
         )
         .withColumn(TABLE, table_of(destination))
     )
     # A lenient file may end in cells its header has no name for; they have no column.
     if plain and d.spark_reads_it and not (allow_extra_columns and d.null != ""):
-        found = probed.orderBy("path").collect()
+        found = sorted(probed.collect(), key=lambda r: r["path"])
         named = [(r[TABLE], choice.columns(r["names"], r["width"])) for r in found]
         groups: dict[tuple, list[str]] = {}
         for row, (_, columns) in zip(found, named, strict=True):
-            groups.setdefault((tuple(columns), row["whole"]), []).append(row["path"])
+            group = (tuple(columns), row["line_end"] if row["whole"] else None)
+            groups.setdefault(group, []).append(row["path"])
         columns = union_of(named)
         parsed = scan_groups(spark, groups, columns, d, has_header)
     else:
         headers = probed.groupBy(TABLE, "names", "width").agg(F.min("path").alias("at"))
         named = [
             (r[TABLE], choice.columns(r["names"], r["width"]))
-            for r in headers.orderBy("at", "width").collect()
+            for r in sorted(headers.collect(), key=lambda r: (r["at"], r["width"]))
         ]
         columns = union_of(named)
         parsed = split_in_tasks(work, probed, choice, columns, skip)
@@ -121,34 +124,34 @@ def layout_of(named: list[tuple[str | None, list[str]]]) -> dict[str | None, lis
     return {table: list(columns) for table, columns in layout.items()}
 
 
-def cut_closed_files(work: DataFrame, d: Dialect) -> DataFrame:
-    """Cut big files into ranges where no cell runs over a line end.
+def plain_units(listed: DataFrame, d: Dialect) -> DataFrame:
+    """Files as units; big ones are cut into ranges where no cell runs over a line end.
 
     A cell may contain line feeds, so a file can only be cut after a look at all of its
     lines. Small files are not worth the look and compressed ones cannot be cut.
     """
-    spark, size = work.sparkSession, split_size(work.sparkSession)
-    big = work.filter((F.col("length") > size) & ~F.lower("path").endswith(".gz"))
-    listed = big.select("path", "file_name", "length").collect()
-    if not listed:
-        return work
-    opened = (
-        spark.read.text([r["path"] for r in listed])
-        .filter(~F.col("value").rlike(d.closed_line()))
-        .select(decoded("_metadata.file_name"), "_metadata.file_size")
-        .distinct()
-    )
-    whole = {tuple(r) for r in opened.collect()}
-    paths = [(r["path"],) for r in listed if (r["file_name"], r["length"]) not in whole]
-    cut = spark.createDataFrame(paths, "path string")
-    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size)))
-    ranges = (
-        work.join(cut, "path", "left_semi")
-        .withColumn("start", starts)
-        .withColumn("length", F.least(F.lit(size), F.col("length") - F.col("start")))
-        .withColumn("how", F.lit("range"))
-    )
-    return work.join(cut, "path", "left_anti").unionByName(ranges)
+    spark = listed.sparkSession
+    size = split_size(spark)
+    files = listed.collect()
+    big = [f for f in files if f["length"] > size and not f["path"].lower().endswith(".gz")]
+    cut = set()
+    if big:
+        opened = (
+            spark.read.text([f["path"] for f in big])
+            .filter(~F.col("value").rlike(d.closed_line()))
+            .select(decoded("_metadata.file_name"), "_metadata.file_size")
+            .distinct()
+        )
+        whole = {tuple(r) for r in opened.collect()}
+        cut = {f["path"] for f in big if (f["file_name"], f["length"]) not in whole}
+    rows = []
+    for path, name, length in files:
+        if path not in cut:
+            rows.append((path, None, None, name, 0, length, "plain"))
+            continue
+        for start in range(0, length, size):
+            rows.append((path, None, None, name, start, min(size, length - start), "range"))
+    return spark.createDataFrame(rows, UNIT)
 
 
 class HeaderChoice:
@@ -174,26 +177,27 @@ class HeaderChoice:
             names = generic_header(width, self.prefix)
         return clean_header(names, self.replacement, fill_missing=self.lenient)
 
-    def read(self, file_name: str, stream, at_start: bool = True) -> tuple[list[str] | None, int]:
-        """The names of a file, or None and the width of its widest record."""
+    def read(
+        self, file_name: str, stream, at_start: bool = True
+    ) -> tuple[list[str] | None, int, str]:
+        """The names of a file, or None and the width of its widest record; its line end."""
+        parsed = records(text_lines(stream), self.d)
+        first, text = next(parsed, ([], ""))
         names = self.by_name(file_name)
+        if names is None and self.from_file:
+            names = [n or "" for n in first]
         if names is not None:
-            return names, len(names)
-        parsed = records(text_lines(stream), self.d)
-        if self.from_file:
-            first = [n or "" for n in next(parsed, ([], ""))[0]]
-            return first, len(first)
-        if self.has_header and at_start:
-            next(parsed, None)
-        return None, max((len(cells) for cells, _ in parsed), default=0)
+            return names, len(names), line_end(text)
+        return None, self.widest(first, parsed, at_start), line_end(text)
+
+    def widest(self, first: list, rest: Iterator[tuple], at_start: bool) -> int:
+        width = 0 if self.has_header and at_start else len(first)
+        return max(width, max((len(cells) for cells, _ in rest), default=0))
 
     def probe(self, skip: tuple[str, ...]) -> Callable:
         def rows(unit: dict) -> Iterator[tuple]:
             path, whole, at_start = unit["path"], unit["how"] != "range", unit["start"] == 0
-            known = unit["file_name"] and self.by_name(unit["file_name"])
-            if known:
-                yield path, unit["file_name"], known, len(known), whole
-            elif whole or at_start or not self.from_file:
+            if whole or at_start or not (self.from_file or self.by_name(unit["file_name"])):
                 for file_name, stream in open_unit(unit, skip):
                     yield path, file_name, *self.read(file_name, stream, at_start), whole
 
@@ -209,7 +213,7 @@ def scan_groups(
 ) -> DataFrame:
     """One CSV scan per header, all with the cells of ``columns``."""
     scans = [empty_cells(spark, columns)]
-    for (names, whole), paths in groups.items():
+    for (names, line_end_found), paths in groups.items():
         if not names:
             continue
         fields = [T.StructField(f"s{i}", T.StringType()) for i in range(len(names))]
@@ -219,10 +223,12 @@ def scan_groups(
             .option("columnNameOfCorruptRecord", "bad")
             .option("columnPruning", False)
             .option("header", has_header)
-            .option("multiLine", whole)
+            .options(**whole_file_options(line_end_found))
             .csv(paths)
         )
         at = {name: F.col(f"s{i}") for i, name in enumerate(names)}
+        if line_end_found == "\n":
+            at[names[-1]] = F.regexp_replace(at[names[-1]], r"\r\z", "")
         nothing = F.lit(None).cast("string")
         cells = [d.spark_cell(at[c]) if c in at else nothing for c in columns]
         # Spark refuses to read nothing but the corrupt record, so a cell goes along with
@@ -240,6 +246,18 @@ def scan_groups(
     return reduce(DataFrame.unionByName, scans[1:]) if len(scans) > 1 else scans[0]
 
 
+def whole_file_options(line_end_found: str | None) -> dict[str, str]:
+    """Options for files that are read as a whole, which keep line feeds within cells.
+
+    Without a given separator Spark would change the line ends in quoted cells. In a file
+    that mixes line ends, what a carriage return leaves behind is cut off the last cell.
+    """
+    if line_end_found is None:
+        return {"multiLine": "false"}
+    known = {"\n": {"lineSep": "\n"}, "\r\n": {"lineSep": "\r\n"}}
+    return {"multiLine": "true", **known.get(line_end_found, {})}
+
+
 def empty_cells(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], cell_schema(columns))
 
@@ -260,7 +278,7 @@ def split_in_tasks(
     widths = probed.select("path", "file_name", "width")
     schema = cell_schema(columns)
 
-    def header_of(unit: dict, file_name: str) -> tuple[list[str] | None, int]:
+    def header_of(unit: dict, file_name: str) -> tuple:
         if unit["width"] is not None and not choice.from_file:
             return choice.by_name(file_name), unit["width"]
         start = {**unit, "start": 0, "how": "plain"} if unit["how"] == "range" else unit
@@ -274,17 +292,18 @@ def split_in_tasks(
             # The entries are not known before the archive is read, nor are their headers.
             headers = {name: choice.read(name, stream) for name, stream in open_unit(unit, skip)}
         for file_name, stream in open_unit(unit, skip):
-            names = choice.columns(*(headers.get(file_name) or header_of(unit, file_name)))
+            names = choice.columns(*(headers.get(file_name) or header_of(unit, file_name))[:2])
             places = [at[n] for n in names]
             parsed = records(text_lines(stream), d)
             if choice.has_header and (unit["how"] != "range" or unit["start"] == 0):
                 next(parsed, None)
-            for cells, raw in parsed:
+            for cells, text in parsed:
                 row, bad, message = [None] * len(columns), None, None
                 for place, cell in zip(places, cells):
                     row[place] = cell
                 if len(cells) != len(places) and not choice.lenient:
-                    bad, message = raw, f"record has {len(cells)} cells instead of {len(places)}"
+                    bad = text.rstrip("\r\n")
+                    message = f"record has {len(cells)} cells instead of {len(places)}"
                 yield (*row, bad, message, file_name, unit["archive"])
 
     named = work.join(widths, ["path", "file_name"], "left")

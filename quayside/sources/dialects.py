@@ -39,7 +39,6 @@ class Dialect:
     skip_blank: bool = True
     trim: bool = False
     keep_quoted_empty: bool = False
-    line_sep: str | None = None
 
     @property
     def spark_reads_it(self) -> bool:
@@ -56,8 +55,6 @@ class Dialect:
             options["comment"] = self.comment
         if self.keep_quoted_empty:
             options["emptyValue"] = QUOTED_EMPTY
-        if self.line_sep and len(self.line_sep) <= 2:
-            options["lineSep"] = self.line_sep
         return options
 
     def spark_cell(self, cell: Column) -> Column:
@@ -79,8 +76,8 @@ class Dialect:
         if self.escape:
             e = java_char(self.escape)
             if not self.quote:
-                return rf"^(?:[^{e}]|{e}.)*$"
-            return rf"^(?:[^{e}{java_char(self.quote)}]|{e}.)*$"
+                return rf"^(?:[^{e}]++|{e}.)*+$"
+            return rf"^(?:[^{e}{java_char(self.quote)}]++|{e}.)*+$"
         if not self.quote:
             return rf"^{blank_or_text}$"
         q, sep = java_char(self.quote), "".join(java_char(c) for c in self.sep)
@@ -103,14 +100,13 @@ def dialect(
     quote: str | None = None,
     null_string: str | None = "",
     comment: str | None = None,
-    record_separator: str | None = None,
     ignore_empty_lines: bool = True,
     ignore_surrounding_spaces: bool = False,
 ) -> Dialect:
     """A preset with overrides; an empty escape, quote or comment unsets the character.
 
     The last three settings always override the preset, and an empty cell is NULL unless
-    ``null_string`` says otherwise.
+    ``null_string`` says otherwise. Records end at any of the usual line ends.
     """
     if preset not in PRESETS:
         raise LandingError(f"unknown delimiter format {preset!r}; known: {sorted(PRESETS)}")
@@ -125,7 +121,6 @@ def dialect(
     return replace(
         made,
         null=null_string,
-        line_sep=record_separator,
         skip_blank=ignore_empty_lines,
         trim=ignore_surrounding_spaces,
     )
@@ -137,7 +132,7 @@ def text_lines(stream) -> Iterable[str]:
 
 
 def records(lines: Iterable[str], d: Dialect) -> Iterator[tuple[list[str | None], str]]:
-    """``(cells, raw text)`` of every record."""
+    """``(cells, text with its line end)`` of every record."""
     taken: list[str] = []
 
     def remember() -> Iterator[str]:
@@ -157,11 +152,15 @@ def records(lines: Iterable[str], d: Dialect) -> Iterator[tuple[list[str | None]
     else:
         rows = split_records(remember(), d)
     for cells in rows:
-        raw = "".join(taken).rstrip("\r\n")
+        text = "".join(taken)
         taken.clear()
-        if cells is None or (not raw and d.skip_blank):
+        if cells is None or (d.skip_blank and not text.rstrip("\r\n")):
             continue
-        yield [cell_value(c, d) for c in cells or [""]], raw
+        yield [cell_value(c, d) for c in cells or [""]], text
+
+
+def line_end(text: str) -> str:
+    return text[len(text.rstrip("\r\n")) :]
 
 
 def cell_value(cell: str, d: Dialect) -> str | None:

@@ -113,7 +113,7 @@ def open_unit(unit: dict, skip: Iterable[str] = ()) -> Iterator[tuple[str, Binar
         with open_path(unit["path"]) as stream:
             for info in (tar := tarfile.open(fileobj=stream, mode="r|*")):
                 if info.isreg() and not skipped.fullmatch(info.name):
-                    yield info.name, tar.extractfile(info)
+                    yield info.name, io.BufferedReader(Forward(tar.extractfile(info)), 1 << 20)
     elif how == "zip":
         with open_path(unit["path"]) as stream, zipfile.ZipFile(stream) as archive:
             with archive.open(unit["entry"]) as entry:
@@ -127,6 +127,21 @@ def open_unit(unit: dict, skip: Iterable[str] = ()) -> Iterator[tuple[str, Binar
             yield unit["file_name"], io.BufferedReader(window, 1 << 20)
 
 
+class Forward(io.RawIOBase):
+    """A stream that is only ever read forward."""
+
+    def __init__(self, source: BinaryIO):
+        self.source = source
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        block = self.source.read(len(buffer))
+        buffer[: len(block)] = block
+        return len(block)
+
+
 class Window(io.RawIOBase):
     """A part of a stream.
 
