@@ -97,7 +97,7 @@ def find_leaves(
     per_column = []
     for column in nested:
         value = quoted(column)
-        here = F.coalesce(leaves(value, kinds[column]), none)
+        here = F.when(value.isNotNull(), F.coalesce(leaves(value, kinds[column]), none)).otherwise(none)
         # A marker per row in which the container is set, even if it is empty.
         marker = F.when(value.isNotNull(), F.array(leaf(NO_STEPS, F.lit(SET)))).otherwise(none)
         per_column.append(F.transform(F.concat(here, marker), labelled_as(column)))

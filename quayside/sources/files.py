@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from typing import BinaryIO
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -42,16 +43,30 @@ def existing(spark: SparkSession, patterns: list[str]) -> list[str]:
     return found
 
 
-def list_files(spark: SparkSession, patterns: list[str]) -> DataFrame:
-    """``(path, file_name, length)`` of the matching files; contents are not read."""
+FILE = "path string, file_name string, length long"
+
+
+def list_files(spark: SparkSession, patterns: list[str], empty: bool = False) -> DataFrame:
+    """``(path, file_name, length)`` of the matching files; contents are not read.
+
+    A scan leaves out empty files; ``empty`` adds them for readers that report them.
+    """
     found = existing(spark, patterns)
     if not found:
-        return spark.createDataFrame([], "path string, file_name string, length long")
-    return (
-        spark.read.format("binaryFile")
-        .load(found)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
-    )
+        return spark.createDataFrame([], FILE)
+    files = spark.read.format("binaryFile").load(found)
+    listed = files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    if empty:
+        known = {short(r["path"]) for r in listed.select("path").collect()}
+        paths = sorted({short(unquote(p)) for p in files.inputFiles()} - known)
+        if paths:
+            rows = [(p, p.rpartition("/")[2], 0) for p in paths]
+            listed = listed.unionByName(spark.createDataFrame(rows, FILE))
+    return listed
+
+
+def short(path: str) -> str:
+    return re.sub(r"^file:/+", "file:/", path)
 
 
 def open_path(path: str) -> BinaryIO:

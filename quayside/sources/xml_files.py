@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.batch import META, TABLE, Batch, error_record
+from quayside.batch import META, TABLE, Batch, error_record, quoted
 from quayside.functions.names import Destination, decoded
 from quayside.operators.documents import parse_documents
 from quayside.sources.files import existing, list_files
@@ -46,7 +46,8 @@ def read_xml(
         archived = False
     else:
         skip, archived = tuple(skip), compression != NONE
-        work = units(list_files(spark, patterns), compression, skip)
+        listed = list_files(spark, patterns, empty=not archived)
+        work = units(listed, compression, skip)
         repeated = spread(work).mapInArrow(repeat_finder(skip), "path string").distinct()
         arrays = frozenset(tuple(json.loads(r["path"])) for r in repeated.collect())
         docs = spread(work).mapInArrow(record_reader(skip, arrays), DOCUMENT)
@@ -75,10 +76,15 @@ def tagged_records(spark: SparkSession, paths: list[str], row_tag: str) -> DataF
         .option("columnNameOfCorruptRecord", "_corrupt")
         .load(paths)
     )
-    cells = [c for c in rows.columns if c != "_corrupt"]
-    bad = F.col("_corrupt") if "_corrupt" in rows.columns else F.lit(None).cast("string")
+    cells = [quoted(c) for c in rows.columns if c != "_corrupt"]
+    value, bad = F.lit(None).cast("string"), F.lit(None).cast("string")
+    if cells:
+        value = F.to_json(F.struct(*cells))
+    if "_corrupt" in rows.columns:
+        # Spark refuses to read nothing but the corrupt record: 0 characters go along.
+        bad = F.concat(F.left(F.coalesce(value, F.lit("")), F.lit(0)), F.col("_corrupt"))
     return rows.select(
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in cells])).alias("value"),
+        value.alias("value"),
         bad.alias("bad"),
         F.when(bad.isNotNull(), F.lit("not a valid XML record")).alias("message"),
         decoded("_metadata.file_name").alias("file_name"),
