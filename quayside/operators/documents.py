@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from quayside.batch import META, TABLE, Batch, LandingError, error_record, keep, no_rejects, quoted
 from quayside.functions.names import clean_name, clean_name_column
 
+# What discovery finds: destination -> key -> (first position, type).
+Fields = dict[str | None, dict[str, tuple[int, T.DataType]]]
 TEXT, UNSEEN = T.StringType(), T.NullType()
 PARSE_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 BAD, DOCUMENT = "BAD", "DOCUMENT"
@@ -31,27 +33,26 @@ def parse_documents(
     routed: bool = False,
     schema: T.StructType | None = None,
     json_null: str = "null",
+    known: tuple[Fields, list[str | None]] | None = None,
+    singles: bool = False,
 ) -> Batch:
     """Parse the JSON text in ``value`` next to the hidden columns.
 
     A ``schema`` (top-level keys as they are spelt in the data, with string leaves, maps
     and arrays) skips the discovery pass. ``json_null="text"`` turns a JSON null leaf into
     the text ``null``. Blank texts are skipped; whatever is not a JSON object is rejected.
+    ``known`` is what a reader has discovered by itself, with or without ``singles``.
     """
     docs = docs.filter(quoted(value).rlike(r"\S")).select(
         quoted(value).alias("value"), TABLE, META
     )
     bad_tables: list[str | None] | None = None
     if schema is None:
-        fields, bad_tables = discover(docs)
+        fields, bad_tables = known or discover(docs)
     else:
         fields = {None: {f.name: (i, f.dataType) for i, f in enumerate(schema.fields)}}
 
-    keys: dict[str, tuple[int, T.DataType]] = {}
-    for found in fields.values():
-        for key, (at, kind) in found.items():
-            first, known = keys.get(key, (at, UNSEEN))
-            keys[key] = (min(at, first), merge(known, kind))
+    keys = union_keys(fields, singles)
     columns = plan_columns(keys, replacement)
     names = {key: name for name, spelt in columns.items() for key in spelt}
 
@@ -68,7 +69,7 @@ def parse_documents(
 
     selected = []
     for name, spelt in columns.items():
-        kind = merge_all(keys[k][1] for k in spelt)
+        kind = merge_all((keys[k][1] for k in spelt), singles)
         if len(spelt) == 1:
             cell = F.col("_doc").getField(spelt[0])
             present = F.array_contains(F.json_object_keys("value"), F.lit(spelt[0]))
@@ -98,6 +99,16 @@ def parse_documents(
     return Batch(good=good, bad=bad, layout=layout, bad_tables=bad_tables, routed=routed)
 
 
+def union_keys(fields: Fields, singles: bool = False) -> dict[str, tuple[int, T.DataType]]:
+    """The keys of all destinations together."""
+    keys: dict[str, tuple[int, T.DataType]] = {}
+    for found in fields.values():
+        for key, (at, kind) in found.items():
+            first, seen = keys.get(key, (at, UNSEEN))
+            keys[key] = (min(at, first), merge(seen, kind, singles))
+    return keys
+
+
 def min_at(found: dict, spelt: list[str]) -> int:
     return min(found[k][0] for k in spelt if k in found)
 
@@ -119,94 +130,107 @@ def plan_columns(keys: dict, replacement: str) -> dict[str, list[str]]:
 # --- discovery ------------------------------------------------------------------------
 
 
-def discover(docs: DataFrame) -> tuple[dict, list]:
-    """``{table: {key: (first position, type)}}`` and the tables that have rejects."""
+def discover(docs: DataFrame) -> tuple[Fields, list]:
+    """The keys of every destination, and the destinations that have rejects."""
     keyed = F.from_json("value", "map<string,variant>", PARSE_OPTIONS)
-    entry = "struct<key:string,shape:string>"
-    entries = F.concat(
-        F.transform(
-            F.map_entries(keyed),
-            lambda e: F.struct(e["key"].alias("key"), shape(e["value"]).alias("shape")),
-        ),
-        F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(DOCUMENT).alias("shape"))),
+    schemas = F.transform(
+        F.map_entries(keyed),
+        lambda e: entry(e["key"], F.call_function("schema_of_variant", e["value"])),
     )
-    rejected = F.array(
-        F.struct(F.lit(None).cast("string").alias("key"), F.lit(BAD).alias("shape"))
-    )
-    found = (
-        docs.select(TABLE, F.coalesce(entries, rejected).cast(f"array<{entry}>").alias("e"))
-        .select(TABLE, F.posexplode("e").alias("at", "e"))
-        .groupBy(TABLE, "e.key", "e.shape")
+    no_key = F.lit(None).cast("string")
+    document = F.array(entry(no_key, F.lit(DOCUMENT)))
+    entries = F.coalesce(F.concat(schemas, document), F.array(entry(no_key, F.lit(BAD))))
+    # The outer form: for the other one Spark would add a filter that parses once more.
+    exploded = docs.select(TABLE, F.posexplode_outer(entries).alias("at", "e"))
+    return fold_keys(exploded.select(TABLE, "at", "e.key", shape(F.col("e.shape")).alias("shape")))
+
+
+def entry(key: Column, shape_text: Column) -> Column:
+    return F.struct(key.alias("key"), shape_text.alias("shape"))
+
+
+def fold_keys(found: DataFrame, singles: bool = False) -> tuple[Fields, list]:
+    """Reduce ``(table, at, key, shape)`` rows to the types of the keys.
+
+    The aggregation leaves one row per key and shape, few enough for the driver. With
+    ``singles`` a value next to arrays of such values counts as an array of one.
+    """
+    rows = (
+        found.groupBy(TABLE, "key", "shape")
         .agg(F.min("at").alias("at"))
         .limit(SHAPE_LIMIT + 1)
         .collect()
     )
-    if len(found) > SHAPE_LIMIT:
+    if len(rows) > SHAPE_LIMIT:
         raise LandingError("documents have too many distinct keys to become columns; give a schema")
-
-    tables: dict[str | None, dict[str, tuple[int, T.DataType]]] = {}
+    tables: Fields = {}
     bad_tables = []
-    for row in sorted(found, key=lambda r: (r[TABLE] or "", r["key"] or "")):
+    for row in sorted(rows, key=lambda r: (r[TABLE] or "", r["key"] or "")):
         if row["shape"] == BAD:
             bad_tables.append(row[TABLE])
             continue
         keys = tables.setdefault(row[TABLE], {})
         if row["key"] is not None:
             at, kind = keys.get(row["key"], (row["at"], UNSEEN))
-            keys[row["key"]] = (min(at, row["at"]), merge(kind, shape_type(row["shape"])))
+            kind = merge(kind, shape_type(row["shape"], singles), singles)
+            keys[row["key"]] = (min(at, row["at"]), kind)
     for keys in tables.values():
         for key, (at, kind) in keys.items():
             keys[key] = (at, settle(kind))
     return tables, bad_tables
 
 
-def shape(value: Column) -> Column:
-    """The structure of a variant with field names and scalar types blanked out.
+def shape(text: Column) -> Column:
+    """A variant's schema with field names and scalar types blanked out.
 
     ``{"x": 1, "y": ["a"]}`` gives ``OBJECT<k: STRING, k: ARRAY<STRING>>``, so the number
     of different shapes depends on the nesting and not on the keys.
     """
-    text = F.call_function("schema_of_variant", value)
     nested = F.regexp_replace(text, r"(?:`(?:[^`]|``)*`|[A-Za-z0-9_]+): ", "k: ")
-    nested = F.regexp_replace(nested, r"\b(?!OBJECT\b|ARRAY\b|VOID\b)[A-Z_]+(?:\([0-9, ]*\))?", "STRING")
+    scalar = r"\b(?!OBJECT\b|ARRAY\b|VOID\b)[A-Z_]+(?:\([0-9, ]*\))?"
+    nested = F.regexp_replace(nested, scalar, "STRING")
     repeat = r"(k: [A-Z]+(?:<[^<>]*(?:<[^<>]*>[^<>]*)*>)?)(?:, \1)+(?=[,>])"
     for _ in range(2):
         nested = F.regexp_replace(nested, repeat, "$1")
     return (
         F.when(text.startswith("OBJECT") | text.startswith("ARRAY"), nested)
-        .when(text == "VOID", text)
+        .when(text.isin("VOID", BAD, DOCUMENT), text)
         .otherwise(F.lit("STRING"))
     )
 
 
 @lru_cache(maxsize=4096)
-def shape_type(text: str) -> T.DataType:
+def shape_type(text: str, singles: bool = False) -> T.DataType:
     """The type a shape stands for; the null type where only nulls were seen."""
     parsed = T.StructType.fromDDL("x " + text.replace("OBJECT<", "STRUCT<"))
-    return collapse(parsed.fields[0].dataType)
+    return collapse(parsed.fields[0].dataType, singles)
 
 
-def collapse(kind: T.DataType) -> T.DataType:
+def collapse(kind: T.DataType, singles: bool) -> T.DataType:
     if isinstance(kind, T.StructType):
-        return T.MapType(TEXT, merge_all(collapse(f.dataType) for f in kind.fields))
+        return T.MapType(TEXT, merge_all((collapse(f.dataType, singles) for f in kind.fields), singles))
     if isinstance(kind, T.ArrayType):
-        return T.ArrayType(collapse(kind.elementType))
+        return T.ArrayType(collapse(kind.elementType, singles))
     return UNSEEN if isinstance(kind, T.NullType) else TEXT
 
 
-def merge(a: T.DataType, b: T.DataType) -> T.DataType:
+def merge(a: T.DataType, b: T.DataType, singles: bool = False) -> T.DataType:
     """The type that holds both; different kinds meet as text."""
     if a == UNSEEN or b == UNSEEN:
         return b if a == UNSEEN else a
     if isinstance(a, T.MapType) and isinstance(b, T.MapType):
-        return T.MapType(TEXT, merge(a.valueType, b.valueType))
+        return T.MapType(TEXT, merge(a.valueType, b.valueType, singles))
     if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
-        return T.ArrayType(merge(a.elementType, b.elementType))
+        return T.ArrayType(merge(a.elementType, b.elementType, singles))
+    if singles and isinstance(a, T.ArrayType):
+        return T.ArrayType(merge(a.elementType, b, singles))
+    if singles and isinstance(b, T.ArrayType):
+        return T.ArrayType(merge(a, b.elementType, singles))
     return TEXT
 
 
-def merge_all(kinds: Iterable[T.DataType]) -> T.DataType:
-    return reduce(merge, kinds, UNSEEN)
+def merge_all(kinds: Iterable[T.DataType], singles: bool = False) -> T.DataType:
+    return reduce(lambda a, b: merge(a, b, singles), kinds, UNSEEN)
 
 
 def settle(kind: T.DataType) -> T.DataType:

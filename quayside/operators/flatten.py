@@ -102,7 +102,8 @@ def find_leaves(
         marker = F.when(value.isNotNull(), F.array(leaf(NO_STEPS, F.lit(SET)))).otherwise(none)
         per_column.append(F.transform(F.concat(here, marker), labelled_as(column)))
     rows = (
-        good.select(TABLE, F.posexplode(F.concat(*per_column)).alias("at", "e"))
+        good.select(TABLE, F.posexplode_outer(F.concat(*per_column)).alias("at", "e"))
+        .filter(F.col("e").isNotNull())
         .groupBy(TABLE, "e.column", "e.leaf.steps")
         .agg(F.min("at").alias("at"), F.max("e.leaf.n").alias("n"))
         .limit(max_columns + 1)

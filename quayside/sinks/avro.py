@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,9 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from quayside.batch import ERROR_SUFFIX, META, TABLE, Batch, quoted, session, visible
-from quayside.sources.files import file_system
 from quayside.sinks.avro_codec import ContainerWriter, record_type
+from quayside.sinks.tables import FEW_TABLES, known_tables
+from quayside.sources.files import file_system
 
 FORMAT = "quayside_avro"
 STAGE = "_temporary"
@@ -37,14 +39,24 @@ def land_avro(batch: Batch, sink: AvroSink, day: datetime | None = None) -> str:
     """Write good rows and rejects below the root; returns the id of this load."""
     load_id = str(uuid.uuid4())
     date = (day or datetime.now(UTC)).strftime("%Y-%m-%d")
-    write_avro(batch.good, batch.layout, sink, sink.directory, date, load_id)
+    tables = known_tables(batch)
+    write_avro(batch.good, batch.layout, tables, sink, sink.directory, date, load_id)
     if batch.bad_tables != []:
-        write_avro(batch.bad, None, sink, sink.directory + sink.error_suffix, date, load_id)
+        default, tables = sink.directory + sink.error_suffix, batch.bad_tables
+        if not batch.routed:
+            tables = [None]
+        write_avro(batch.bad, None, tables, sink, default, date, load_id)
     return load_id
 
 
 def write_avro(
-    df: DataFrame, layout: dict | None, sink: AvroSink, default: str, date: str, load_id: str
+    df: DataFrame,
+    layout: dict | None,
+    tables: list | None,
+    sink: AvroSink,
+    default: str,
+    date: str,
+    load_id: str,
 ) -> None:
     """One job for all destinations; a file has just the columns of its destination."""
     session(df).dataSource.register(AvroDirectory)
@@ -53,8 +65,12 @@ def write_avro(
     layouts = {default if t is None else t: known for t, known in (layout or {}).items()}
     rows = df.drop(META).withColumn(TABLE, F.coalesce(F.col(TABLE), F.lit(default)))
     rows = rows.select(TABLE, *[quoted(c) for c in columns])
-    # Rebalancing gives a task rows of few tables, and a big table several tasks.
-    rows = rows.repartition(sink.shards) if sink.shards else rows.hint("rebalance", TABLE)
+    # Every task writes a file per destination; where these may be many, rebalancing gives
+    # a task rows of few destinations, and a big destination several tasks.
+    if sink.shards:
+        rows = rows.repartition(sink.shards)
+    elif tables is None or len(tables) > FEW_TABLES:
+        rows = rows.hint("rebalance", TABLE)
     (
         rows.write.format(FORMAT)
         .mode("append")
@@ -79,6 +95,12 @@ class AvroDirectory(DataSource):
         return AvroDirectoryWriter(dict(self.options))
 
 
+def by_table(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
+    tables = batch.column(TABLE)
+    for table in tables.unique().to_pylist():
+        yield table, batch.filter(pc.equal(tables, table))
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: list[tuple[str, str]]
@@ -99,8 +121,7 @@ class AvroDirectoryWriter(DataSourceArrowWriter):
         opened: dict[str, ContainerWriter] = {}
         files = []
         for batch in iterator:
-            for row in batch.to_pylist():
-                table = row.pop(TABLE)
+            for table, rows in by_table(batch):
                 writer = opened.get(table)
                 if writer is None:
                     names = layouts.get(table, list(kinds))
@@ -113,7 +134,7 @@ class AvroDirectoryWriter(DataSourceArrowWriter):
                     stream = filesystem.open_output_stream(staged, compression=None)
                     writer = ContainerWriter(stream, schema)
                     opened[table] = writer
-                writer.append(row)
+                writer.append(rows)
         for writer in opened.values():
             writer.close()
         return Written(files)

@@ -12,13 +12,14 @@ from datetime import UTC, date, datetime, timedelta
 from decimal import Decimal
 from typing import Any, BinaryIO
 
+import pyarrow as pa
 from pyspark.sql import types as T
 
 # The first bytes of a container file.
 MAGIC = b"Obj\x01"
 EPOCH, EPOCH_DAY = datetime(1970, 1, 1, tzinfo=UTC), date(1970, 1, 1)
-BLOCK = 1 << 18
-Encoder = Callable[[bytearray, Any], None]
+BLOCK_ROWS = 4000
+Encoder = Callable[[Any], bytes]
 
 
 def avro_type(kind: T.DataType, name: str) -> Any:
@@ -63,127 +64,109 @@ def record_type(kind: T.StructType, name: str) -> dict:
     return {"type": "record", "name": name, "fields": fields}
 
 
-def put_long(out: bytearray, n: int) -> None:
+def varint(n: int) -> bytes:
     n = (n << 1) ^ (n >> 63)
+    if n < 0x80:
+        return SMALL[n]
+    out = bytearray()
     while n > 0x7F:
         out.append((n & 0x7F) | 0x80)
         n >>= 7
     out.append(n)
+    return bytes(out)
 
 
-def put_bytes(out: bytearray, data: bytes) -> None:
-    put_long(out, len(data))
-    out += data
+SMALL = [bytes([i]) for i in range(128)]
+
+
+def sized(data: bytes) -> bytes:
+    return varint(len(data)) + data
 
 
 def encoder(schema: Any) -> Encoder:
-    """A function that appends a value of the schema to a buffer."""
+    """A function that gives the bytes of a value of the schema."""
     if isinstance(schema, list):
         write = encoder(schema[1])
-
-        def nullable(out: bytearray, value: Any) -> None:
-            out.append(0 if value is None else 2)
-            if value is not None:
-                write(out, value)
-
-        return nullable
+        return lambda value: b"\x00" if value is None else b"\x02" + write(value)
     kind = schema if isinstance(schema, str) else schema["type"]
     logical = None if isinstance(schema, str) else schema.get("logicalType")
     if kind == "array":
         item = encoder(schema["items"])
-
-        def array(out: bytearray, value: list) -> None:
-            if value:
-                put_long(out, len(value))
-                for v in value:
-                    item(out, v)
-            out.append(0)
-
-        return array
+        return lambda value: block_of([item(v) for v in value])
     if kind == "map":
-        entry = encoder(schema["values"])
+        inner = encoder(schema["values"])
 
-        def mapping(out: bytearray, value: Any) -> None:
-            pairs = list(value.items() if isinstance(value, dict) else value)
-            if pairs:
-                put_long(out, len(pairs))
-                for k, v in pairs:
-                    put_bytes(out, k.encode())
-                    entry(out, v)
-            out.append(0)
+        def mapping(value: Any) -> bytes:
+            pairs = value.items() if isinstance(value, dict) else value
+            return block_of([sized(k.encode()) + inner(v) for k, v in pairs])
 
         return mapping
     if kind == "record":
         parts = [(f["name"], encoder(f["type"])) for f in schema["fields"]]
-
-        def record(out: bytearray, value: dict) -> None:
-            for name, write_field in parts:
-                write_field(out, value.get(name))
-
-        return record
+        return lambda value: b"".join([write(value.get(name)) for name, write in parts])
     if logical == "decimal":
         scale = schema["scale"]
 
-        def decimal(out: bytearray, value: Decimal) -> None:
+        def decimal(value: Decimal) -> bytes:
             n = int(value.scaleb(scale))
-            put_bytes(out, n.to_bytes((n.bit_length() + 8) // 8, "big", signed=True))
+            return sized(n.to_bytes((n.bit_length() + 8) // 8, "big", signed=True))
 
         return decimal
     micros = timedelta(microseconds=1)
     converted = {
-        "date": lambda out, v: put_long(out, (v - EPOCH_DAY).days),
-        "timestamp-micros": lambda out, v: put_long(out, (aware(v) - EPOCH) // micros),
-        "local-timestamp-micros": lambda out, v: put_long(out, (aware(v) - EPOCH) // micros),
+        "date": lambda value: varint((value - EPOCH_DAY).days),
+        "timestamp-micros": lambda value: varint((aware(value) - EPOCH) // micros),
+        "local-timestamp-micros": lambda value: varint((aware(value) - EPOCH) // micros),
     }
     if logical in converted:
         return converted[logical]
     return {
-        "string": lambda out, v: put_bytes(out, v.encode()),
-        "bytes": lambda out, v: put_bytes(out, v),
-        "boolean": lambda out, v: out.append(1 if v else 0),
-        "int": put_long,
-        "long": put_long,
-        "float": lambda out, v: out.extend(struct.pack("<f", v)),
-        "double": lambda out, v: out.extend(struct.pack("<d", v)),
+        "string": lambda value: sized(value.encode()),
+        "bytes": sized,
+        "boolean": lambda value: b"\x01" if value else b"\x00",
+        "int": varint,
+        "long": varint,
+        "float": struct.Struct("<f").pack,
+        "double": struct.Struct("<d").pack,
     }[kind]
 
 
+def block_of(items: list[bytes]) -> bytes:
+    return varint(len(items)) + b"".join(items) + b"\x00" if items else b"\x00"
+
+
 def aware(value: datetime) -> datetime:
     return value if value.tzinfo else value.replace(tzinfo=UTC)
 
 
 class ContainerWriter:
-    """Appends records to a container file, block by block."""
+    """Appends batches of records to a container file, block by block."""
 
     def __init__(self, stream: BinaryIO, schema: dict):
-        self.stream, self.write_record = stream, encoder(schema)
-        self.sync, self.block, self.count = os.urandom(16), bytearray(), 0
-        head = bytearray(MAGIC)
-        put_long(head, 2)
-        for key, value in (("avro.schema", json.dumps(schema)), ("avro.codec", "deflate")):
-            put_bytes(head, key.encode())
-            put_bytes(head, value.encode())
-        head.append(0)
-        stream.write(bytes(head) + self.sync)
-
-    def append(self, record: dict) -> None:
-        self.write_record(self.block, record)
-        self.count += 1
-        if len(self.block) >= BLOCK:
-            self.flush()
-
-    def flush(self) -> None:
-        if self.count:
-            packer = zlib.compressobj(wbits=-15)
-            data = packer.compress(bytes(self.block)) + packer.flush()
-            head = bytearray()
-            put_long(head, self.count)
-            put_long(head, len(data))
-            self.stream.write(bytes(head) + data + self.sync)
-            self.block, self.count = bytearray(), 0
+        self.stream, self.sync = stream, os.urandom(16)
+        self.encoders = {f["name"]: encoder(f["type"]) for f in schema["fields"]}
+        facts = {"avro.schema": json.dumps(schema).encode(), "avro.codec": b"deflate"}
+        head = block_of([sized(k.encode()) + sized(v) for k, v in facts.items()])
+        stream.write(MAGIC + head + self.sync)
+
+    def append(self, batch: pa.RecordBatch) -> None:
+        """Encode a batch column by column, then put its records together."""
+        columns = [
+            list(map(encode, batch.column(name).to_pylist()))
+            for name, encode in self.encoders.items()
+        ]
+        records = [b"".join(cells) for cells in zip(*columns, strict=True)]
+        if not columns:
+            records = [b""] * batch.num_rows
+        for start in range(0, len(records), BLOCK_ROWS):
+            self.write_block(records[start : start + BLOCK_ROWS])
+
+    def write_block(self, records: list[bytes]) -> None:
+        packer = zlib.compressobj(level=1, wbits=-15)
+        data = packer.compress(b"".join(records)) + packer.flush()
+        self.stream.write(varint(len(records)) + sized(data) + self.sync)
 
     def close(self) -> None:
-        self.flush()
         self.stream.close()
 
 

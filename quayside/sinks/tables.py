@@ -29,6 +29,7 @@ PARTITION_UNITS = {
     "HOUR": "HOUR", "DAY": "DAY", "MONTH": "MONTH", "YEAR": "YEAR", "TIMESTAMP": "DAY",
 }
 BATCH_ID = "_batch_id"
+FEW_TABLES = 32
 
 
 @dataclass(frozen=True)
@@ -83,7 +84,10 @@ def land_side(
     """Write the rows of one side; without known ``tables`` the rows tell, if there are any."""
     if tables == []:
         return
-    parts = {tables[0]: df} if tables and len(tables) == 1 else split_by_table(df)
+    if tables is not None and len(tables) == 1:
+        parts = {tables[0]: df}
+    else:
+        parts = split_by_table(df, few=tables is not None and len(tables) <= FEW_TABLES)
     for table, rows in parts.items():
         target = table if table is not None else default
         if target is None:
@@ -94,14 +98,16 @@ def land_side(
         write_table(rows.select(*[quoted(c) for c in columns]), sink, target, batch_id)
 
 
-def split_by_table(df: DataFrame) -> dict[str | None, DataFrame]:
+def split_by_table(df: DataFrame, few: bool) -> dict[str | None, DataFrame]:
     """Rows by destination, parsed once: staged in a folder per destination.
 
-    Spark's rebalancing cuts a destination that holds most rows over several tasks.
+    Every task writes a file per destination it has rows of. Where these may be many the
+    rows are rebalanced first: Spark then brings the rows of a destination together, and
+    cuts a destination that holds most of them over several tasks.
     """
     spark = session(df)
     stage = scratch(spark, "stage")
-    keyed = df.drop(META).hint("rebalance", TABLE)
+    keyed = df.drop(META) if few else df.drop(META).hint("rebalance", TABLE)
     keyed.write.partitionBy(TABLE).parquet(stage)
     known = T.StructType([f for f in df.schema.fields if f.name != META])
     staged = spark.read.schema(known).parquet(stage)

@@ -22,8 +22,8 @@ def read_avro(spark: SparkSession, patterns: list[str], folders: tuple[str, ...]
 
     ``folders`` names keys of ``key=value`` folders to read as columns.
     """
-    work = units(list_files(spark, patterns))
-    found = spread(work).mapInArrow(header_reader(), HEADER).distinct().collect()
+    work = spread(units(list_files(spark, patterns)))
+    found = work.mapInArrow(header_reader(), HEADER).distinct().collect()
     kinds: dict[str, T.DataType] = {}
     for row in sorted(found, key=lambda r: r["fields"]):
         for field in T.StructType.fromJson(json.loads(row["fields"])).fields:
@@ -32,7 +32,7 @@ def read_avro(spark: SparkSession, patterns: list[str], folders: tuple[str, ...]
                 raise ValueError(f"column {field.name} is {known} and {field.dataType}")
     fields = [T.StructField(f"c{i}", kind) for i, kind in enumerate(kinds.values())]
     fields += [T.StructField("path", T.StringType()), T.StructField("file_name", T.StringType())]
-    rows = spread(work).mapInArrow(row_reader(list(kinds), T.StructType(fields)), T.StructType(fields))
+    rows = work.mapInArrow(row_reader(list(kinds), T.StructType(fields)), T.StructType(fields))
     parts = [F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in folders]
     good = rows.select(
         *[F.col(f"c{i}").alias(name) for i, name in enumerate(kinds)],

@@ -173,10 +173,15 @@ def split_records(lines: Iterator[str], d: Dialect) -> Iterator[list[str] | None
     """Split records of any dialect; a cell may run over several lines, a comment is None."""
     special = [re.escape(c) for c in (d.sep, d.quote, d.escape, "\r\n", "\r", "\n") if c]
     token = re.compile("|".join(special))
+    marks = [c for c in (d.quote, d.escape) if c]
     for line in lines:
         if d.comment and line.startswith(d.comment):
             yield None
             continue
+        if not any(mark in line for mark in marks):
+            parts = line.rstrip("\r\n").split(d.sep)
+            yield [part.strip() for part in parts] if d.trim else parts
+            continue
         cells, cell, inside, was_quoted, at = [], "", False, False, 0
 
         def finish() -> str:

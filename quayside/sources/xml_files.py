@@ -11,6 +11,7 @@ import json
 from collections.abc import Iterable, Iterator
 from typing import BinaryIO
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,16 @@ from pyspark.sql import types as T
 
 from quayside.batch import META, TABLE, Batch, error_record, quoted
 from quayside.functions.names import Destination, decoded
-from quayside.operators.documents import parse_documents
+from quayside.operators.documents import BAD, fold_keys, parse_documents, union_keys
+from quayside.operators.documents import DOCUMENT as RECORDS
 from quayside.sources.files import existing, list_files
 from quayside.sources.json_lines import with_origin
 from quayside.sources.units import NONE, emitter, open_unit, spread, units
 
+KEYS = "key string, shape string, at int, file_name string, archive string"
 DOCUMENT = "value string, bad string, message string, file_name string, archive string"
 # Fixed value: the name of text next to child elements, as Spark's XML source calls it.
 MIXED_TEXT = "_VALUE"
-Path = tuple[str, ...]
 
 
 def read_xml(
@@ -41,16 +43,21 @@ def read_xml(
     row_tag: str | None = None,
 ) -> Batch:
     """Records of XML files; an element that repeats anywhere is an array everywhere."""
+    known = None
     if row_tag is not None:
         docs = tagged_records(spark, existing(spark, patterns), row_tag)
         archived = False
     else:
         skip, archived = tuple(skip), compression != NONE
         listed = list_files(spark, patterns, empty=not archived)
-        work = units(listed, compression, skip)
-        repeated = spread(work).mapInArrow(repeat_finder(skip), "path string").distinct()
-        arrays = frozenset(tuple(json.loads(r["path"])) for r in repeated.collect())
-        docs = spread(work).mapInArrow(record_reader(skip, arrays), DOCUMENT)
+        work = spread(units(listed, compression, skip))
+        if schema is None:
+            keys = with_origin(work.mapInArrow(key_finder(skip), KEYS), destination, archived)
+            known = fold_keys(keys, singles=True)
+            kinds = {k: kind for k, (_, kind) in union_keys(known[0], singles=True).items()}
+        else:
+            kinds = {f.name: f.dataType for f in schema.fields}
+        docs = work.mapInArrow(record_reader(skip, kinds), DOCUMENT)
     docs = with_origin(docs, destination, archived)
     routed = destination is not None
     parsed = parse_documents(
@@ -58,13 +65,16 @@ def read_xml(
         replacement=replacement,
         routed=routed,
         schema=schema,
+        known=known,
+        singles=True,
     )
     rejected = docs.filter(F.col("message").isNotNull()).select(
         *error_record(F.col("message"), F.col("bad"), F.col(TABLE), routed)
     )
-    return Batch(
-        parsed.good, rejected.unionByName(parsed.bad), parsed.layout, None, parsed.routed
-    )
+    bad = rejected.unionByName(parsed.bad)
+    if known is None:
+        return Batch(parsed.good, bad, parsed.layout, None, routed)
+    return Batch(parsed.good, bad, parsed.layout, parsed.bad_tables, routed)
 
 
 def tagged_records(spark: SparkSession, paths: list[str], row_tag: str) -> DataFrame:
@@ -92,7 +102,7 @@ def tagged_records(spark: SparkSession, paths: list[str], row_tag: str) -> DataF
     )
 
 
-def record_reader(skip: tuple[str, ...], arrays: frozenset[Path]):
+def record_reader(skip: tuple[str, ...], kinds: dict[str, T.DataType]):
     def rows(unit: dict) -> Iterator[tuple]:
         for file_name, stream in whole_entries(unit, skip):
             message = error_in(stream)
@@ -102,26 +112,42 @@ def record_reader(skip: tuple[str, ...], arrays: frozenset[Path]):
                 yield None, text, message, file_name, unit["archive"]
                 continue
             for element in elements(stream):
-                name = local(element.tag)
-                text = json.dumps(node(element, (name,), arrays), ensure_ascii=False)
+                value = node(element)
+                if isinstance(value, dict):
+                    value = {k: fitted(v, kinds.get(k)) for k, v in value.items()}
+                text = json.dumps(value, ensure_ascii=False)
                 yield text, None, None, file_name, unit["archive"]
 
     return emitter(rows, DOCUMENT)
 
 
-def repeat_finder(skip: tuple[str, ...]):
+def key_finder(skip: tuple[str, ...]):
+    """Per file: the keys of its records with their shapes, or that it has an error."""
+
     def rows(unit: dict) -> Iterator[tuple]:
-        found: set[Path] = set()
-        for _, stream in whole_entries(unit, skip):
-            try:
-                for element in elements(stream):
-                    found |= repeats(element, (local(element.tag),))
-            except ElementTree.ParseError:
+        for file_name, stream in whole_entries(unit, skip):
+            archive = unit["archive"]
+            if error_in(stream) is not None:
+                yield None, BAD, 0, file_name, archive
                 continue
-        for path in found:
-            yield (json.dumps(path),)
-
-    return emitter(rows, "path string")
+            stream.seek(0)
+            keys: dict[str, tuple[int, set[str]]] = {}
+            for element in elements(stream):
+                value = node(element)
+                if not isinstance(value, dict):
+                    yield None, BAD, 0, file_name, archive
+                    continue
+                for at, (key, cell) in enumerate(value.items()):
+                    first, shapes = keys.get(key) or keys.setdefault(key, (at, set()))
+                    shapes.add(shape_of(cell))
+                    if at < first:
+                        keys[key] = at, shapes
+            yield None, RECORDS, 0, file_name, archive
+            for key, (at, shapes) in keys.items():
+                for text in shapes:
+                    yield key, text, at, file_name, archive
+
+    return emitter(rows, KEYS)
 
 
 def whole_entries(unit: dict, skip: tuple[str, ...]) -> Iterator[tuple[str, BinaryIO]]:
@@ -133,9 +159,8 @@ def whole_entries(unit: dict, skip: tuple[str, ...]) -> Iterator[tuple[str, Bina
 
 def error_in(stream: BinaryIO) -> str | None:
     try:
-        for _ in elements(stream):
-            pass
-    except ElementTree.ParseError as e:
+        expat.ParserCreate().ParseFile(stream)
+    except expat.ExpatError as e:
         return f"not valid XML: {e}"
     return None
 
@@ -144,42 +169,69 @@ def elements(stream: BinaryIO) -> Iterator[ElementTree.Element]:
     """The children of the root, one at a time."""
     depth, root = 0, None
     for event, element in ElementTree.iterparse(stream, events=("start", "end")):
-        depth += 1 if event == "start" else -1
-        root = element if root is None else root
-        if event == "end" and depth == 1:
-            yield element
-            root.clear()
+        if event == "start":
+            depth += 1
+            root = element if root is None else root
+        else:
+            depth -= 1
+            if depth == 1:
+                yield element
+                root.clear()
 
 
 def local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
 
-def repeats(element: ElementTree.Element, path: Path) -> set[Path]:
-    found, seen = set(), set()
-    for child in element:
-        below = (*path, local(child.tag))
-        if below in seen:
-            found.add(below)
-        seen.add(below)
-        found |= repeats(child, below)
-    return found
-
+def node(element: ElementTree.Element):
+    """An element as a JSON value: text, or an object of attributes and children.
 
-def node(element: ElementTree.Element, path: Path, arrays: frozenset[Path]):
-    """An element as a JSON value: text, or an object of attributes and children."""
+    Children of one name are an array.
+    """
     text = element.text or ""
     if not len(element) and not element.attrib:
         return text
     value = {local(k): v for k, v in element.attrib.items()}
-    mixed = text + "".join(child.tail or "" for child in element)
-    if mixed.strip():
+    mixed = text + "".join([child.tail or "" for child in element])
+    if mixed and not mixed.isspace():
         value[MIXED_TEXT] = mixed
+    repeated: dict[str, list] = {}
     for child in element:
-        name = local(child.tag)
-        below = (*path, name)
-        if below in arrays:
-            value.setdefault(name, []).append(node(child, below, arrays))
+        name, below = local(child.tag), node(child)
+        if name in repeated:
+            repeated[name].append(below)
+        elif name in value:
+            value[name] = repeated[name] = [value[name], below]
         else:
-            value[name] = node(child, below, arrays)
+            value[name] = below
+    return value
+
+
+def shape_of(value) -> str:
+    """The shape of a value, as ``documents.shape`` writes it."""
+    if isinstance(value, dict):
+        inner = ", ".join(f"k: {s}" for s in sorted({shape_of(v) for v in value.values()}))
+        return f"OBJECT<{inner}>"
+    if isinstance(value, list):
+        shapes = sorted({shape_of(v) for v in value})
+        # Different elements count as fields, which merge to one type just the same.
+        return f"ARRAY<{shapes[0]}>" if len(shapes) == 1 else f"ARRAY<{mixed_shape(shapes)}>"
+    return "STRING"
+
+
+def mixed_shape(shapes: list[str]) -> str:
+    """One shape for elements of several: objects together, anything else as text."""
+    if all(s.startswith("OBJECT<") for s in shapes):
+        inner = ", ".join(s[len("OBJECT<") : -1] for s in shapes if s != "OBJECT<>")
+        return f"OBJECT<{inner}>"
+    return "STRING"
+
+
+def fitted(value, kind: T.DataType | None):
+    """A value where arrays are expected: a single one is an array of one."""
+    if isinstance(kind, T.ArrayType):
+        items = value if isinstance(value, list) else [value]
+        return [fitted(v, kind.elementType) for v in items]
+    if isinstance(kind, T.MapType) and isinstance(value, dict):
+        return {k: fitted(v, kind.valueType) for k, v in value.items()}
     return value
