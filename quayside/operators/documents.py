@@ -23,6 +23,7 @@ TEXT, UNSEEN = T.StringType(), T.NullType()
 PARSE_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 BAD, DOCUMENT = "BAD", "DOCUMENT"
 SHAPE_LIMIT = 200_000
+LONG_SCHEMA = 256
 
 
 def parse_documents(
@@ -142,7 +143,12 @@ def discover(docs: DataFrame) -> tuple[Fields, list]:
     entries = F.coalesce(F.concat(schemas, document), F.array(entry(no_key, F.lit(BAD))))
     # The outer form: for the other one Spark would add a filter that parses once more.
     exploded = docs.select(TABLE, F.posexplode_outer(entries).alias("at", "e"))
-    return fold_keys(exploded.select(TABLE, "at", "e.key", shape(F.col("e.shape")).alias("shape")))
+    # Equal schemas are reduced to one row each before their shape is worked out; long
+    # ones, which are seldom equal, the other way round.
+    text = F.col("e.shape")
+    text = F.when(F.length(text) > LONG_SCHEMA, shape(text)).otherwise(text)
+    schemas = exploded.groupBy(TABLE, "e.key", text.alias("text")).agg(F.min("at").alias("at"))
+    return fold_keys(schemas.select(TABLE, "at", "key", shape(F.col("text")).alias("shape")))
 
 
 def entry(key: Column, shape_text: Column) -> Column:

@@ -145,7 +145,8 @@ def t4_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_timestamp=LOADED,
         rename={"c_custkey": "customer", "missing": "never"},
     ).rows()
-    at = F.date_format("meta_load_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    at = F.to_utc_timestamp("meta_load_timestamp", F.current_timezone())
+    at = F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return shown.withColumn("meta_load_timestamp", at)
 
 

@@ -131,8 +131,8 @@ def plain_units(listed: DataFrame, d: Dialect) -> DataFrame:
     lines. Small files are not worth the look and compressed ones cannot be cut.
     """
     spark = listed.sparkSession
-    size = split_size(spark)
     files = listed.collect()
+    size = split_size(spark, sum(f["length"] for f in files))
     big = [f for f in files if f["length"] > size and not f["path"].lower().endswith(".gz")]
     cut = set()
     if big:

@@ -57,14 +57,21 @@ def spread(work: DataFrame) -> DataFrame:
     """Give every core its share of the units, in tasks of about one scan split each."""
     spark = work.sparkSession
     total = work.agg(F.sum("length")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, total // split_size(spark))
+    tasks = max(spark.sparkContext.defaultParallelism, total // split_size(spark, total))
     return work.repartition(min(tasks, MOST_TASKS))
 
 
-def split_size(spark: SparkSession) -> int:
-    """``spark.sql.files.maxPartitionBytes`` as a number."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
-    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text).groups()
+def split_size(spark: SparkSession, total: int) -> int:
+    """How much of ``total`` bytes a task should read; Spark's file scans choose the same."""
+    most, least = (
+        size_setting(spark.conf.get(f"spark.sql.files.{name}", default))
+        for name, default in (("maxPartitionBytes", "128m"), ("openCostInBytes", "4m"))
+    )
+    return min(most, max(least, total // spark.sparkContext.defaultParallelism))
+
+
+def size_setting(text: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text.strip().lower()).groups()
     return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
