@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,9 @@ class Batch:
     share the columns of ``good``. ``bad_tables`` lists the destinations that do hold
     rejected rows: ``[]`` says there are none (so no sink has to look), ``None`` says
     that nobody has counted yet. ``routed`` tells whether ``_table`` is set on rows.
+
+    Two destinations may have a column of one name and different types. Such a column is
+    there once per type; ``names`` gives the name that sinks have to write for it.
     """
 
     good: DataFrame
@@ -41,6 +44,10 @@ class Batch:
     layout: dict[str | None, list[str]] | None = None
     bad_tables: list[str | None] | None = None
     routed: bool = False
+    names: dict[str, str] = field(default_factory=dict)
+
+    def name(self, column: str) -> str:
+        return self.names.get(column, column)
 
     @property
     def columns(self) -> list[str]:

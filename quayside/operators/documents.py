@@ -56,6 +56,13 @@ def parse_documents(
     keys = union_keys(fields, singles)
     columns = plan_columns(keys, replacement)
     names = {key: name for name, spelt in columns.items() for key in spelt}
+    groups = {}
+    for name, spelt in columns.items():
+        kind = merge_all((keys[k][1] for k in spelt), singles)
+        groups[name] = by_kind({None: kind} if singles else kinds_of(fields, spelt))
+        if len(groups[name]) > 1:
+            # Destinations differ: parse the column as text, and that text once per type.
+            keys.update({k: (keys[k][0], TEXT) for k in spelt})
 
     corrupt = "_corrupt"
     while corrupt in keys:
@@ -68,7 +75,7 @@ def parse_documents(
     parsed = docs.withColumn("_doc", F.from_json("value", wanted, options))
     ok = F.col("_doc").getField(corrupt).isNull()
 
-    selected = []
+    selected, physical = [], {}
     for name, spelt in columns.items():
         kind = merge_all((keys[k][1] for k in spelt), singles)
         if len(spelt) == 1:
@@ -76,9 +83,18 @@ def parse_documents(
             present = F.array_contains(F.json_object_keys("value"), F.lit(spelt[0]))
         else:
             cell, present = last_of(spelt, kind)
-        if json_null == "text":
-            cell = null_as_text(cell, kind, present)
-        selected.append(clean_keys(cell, kind, replacement).alias(name))
+        for n, (own, tables) in enumerate(groups[name], start=1):
+            column = name if n == 1 else f"{name}:{n}"
+            physical[name, own.json()] = column
+            typed = cell
+            if own != kind:
+                asked = F.coalesce(F.col(TABLE).isin(*[t for t in tables if t]), F.lit(False))
+                if None in tables:
+                    asked = asked | F.col(TABLE).isNull()
+                typed = F.when(asked, F.from_json(cell, own, PARSE_OPTIONS))
+            if json_null == "text":
+                typed = null_as_text(typed, own, present)
+            selected.append(clean_keys(typed, own, replacement).alias(column))
     good = keep(parsed, ok).select(*selected, TABLE, META)
 
     message = F.lit("not a valid JSON object")
@@ -93,11 +109,37 @@ def parse_documents(
 
     layout = None
     if schema is None:
-        layout = {
-            table: ordered({names[k]: min_at(found, columns[names[k]]) for k in found})
-            for table, found in fields.items()
-        }
-    return Batch(good=good, bad=bad, layout=layout, bad_tables=bad_tables, routed=routed)
+        layout = {}
+        for table, found in fields.items():
+            own = ordered({names[k]: min_at(found, columns[names[k]]) for k in found})
+            layout[table] = [
+                column_for(name, table, fields, columns[name], physical) for name in own
+            ]
+    spread = {column: name for (name, _), column in physical.items() if column != name}
+    return Batch(good, bad, layout, bad_tables, routed, spread)
+
+
+def kinds_of(fields: Fields, spelt: list[str]) -> dict[str | None, T.DataType]:
+    """The type each destination has for a column."""
+    kinds = {}
+    for table, found in fields.items():
+        own = [found[k][1] for k in spelt if k in found]
+        if own:
+            kinds[table] = merge_all(own)
+    return kinds
+
+
+def by_kind(kinds: dict[str | None, T.DataType]) -> list[tuple[T.DataType, list[str | None]]]:
+    """The different types of a column with the destinations that have them, text first."""
+    groups: dict[str, tuple[T.DataType, list[str | None]]] = {}
+    for table in sorted(kinds, key=lambda t: t or ""):
+        groups.setdefault(kinds[table].json(), (kinds[table], []))[1].append(table)
+    return sorted(groups.values(), key=lambda group: (group[0] != TEXT, group[0].json()))
+
+
+def column_for(name, table, fields: Fields, spelt: list[str], physical: dict) -> str:
+    own = kinds_of({table: fields[table]}, spelt)[table]
+    return physical.get((name, own.json()), name)
 
 
 def union_keys(fields: Fields, singles: bool = False) -> dict[str, tuple[int, T.DataType]]:

@@ -45,6 +45,7 @@ def flatten(batch: Batch, max_columns: int = COLUMN_LIMIT) -> Batch:
     found, never_set = find_leaves(good, nested, kinds, max_columns)
 
     columns: list[tuple[str, Column]] = []
+    names: dict[str, str] = {}
     by_column: dict[str, list[Leaf]] = {}
     for leaf in sorted({x for leaves in found.values() for x in leaves}, key=order):
         by_column.setdefault(leaf.column, []).append(leaf)
@@ -57,8 +58,10 @@ def flatten(batch: Batch, max_columns: int = COLUMN_LIMIT) -> Batch:
             name = "_".join((column, *steps))
             columns.append((name, cell(quoted(column), kind, steps)))
             made.setdefault(column, []).append(name)
-    names = [name for name, _ in columns]
-    twice = sorted({n for n in names if names.count(n) > 1})
+            if column in batch.names:
+                names[name] = "_".join((batch.names[column], *steps))
+    made_names = [name for name, _ in columns]
+    twice = sorted({n for n in made_names if made_names.count(n) > 1})
     if twice:
         raise LandingError(f"flattened columns collide: {twice}")
     flat = good.select(*[c.alias(n) for n, c in columns], *HIDDEN)
@@ -74,7 +77,7 @@ def flatten(batch: Batch, max_columns: int = COLUMN_LIMIT) -> Batch:
                 for name in (made.get(column, []) if is_spread(column, nested, never_set) else [column])
                 if name in own or not is_spread(column, nested, never_set)
             ]
-    return replace(batch, good=flat, layout=layout)
+    return replace(batch, good=flat, layout=layout, names={**batch.names, **names})
 
 
 def is_spread(column: str, nested: list[str], never_set: set[str]) -> bool:

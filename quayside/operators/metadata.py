@@ -43,6 +43,8 @@ def inject_metadata(
     at = (load_timestamp or datetime.now(UTC)).astimezone(UTC)
     loaded = F.lit(at.strftime("%Y-%m-%dT%H:%M:%S.%fZ")).cast("timestamp")
 
+    names: dict[str, str] = {}
+
     def promote(df: DataFrame) -> DataFrame:
         values = {f: F.col(META).getField(f) for f in meta_fields(df)}
         values[load_timestamp_name] = loaded
@@ -52,13 +54,25 @@ def inject_metadata(
         return df.select(*front, *own, *HIDDEN)
 
     def renamed(column: str) -> str:
-        return (rename or {}).get(column, column)
+        return rename_one(batch, column, rename or {}, names)
 
     layout = None
     if batch.layout is not None:
         front = sorted([*meta_fields(batch.good), load_timestamp_name])
         layout = {t: [*front, *map(renamed, known)] for t, known in batch.layout.items()}
-    return replace(batch, good=promote(batch.good), bad=promote(batch.bad), layout=layout)
+    good, bad = promote(batch.good), promote(batch.bad)
+    return replace(batch, good=good, bad=bad, layout=layout, names=names)
+
+
+def rename_one(batch: Batch, column: str, rename: dict[str, str], names: dict[str, str]) -> str:
+    """The new name of a column; of one that is there once per type, all are renamed."""
+    known = batch.name(column)
+    wanted = rename.get(known, known)
+    if column not in batch.names:
+        return wanted
+    made = wanted + column[len(known) :] if column.startswith(known) else column
+    names[made] = wanted
+    return made
 
 
 def check_distinct(names: list[str]) -> None:
@@ -69,11 +83,12 @@ def check_distinct(names: list[str]) -> None:
 
 def rename_columns(batch: Batch, names: dict[str, str]) -> Batch:
     """Rename columns of good rows; the order stays, missing sources are ignored."""
-    columns = batch.columns
-    check_distinct([names.get(c, c) for c in columns])
-    good = batch.good.select(*[quoted(c).alias(names.get(c, c)) for c in columns], *HIDDEN)
-    layout = batch.layout and {t: [names.get(c, c) for c in k] for t, k in batch.layout.items()}
-    return replace(batch, good=good, layout=layout)
+    kept: dict[str, str] = {}
+    made = {c: rename_one(batch, c, names, kept) for c in batch.columns}
+    check_distinct(list(made.values()))
+    good = batch.good.select(*[quoted(c).alias(n) for c, n in made.items()], *HIDDEN)
+    layout = batch.layout and {t: [made[c] for c in known] for t, known in batch.layout.items()}
+    return replace(batch, good=good, layout=layout, names=kept)
 
 
 def add_meta(batch: Batch, values: Callable[[Column], dict[str, Column]]) -> Batch:

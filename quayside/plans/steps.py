@@ -12,6 +12,7 @@ from quayside.batch import Batch, LandingError, from_frame
 from quayside.functions.names import Destination
 from quayside.operators.flatten import flatten
 from quayside.operators.metadata import file_name_metadata, inject_metadata, read_lookup
+from quayside.operators.stage import stage
 from quayside.sinks.avro import AvroSink, land_avro
 from quayside.sinks.tables import TableSink, land_tables
 from quayside.sources.databases import read_jdbc
@@ -50,8 +51,8 @@ def run_steps(spark: SparkSession, steps: list[Step], options: JobOptions | None
     """
     options = options or JobOptions()
     batch, streamed, waiting = None, None, []
-    for step in steps:
-        kind = str(step["type"]).lower()
+    kinds = [str(step["type"]).lower() for step in steps]
+    for i, (kind, step) in enumerate(zip(kinds, steps, strict=True)):
         if kind in READERS:
             streamed, waiting = None, []
             if kind == "readpubsub" and step["source"].isStreaming:
@@ -68,6 +69,9 @@ def run_steps(spark: SparkSession, steps: list[Step], options: JobOptions | None
         elif kind in TRANSFORMS:
             batch = transform_with(spark, batch, step)
         else:
+            if kinds[i + 1 : i + 2] and kinds[i + 1] in WRITERS and kinds[i - 1] not in WRITERS:
+                # Several writes follow one read: parse once for all of them.
+                batch = stage(batch)
             write_with(batch, step, options, None)
     if streamed is not None:
         return start_stream(spark, streamed, waiting, options)

@@ -40,7 +40,10 @@ def land_avro(batch: Batch, sink: AvroSink, day: datetime | None = None) -> str:
     load_id = str(uuid.uuid4())
     date = (day or datetime.now(UTC)).strftime("%Y-%m-%d")
     tables = known_tables(batch)
-    write_avro(batch.good, batch.layout, tables, sink, sink.directory, date, load_id)
+    layout = batch.layout and {
+        t: [[c, batch.name(c)] for c in known] for t, known in batch.layout.items()
+    }
+    write_avro(batch.good, layout, tables, sink, sink.directory, date, load_id)
     if batch.bad_tables != []:
         default, tables = sink.directory + sink.error_suffix, batch.bad_tables
         if not batch.routed:
@@ -95,6 +98,11 @@ class AvroDirectory(DataSource):
         return AvroDirectoryWriter(dict(self.options))
 
 
+def columns_of(layouts: dict, table: str, kinds: dict) -> list[tuple[str, str]]:
+    """The columns of a destination, as they are called here and in its files."""
+    return [(c, n) for c, n in layouts.get(table) or [(c, c) for c in kinds]]
+
+
 def by_table(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
     tables = batch.column(TABLE)
     for table in tables.unique().to_pylist():
@@ -124,8 +132,9 @@ class AvroDirectoryWriter(DataSourceArrowWriter):
             for table, rows in by_table(batch):
                 writer = opened.get(table)
                 if writer is None:
-                    names = layouts.get(table, list(kinds))
-                    schema = record_type(T.StructType([kinds[n] for n in names]), "row")
+                    columns = columns_of(layouts, table, kinds)
+                    fields = [T.StructField(n, kinds[c].dataType) for c, n in columns]
+                    schema = record_type(T.StructType(fields), "row")
                     folder = f"table={table}/meta_load_date={o['date']}"
                     final = f"{root}/{folder}/{shard}-{o['load_id']}{o['suffix']}"
                     staged = f"{root}/{STAGE}/{o['load_id']}/{attempt}/{folder}/{shard}"
@@ -134,7 +143,9 @@ class AvroDirectoryWriter(DataSourceArrowWriter):
                     stream = filesystem.open_output_stream(staged, compression=None)
                     writer = ContainerWriter(stream, schema)
                     opened[table] = writer
-                writer.append(rows)
+                columns = columns_of(layouts, table, kinds)
+                rows = rows.select([c for c, _ in columns])
+                writer.append(rows.rename_columns([n for _, n in columns]))
         for writer in opened.values():
             writer.close()
         return Written(files)

@@ -62,7 +62,8 @@ def land_tables(batch: Batch, sink: TableSink, batch_id: str | None = None) -> N
     With a ``batch_id`` the rows are stored under that id and take the place of rows an
     earlier attempt stored under it, so that a replayed micro-batch does not repeat rows.
     """
-    land_side(batch.good, batch.layout, known_tables(batch), sink, sink.table, batch_id)
+    good = batch.good, batch.layout, known_tables(batch)
+    land_side(*good, sink, sink.table, batch_id, batch.names)
     default = None if sink.table is None else sink.table + sink.error_suffix
     land_side(batch.bad, None, batch.bad_tables, sink, default, batch_id)
 
@@ -80,6 +81,7 @@ def land_side(
     sink: TableSink,
     default: str | None,
     batch_id: str | None,
+    names: dict[str, str] | None = None,
 ) -> None:
     """Write the rows of one side; without known ``tables`` the rows tell, if there are any."""
     if tables == []:
@@ -92,10 +94,11 @@ def land_side(
         target = table if table is not None else default
         if target is None:
             raise LandingError("no table is configured, and rows do not ask for one")
-        columns = visible(rows)
+        columns = {c: c for c in visible(rows)}
         if layout is not None and table in layout:
-            columns = layout[table]
-        write_table(rows.select(*[quoted(c) for c in columns]), sink, target, batch_id)
+            columns = {c: (names or {}).get(c, c) for c in layout[table]}
+        named = rows.select(*[quoted(c).alias(name) for c, name in columns.items()])
+        write_table(named, sink, target, batch_id)
 
 
 def split_by_table(df: DataFrame, few: bool) -> dict[str | None, DataFrame]:

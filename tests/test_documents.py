@@ -149,6 +149,42 @@ def test_layout_per_destination(spark):
     assert {r["_table"] for r in batch.bad.collect()} == {"t2_error"}
 
 
+def test_destinations_may_differ_in_the_type_of_a_column(spark, dataset, tmp_path):
+    from quayside.operators.metadata import inject_metadata, rename_columns
+    from quayside.operators.stage import stage
+    from quayside.sinks.avro import AvroSink, land_avro
+    from quayside.sinks.tables import TableSink, land_tables
+    from quayside.sources.avro_files import read_avro
+
+    rows = [
+        ('{"x":{"k":[1,2]},"A":1}', "m"), ('{"x":{"k":[3]}}', "m"), ('{"x":"text"}', "t"),
+        ('{"x":{"k":"v"}}', "n"), ('{"x":[1]}', None), ('{"x":[{"y":2.50}]}', "d"), ('{"x":5}', "t"),
+    ]
+    df = spark.createDataFrame(
+        [(v, t, ("f",)) for v, t in rows], "value string, _table string, _meta struct<f:string>"
+    )
+    batch = parse_documents(df, routed=True)
+    land_tables(batch, TableSink(dataset, "rest"))
+    landed = {t: spark.table(f"{dataset}.{t}") for t in ("m", "n", "t", "d", "rest")}
+    assert {t: df.schema["x"].dataType.simpleString() for t, df in landed.items()} == {
+        "m": "map<string,array<string>>", "t": "string", "d": "array<map<string,string>>",
+        "rest": "array<string>", "n": "map<string,string>",
+    }
+    assert tuples(landed["m"]) == sorted([({"k": ["1", "2"]}, "1"), ({"k": ["3"]}, None)], key=repr)
+    assert tuples(landed["n"]) == [({"k": "v"},)]
+    assert tuples(landed["t"]) == [("5",), ("text",)]
+    assert tuples(landed["d"]) == [([{"y": "2.5"}],)]
+    assert tuples(landed["rest"]) == [(["1"],)]
+
+    flat = rename_columns(inject_metadata(stage(flatten(batch)), rename={"x": "z"}), {"a": "aa"})
+    land_avro(flat, AvroSink(str(tmp_path)))
+    columns = {
+        t: set(read_avro(spark, [f"{tmp_path}/table={t}/*/*.avro"]).columns) - {"f", "meta_load_timestamp"}
+        for t in ("m", "t", "d", "default")
+    }
+    assert columns == {"m": {"x_k_1", "x_k_2", "aa"}, "t": {"z"}, "d": {"x_1_y"}, "default": {"x_1"}}
+
+
 def test_document_export(spark):
     batch = documents(spark, ['{"_id":{"$oid":"5f"},"n":{"$numberLong":"12"}}'])
     assert batch.rows().first().asDict() == {"id": {"oid": "5f"}, "n": {"numberlong": "12"}}
