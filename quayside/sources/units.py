@@ -213,7 +213,7 @@ def emitter(rows: Callable[[dict], Iterator[tuple]], schema: str | StructType) -
             for unit in batch.to_pylist():
                 for row in rows(unit):
                     held.append(row)
-                    size += sum(len(v) for v in row if isinstance(v, str)) + 64
+                    size += sum([len(v) for v in row if type(v) is str]) + 64
                     if len(held) >= 10_000 or size > 1 << 23:
                         yield to_batch(held, target)
                         held, size = [], 0

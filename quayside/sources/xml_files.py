@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import json
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from typing import BinaryIO
 from xml.etree import ElementTree
 from xml.parsers import expat
@@ -103,6 +104,9 @@ def tagged_records(spark: SparkSession, paths: list[str], row_tag: str) -> DataF
 
 
 def record_reader(skip: tuple[str, ...], kinds: dict[str, T.DataType]):
+    nested = {k: kind for k, kind in kinds.items() if kind != T.StringType()}
+    dump = json.JSONEncoder(ensure_ascii=False).encode
+
     def rows(unit: dict) -> Iterator[tuple]:
         for file_name, stream in whole_entries(unit, skip):
             message = error_in(stream)
@@ -114,9 +118,9 @@ def record_reader(skip: tuple[str, ...], kinds: dict[str, T.DataType]):
             for element in elements(stream):
                 value = node(element)
                 if isinstance(value, dict):
-                    value = {k: fitted(v, kinds.get(k)) for k, v in value.items()}
-                text = json.dumps(value, ensure_ascii=False)
-                yield text, None, None, file_name, unit["archive"]
+                    for key in nested.keys() & value.keys():
+                        value[key] = fitted(value[key], nested[key])
+                yield dump(value), None, None, file_name, unit["archive"]
 
     return emitter(rows, DOCUMENT)
 
@@ -139,7 +143,7 @@ def key_finder(skip: tuple[str, ...]):
                     continue
                 for at, (key, cell) in enumerate(value.items()):
                     first, shapes = keys.get(key) or keys.setdefault(key, (at, set()))
-                    shapes.add(shape_of(cell))
+                    shapes.add("STRING" if type(cell) is str else shape_of(cell))
                     if at < first:
                         keys[key] = at, shapes
             yield None, RECORDS, 0, file_name, archive
@@ -179,6 +183,7 @@ def elements(stream: BinaryIO) -> Iterator[ElementTree.Element]:
                 root.clear()
 
 
+@lru_cache(maxsize=4096)
 def local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
@@ -188,22 +193,23 @@ def node(element: ElementTree.Element):
 
     Children of one name are an array.
     """
-    text = element.text or ""
-    if not len(element) and not element.attrib:
+    children, text = list(element), element.text or ""
+    if not children and not element.attrib:
         return text
     value = {local(k): v for k, v in element.attrib.items()}
-    mixed = text + "".join([child.tail or "" for child in element])
+    mixed = text + "".join([child.tail for child in children if child.tail])
     if mixed and not mixed.isspace():
         value[MIXED_TEXT] = mixed
     repeated: dict[str, list] = {}
-    for child in element:
-        name, below = local(child.tag), node(child)
-        if name in repeated:
+    for child in children:
+        name = local(child.tag)
+        below = node(child) if len(child) or child.attrib else child.text or ""
+        if name not in value:
+            value[name] = below
+        elif name in repeated:
             repeated[name].append(below)
-        elif name in value:
-            value[name] = repeated[name] = [value[name], below]
         else:
-            value[name] = below
+            value[name] = repeated[name] = [value[name], below]
     return value
 
 
