@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import documents
+from quayside.llm.common import TEXT_HASH, documents, keyed
 from quayside.llm.decontaminate import contaminated_words
 from quayside.llm.line_dedup import dedup_lines
+from quayside.llm.minhash import near_duplicates
 from quayside.llm.mixing import mix_sources, taken
 from quayside.llm.sharding import shard_manifest
+from quayside.llm.suffix_array import cut_repeated_strings
+from quayside.llm.suffix_trees import cut_repeated_sequences, words_digest
+from quayside.llm.windows import KEY
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +32,41 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_suffix_array")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    cut = cut_repeated_strings(docs).select(
+        *KEY, "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("cut_sha256")
+    )
+    whole = keyed(docs).select(
+        *KEY, "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")
+    )
+    return whole.join(cut, KEY, "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce("cut_sha256", "sha256").alias("kept_sha256"),
+    )
+
+
+@query("op3_suffix_trees")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    cut = cut_repeated_sequences(docs).select(*KEY, "n_removed", F.sha2("kept_text", 256).alias("cut_sha256"))
+    return words_digest(docs).join(cut, KEY, "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("cut_sha256", "joined_sha256").alias("kept_sha256"),
+    )
+
+
+@query("op6_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).drop(TEXT_HASH)
+
+
 @query("op4_rendezvous_sharding")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_manifest(documents(spark, sf_dir), [1.0] * 8).select(
