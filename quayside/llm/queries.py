@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import TEXT_HASH, documents, keyed
+from quayside.llm.common import TEXT_HASH, documents, keyed, remainder
 from quayside.llm.decontaminate import contaminated_words
+from quayside.llm.language_id import learn_profiles, predict
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.minhash import near_duplicates
 from quayside.llm.mixing import mix_sources, taken
+from quayside.llm.outliers import judge_documents
+from quayside.llm.rule_ensemble import RuleParameters, fit, labelled, score_column, with_statistics
 from quayside.llm.sharding import shard_manifest
 from quayside.llm.suffix_array import cut_repeated_strings
 from quayside.llm.suffix_trees import cut_repeated_sequences, words_digest
 from quayside.llm.windows import KEY
+from quayside.scratch import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +36,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_rule_ensemble")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = Workspace(spark, "rules").table(with_statistics(documents(spark, sf_dir)), "statistics")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    p = RuleParameters()
+    score = score_column(fit(labelled(scored, labels, ~held_out, p), p))
+    return scored.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
 @query("op2_suffix_array")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -79,6 +95,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(mix_sources(documents(spark, sf_dir)))
 
 
+@query("op7_rank_order_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", held_out.alias("held_out"))
+    profiles = learn_profiles(docs.where(~F.col("held_out")))
+    return predict(docs.drop("lang"), profiles).drop("text")
+
+
 @query(
     "op8_decontamination",
     r"""
@@ -129,6 +153,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_covariance_outliers")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(documents(spark, sf_dir)).drop("distance")
+
+
 @query(
     "op10_line_dedup",
     r"""
