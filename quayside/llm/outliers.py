@@ -31,16 +31,17 @@ class Outliers:
     the smallest standard deviations of the transformed statistics: most documents have no
     symbols or repeats at all, whose variance would be 0. ``weight_cut`` and ``cut`` are squared
     distances: the 0.975 quantile of chi-square with 5 degrees of freedom for the reweighting
-    step, and a far larger one beyond which a document is rejected. ``median`` is its median.
+    step, and ten standard deviations, beyond which a document is rejected. ``median`` is its
+    median.
     """
 
     half: float = 0.75
     least: int = 50
     steps: int = 10
-    floors: tuple[float, ...] = (0.3, 0.1, 0.25, 0.25, 0.25)
+    floors: tuple[float, ...] = (0.3, 0.1, 0.25, 0.5, 0.5)
     median: float = 4.351
     weight_cut: float = 12.833
-    cut: float = 60.0
+    cut: float = 100.0
     min_words: int = 50
     max_repeat_percent: int = 50
 
