@@ -7,8 +7,12 @@ again. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quayside.llm.common import remainder
 from quayside.llm.decontaminate import clean_documents
+from quayside.llm.language_id import UNDETERMINED, learn_profiles, predict
+from quayside.llm.minhash import distinct_documents
 from quayside.llm.mixing import mixed_documents
 from quayside.llm.sharding import assign_shards
 from quayside.scratch import Workspace
@@ -16,6 +20,25 @@ from quayside.scratch import Workspace
 SHARDS = 8
 
 
+#: A text whose nearest profile is farther than this is in none of the languages.
+LEAST_SCORE = 0.2
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages learned from these documents; a missing ``lang`` is filled in.
+
+    Texts without letters, and texts whose score is below ``LEAST_SCORE``, go.
+    """
+    profiles = learn_profiles(docs.where(remainder(F.col("doc_id"), 4) != 2))
+    told = predict(docs, profiles).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that of the smallest id."""
+    return distinct_documents(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -31,9 +54,15 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return assign_shards(docs, [1.0] * SHARDS)
 
 
-STAGES = [("decontaminate", decontaminate), ("mix", mix), ("shard", shard)]
+STAGES = [
+    ("language", language),
+    ("dedup", dedup),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+    ("shard", shard),
+]
 
-#: The mixture's permutations and the model stages have no SQL.
+#: Language profiles, MinHash components and the permutations of the mixture have no SQL.
 ORACLE_SQL = None
 
 

@@ -219,6 +219,25 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     )
 
 
+def distinct_documents(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near copies, the row with the smallest ``doc_id``.
+
+    Of rows that share that id one stays, whichever text it has. Rows without a ``doc_id`` stay.
+    """
+    work = Workspace(docs.sparkSession, "distinct")
+    found = near_duplicates(docs, p).where("kept and doc_id is not null")
+    first = found.groupBy(F.col("doc_id").alias(ID), TEXT_HASH).agg(F.count("*").alias("n"))
+    first = first.groupBy(ID).agg(F.min(F.struct(TEXT_HASH, "n")).alias("first")).select(ID, "first.*")
+    first = work.table(first, "first")
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    own = docs.withColumns({ID: F.col("doc_id").cast("long"), TEXT_HASH: text})
+    stay = own.join(first, [ID, TEXT_HASH])
+    if not first.where("n > 1").isEmpty():
+        # only rows that repeat an id and a text are grouped with their texts
+        stay = stay.where("n = 1").unionByName(stay.where("n > 1").dropDuplicates([ID, TEXT_HASH]))
+    return stay.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
     """Links between representatives, enough of them to give all components."""
     spark = buckets.sparkSession

@@ -27,7 +27,8 @@ class Outliers:
     """Parameters.
 
     ``half`` is the share of a group's rows that the estimate fits (the h of the method);
-    a group of fewer than ``least`` rows has no estimate and rejects nothing. ``floors`` are
+    sources of fewer than ``least`` rows are one group by language, and where that is smaller
+    it has no estimate and rejects nothing. ``floors`` are
     the smallest standard deviations of the transformed statistics: most documents have no
     symbols or repeats at all, whose variance would be 0. ``weight_cut`` and ``cut`` are squared
     distances: the 0.975 quantile of chi-square with 5 degrees of freedom for the reweighting
@@ -250,13 +251,22 @@ def _nearest(rows: DataFrame, estimate: DataFrame, share: float) -> DataFrame:
     return far.join(cuts, GROUP).where("own <= bin").select(*GROUP, *X)
 
 
+def _pooled(rows: DataFrame, work: Workspace, p: Outliers) -> DataFrame:
+    """The rows with the sources of a language that are too small for an estimate as one group."""
+    sizes = rows.where("not base_failed").groupBy(*GROUP).agg(F.count("*").alias("n"))
+    large = work.table(sizes.where(F.col("n") >= p.least).select(*GROUP, F.lit(True).alias("large")), "large")
+    return rows.join(large, GROUP, "left").withColumn(
+        "_source", F.when(F.col("large"), F.col("_source")).otherwise(F.lit("small"))
+    )
+
+
 def judge_documents(docs: DataFrame, p: Outliers = Outliers()) -> DataFrame:
     """One row per document: ``doc_id``, the five statistics, ``base_failed``, ``distance``, ``kept``.
 
     A document fails the base rules with fewer than ``min_words`` words, or if more than
     ``max_repeat_percent`` % of its words are in repeated windows of three. The others are
     vectors; each language and source, NULL among them, has a robust estimate of where its
-    vectors lie, and a document farther from it than ``cut`` is rejected. ``distance`` is the
+    vectors lie (small sources of a language have one together), and a document farther from it than ``cut`` is rejected. ``distance`` is the
     squared Mahalanobis distance, NULL for failed documents and in groups that are too small,
     whose documents are kept.
 
@@ -273,7 +283,7 @@ def judge_documents(docs: DataFrame, p: Outliers = Outliers()) -> DataFrame:
     ]
     judged = work.table(statistics(docs).select("doc_id", *named, *STATISTICS, failed.alias("base_failed")), "statistics")
     vectors = [F.when(~F.col("base_failed"), x).alias(name) for x, name in zip(transformed(), X, strict=True)]
-    judged = judged.select("*", *vectors)
+    judged = _pooled(judged, work, p).select("*", *vectors)
     final = estimates(judged.where("not base_failed").select(*GROUP, *X), work, p)
     out = judged.join(final, GROUP, "left").withColumn("distance", F.when(~F.col("base_failed") & F.col("mean0").isNotNull(), _distance()))
     return out.select(
