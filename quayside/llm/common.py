@@ -43,6 +43,15 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_text_hash`` and ``_row``, the row as it is: its column names clash with nothing."""
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(ID),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias(TEXT_HASH),
+        F.struct(*docs.columns).alias("_row"),
+    )
+
+
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ID, NO_ID, TEXT_HASH, ascii_lower, keyed
+from quayside.llm.common import ID, NO_ID, TEXT_HASH, ascii_lower, keyed, whole_rows
 from quayside.scratch import Workspace
 
 SEPARATOR = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -117,9 +117,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Da
     """The rows of ``docs`` in which no window of a benchmark item occurs, as they are."""
     hit = contaminated_words(docs, benchmark, size).where("contaminated")
     hit = hit.select(F.coalesce("doc_id", F.lit(NO_ID)).alias(ID), TEXT_HASH).distinct()
-    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    own = docs.withColumns({ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), TEXT_HASH: text})
-    return own.join(hit, [ID, TEXT_HASH], "left_anti").select(*docs.columns)
+    return whole_rows(docs).join(hit, [ID, TEXT_HASH], "left_anti").select("_row.*")
 
 
 def _no_hits() -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.buffers import Words, array_column, document_runs, mixed, text_buffer
-from quayside.llm.common import ID, NO_ID, TEXT_HASH, keyed
+from quayside.llm.common import ID, NO_ID, TEXT_HASH, keyed, whole_rows
 from quayside.llm.components import connected
 from quayside.scratch import Workspace
 
@@ -229,13 +229,12 @@ def distinct_documents(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     first = found.groupBy(F.col("doc_id").alias(ID), TEXT_HASH).agg(F.count("*").alias("n"))
     first = first.groupBy(ID).agg(F.min(F.struct(TEXT_HASH, "n")).alias("first")).select(ID, "first.*")
     first = work.table(first, "first")
-    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    own = docs.withColumns({ID: F.col("doc_id").cast("long"), TEXT_HASH: text})
+    own = whole_rows(docs)
     stay = own.join(first, [ID, TEXT_HASH])
     if not first.where("n > 1").isEmpty():
         # only rows that repeat an id and a text are grouped with their texts
         stay = stay.where("n = 1").unionByName(stay.where("n > 1").dropDuplicates([ID, TEXT_HASH]))
-    return stay.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return stay.select("_row").unionByName(own.where(F.col(ID) == NO_ID).select("_row")).select("_row.*")
 
 
 def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ID, NO_ID, TEXT_HASH, WORD
+from quayside.llm.common import ID, NO_ID, TEXT_HASH, WORD, whole_rows
 from quayside.llm.ranges import end_to_end
 
 #: Up to so many sources are sent to all executors; more are joined by a shuffle.
@@ -241,32 +241,27 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     per_turn = (
         turns.groupBy(*ROW, "turn")
         .agg(words.alias("_runs"), F.sum("n_words").alias("_taken"))
-        .join(mixed.rows, ROW)
+        .join(mixed.rows.where("size > 0"), ROW)
         .select(
-            F.coalesce("doc_id", F.lit(NO_ID)).alias(ID), TEXT_HASH, "identity", "_runs",
+            F.coalesce("doc_id", F.lit(NO_ID)).alias(ID),
+            TEXT_HASH,
+            F.col("identity").alias("_identity"),
+            "_runs",
             (F.col("_taken") == F.col("size")).alias("_whole"),
         )
     )
-    keyed = docs.withColumns(
-        {
-            ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-            TEXT_HASH: F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
-            "identity": row,
-        }
-    ).dropDuplicates([ID, TEXT_HASH, "identity"])
-    cells = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    some = F.array_join(
-        F.flatten(
-            F.transform("_runs", lambda r: F.slice(F.col("_words"), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))
-        ),
-        " ",
+    own = whole_rows(docs).withColumn("_identity", F.xxhash64(*[f"_row.{c}" for c in columns if c != "text"]))
+    joined = own.dropDuplicates([ID, TEXT_HASH, "_identity"]).join(per_turn, [ID, TEXT_HASH, "_identity"])
+    words = F.regexp_extract_all("_row.text", F.lit(f"({WORD})"), F.lit(1))
+    joined = joined.withColumn("_words", F.when(~F.col("_whole"), words))
+    run = F.transform(
+        "_runs",
+        lambda r: F.slice(F.col("_words"), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")),
     )
-    text = F.when(F.col("_whole"), F.col("text")).otherwise(some)
-    out = (
-        keyed.join(per_turn, [ID, TEXT_HASH, "identity"])
-        .withColumn("_words", F.when(~F.col("_whole"), cells))
-        .withColumn("text", text)
+    joined = joined.withColumn(
+        "_text", F.when(F.col("_whole"), F.col("_row.text")).otherwise(F.array_join(F.flatten(run), " "))
     )
+    new = {"text": F.col("_text")}
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new.get(c, F.col(f"_row.{c}")).alias(c) for c in columns])
