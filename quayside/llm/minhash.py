@@ -17,6 +17,9 @@ from quayside.scratch import Workspace
 
 U = np.uint64
 
+#: Members of a bucket that are compared with all others in the first of the later rounds.
+TURNS = 16
+
 
 @dataclass(frozen=True)
 class NearDup:
@@ -168,11 +171,12 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     rows; other columns are ignored.
 
     Documents with equal sets become one representative first, so copies are never paired.
-    Representatives that share a band meet in its bucket. A bucket is worked on in rounds: the
-    members of other components are compared with a few leaders, then four times as many, and
-    so on until each has been a leader or all members are in one component. So a large group
-    of near copies costs a few comparisons a member, and a bucket of documents that are not
-    alike is still compared in full. Links are confirmed on the full sets.
+    Representatives that share a band meet in its bucket. A bucket is worked on in rounds, see
+    ``_links``: all members with one leader, then members outside the largest component with
+    those of other components, until no two that are in different components have not been
+    compared. So a large group of near copies costs a few comparisons a member, and a bucket
+    of documents that are not alike is still compared in full. Links are confirmed on the full
+    sets.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near-duplicates")
@@ -194,7 +198,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
         .distinct()
     )
     buckets = work.table(buckets, "buckets")
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     buckets = work.table(buckets.join(shared, "bucket"), "shared")
     work.drop("buckets")
 
@@ -238,50 +242,61 @@ def distinct_documents(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
 
 def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
-    """Links between representatives, enough of them to give all components."""
+    """Links between representatives, enough of them to give all components.
+
+    Round 0 compares each node with the smallest leader of its buckets, round 1 each bucket's
+    members with its leader. Later rounds look at buckets that still hold several components:
+    each member outside the bucket's largest one is compared with the members of the other
+    components. Where these are many they take turns: about ``TURNS`` of a bucket first, then
+    the square of that, and so on.
+    """
     spark = buckets.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
-    # a member's turn to lead: the first comes for a share of 1/n of a bucket, then 4/n, ...
-    chance = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / float(1 << 30)
-    open_buckets = buckets.withColumn("chance", chance).withColumn("component", F.col("node"))
-    round_, leaders = 0, 1
+    turn = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / float(1 << 30)
+    rows = buckets.select("bucket", "node", F.col("node").alias("component"))
+    round_, most = 0, TURNS
     while True:
-        several = open_buckets.groupBy("bucket").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.min("node").alias("leader")
+        sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
+        several = sizes.groupBy("bucket").agg(
+            F.max(F.struct("n", "component")).getField("component").alias("main"),
+            F.sum("n").alias("n"),
+            F.max("n").alias("n_main"),
+            F.min("leader").alias("leader"),
+            F.count("*").alias("components"),
+        )
+        several = several.where("components > 1").select(
+            "bucket", "main", "leader", (F.col("n") - F.col("n_main")).alias("outside")
         )
-        several = several.where("least < most").select("bucket", "leader")
-        open_buckets = work.table(open_buckets.join(several, "bucket"), f"open-{round_}")
-        most = open_buckets.agg(F.max("n")).first()[0]
-        if most is None:
+        rows = work.table(rows.join(several, "bucket"), f"open-{round_}")
+        outside = rows.agg(F.max("outside")).first()[0]
+        if outside is None:
             break
         if round_ == 0:
-            pairs = open_buckets.where("node <> leader").groupBy(F.col("node")).agg(F.min("leader").alias("leader"))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+            pairs = rows.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b"))
+        elif round_ == 1:
+            pairs = rows.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         else:
-            lead = open_buckets.where(
-                (F.col("chance") * F.col("n") < leaders) | (F.col("node") == F.col("leader"))
-            ).select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = (
-                open_buckets.select("bucket", F.col("node").alias("a"), "component")
-                .join(lead, "bucket")
-                .where("component <> other")
-                .select("a", "b")
-            )
+            lead = rows.where((F.col("component") != F.col("main")) & (turn * F.col("outside") < most))
+            lead = lead.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
+            pairs = rows.select("bucket", F.col("node").alias("a"), "component").join(lead, "bucket")
+            pairs = pairs.where("component <> other").select("a", "b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if round_:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         judged = work.table(_judged(pairs, sets, p), f"judged-{round_}")
         tested = tested.unionByName(judged.select("a", "b"))
         links = links.unionByName(judged.where("linked").select("a", "b"))
-        if round_ and leaders >= most:
+        if round_ > 1 and most >= outside:
             break
         found = connected(links, work, f"round-{round_}")
-        open_buckets = (
-            open_buckets.drop("component", "leader")
+        rows = (
+            rows.select("bucket", "node")
             .join(found, "node", "left")
-            .withColumn("component", F.coalesce("component", F.col("node")))
+            .select("bucket", "node", F.coalesce("component", F.col("node")).alias("component"))
         )
-        round_, leaders = round_ + 1, leaders * (4 if round_ else 1)
+        most = most if round_ < 2 else most * most
+        round_ += 1
     return links
 
 
