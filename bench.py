@@ -24,7 +24,7 @@ from quayside.operators.metadata import inject_metadata
 from quayside.operators.routing import route
 from quayside.plans.fixtures import archives, csv_line, new_dataset, one_file_per_row, table, text_files
 from quayside.scratch import scratch
-from quayside.sinks.avro import AvroSink, land_avro
+from quayside.sinks.files import FileSink, land_files
 from quayside.sinks.tables import TableSink, land_tables
 from quayside.sources.delimited import read_delimited
 from quayside.sources.dialects import dialect
@@ -110,7 +110,7 @@ def cases(spark: SparkSession) -> dict:
         "w4_partition": lambda: land(
             rows, TableSink(new_dataset(spark, "bench"), "t", partition_by=("l_shipdate", "MONTH"))
         ),
-        "w10_avro": lambda: land_avro(rows, AvroSink(scratch(spark, "bench_avro"))) and None,
+        "w10_avro": lambda: land_files(rows, FileSink(scratch(spark, "bench_avro"), format="parquet")) and None,
     }
 
 

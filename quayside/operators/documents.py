@@ -7,10 +7,11 @@ with the schema it found. Both stay in the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,6 @@ Fields = dict[str | None, dict[str, tuple[int, T.DataType]]]
 TEXT, UNSEEN = T.StringType(), T.NullType()
 PARSE_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 BAD, DOCUMENT = "BAD", "DOCUMENT"
-SHAPE_LIMIT = 200_000
 LONG_SCHEMA = 256
 
 
@@ -65,7 +65,7 @@ def parse_documents(
             keys.update({k: (keys[k][0], TEXT) for k in spelt})
 
     corrupt = "_corrupt"
-    while corrupt in keys:
+    while corrupt in {k.lower() for k in keys}:
         corrupt += "_"
     spelt_once = [k for spelt in columns.values() if len(spelt) == 1 for k in spelt]
     wanted = T.StructType(
@@ -190,7 +190,24 @@ def discover(docs: DataFrame) -> tuple[Fields, list]:
     text = F.col("e.shape")
     text = F.when(F.length(text) > LONG_SCHEMA, shape(text)).otherwise(text)
     schemas = exploded.groupBy(TABLE, "e.key", text.alias("text")).agg(F.min("at").alias("at"))
-    return fold_keys(schemas.select(TABLE, "at", "key", shape(F.col("text")).alias("shape")))
+    shapes = schemas.select(TABLE, "at", "key", shape(F.col("text")).alias("shape"))
+    # The parse that makes the cells takes documents with repeated keys, so this one has to.
+    with setting(docs.sparkSession, "spark.sql.variant.allowDuplicateKeys", "true"):
+        return fold_keys(shapes)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting that holds for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def entry(key: Column, shape_text: Column) -> Column:
@@ -203,14 +220,7 @@ def fold_keys(found: DataFrame, singles: bool = False) -> tuple[Fields, list]:
     The aggregation leaves one row per key and shape, few enough for the driver. With
     ``singles`` a value next to arrays of such values counts as an array of one.
     """
-    rows = (
-        found.groupBy(TABLE, "key", "shape")
-        .agg(F.min("at").alias("at"))
-        .limit(SHAPE_LIMIT + 1)
-        .collect()
-    )
-    if len(rows) > SHAPE_LIMIT:
-        raise LandingError("documents have too many distinct keys to become columns; give a schema")
+    rows = found.groupBy(TABLE, "key", "shape").agg(F.min("at").alias("at")).collect()
     tables: Fields = {}
     bad_tables = []
     for row in sorted(rows, key=lambda r: (r[TABLE] or "", r["key"] or "")):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.batch import HIDDEN, TABLE, Batch, LandingError, quoted, visible
+from quayside.scratch import Workspace
 
 COLUMN_LIMIT = 10_000
 # A leaf below a container: its steps (map keys and 1-based indexes), and how many columns
@@ -61,7 +63,7 @@ def flatten(batch: Batch, max_columns: int = COLUMN_LIMIT) -> Batch:
             if column in batch.names:
                 names[name] = "_".join((batch.names[column], *steps))
     made_names = [name for name, _ in columns]
-    twice = sorted({n for n in made_names if made_names.count(n) > 1})
+    twice = sorted(n for n, times in Counter(made_names).items() if times > 1)
     if twice:
         raise LandingError(f"flattened columns collide: {twice}")
     flat = good.select(*[c.alias(n) for n, c in columns], *HIDDEN)
@@ -104,21 +106,27 @@ def find_leaves(
         # A marker per row in which the container is set, even if it is empty.
         marker = F.when(value.isNotNull(), F.array(leaf(NO_STEPS, F.lit(SET)))).otherwise(none)
         per_column.append(F.transform(F.concat(here, marker), labelled_as(column)))
-    rows = (
+    per_table = (
         good.select(TABLE, F.posexplode_outer(F.concat(*per_column)).alias("at", "e"))
         .filter(F.col("e").isNotNull())
         .groupBy(TABLE, "e.column", "e.leaf.steps")
         .agg(F.min("at").alias("at"), F.max("e.leaf.n").alias("n"))
-        .limit(max_columns + 1)
-        .collect()
     )
+    work = Workspace(good.sparkSession, "leaves")
+    try:
+        per_table = work.table(per_table, "leaves")
+        width = F.when(F.col("n") == -1, 1).otherwise(F.greatest("n", F.lit(0)))
+        different = per_table.groupBy("column", "steps").agg(F.max("n").alias("n"))
+        total = different.agg(F.sum(width)).first()[0] or 0
+        if total > max_columns:
+            raise LandingError(f"flattening would make {total} columns, more than {max_columns}")
+        rows = per_table.collect()
+    finally:
+        work.close()
     found: dict[str | None, set[Leaf]] = {}
-    seen, total = set(), len(rows)
+    seen = set()
     for row in rows:
         seen.add(row["column"])
-        total += max(row["n"], 0)
-        if total > max_columns:
-            raise LandingError(f"flattening would make more than {max_columns} columns")
         for steps, i in expand(tuple(row["steps"]), row["n"]):
             found.setdefault(row[TABLE], set()).add(Leaf(row["column"], steps, (row["at"], i)))
     return found, set(nested) - seen

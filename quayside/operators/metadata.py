@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import replace
 from datetime import UTC, datetime
@@ -76,7 +77,7 @@ def rename_one(batch: Batch, column: str, rename: dict[str, str], names: dict[st
 
 
 def check_distinct(names: list[str]) -> None:
-    twice = sorted({n for n in names if names.count(n) > 1})
+    twice = sorted(n for n, times in Counter(names).items() if times > 1)
     if twice:
         raise LandingError(f"columns would occur twice: {twice}")
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
 from quayside.batch import META, Batch, meta_fields, session, with_hidden
-from quayside.scratch import scratch
+from quayside.scratch import delete_folder, scratch
 
 
 def stage(batch: Batch) -> Batch:
@@ -20,8 +22,21 @@ def stage(batch: Batch) -> Batch:
     return replace(batch, good=stored(batch.good), bad=bad)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    spark, folder = session(df), scratch(session(df), "parsed")
+@contextmanager
+def staged(batch: Batch) -> Iterator[Batch]:
+    """``stage`` for as long as the sinks need it; the copy is deleted afterwards."""
+    spark = session(batch.good)
+    folder = scratch(spark, "parsed")
+    try:
+        bad = batch.bad if batch.bad_tables == [] else stored(batch.bad, f"{folder}/bad")
+        yield replace(batch, good=stored(batch.good, f"{folder}/good"), bad=bad)
+    finally:
+        delete_folder(spark, folder)
+
+
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
+    spark = session(df)
+    folder = folder or scratch(spark, "parsed")
     if not meta_fields(df):
         df = df.drop(META)
     df.write.parquet(folder)

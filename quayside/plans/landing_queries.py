@@ -16,14 +16,17 @@ from quayside.plans.fixtures import new_dataset, table, text_files
 from quayside.plans.registry import query
 from quayside.plans.steps import JobOptions, run_steps
 from quayside.scratch import scratch
-from quayside.sinks.avro import AvroSink, land_avro
+from quayside.sinks.commits import Folder
+from quayside.sinks.files import FileSink, land_files
 from quayside.sinks.tables import TableSink, fan_out, land_tables
-from quayside.sources.avro_files import read_avro
 from quayside.sources.json_lines import read_documents, read_json_lines
 from quayside.sources.messages import read_messages
+from quayside.sources.spark_files import read_files
 from quayside.streaming.landing import AT_LEAST_ONCE, EXACTLY_ONCE, STREAMING_INSERTS, land_stream
 
 DAY = datetime(2024, 2, 29, tzinfo=UTC)
+# The Avro module is not part of Spark itself; the layout is the same in any format.
+FORMAT = "parquet"
 
 
 def orders_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +172,7 @@ def w6_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'view', 'id,seen,type', event_id::VARCHAR FROM events WHERE event_type = 'view'
     UNION ALL SELECT 'purchase', 'id,type', event_id::VARCHAR
     FROM events WHERE event_type = 'purchase'
+    UNION ALL SELECT 'signup', 'id,type', event_id::VARCHAR FROM events WHERE event_type = 'signup'
     UNION ALL SELECT 'error_error', 'errorMessage,rawData', '{"ID": ' || event_id
     FROM events WHERE event_type = 'error'
     """,
@@ -184,7 +188,7 @@ def t12_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     land_tables(parse_documents(documents, routed=True), TableSink(dataset))
     found = None
-    for name in ("click", "view", "purchase", "error_error"):
+    for name in ("click", "view", "purchase", "signup", "error_error"):
         landed = spark.table(f"{dataset}.{name}")
         shown = landed.select(
             F.lit(name).alias("table_name"),
@@ -195,6 +199,49 @@ def t12_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+@query(
+    "t12_many_tables",
+    """
+    SELECT 'segment_' || (c_custkey % 150) AS table_name, c_custkey, c_name FROM customer
+    """,
+)
+def t12_many_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hundreds of destinations in one load."""
+    dataset = new_dataset(spark, "t12many")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    chosen = F.concat(F.lit("segment_"), (F.col("c_custkey") % 150).cast("string"))
+    land_tables(route(from_frame(customers), chosen), TableSink(dataset))
+    place = spark.sql(f"DESCRIBE DATABASE {dataset}").filter("info_name = 'Location'").first()["info_value"]
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"/(segment_\d+)/[^/]*$", 1)
+    return spark.read.schema(customers.schema).parquet(f"{place}/*").select(
+        name.alias("table_name"), "c_custkey", "c_name"
+    )
+
+
+@query(
+    "w4_partition_with_rejects",
+    """
+    SELECT CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'landed' END AS side,
+           CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-01') END AS month,
+           count(*) AS n
+    FROM events GROUP BY ALL
+    """,
+)
+def w4_partition_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects have no column to be stored by; they land all the same."""
+    dataset = new_dataset(spark, "w4rejects")
+    events = table(spark, sf_dir, "events")
+    text = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at")))
+    broken = F.concat(F.lit('{"at": '), F.col("event_id").cast("string"))
+    documents = events.select(F.when(F.col("event_type") == "error", broken).otherwise(text).alias("value"))
+    land_tables(read_documents(documents), TableSink(dataset, "events", partition_by=("at", "MONTH")))
+    good = spark.table(f"{dataset}.events").groupBy(F.col("at_month").cast("string").alias("month"))
+    good = good.agg(F.count("*").alias("n")).select(F.lit("landed").alias("side"), "month", "n")
+    bad = spark.table(f"{dataset}.events_error").agg(F.count("*").alias("n")).where("n > 0")
+    none = F.lit(None).cast("string").alias("month")
+    return good.unionByName(bad.select(F.lit("rejected").alias("side"), none, "n"))
+
+
 @query(
     "w9_error_table",
     """
@@ -231,13 +278,13 @@ def w13_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch,
         [
             lambda b: land_tables(b, TableSink(dataset, "customer")),
-            lambda b: land_avro(b, AvroSink(root), DAY),
+            lambda b: land_files(b, FileSink(root, format=FORMAT), DAY),
             lambda b: b.rows().write.parquet(own),
         ],
     )
     found = [
         ("table", spark.table(f"{dataset}.customer")),
-        ("avro", read_avro(spark, [f"{root}/*/*/*.avro"]).rows()),
+        ("avro", read_files(spark, [f"{root}/*/*/*.avro"], FORMAT).rows()),
         ("callable", spark.read.parquet(own)),
     ]
     shown = [df.select(F.lit(sink).alias("sink"), "c_custkey", "c_name") for sink, df in found]
@@ -264,8 +311,8 @@ def w10_avro_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     finished = F.when(F.col("o_orderstatus") == "F", "finished")
     batch = route(from_frame(orders), finished)
     root = scratch(spark, "w10")
-    land_avro(batch, AvroSink(root), DAY)
-    read = read_avro(spark, [f"{root}/table=*/meta_load_date=*/*.avro"], ("table", "meta_load_date"))
+    land_files(batch, FileSink(root, format=FORMAT), DAY)
+    read = read_files(spark, [f"{root}/table=*/meta_load_date=*/*.avro"], FORMAT, ("table", "meta_load_date"))
     return read.rows().select(
         "table",
         "meta_load_date",
@@ -283,8 +330,8 @@ def w10_avro_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "w11")
     batch = from_frame(orders_of(spark, sf_dir))
-    land_avro(batch, AvroSink(root, directory="orders", suffix=".av", shards=3), DAY)
-    read = read_avro(spark, [f"{root}/table=orders/meta_load_date=2024-02-29/*.av"])
+    land_files(batch, FileSink(root, directory="orders", suffix=".av", shards=3, format=FORMAT), DAY)
+    read = read_files(spark, [f"{root}/table=orders/meta_load_date=2024-02-29/*.av"], FORMAT)
     file = F.col("_meta.meta_file_name")
     return read.good.agg(
         F.countDistinct(file).cast("int").alias("shards"),
@@ -305,8 +352,8 @@ def w11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w12_error_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "w12")
     batch = read_documents(event_documents(spark, sf_dir))
-    land_avro(batch, AvroSink(root, directory="events", error_suffix="_bad"), DAY)
-    rows = read_avro(spark, [f"{root}/*/*/*.avro"], ("table",)).rows()
+    land_files(batch, FileSink(root, directory="events", error_suffix="_bad", format=FORMAT), DAY)
+    rows = read_files(spark, [f"{root}/*/*/*.avro"], FORMAT, ("table",)).rows()
     return rows.select("table", "id", F.col("rawData").alias("raw"))
 
 
@@ -364,32 +411,80 @@ def read_events(micro: DataFrame) -> Batch:
     return read_messages(micro)
 
 
+def forget_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Leave a checkpoint as it is when a batch was landed and the driver then lost."""
+    commits = Folder(spark, f"{checkpoint}/commits")
+    last = max(int(n) for n in commits.names("") if n.isdigit())
+    commits.delete(str(last))
+
+
 @query(
     "w7_stream_append",
     """
     SELECT event_id::VARCHAR AS id, event_type AS type, 1 AS copies
     FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT '{"ID": ' || event_id, 'rejected', 1 FROM events WHERE event_type = 'error'
     """,
 )
 def w7_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch is landed again under its id, as after a failure: no row repeats."""
-    dataset = new_dataset(spark, "w7")
+    """The last micro-batch is replayed from the stream's own checkpoint: no row repeats."""
+    dataset, checkpoint = new_dataset(spark, "w7"), scratch(spark, "w7check")
     messages = message_stream(spark, sf_dir)
     sink = TableSink(dataset, "events")
-    for _ in range(2):
+    for attempt in range(2):
+        if attempt:
+            forget_last_batch(spark, checkpoint)
         land_stream(
-            messages,
-            read_events,
-            sink,
-            scratch(spark, "w7check"),
-            name="events",
-            method=EXACTLY_ONCE,
-            available_now=True,
+            messages, read_events, sink, checkpoint, method=EXACTLY_ONCE, available_now=True
         ).awaitTermination()
-    landed = spark.table(f"{dataset}.events")
+    good = spark.table(f"{dataset}.events").select("id", "type")
+    bad = spark.table(f"{dataset}.events_error").select(F.col("rawData").alias("id"), F.lit("rejected").alias("type"))
+    landed = good.unionByName(bad)
     return landed.groupBy("id", "type").agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
+@query(
+    "w7_two_streams",
+    """
+    SELECT event_id::VARCHAR AS id, 2 AS copies FROM events WHERE event_type <> 'error'
+    """,
+)
+def w7_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams append all of their rows to one table."""
+    dataset = new_dataset(spark, "w7two")
+    messages = message_stream(spark, sf_dir, files=2)
+    for _ in range(2):
+        land_stream(
+            messages, read_events, TableSink(dataset, "events"), scratch(spark, "w7check"), available_now=True
+        ).awaitTermination()
+    return spark.table(f"{dataset}.events").groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+
+@query(
+    "w7_unknown_columns",
+    """
+    SELECT method, event_id::VARCHAR AS id, columns
+    FROM events, (VALUES ('STORAGE_WRITE_API', 'id'), ('STREAMING_INSERTS', 'click,id,seen,type')) AS v(method, columns)
+    WHERE event_type <> 'error'
+    """,
+)
+def w7_unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The storage methods leave out what a table does not have, the others add it."""
+    dataset = new_dataset(spark, "w7unknown")
+    messages = message_stream(spark, sf_dir, files=2)
+    found = []
+    for method in (EXACTLY_ONCE, STREAMING_INSERTS):
+        sink = TableSink(dataset, method.lower())
+        land_tables(from_frame(spark.createDataFrame([], "id string")), sink)
+        land_stream(
+            messages, read_events, sink, scratch(spark, "w7check"), method=method, available_now=True
+        ).awaitTermination()
+        landed = spark.table(f"{dataset}.{method.lower()}")
+        columns = F.lit(",".join(sorted(landed.columns)))
+        found.append(landed.select(F.lit(method).alias("method"), "id", columns.alias("columns")))
+    return found[0].unionByName(found[1])
+
+
 @query(
     "w8_stream_retry",
     """

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.batch import Batch, LandingError, from_frame
 from quayside.functions.names import Destination
-from quayside.operators.flatten import flatten
+from quayside.operators.flatten import COLUMN_LIMIT, flatten
 from quayside.operators.metadata import file_name_metadata, inject_metadata, read_lookup
 from quayside.operators.stage import stage
-from quayside.sinks.avro import AvroSink, land_avro
+from quayside.sinks.files import FileSink, land_files
 from quayside.sinks.tables import TableSink, land_tables
 from quayside.sources.databases import read_jdbc
 from quayside.sources.delimited import read_delimited
@@ -23,7 +23,7 @@ from quayside.sources.json_lines import read_documents, read_json_lines
 from quayside.sources.messages import read_messages
 from quayside.sources.tables import read_staged, read_table
 from quayside.sources.xml_files import read_xml
-from quayside.streaming.landing import EXACTLY_ONCE, FILE_LOADS, TRIGGER, each_batch
+from quayside.streaming.landing import EXACTLY_ONCE, FILE_LOADS, STORAGE_METHODS, TRIGGER, each_batch
 
 Step = dict[str, Any]
 
@@ -82,12 +82,12 @@ def start_stream(spark, source: Step, waiting: list[tuple[str, Step]], options:
     def read(micro: DataFrame) -> Batch:
         return read_messages(micro, replacement=replacement_of(source))
 
-    def write(batch: Batch, number: int) -> None:
+    def write(batch: Batch, batch_id: str) -> None:
         for kind, step in waiting:
             if kind in TRANSFORMS:
                 batch = transform_with(spark, batch, step)
             else:
-                write_with(batch, step, options, number)
+                write_with(batch, step, options, batch_id)
 
     if options.checkpoint is None:
         raise LandingError("a streaming read needs a checkpoint folder")
@@ -122,13 +122,13 @@ def apply_custom(batch: Batch, custom: Callable) -> Batch:
     return batch.map(custom)
 
 
-def write_with(batch: Batch, step: Step, options: JobOptions, number: int | None) -> None:
+def write_with(batch: Batch, step: Step, options: JobOptions, batch_id: str | None) -> None:
     custom = step.get("implementation")
     if custom is not None:
         custom(batch.good, False)
         custom(batch.bad, True)
         return
-    WRITERS[str(step["type"]).lower()](batch, step, options, number)
+    WRITERS[str(step["type"]).lower()](batch, step, options, batch_id)
 
 
 # --- readers --------------------------------------------------------------------------
@@ -264,21 +264,23 @@ def table_sink(step: Step, options: JobOptions) -> TableSink:
     )
 
 
-def table_writer(batch: Batch, step: Step, options: JobOptions, number: int | None) -> None:
-    once = number is not None and step.get("writeMethod", FILE_LOADS) in (EXACTLY_ONCE, FILE_LOADS)
-    name = step.get("streamName", "stream")
-    land_tables(batch, table_sink(step, options), f"{name}-{number}" if once else None)
+def table_writer(batch: Batch, step: Step, options: JobOptions, batch_id: str | None) -> None:
+    method, sink = step.get("writeMethod", FILE_LOADS), table_sink(step, options)
+    if method in STORAGE_METHODS:
+        sink = replace(sink, unknown_columns="ignore")
+    land_tables(batch, sink, batch_id if method in (EXACTLY_ONCE, FILE_LOADS) else None)
 
 
-def avro_writer(batch: Batch, step: Step, options: JobOptions, number: int | None) -> None:
-    land_avro(
+def file_writer(batch: Batch, step: Step, options: JobOptions, batch_id: str | None) -> None:
+    land_files(
         batch,
-        AvroSink(
+        FileSink(
             root=step["outputRoot"],
             directory=step.get("outputDirectory", "default"),
             error_suffix=step.get("errorDirectorySuffix", "_error"),
             suffix=step.get("filenameSuffix", ".avro"),
             shards=step.get("numShards"),
+            format=step.get("format", "avro"),
         ),
     )
 
@@ -295,10 +297,10 @@ READERS = {
     "readpubsub": messages_step,
 }
 TRANSFORMS = {
-    "flatten": lambda spark, batch, step: flatten(batch),
+    "flatten": lambda spark, batch, step: flatten(batch, step.get("maxColumns", COLUMN_LIMIT)),
     "injectmetadata": metadata_step,
     "injectathenametadata": lookup_step,
     "custom": transform_with,
 }
-WRITERS = {"writebigquery": table_writer, "writeavro": avro_writer, "write": table_writer}
+WRITERS = {"writebigquery": table_writer, "writeavro": file_writer, "write": table_writer}
 READERS["read"] = read_with

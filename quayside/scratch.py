@@ -22,7 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local[") and context.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="quayside-"))
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="quayside-")
+    return _LOCAL[context.applicationId]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,9 @@ from quayside.batch import (
     session,
     visible,
 )
-from quayside.scratch import scratch
+from quayside.operators.stage import staged
+from quayside.scratch import delete_folder, scratch
+from quayside.sinks.commits import append_once
 
 # The dispositions and units a table can be written with.
 CREATE_IF_NEEDED, CREATE_NEVER = "CREATE_IF_NEEDED", "CREATE_NEVER"
@@ -28,8 +31,8 @@ WRITE_APPEND, WRITE_TRUNCATE, WRITE_EMPTY = "WRITE_APPEND", "WRITE_TRUNCATE", "W
 PARTITION_UNITS = {
     "HOUR": "HOUR", "DAY": "DAY", "MONTH": "MONTH", "YEAR": "YEAR", "TIMESTAMP": "DAY",
 }
-BATCH_ID = "_batch_id"
 FEW_TABLES = 32
+TABLES_AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -59,12 +62,15 @@ class TableSink:
 def land_tables(batch: Batch, sink: TableSink, batch_id: str | None = None) -> None:
     """Write good rows, then rejects, each to the table it asks for.
 
-    With a ``batch_id`` the rows are stored under that id and take the place of rows an
-    earlier attempt stored under it, so that a replayed micro-batch does not repeat rows.
+    With a ``batch_id`` rows that an earlier attempt has committed under that id are not
+    written again, so that a replayed micro-batch does not repeat rows. Rejects are stored
+    by time only where they have the column.
     """
     good = batch.good, batch.layout, known_tables(batch)
     land_side(*good, sink, sink.table, batch_id, batch.names)
     default = None if sink.table is None else sink.table + sink.error_suffix
+    if sink.partition_by is not None and sink.partition_by[0] not in visible(batch.bad):
+        sink = replace(sink, partition_by=None)
     land_side(batch.bad, None, batch.bad_tables, sink, default, batch_id)
 
 
@@ -86,11 +92,7 @@ def land_side(
     """Write the rows of one side; without known ``tables`` the rows tell, if there are any."""
     if tables == []:
         return
-    if tables is not None and len(tables) == 1:
-        parts = {tables[0]: df}
-    else:
-        parts = split_by_table(df, few=tables is not None and len(tables) <= FEW_TABLES)
-    for table, rows in parts.items():
+    def write(table: str | None, rows: DataFrame) -> None:
         target = table if table is not None else default
         if target is None:
             raise LandingError("no table is configured, and rows do not ask for one")
@@ -100,8 +102,23 @@ def land_side(
         named = rows.select(*[quoted(c).alias(name) for c, name in columns.items()])
         write_table(named, sink, target, batch_id)
 
+    if tables is not None and len(tables) == 1:
+        write(tables[0], df)
+        return
+    stage = scratch(session(df), "stage")
+    try:
+        parts = split_by_table(df, stage, few=tables is not None and len(tables) <= FEW_TABLES)
+        if None in parts and default is None:
+            raise LandingError("no table is configured, and rows do not ask for one")
+        # The jobs of different tables do not wait for each other.
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+            for done in [pool.submit(inheritable_thread_target(write), t, rows) for t, rows in parts.items()]:
+                done.result()
+    finally:
+        delete_folder(session(df), stage)
+
 
-def split_by_table(df: DataFrame, few: bool) -> dict[str | None, DataFrame]:
+def split_by_table(df: DataFrame, stage: str, few: bool) -> dict[str | None, DataFrame]:
     """Rows by destination, parsed once: staged in a folder per destination.
 
     Every task writes a file per destination it has rows of. Where these may be many the
@@ -109,7 +126,6 @@ def split_by_table(df: DataFrame, few: bool) -> dict[str | None, DataFrame]:
     cuts a destination that holds most of them over several tasks.
     """
     spark = session(df)
-    stage = scratch(spark, "stage")
     keyed = df.drop(META) if few else df.drop(META).hint("rebalance", TABLE)
     keyed.write.partitionBy(TABLE).parquet(stage)
     known = T.StructType([f for f in df.schema.fields if f.name != META])
@@ -130,9 +146,6 @@ def write_table(rows: DataFrame, sink: TableSink, table: str, batch_id: str | No
         stored = f"{column}_{unit.lower()}"
         rows = rows.withColumn(stored, time_unit(quoted(column), unit))
         partitions.append(stored)
-    if batch_id is not None:
-        rows = rows.withColumn(BATCH_ID, F.lit(batch_id))
-        partitions.insert(0, BATCH_ID)
     if partitions:
         # Few files per partition, and a partition with most rows cut over several tasks.
         rows = rows.hint("rebalance", *partitions)
@@ -144,29 +157,16 @@ def write_table(rows: DataFrame, sink: TableSink, table: str, batch_id: str | No
         raise LandingError(f"table is not empty: {name}")
     if exists and sink.write == WRITE_TRUNCATE and batch_id is None:
         rows.write.format(sink.format).partitionBy(*partitions).mode("overwrite").saveAsTable(name)
-    elif not exists:
+    elif not exists and batch_id is None:
         rows.write.format(sink.format).partitionBy(*partitions).saveAsTable(name)
     else:
+        if not exists:
+            rows.limit(0).write.format(sink.format).partitionBy(*partitions).saveAsTable(name)
         rows = align(rows, name, sink)
         if batch_id is None:
             rows.write.mode("append").insertInto(name)
         else:
-            replace_batch(rows, name, batch_id, partitions)
-
-
-def replace_batch(rows: DataFrame, name: str, batch_id: str, partitions: list[str]) -> None:
-    """Overwrite what is stored under a batch id, and nothing else."""
-    spark, view = session(rows), f"batch_{uuid.uuid4().hex}"
-    others = [f"`{p}`" for p in partitions if p != BATCH_ID]
-    spec = ", ".join([f"`{BATCH_ID}` = :batch_id", *others])
-    rows.drop(BATCH_ID).createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE {name} PARTITION ({spec}) SELECT * FROM {view}",
-            args={"batch_id": batch_id},
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+            append_once(rows, name, batch_id, partitions, sink.format)
 
 
 def align(rows: DataFrame, name: str, sink: TableSink) -> DataFrame:
@@ -213,9 +213,10 @@ def time_unit(column: Column, unit: str) -> Column:
 
 
 def fan_out(batch: Batch, sinks: list[Callable[[Batch], None]]) -> None:
-    """Give one batch to several sinks."""
-    for sink in sinks:
-        sink(batch)
+    """Give one batch to several sinks; it is parsed once for all of them."""
+    with staged(batch) as kept:
+        for sink in sinks:
+            sink(kept)
 
 
 def create_dataset(spark: SparkSession, dataset: str, location: str) -> None:

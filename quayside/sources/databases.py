@@ -34,14 +34,16 @@ def read_jdbc(
 
     ``partition_column`` reads ranges of that column over ``num_partitions`` connections;
     bounds that are not given are asked from the database. Without it one connection reads
-    everything, and ``redistribute`` spreads the rows over that many tasks afterwards.
+    everything, and the rows are spread over ``redistribute`` tasks afterwards, by default
+    over ``spark.sql.shuffle.partitions``; 1 leaves them where they are.
     """
     connection = connect_options(url, driver, user, password, properties, fetch_size)
     query = query.replace("$CONDITIONS", ANY_ROW)
     reader = spark.read.format("jdbc").options(**connection)
     if partition_column is None:
         rows = reader.option("query", query).load()
-        rows = rows.repartition(redistribute) if redistribute else rows
+        tasks = redistribute or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(tasks) if tasks > 1 else rows
         return from_frame(clean_columns(rows, replacement))
     if lower_bound is None or upper_bound is None:
         ends = reader.option("query", bounds_query(query, partition_column)).load().first()

@@ -23,7 +23,7 @@ from quayside.functions.names import (
     without_dot_slash,
 )
 from quayside.sources.dialects import Dialect, dialect, line_end, records, text_lines
-from quayside.sources.files import list_files
+from quayside.sources.files import hidden_files, list_files
 from quayside.sources.units import NONE, UNIT, emitter, open_unit, split_size, spread, units
 
 # A header for the files whose name matches a pattern: (pattern, column names).
@@ -73,7 +73,9 @@ def read_delimited(
         .withColumn(TABLE, table_of(destination))
     )
     # A lenient file may end in cells its header has no name for; they have no column.
-    if plain and d.spark_reads_it and not (allow_extra_columns and d.null != ""):
+    # Files that Spark leaves out for their names are read in tasks, and the others with them.
+    odd = plain and bool(hidden_files(spark, patterns))
+    if plain and not odd and d.spark_reads_it and not (allow_extra_columns and d.null != ""):
         found = sorted(probed.collect(), key=lambda r: r["path"])
         named = [(r[TABLE], choice.columns(r["names"], r["width"])) for r in found]
         groups: dict[tuple, list[str]] = {}
@@ -125,35 +127,42 @@ def layout_of(named: list[tuple[str | None, list[str]]]) -> dict[str | None, lis
 
 
 def plain_units(listed: DataFrame, d: Dialect) -> DataFrame:
-    """Files as units; big ones are cut into ranges where no cell runs over a line end.
+    """Files as units, by what their lines are and not by how large they are.
 
-    A cell may contain line feeds, so a file can only be cut after a look at all of its
-    lines. Small files are not worth the look and compressed ones cannot be cut.
+    A cell may contain line feeds, so all lines are looked at once. A file in which no cell
+    runs over a line end is read by lines, whichever line ends it has, and is cut in ranges
+    where it is big and not compressed. The others are read front to back.
     """
     spark = listed.sparkSession
     files = listed.collect()
     size = split_size(spark, sum(f["length"] for f in files))
-    big = [f for f in files if f["length"] > size and not f["path"].lower().endswith(".gz")]
-    cut = set()
-    if big:
+    visible = [f["path"] for f in files if f["length"] and not is_hidden(f["file_name"])]
+    whole = {(f["file_name"], f["length"]) for f in files if is_hidden(f["file_name"])}
+    if visible:
         opened = (
-            spark.read.text([f["path"] for f in big])
+            spark.read.text(visible)
             .filter(~F.col("value").rlike(d.closed_line()))
             .select(decoded("_metadata.file_name"), "_metadata.file_size")
             .distinct()
         )
-        whole = {tuple(r) for r in opened.collect()}
-        cut = {f["path"] for f in big if (f["file_name"], f["length"]) not in whole}
+        whole |= {tuple(r) for r in opened.collect()}
     rows = []
     for path, name, length in files:
-        if path not in cut:
+        if (name, length) in whole:
             rows.append((path, None, None, name, 0, length, "plain"))
-            continue
-        for start in range(0, length, size):
-            rows.append((path, None, None, name, start, min(size, length - start), "range"))
+        elif length <= size or path.lower().endswith(".gz"):
+            rows.append((path, None, None, name, 0, length, "lines"))
+        else:
+            for start in range(0, length, size):
+                rows.append((path, None, None, name, start, min(size, length - start), "range"))
     return spark.createDataFrame(rows, UNIT)
 
 
+def is_hidden(file_name: str) -> bool:
+    """Whether Spark's own scans leave the file out."""
+    return file_name.startswith(("_", "."))
+
+
 class HeaderChoice:
     """Where the header of a file comes from: a rule for its name, itself, or its width."""
 
@@ -196,7 +205,8 @@ class HeaderChoice:
 
     def probe(self, skip: tuple[str, ...]) -> Callable:
         def rows(unit: dict) -> Iterator[tuple]:
-            path, whole, at_start = unit["path"], unit["how"] != "range", unit["start"] == 0
+            path, at_start = unit["path"], unit["start"] == 0
+            whole = unit["how"] not in ("range", "lines")
             if whole or at_start or not (self.from_file or self.by_name(unit["file_name"])):
                 for file_name, stream in open_unit(unit, skip):
                     yield path, file_name, *self.read(file_name, stream, at_start), whole

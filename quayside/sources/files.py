@@ -54,6 +54,7 @@ def list_files(spark: SparkSession, patterns: list[str], empty: bool = False) ->
     found = existing(spark, patterns)
     if not found:
         return spark.createDataFrame([], FILE)
+    odd = hidden_files(spark, patterns)
     files = spark.read.format("binaryFile").load(found)
     listed = files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
     if empty:
@@ -62,7 +63,24 @@ def list_files(spark: SparkSession, patterns: list[str], empty: bool = False) ->
         if paths:
             rows = [(p, p.rpartition("/")[2], 0) for p in paths]
             listed = listed.unionByName(spark.createDataFrame(rows, FILE))
-    return listed
+    return listed.unionByName(spark.createDataFrame(odd, FILE)) if odd else listed
+
+
+def hidden_files(spark: SparkSession, patterns: list[str]) -> list[tuple[str, str, int]]:
+    """Files that the patterns name and Spark's scans leave out: ``_x`` and ``.x``.
+
+    Within a folder that is given as such they are left out, as in any folder of a table.
+    """
+    jvm = spark.sparkContext._jvm
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    names = jvm.org.apache.hadoop.fs.GlobFilter("[_.]*")
+    out = []
+    for pattern in patterns:
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        for status in path.getFileSystem(settings).globStatus(path, names) or []:
+            if not status.isDirectory():
+                out.append((short(status.getPath().toString()), status.getPath().getName(), status.getLen()))
+    return sorted(set(out))
 
 
 def short(path: str) -> str:

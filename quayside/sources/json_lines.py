@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quayside.batch import META, TABLE, Batch, empty_meta, quoted
 from quayside.functions.names import Destination, decoded
 from quayside.operators.documents import parse_documents
-from quayside.sources.files import existing, list_files
+from quayside.sources.files import FILE, existing, hidden_files, list_files
 from quayside.sources.units import NONE, emitter, open_unit, spread, units
 
 LINE = "value string, file_name string, archive string"
@@ -40,6 +40,9 @@ def read_json_lines(
         lines = spark.read.text(found) if found else spark.createDataFrame([], "value string")
         name = decoded("_metadata.file_name") if found else F.lit("")
         lines = lines.select("value", name.alias("file_name"), F.lit("").alias("archive"))
+        if odd := hidden_files(spark, patterns):
+            work = units(spark.createDataFrame(odd, FILE))
+            lines = lines.unionByName(spread(work).mapInArrow(line_reader(()), LINE))
     else:
         skip = tuple(skip)
         work = units(list_files(spark, patterns), compression, skip)

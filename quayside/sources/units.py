@@ -29,7 +29,6 @@ UNIT = (
 # Entries that are never data.
 ALWAYS_SKIPPED = (r"^.*audit.*$", r"^.*readme.*$", r"^\./\..*$")
 NONE, ZIP, TAR = "NONE", "ZIP", "TAR"
-MOST_TASKS = 100_000
 
 
 def units(files: DataFrame, compression: str = NONE, skip: Iterable[str] = ()) -> DataFrame:
@@ -58,7 +57,7 @@ def spread(work: DataFrame) -> DataFrame:
     spark = work.sparkSession
     total = work.agg(F.sum("length")).first()[0] or 0
     tasks = max(spark.sparkContext.defaultParallelism, total // split_size(spark, total))
-    return work.repartition(min(tasks, MOST_TASKS))
+    return work.repartition(int(tasks))
 
 
 def split_size(spark: SparkSession, total: int) -> int:
@@ -95,10 +94,12 @@ def entry_lister(compression: str) -> Callable:
                 archive = re.sub(r"^\./", "", archive)
                 with tarfile.open(fileobj=stream, mode="r:") as tar:
                     for info in tar:
-                        if info.isreg() and not info.issparse():
+                        if info.isreg():
+                            # A sparse entry is not stored in one run of bytes.
+                            how = "tar entry" if info.issparse() else "tar"
                             yield (
                                 path, archive, info.name, info.name,
-                                info.offset_data, info.size, "tar",
+                                info.offset_data, info.size, how,
                             )
 
     return emitter(rows, UNIT)
@@ -125,7 +126,10 @@ def open_unit(unit: dict, skip: Iterable[str] = ()) -> Iterator[tuple[str, Binar
         with open_path(unit["path"]) as stream, zipfile.ZipFile(stream) as archive:
             with archive.open(unit["entry"]) as entry:
                 yield unit["file_name"], entry
-    elif how == "plain":
+    elif how == "tar entry":
+        with open_path(unit["path"]) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
+            yield unit["file_name"], io.BufferedReader(tar.extractfile(unit["entry"]), 1 << 20)
+    elif how in ("plain", "lines"):
         with open_plain(unit["path"]) as stream:
             yield unit["file_name"], stream
     else:
