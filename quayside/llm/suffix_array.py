@@ -20,6 +20,7 @@ from quayside.llm.windows import (
     fingerprints,
     judge_hulls,
     merged,
+    refined,
     repeated_ranges,
     requests,
     starts_of,
@@ -50,7 +51,8 @@ def repeated_strings(docs: DataFrame, work: Workspace, threshold: int = 400) ->
     whose pair is unique, until the length is that of a core; the offsets double. Names are
     64-bit fingerprints, which do not depend on other tasks, so that the run at the offset
     need not be a sampled position too. What is left is settled by the hulls and, at the ends
-    of repeats, by the names of single strings of ``threshold`` bytes (128 bits).
+    of repeats, by smaller blocks and then by the names of single strings of ``threshold``
+    bytes (128 bits).
     """
     scheme = Scheme("byte", threshold, gram=max(1, threshold * 4 // 25), block=max(1, threshold * 2 // 25))
     texts = anchored_documents(docs, scheme, work)
@@ -69,7 +71,9 @@ def repeated_strings(docs: DataFrame, work: Workspace, threshold: int = 400) ->
         positions = work.table(positions, f"rank{k}")
     judged = work.table(judge_hulls(positions, ["rank"]), "judged")
     work.drop("positions", *[f"rank{k}" for k in range(1, len(runs))])
-    names = with_probes(texts, judged).mapInArrow(
+    ends = work.table(refined(texts, judged, scheme, max(1, scheme.block // 4)), "ends")
+    judged = judged.where("solved").unionByName(ends.where("solved"))
+    names = with_probes(texts, ends).mapInArrow(
         _emit_strings(scheme), f"{ID} long, {TEXT_HASH} long, start long, a long, b long"
     )
     names = work.table(names, "names")

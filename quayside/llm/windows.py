@@ -12,7 +12,7 @@ once rules all of them out, a hull found twice proves all of them at once.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -265,6 +265,16 @@ def judge_hulls(blocks: DataFrame, core: list[str]) -> DataFrame:
     )
 
 
+def refined(documents: DataFrame, judged: DataFrame, scheme: Scheme, block: int) -> DataFrame:
+    """The probes in smaller blocks, judged again: what is left at the ends of repeats is small."""
+    fine = replace(scheme, block=block)
+    heads = F.collect_set(F.struct(F.col("head").alias("anchor"), "first", "last")).alias("anchors")
+    own = judged.where("probe").groupBy(*KEY).agg(heads)
+    blocks = documents.select(*KEY, "text").join(own, KEY)
+    blocks = blocks.mapInArrow(emit_blocks(fine, [(0, fine.core)]), block_schema(1))
+    return judge_hulls(blocks, ["name0"])
+
+
 def with_probes(documents: DataFrame, judged: DataFrame) -> DataFrame:
     """The documents of the probes: ``_id, _text_hash, text, probes``."""
     own = judged.where("probe").groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("probes"))
