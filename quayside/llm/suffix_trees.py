@@ -20,6 +20,7 @@ from quayside.llm.windows import (
     fingerprints,
     judge_hulls,
     merged,
+    refined,
     repeated_ranges,
     requests,
     starts_of,
@@ -47,8 +48,9 @@ def repeated_sequences(
     """``(documents, ranges)``: texts that may repeat, and the starts of windows that occur again.
 
     A window is a suffix, cut after ``threshold`` words. Suffixes are first grouped by the
-    prefix of their block (see ``windows``): a group of one has no internal node deep enough,
-    and hulls that occur again stand for their suffixes as one leaf. The other suffixes get a
+    prefix of their block (see ``windows``), then of a smaller block: a group of one has no
+    internal node deep enough, and hulls that occur again stand for their suffixes as one
+    leaf. The other suffixes get a
     path of ``EDGES`` edges, names of the words between two depths. Prefixes of one edge
     split them; a group of more than ``group`` suffixes is split by two edges, and so on, so
     that a group fits in a task. What still is larger at the full depth is one internal node,
@@ -62,9 +64,11 @@ def repeated_sequences(
     blocks = work.table(blocks, "blocks")
     judged = work.table(judge_hulls(blocks, ["name0"]), "judged")
     work.drop("blocks")
+    ends = work.table(refined(texts, judged, scheme, max(1, scheme.block // 4)), "ends")
+    judged = judged.where("solved").unionByName(ends.where("solved"))
     parts = edges(threshold)
     path = [f"edge{i}" for i in range(len(parts))]
-    suffixes = with_probes(texts, judged).mapInArrow(
+    suffixes = with_probes(texts, ends).mapInArrow(
         _emit_suffixes(parts, path), f"{ID} long, {TEXT_HASH} long, start long, " + ", ".join(f"{e} long" for e in path)
     )
     suffixes = work.table(suffixes, "suffixes")
