@@ -119,7 +119,7 @@ def find_leaves(
         different = per_table.groupBy("column", "steps").agg(F.max("n").alias("n"))
         total = different.agg(F.sum(width)).first()[0] or 0
         if total > max_columns:
-            raise LandingError(f"flattening would make {total} columns, more than {max_columns}")
+            raise LandingError(f"flattening would make more than {max_columns} columns: {total}")
         rows = per_table.collect()
     finally:
         work.close()

@@ -26,6 +26,7 @@ from quayside.functions.names import name_token, trailing_digits, underscored_di
 # Names of metadata fields.
 LOAD_TIMESTAMP = "meta_load_timestamp"
 FILE_NAME = "meta_file_name"
+LOOKUP_ROWS = 100_000
 MINISTRY, MINISTRY_ID, FILE_DATE = "meta_ministry", "meta_ministryid", "meta_filedate"
 
 
@@ -133,13 +134,21 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
 def file_name_metadata(batch: Batch, lookup: DataFrame) -> Batch:
     """Ids and dates in the file name, and the name the lookup has for the id.
 
-    ``lookup`` has the columns ``id`` and ``name`` with one row per id. Spark broadcasts it
-    when its size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    ``lookup`` has the columns ``id`` and ``name`` with one row per id. All rows of a file
+    have one id, so they are not shuffled by it: what the lookup has for the ids that occur is
+    sent to all executors if it has at most ``LOOKUP_ROWS`` rows. Beyond that, which takes as
+    many files, it is a join whose skewed partitions Spark splits.
     """
+    size = lookup.count()
 
     def step(df: DataFrame) -> DataFrame:
         file = F.col(META).getField(FILE_NAME)
         known = lookup.select(F.col("id").alias("_id"), F.col("name").alias("_name"))
+        few = size <= LOOKUP_ROWS
+        if not few:
+            known = known.join(df.select(trailing_digits(file).alias("_id")).distinct(), "_id", "left_semi")
+            few = known.count() <= LOOKUP_ROWS
+        known = F.broadcast(known) if few else known
         joined = df.withColumn("_id", trailing_digits(file)).join(known, "_id", "left")
         fields = {f: F.col(META).getField(f) for f in meta_fields(df)}
         fields |= {

@@ -9,6 +9,7 @@ from quayside.functions.names import Destination, clean_name_column
 from quayside.plans.fixtures import archives, csv_line, one_file_per_row, table, text_files
 from quayside.plans.registry import query
 from quayside.scratch import scratch
+from quayside.sinks.commits import Folder
 from quayside.sources.delimited import read_delimited
 from quayside.sources.dialects import PRESETS, dialect
 from quayside.sources.files import file_patterns
@@ -707,3 +708,57 @@ def s10_zip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name",
         F.col("_table").alias("table_name"),
     )
+
+
+@query(
+    "s1_mixed_line_ends",
+    """
+    SELECT setting, o_orderkey::VARCHAR AS "key", o_orderstatus AS status
+    FROM orders, (VALUES ('128m'), ('8k')) AS v(setting)
+    """,
+)
+def s1_mixed_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with several line ends gives the same rows whole and cut in ranges."""
+    end = F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.lit("\r"))
+    status = F.concat(F.col("o_orderstatus"), end)
+    lines = table(spark, sf_dir, "orders").select(F.concat_ws(",", F.col("o_orderkey").cast("string"), status))
+    folder = text_files(spark, lines.coalesce(1), "mixed")
+    names, found = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"), []
+    before = [spark.conf.get(n, None) for n in names]
+    for size in ("128m", "8k"):
+        try:
+            for name in names:
+                spark.conf.set(name, size)
+            batch = read_delimited(spark, [f"{folder}/*.txt"], header=[(".*", ["KEY", "STATUS"])])
+            rows = batch.rows().select(F.lit(size).alias("setting"), "key", "status")
+            kept = scratch(spark, "mixed-rows")
+            rows.write.parquet(kept)
+            found.append(spark.read.parquet(kept))
+        finally:
+            for name, value in zip(names, before, strict=True):
+                spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "s9_odd_names",
+    """
+    SELECT o_orderkey::VARCHAR AS "key", CASE o_orderkey % 3 WHEN 0 THEN '_0.csv' WHEN 1 THEN '.1.csv' ELSE '2.csv' END AS file
+    FROM orders
+    """,
+)
+def s9_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that Spark's scans leave out for their names are read when a pattern names them."""
+    orders = table(spark, sf_dir, "orders")
+    folder = scratch(spark, "odd")
+    target = Folder(spark, folder)
+    for n, name in enumerate(("_0.csv", ".1.csv", "2.csv")):
+        lines = orders.where(F.col("o_orderkey") % 3 == n).select(F.col("o_orderkey").cast("string").alias("value"))
+        written = text_files(spark, lines.coalesce(1), "odd")
+        (part,) = Folder(spark, written).data_files("")
+        Folder(spark, folder.rpartition("/")[0]).move(
+            f"{written.rpartition('/')[2]}/{part}", f"{folder.rpartition('/')[2]}/{name}"
+        )
+    assert target.names("")
+    batch = read_delimited(spark, [f"{folder}/*.csv"], header=[(".*", ["KEY"])])
+    return batch.good.select("key", F.col("_meta.meta_file_name").alias("file"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.batch import META, TABLE, Batch, from_frame, no_rejects
 from quayside.functions.names import attribute_text, file_stem
+from quayside.operators.documents import parse_documents
 from quayside.operators.flatten import flatten
 from quayside.operators.latest import latest
 from quayside.operators.metadata import (
@@ -448,3 +449,69 @@ def t2_given_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = read_json_lines(spark, [folder], replacement="_", schema=schema).rows()
     return rows.select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("flag")[0].alias("flag_1"))
+
+
+@query(
+    "t2_repeated_nested_keys",
+    """
+    SELECT c_custkey::VARCHAR AS id, c_name AS last_name, CASE WHEN c_custkey % 2 = 0 THEN 'x' END AS other
+    FROM customer
+    """,
+)
+def t2_repeated_nested_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a nested key that comes twice the last value stays, and no column is lost."""
+    customers = table(spark, sf_dir, "customer")
+    name, key = F.to_json(F.array("c_name")), F.col("c_custkey").cast("string")
+    name = F.substring(name, 2, 1_000_000)
+    value = F.concat(
+        F.lit('{"ID":'), key, F.lit(',"A":{"N":"first","N":'), F.expr("left(n, length(n) - 1)"), F.lit("}"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit(',"OTHER":"x"')).otherwise(F.lit("")), F.lit("}"),
+    )
+    batch = read_documents(customers.withColumn("n", name).select(value.alias("value")))
+    return batch.rows().select("id", F.try_element_at("a", F.lit("n")).alias("last_name"), "other")
+
+
+@query(
+    "t3_many_destinations",
+    """
+    SELECT 't' || (c_custkey % 200) AS "table", c_custkey::VARCHAR AS a_id, c_name AS a_name, 61 AS columns
+    FROM customer
+    """,
+)
+def t3_many_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """200 destinations with the same 61 leaves are 61 columns."""
+    fill = F.create_map(*[x for i in range(59) for x in (F.lit(f"k{i}"), F.lit("v"))])
+    own = F.create_map(F.lit("id"), F.col("c_custkey").cast("string"), F.lit("name"), F.col("c_name"))
+    documents = table(spark, sf_dir, "customer").select(
+        F.to_json(F.struct(F.map_concat(fill, own).alias("a"))).alias("value"),
+        F.concat(F.lit("t"), (F.col("c_custkey") % 200).cast("string")).alias(TABLE),
+        F.struct(F.lit("f").alias("meta_file_name")).alias(META),
+    )
+    flat = flatten(parse_documents(documents, routed=True), max_columns=100)
+    good = flat.good
+    return good.select(
+        F.col(TABLE).alias("table"), "a_id", "a_name", F.lit(len(flat.columns)).alias("columns")
+    )
+
+
+@query(
+    "p1_documented_steps",
+    """
+    SELECT o_custkey::VARCHAR AS customer, max(o_orderkey) AS newest, 'orders' AS kind
+    FROM orders GROUP BY o_custkey
+    """,
+)
+def p1_documented_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constant metadata, standard types and the latest record of a key as steps."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.concat(F.lit(" "), F.col("o_orderkey").cast("string")).alias("newest"),
+    )
+    steps = [
+        {"type": "Read", "implementation": lambda *_: orders},
+        {"type": "AddMetadata", "fields": [{"fieldName": "kind", "fieldValue": "orders"}]},
+        {"type": "InjectMetadata"},
+        {"type": "Standardise", "types": {"newest": "long"}},
+        {"type": "Latest", "keys": ["customer"], "orderBy": ["newest"]},
+    ]
+    return run_steps(spark, steps).rows().select("customer", "newest", "kind")

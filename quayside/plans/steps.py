@@ -11,8 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.batch import Batch, LandingError, from_frame
 from quayside.functions.names import Destination
 from quayside.operators.flatten import COLUMN_LIMIT, flatten
-from quayside.operators.metadata import file_name_metadata, inject_metadata, read_lookup
+from quayside.operators.latest import latest
+from quayside.operators.metadata import (
+    constant_metadata,
+    derived_metadata,
+    file_name_metadata,
+    inject_metadata,
+    read_lookup,
+    token_metadata,
+)
 from quayside.operators.stage import stage
+from quayside.operators.standardise import standardise
 from quayside.sinks.files import FileSink, land_files
 from quayside.sinks.tables import TableSink, land_tables
 from quayside.sources.databases import read_jdbc
@@ -285,6 +294,36 @@ def file_writer(batch: Batch, step: Step, options: JobOptions, batch_id: str | N
     )
 
 
+def added_metadata_step(spark: SparkSession, batch: Batch, step: Step) -> Batch:
+    """Fields with a constant ``fieldValue``, or made from the file name by ``fieldMapping``.
+
+    ``methodName`` is a callable of the file name's column and the ``args``, one of the step's
+    ``methods``, or absent: then the only argument is the number of a token of the file name.
+    """
+    for own in step.get("fields", ()):
+        mapping = own.get("fieldMapping")
+        if mapping is None:
+            batch = constant_metadata(batch, own["fieldName"], own.get("fieldValue"))
+            continue
+        method, args = mapping.get("methodName"), mapping.get("args", [])
+        method = step.get("methods", {}).get(method, method)
+        if callable(method):
+            batch = derived_metadata(batch, own["fieldName"], lambda file, m=method, a=args: m(file, *a))
+        elif method is None and len(args) == 1:
+            batch = token_metadata(batch, own["fieldName"], int(args[0]))
+        else:
+            raise LandingError(f"unknown method {method!r} for {own['fieldName']}")
+    return batch
+
+
+def latest_step(spark: SparkSession, batch: Batch, step: Step) -> Batch:
+    return replace(batch, good=latest(batch.good, step["keys"], step["orderBy"]))
+
+
+def standardise_step(spark: SparkSession, batch: Batch, step: Step) -> Batch:
+    return standardise(batch, step["types"])
+
+
 # The names of the step types.
 READERS = {
     "readcsv": csv_step,
@@ -300,6 +339,9 @@ TRANSFORMS = {
     "flatten": lambda spark, batch, step: flatten(batch, step.get("maxColumns", COLUMN_LIMIT)),
     "injectmetadata": metadata_step,
     "injectathenametadata": lookup_step,
+    "addmetadata": added_metadata_step,
+    "latest": latest_step,
+    "standardise": standardise_step,
     "custom": transform_with,
 }
 WRITERS = {"writebigquery": table_writer, "writeavro": file_writer, "write": table_writer}

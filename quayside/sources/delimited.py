@@ -298,7 +298,7 @@ def split_in_tasks(
 
     def rows(unit: dict) -> Iterator[tuple]:
         headers = {}
-        if unit["how"] == "tar stream":
+        if unit["how"] in ("tar stream", "zip"):
             # The entries are not known before the archive is read, nor are their headers.
             headers = {name: choice.read(name, stream) for name, stream in open_unit(unit, skip)}
         for file_name, stream in open_unit(unit, skip):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from quayside.batch import META, TABLE, Batch, empty_meta, quoted
 from quayside.functions.names import Destination, decoded
 from quayside.operators.documents import parse_documents
 from quayside.sources.files import FILE, existing, hidden_files, list_files
-from quayside.sources.units import NONE, emitter, open_unit, spread, units
+from quayside.sources.units import NONE, Forward, emitter, open_unit, spread, units
 
 LINE = "value string, file_name string, archive string"
 
@@ -66,7 +67,7 @@ def read_json_lines(
 def line_reader(skip: tuple[str, ...]):
     def rows(unit: dict) -> Iterator[tuple]:
         for file_name, stream in open_unit(unit, skip):
-            for line in stream:
+            for line in io.BufferedReader(Forward(stream), 1 << 20):
                 yield line.decode("utf-8", "replace").rstrip("\r\n"), file_name, unit["archive"]
 
     return emitter(rows, LINE)

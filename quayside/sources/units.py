@@ -1,6 +1,6 @@
 """Units of work for readers that parse inside tasks.
 
-A unit is a whole file, a byte range of one, or an archive entry. Units are rows, so
+A unit is a whole file, a byte range of one, an archive entry or a run of entries. Units are rows, so
 Spark spreads them over the cluster; a task opens its unit by path and streams it.
 """
 
@@ -29,10 +29,12 @@ UNIT = (
 # Entries that are never data.
 ALWAYS_SKIPPED = (r"^.*audit.*$", r"^.*readme.*$", r"^\./\..*$")
 NONE, ZIP, TAR = "NONE", "ZIP", "TAR"
+# Entries of a ZIP archive that one task reads after another: up to so many, or so much text.
+RUN_ENTRIES, RUN_BYTES = 1000, 1 << 24
 
 
 def units(files: DataFrame, compression: str = NONE, skip: Iterable[str] = ()) -> DataFrame:
-    """One row per file or archive entry to read."""
+    """One row per file, archive entry or run of entries to read."""
     if compression == NONE:
         return files.select(
             "path",
@@ -49,7 +51,7 @@ def units(files: DataFrame, compression: str = NONE, skip: Iterable[str] = ()) -
     archives = files.filter(name.endswith(".zip") if compression == ZIP else name.contains(".tar"))
     listed = spread(archives).mapInArrow(entry_lister(compression), UNIT)
     wanted = ~F.col("entry").rlike(rf"\A(?:{skip_pattern(skip)})\z")
-    return listed.filter(F.col("entry").isNull() | wanted)
+    return listed.filter(F.col("entry").isNull() | wanted | (F.col("how") == "zip"))
 
 
 def spread(work: DataFrame) -> DataFrame:
@@ -83,9 +85,10 @@ def entry_lister(compression: str) -> Callable:
         path, archive = unit["path"], unit["file_name"]
         with open_path(path) as stream:
             if compression == ZIP:
-                for info in zipfile.ZipFile(stream).infolist():
-                    if not info.is_dir():
-                        yield path, archive, info.filename, info.filename, 0, info.file_size, "zip"
+                infos = zipfile.ZipFile(stream).infolist()
+                for first, last in runs([info.file_size for info in infos]):
+                    size = sum(info.file_size for info in infos[first:last])
+                    yield path, archive, f"{first}:{last}", infos[first].filename, 0, size, "zip"
             elif compressed(stream):
                 # A compressed tar can only be read front to back: once, by one task.
                 archive = re.sub(r"^\./", "", archive)
@@ -105,6 +108,18 @@ def entry_lister(compression: str) -> Callable:
     return emitter(rows, UNIT)
 
 
+def runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Neighbouring entries to read together, so that an archive's directory is not read for each."""
+    first = total = 0
+    for i, size in enumerate(sizes):
+        if i > first and (total + size > RUN_BYTES or i - first >= RUN_ENTRIES):
+            yield first, i
+            first, total = i, 0
+        total += size
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
 def compressed(stream: BinaryIO) -> bool:
     # The first bytes of gzip, bzip2, xz and zstd data.
     magic = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ", b"\x28\xb5\x2f\xfd")
@@ -123,9 +138,13 @@ def open_unit(unit: dict, skip: Iterable[str] = ()) -> Iterator[tuple[str, Binar
                 if info.isreg() and not skipped.fullmatch(info.name):
                     yield info.name, io.BufferedReader(Forward(tar.extractfile(info)), 1 << 20)
     elif how == "zip":
+        skipped = re.compile(skip_pattern(skip))
+        first, last = map(int, unit["entry"].split(":"))
         with open_path(unit["path"]) as stream, zipfile.ZipFile(stream) as archive:
-            with archive.open(unit["entry"]) as entry:
-                yield unit["file_name"], entry
+            for info in archive.infolist()[first:last]:
+                if not info.is_dir() and not skipped.fullmatch(info.filename):
+                    with archive.open(info) as entry:
+                        yield info.filename, entry
     elif how == "tar entry":
         with open_path(unit["path"]) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
             yield unit["file_name"], io.BufferedReader(tar.extractfile(unit["entry"]), 1 << 20)

@@ -79,6 +79,8 @@ def read_xml(
 
 
 def tagged_records(spark: SparkSession, paths: list[str], row_tag: str) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], DOCUMENT)
     rows = (
         spark.read.format("xml")
         .option("rowTag", row_tag)

@@ -233,3 +233,19 @@ def test_staged(spark, write):
     batch = read_staged(spark, [write("s.csv", "1,2,3\n4,5,6\n")], replacement="_")
     assert batch.columns == ["field_1", "field_2", "field_3"]
     assert tuples(batch.rows()) == [("1", "2", "3"), ("4", "5", "6")]
+
+
+def test_line_ends_do_not_depend_on_the_size(spark, write):
+    lines = [f"{i},x{i}" + ("\n" if i % 400 == 7 else "\r\n") for i in range(1000)]
+    path = write("mixed.csv", "K,V\r\n" + "".join(lines))
+    found = []
+    for size in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        try:
+            batch = read_delimited(spark, [path], has_header=True)
+            found.append((sorted(map(tuple, batch.rows().collect())), batch.bad.count()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] and len(found[0][0]) == 1000 and found[0][1] == 0

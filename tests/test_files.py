@@ -1,4 +1,5 @@
 import io
+import os
 import tarfile
 import zipfile
 
@@ -9,18 +10,19 @@ from quayside.batch import LandingError
 from quayside.functions.names import Destination
 from quayside.sources.delimited import read_delimited
 from quayside.sources.dialects import dialect
+from quayside.sources.files import list_files
 from quayside.sources.json_lines import read_json_lines
+from quayside.sources.units import units
 from quayside.sources.xml_files import read_xml
 
 RECORD = (
-    "<record><FIELD_1>{}</FIELD_1><FIELD_2>B</FIELD_2><FIELD_3>1</FIELD_3>"
-    "<FIELD_4><value>1</value><value>2</value><value>3</value></FIELD_4>"
-    "<FIELD_5><NESTED_1>A1</NESTED_1><NESTED_2>1</NESTED_2></FIELD_5></record>"
+    "<voyage><Port>{}</Port><days>31</days><Stops><stop>Cork</stop><stop>Lima</stop></Stops>"
+    "<Cargo><tea>12</tea><Rum>3</Rum></Cargo></voyage>"
 )
-XML = "<root>\n    " + "\n    ".join(RECORD.format(x) for x in "ACE") + "\n</root>"
-BAD_XML = XML.replace("</root>", "<record><BAD>XML FIELD</record></root>")
-CSV = "FIELD_1,FIELD_2,FIELD_3\nA,B,1\nC,D,2\nD,E,3\n"
-ROWS = [("A", "B", "1"), ("C", "D", "2"), ("D", "E", "3")]
+XML = "<voyages>" + "".join(RECORD.format(x) for x in ("Bergen", "Dakar", "Galle")) + "</voyages>"
+BAD_XML = XML.replace("</voyages>", "<voyage><Port>Hull</voyage></voyages>")
+CSV = "Port,Tons,Flag\nBergen,80,no\nDakar,95,sn\n"
+ROWS = [("Bergen", "80", "no"), ("Dakar", "95", "sn")]
 SKIPPED = {"readme.txt": "x", "x_audit.csv": "a\n1\n", "./.hidden": "z"}
 
 
@@ -47,16 +49,15 @@ def tarred(files: dict[str, str], mode: str = "w:gz") -> bytes:
 
 
 def test_xml(spark, write):
-    batch = read_xml(spark, [write("xml-sample.xml", XML)], replacement="_")
+    batch = read_xml(spark, [write("voyages.xml", XML)], replacement="_")
     kinds = {f.name: f.dataType.simpleString() for f in batch.rows().schema}
     assert kinds == {
-        "field_1": "string", "field_2": "string", "field_3": "string",
-        "field_4": "map<string,array<string>>", "field_5": "map<string,string>",
+        "port": "string", "days": "string", "stops": "map<string,array<string>>", "cargo": "map<string,string>",
     }
-    rows = batch.rows().orderBy("field_1").collect()
-    assert [r["field_1"] for r in rows] == ["A", "C", "E"]
-    assert rows[0]["field_4"] == {"value": ["1", "2", "3"]}
-    assert rows[0]["field_5"] == {"nested_1": "A1", "nested_2": "1"}
+    rows = batch.rows().orderBy("port").collect()
+    assert [r["port"] for r in rows] == ["Bergen", "Dakar", "Galle"]
+    assert rows[1]["stops"] == {"stop": ["Cork", "Lima"]}
+    assert rows[2]["cargo"] == {"tea": "12", "rum": "3"}
     assert batch.bad.count() == 0
 
 
@@ -92,10 +93,10 @@ def test_xml_text_records_are_rejected(spark, write):
 
 
 def test_xml_row_tag(spark, write):
-    path = write("a.xml", XML.replace("</root>", "<record><FIELD_1>G<x></FIELD_1></record></root>"))
-    batch = read_xml(spark, [path], replacement="_", row_tag="record")
-    assert [r[0] for r in tuples(batch.rows().select("field_1"))] == ["A", "C", "E"]
-    assert batch.rows().first()["field_4"] == {"value": ["1", "2", "3"]}
+    path = write("a.xml", XML.replace("</voyages>", "<voyage><Port>G<x></Port></voyage></voyages>"))
+    batch = read_xml(spark, [path], replacement="_", row_tag="voyage")
+    assert [r[0] for r in tuples(batch.rows().select("port"))] == ["Bergen", "Dakar", "Galle"]
+    assert batch.rows().first()["stops"] == {"stop": ["Cork", "Lima"]}
     assert "G<x>" in batch.bad.first()["rawData"]
 
 
@@ -103,8 +104,8 @@ def test_xml_row_tag(spark, write):
 
 
 def test_zip_of_csv(spark, write):
-    files = {"fileIngestionTest_csv_5.csv": CSV, "skip_pattern": "x,y\n", "a/b.csv": CSV, **SKIPPED}
-    path = write("csv-with-header.zip", zipped(files))
+    files = {"ports-5.csv": CSV, "skip_pattern": "x,y\n", "a/b.csv": CSV, **SKIPPED}
+    path = write("ports.zip", zipped(files))
     write("not-a-zip.txt", CSV)
     batch = read_delimited(
         spark, [path.rsplit("/", 1)[0]], has_header=True, compression="ZIP", skip=["skip_pattern"]
@@ -112,25 +113,25 @@ def test_zip_of_csv(spark, write):
     assert tuples(batch.rows()) == sorted(ROWS * 2)
     meta = batch.good.select("_meta.meta_archive_file_name", "_meta.meta_file_name").distinct()
     assert tuples(meta) == [
-        ("csv-with-header.zip", "a/b.csv"), ("csv-with-header.zip", "fileIngestionTest_csv_5.csv"),
+        ("ports.zip", "a/b.csv"), ("ports.zip", "ports-5.csv"),
     ]
 
 
 @pytest.mark.parametrize("mode", ["w:gz", "w", "w:bz2"])
 def test_tar_of_csv(spark, write, mode):
-    files = {"./fileIngestionTest_csv_6.csv": CSV, "other.csv": "Z,Y\n1,2\n3\n", **SKIPPED}
-    path = write("csv-with-header.tar.gz", tarred(files, mode))
+    files = {"./ports-6.csv": CSV, "other.csv": "Z,Y\n1,2\n3\n", **SKIPPED}
+    path = write("ports.tar.gz", tarred(files, mode))
     destination = Destination(r"(.*)\.csv", 1, "prefix_", "_suffix")
     batch = read_delimited(
         spark, [path], has_header=True, compression="TAR", replacement="_", destination=destination
     )
-    table = "prefix_fileingestiontest_csv_6_suffix"
+    table = "prefix_ports_6_suffix"
     own = batch.good.filter(f"_table = '{table}'")
     assert tuples(own.select(*batch.layout[table])) == ROWS
     assert batch.layout["prefix_other_suffix"] == ["z", "y"]
     assert tuples(batch.bad.select("rawData", "_table")) == [("3", "prefix_other_suffix_error")]
     names = {r[0] for r in batch.good.select("_meta.meta_file_name").collect()}
-    assert names == {"fileIngestionTest_csv_6.csv", "other.csv"}
+    assert names == {"ports-6.csv", "other.csv"}
 
 
 @pytest.mark.parametrize("mode", ["w:gz", "w"])
@@ -158,10 +159,10 @@ def test_archived_dialect(spark, write):
 
 
 def test_zip_and_tar_of_json(spark, write):
-    lines = '{"FIELD_1":"A","L":[1]}\r\n{"broken\n\n{"FIELD_1":"C"}'
+    lines = '{"port":"A","L":[1]}\r\n{"broken\n\n{"port":"C"}'
     for name, data, kind in (
-        ("json-sample.zip", zipped({"j_2.json": lines}), "ZIP"),
-        ("json-sample.tar.gz", tarred({"./j_2.json": lines}), "TAR"),
+        ("ports.zip", zipped({"j_2.json": lines}), "ZIP"),
+        ("ports.tar.gz", tarred({"./j_2.json": lines}), "TAR"),
     ):
         batch = read_json_lines(spark, [write(name, data)], compression=kind, redistribute=3)
         assert tuples(batch.rows()) == sorted([("A", ["1"]), ("C", None)], key=repr)
@@ -176,6 +177,44 @@ def test_zip_and_tar_of_xml(spark, write):
         assert tuples(batch.bad.select("rawData", "_meta.meta_file_name")) == [(BAD_XML, "bad.xml")]
 
 
+def test_sparse_entries_of_a_plain_tar(spark, write, tmp_path):
+    if os.system("tar --version > /dev/null 2>&1"):
+        pytest.skip("there is no tar")
+    path = tmp_path / "holes.csv"
+    with open(path, "wb") as f:
+        f.write(b"a,b\n1,")
+        f.seek(1 << 20)
+        f.write(b"2\n3,4\n")
+    assert not os.system(f"cd {tmp_path} && tar --sparse -cf holes.tar holes.csv")
+    with tarfile.open(tmp_path / "holes.tar") as tar:
+        sparse = tar.getmember("holes.csv").issparse()
+    batch = read_delimited(spark, [str(tmp_path / "holes.tar")], has_header=True, compression="TAR")
+    assert sparse and batch.good.count() == 2
+    assert tuples(batch.rows().where("a = '3'")) == [("3", "4")]
+
+
+def test_zip_directories_are_not_read_for_each_entry(spark, write):
+    path = write("many.zip", zipped({f"e{i}.json": f'{{"i":{i}}}' for i in range(2500)}))
+    work = units(list_files(spark, [path]), "ZIP")
+    assert work.count() <= 3
+    assert read_json_lines(spark, [path], compression="ZIP", skip=["e1.*"]).good.count() == 2500 - 1111
+
+
+def test_a_row_tag_without_files(spark, tmp_path):
+    assert read_xml(spark, [f"{tmp_path}/none*.xml"], row_tag="r").good.count() == 0
+
+
+def test_names_that_scans_leave_out(spark, write, tmp_path):
+    for name in ("_a", ".c", "b"):
+        write(f"{name}.csv", f"K,V\n{name},1\n")
+        write(f"{name}.json", f'{{"k":"{name}"}}\n')
+    for pattern, count in (("*.csv", 3), ("_a.csv", 1), ("[.]c.csv", 1)):
+        batch = read_delimited(spark, [f"{tmp_path}/{pattern}"], has_header=True)
+        assert batch.good.count() == count and batch.columns == ["k", "v"]
+    for pattern, count in (("*.json", 3), ("_a.json", 1)):
+        assert read_json_lines(spark, [f"{tmp_path}/{pattern}"]).good.count() == count
+
+
 def test_unknown_compression(spark, write):
     with pytest.raises(LandingError, match="RAR"):
         read_delimited(spark, [write("a.csv", CSV)], compression="RAR")

@@ -11,9 +11,10 @@ from quayside.operators.flatten import flatten
 from quayside.operators.metadata import inject_metadata
 from quayside.operators.routing import route
 from quayside.plans.steps import JobOptions, run_steps
-from quayside.sinks.avro import AvroSink, land_avro
-from quayside.sinks.tables import TableSink, land_tables
-from quayside.sources.avro_files import read_avro
+from quayside.sinks.commits import Folder, location
+from quayside.sinks.files import FileSink, land_files
+from quayside.sinks.tables import TableSink, fan_out, land_tables
+from quayside.sources.spark_files import read_files
 from quayside.sources.json_lines import read_documents
 from quayside.sources.messages import read_messages
 from quayside.streaming.landing import STREAMING_INSERTS, land_stream
@@ -117,20 +118,70 @@ def test_time_partitions(spark, dataset, unit, expected):
     assert f"PartitionFilters: [isnotnull({stored}" in plan
 
 
-def test_a_replayed_batch_replaces_its_rows(spark, dataset):
+def test_a_replayed_batch_lands_once(spark, dataset):
     sink = TableSink(dataset, "t", partition_by=("timestamp_value", "DAY"))
     batch = from_frame(schema_test(spark, 5))
-    for batch_id in ("s-0", "s-1", "s-0", "it's"):
+    for batch_id in ("s-0", "s-1", "s-1", "other-0", "s-2", "s-3", "s-3"):
         land_tables(batch, sink, batch_id)
-    assert tuples(spark.table(f"{dataset}.t").groupBy("_batch_id").count()) == [
-        ("it's", 5), ("s-0", 5), ("s-1", 5),
-    ]
+    landed = spark.table(f"{dataset}.t")
+    assert landed.count() == 25 and "_batch_id" not in landed.columns
+    place = location(spark, f"{dataset}.t")
+    # what can no longer be replayed is forgotten
+    assert sorted(Folder(spark, place).names("_commits")) == ["other-0", "s-2", "s-3"]
+    assert Folder(spark, place).names("_staging") == []
+
+
+def test_a_try_that_was_lost_half_way_is_finished(spark, dataset, monkeypatch):
+    sink, batch = TableSink(dataset, "t"), from_frame(schema_test(spark, 50).repartition(4))
+    move, calls = Folder.move, []
+
+    def lost(self, source, target):
+        calls.append(target)
+        if len(calls) == 3:
+            raise OSError("lost")
+        move(self, source, target)
+
+    monkeypatch.setattr(Folder, "move", lost)
+    with pytest.raises(OSError, match="lost"):
+        land_tables(batch, sink, "s-0")
+    monkeypatch.setattr(Folder, "move", move)
+    land_tables(batch, sink, "s-0")
+    assert spark.table(f"{dataset}.t").count() == 50
+
+
+def test_no_copy_stays_after_landing(spark, dataset, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    rows = spark.range(100).withColumn("_table", F.when(F.col("id") < 50, "a").otherwise("b"))
+    batch = route(from_frame(rows.drop("_table")), F.when(F.col("id") < 50, "a").otherwise("b"))
+    land_tables(batch, TableSink(dataset))
+    fan_out(batch, [lambda b: land_tables(b, TableSink(dataset)), lambda b: b.rows().count()])
+    assert {n for n in os.listdir(shared) if n.startswith(("stage", "parsed"))} <= before
+    assert spark.table(f"{dataset}.a").count() == 100
 
 
-# --- Avro -----------------------------------------------------------------------------
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    from quayside import scratch
 
+    class Cluster:
+        master, applicationId = "spark://host:7077", "app"
 
-def test_avro_layout_and_types(spark, tmp_path):
+    class Session:
+        sparkContext = Cluster()
+
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch(Session(), "x")
+    Session.sparkContext.master = "local[2]"
+    assert scratch.scratch(Session(), "x")
+
+
+# --- files ----------------------------------------------------------------------------
+
+
+def test_file_layout_and_types(spark, tmp_path):
     root = f"file://{tmp_path}/out"
     rows = schema_test(spark).selectExpr(
         "*", "CAST(id AS decimal(10,2)) / 4 AS price", "date'2023-01-02' AS day",
@@ -138,11 +189,11 @@ def test_avro_layout_and_types(spark, tmp_path):
         "CAST(id AS smallint) AS small", "IF(id = 3, NULL, -id * 1e300) AS dbl",
     )
     rows = rows.withColumn("price", F.col("price").cast("decimal(12,2)"))
-    load = land_avro(from_frame(rows), AvroSink(root, shards=2), datetime(2023, 1, 2, tzinfo=UTC))
+    load = land_files(from_frame(rows), FileSink(root, shards=2, format="parquet"), datetime(2023, 1, 2, tzinfo=UTC))
     folder = tmp_path / "out" / "table=default" / "meta_load_date=2023-01-02"
-    assert sorted(os.listdir(folder)) == [f"0-{load}.avro", f"1-{load}.avro"]
+    assert sorted(f for f in os.listdir(folder) if f[0] != ".") == [f"0-{load}.avro", f"1-{load}.avro"]
     assert not os.listdir(tmp_path / "out" / "_temporary")
-    read = read_avro(spark, [f"{root}/*/*/*.avro"], ("table",)).rows()
+    read = read_files(spark, [f"{root}/*/*/*.avro"], "parquet", ("table",)).rows()
     assert read.count() == 20
     row = read.filter("id = 7").first()
     assert row["name"] == "value_7" and row["float_value"] == 5.5 and row["long_value"] == 5600000
@@ -154,26 +205,20 @@ def test_avro_layout_and_types(spark, tmp_path):
     assert row["table"] == "default"
 
 
-def test_avro_files_have_the_columns_of_their_table(spark, tmp_path):
-    from quayside.sinks.avro_codec import read_header
-
+def test_files_have_the_columns_of_their_table(spark, tmp_path):
     df = spark.createDataFrame(
         [('{"a":1}', "t1"), ('{"b":[2]}', "t2"), ("{", "t2")], "value string, _table string"
     ).withColumn("_meta", F.struct(F.lit("f").alias("meta_file_name")))
     from quayside.operators.documents import parse_documents
 
-    land_avro(parse_documents(df, routed=True), AvroSink(str(tmp_path)))
-    found = {}
-    for folder, _, files in os.walk(tmp_path):
-        for name in files:
-            if name.endswith(".avro"):
-                with open(f"{folder}/{name}", "rb") as f:
-                    table = folder.split("table=")[1].split("/")[0]
-                    found[table] = [x["name"] for x in read_header(f)[0]["fields"]]
+    land_files(parse_documents(df, routed=True), FileSink(str(tmp_path), format="parquet"))
+    found = {t: spark.read.parquet(f"{tmp_path}/table={t}/*").columns for t in ("t1", "t2", "t2_error")}
     assert found == {"t1": ["a"], "t2": ["b"], "t2_error": ["errorMessage", "rawData"]}
+    with pytest.raises(LandingError, match="cannot write avro"):
+        land_files(parse_documents(df, routed=True), FileSink(str(tmp_path / "avro")))
 
 
-def test_a_failed_avro_write_leaves_nothing(spark, tmp_path):
+def test_a_failed_file_write_leaves_nothing(spark, tmp_path):
     def fail(batches):
         for batch in batches:
             yield batch
@@ -181,7 +226,7 @@ def test_a_failed_avro_write_leaves_nothing(spark, tmp_path):
 
     rows = schema_test(spark).mapInArrow(fail, SCHEMA_TEST)
     with pytest.raises(Exception, match="lost"):
-        land_avro(from_frame(rows), AvroSink(str(tmp_path / "out")))
+        land_files(from_frame(rows), FileSink(str(tmp_path / "out"), format="parquet"))
     left = [f for _, _, files in os.walk(tmp_path / "out") for f in files]
     assert left == []
 
@@ -204,7 +249,7 @@ def test_stream_goes_on_from_its_checkpoint_and_grows_the_schema(spark, dataset,
     def run(stream):
         land_stream(
             stream, read_messages, TableSink(dataset, "t"), check,
-            steps=[flatten, inject_metadata], available_now=True,
+            steps=[flatten, inject_metadata], available_now=True, method=STREAMING_INSERTS,
         ).awaitTermination()
 
     run(messages(spark, folder, [(0, '{"a":1}'), (1, "{broken")]))
@@ -248,7 +293,7 @@ def test_step_list(spark, dataset, write, tmp_path):
         },
         {"type": "InjectMetadata", "fieldsToRename": [{"fromField": "id", "toField": "KEY"}]},
         {"type": "WriteBigQuery", "partitionBy": {"columnName": "meta_load_timestamp", "dataType": "DAY"}},
-        {"type": "WriteAvro", "outputRoot": f"{tmp_path}/avro", "numShards": 1},
+        {"type": "WriteAvro", "outputRoot": f"{tmp_path}/avro", "numShards": 1, "format": "parquet"},
         {"type": "write", "implementation": lambda df, is_error: seen.append((df.count(), is_error))},
     ]
     options = JobOptions(input_file_pattern=f"{tmp_path}/in/*.csv", land_dataset=dataset)
