@@ -39,7 +39,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_documents: int = 2) ->
         )
     )
     lines = work.table(lines, "lines")
-    shared = _shared(lines, min_documents)
+    # A table of its own, so that Spark shuffles both sides of the join and splits a hot line.
+    shared = work.table(_shared(lines, min_documents), "shared")
     dropped = (
         lines.join(shared, ["h1", "h2"])
         .where(F.col(ID) != F.col("first_id"))

@@ -67,17 +67,20 @@ def repeated_strings(docs: DataFrame, work: Workspace, threshold: int = 400) ->
             .where("n > 1")
             .select(*pair, F.xxhash64(F.lit(k), *pair).alias("next_rank"))
         )
+        ranked = work.table(ranked, f"pairs{k}")
         positions = positions.join(ranked, pair).drop(*pair).withColumnRenamed("next_rank", "rank")
         positions = work.table(positions, f"rank{k}")
-    judged = work.table(judge_hulls(positions, ["rank"]), "judged")
-    work.drop("positions", *[f"rank{k}" for k in range(1, len(runs))])
-    ends = work.table(refined(texts, judged, scheme, max(1, scheme.block // 4)), "ends")
+        work.drop(f"pairs{k}", "positions" if k == 1 else f"rank{k - 1}")
+    judged = judge_hulls(positions, ["rank"], work, "judged")
+    work.drop("positions" if len(runs) == 1 else f"rank{len(runs) - 1}")
+    ends = refined(texts, judged, scheme, max(1, scheme.block // 4), work)
     judged = judged.where("solved").unionByName(ends.where("solved"))
     names = with_probes(texts, ends).mapInArrow(
         _emit_strings(scheme), f"{ID} long, {TEXT_HASH} long, start long, a long, b long"
     )
     names = work.table(names, "names")
     again = names.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    again = work.table(again, "again")
     return texts, repeated_ranges(judged, names.join(again, ["a", "b"]).select(*KEY, "start"))
 
 

@@ -62,9 +62,9 @@ def repeated_sequences(
     texts = anchored_documents(docs, scheme, work)
     blocks = texts.mapInArrow(emit_blocks(scheme, [(0, scheme.core)]), block_schema(1))
     blocks = work.table(blocks, "blocks")
-    judged = work.table(judge_hulls(blocks, ["name0"]), "judged")
+    judged = judge_hulls(blocks, ["name0"], work, "judged")
     work.drop("blocks")
-    ends = work.table(refined(texts, judged, scheme, max(1, scheme.block // 4)), "ends")
+    ends = refined(texts, judged, scheme, max(1, scheme.block // 4), work)
     judged = judged.where("solved").unionByName(ends.where("solved"))
     parts = edges(threshold)
     path = [f"edge{i}" for i in range(len(parts))]

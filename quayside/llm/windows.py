@@ -137,14 +137,16 @@ def anchored_documents(docs: DataFrame, scheme: Scheme, work: Workspace) -> Data
         f"{ID} long, {TEXT_HASH} long, print long, anchor long, first long, last long",
     )
     anchors = work.table(anchors, "anchors")
+    # A table of its own, so that Spark shuffles both sides of the join and splits a hot print.
     again = anchors.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    again = work.table(again, "again")
     own = (
         anchors.join(again, "print")
         .groupBy(*KEY)
         .agg(F.collect_set(F.struct("anchor", "first", "last")).alias("anchors"))
     )
     out = work.table(base.join(own, KEY), "documents")
-    work.drop("anchors")
+    work.drop("anchors", "again")
     return out
 
 
@@ -241,7 +243,7 @@ def block_schema(names: int) -> str:
     ) + "hull long"
 
 
-def judge_hulls(blocks: DataFrame, core: list[str]) -> DataFrame:
+def judge_hulls(blocks: DataFrame, core: list[str], work: Workspace, name: str) -> DataFrame:
     """Blocks of cores that occur again, with ``solved`` (its hull occurs again) and ``probe``.
 
     Probes are the blocks whose windows are to be compared one by one: the unsolved ones and,
@@ -251,28 +253,34 @@ def judge_hulls(blocks: DataFrame, core: list[str]) -> DataFrame:
     hulls = blocks.groupBy(*core, "hull").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     alone = F.col("hull").isNull() | (F.col("n") == 1)
     cores = hulls.groupBy(*core).agg(F.max(alone).alias("unsolved"), F.sum("n").alias("total"))
-    hulls = hulls.join(cores.where("total > 1").drop("total"), core)
+    hulls = work.table(hulls.join(cores.where("total > 1").drop("total"), core), f"{name}-hulls")
     solved = ~alone
     other = hulls.select(*[F.col(c).alias(f"_{c}") for c in core], F.col("hull").alias("_hull"), "n", "one", "unsolved")
     same = F.col("hull").eqNullSafe(F.col("_hull"))
     for c in core:
         same = same & (F.col(c) == F.col(f"_{c}"))
-    return (
+    judged = (
         blocks.join(other, same)
         .withColumn("solved", solved)
         .withColumn("probe", ~solved | (F.col("unsolved") & (F.col("one") == place)))
         .select(*KEY, "head", "first", "last", "solved", "probe")
     )
+    judged = work.table(judged, name)
+    work.drop(f"{name}-hulls")
+    return judged
 
 
-def refined(documents: DataFrame, judged: DataFrame, scheme: Scheme, block: int) -> DataFrame:
+def refined(documents: DataFrame, judged: DataFrame, scheme: Scheme, block: int, work: Workspace) -> DataFrame:
     """The probes in smaller blocks, judged again: what is left at the ends of repeats is small."""
     fine = replace(scheme, block=block)
     heads = F.collect_set(F.struct(F.col("head").alias("anchor"), "first", "last")).alias("anchors")
     own = judged.where("probe").groupBy(*KEY).agg(heads)
     blocks = documents.select(*KEY, "text").join(own, KEY)
     blocks = blocks.mapInArrow(emit_blocks(fine, [(0, fine.core)]), block_schema(1))
-    return judge_hulls(blocks, ["name0"])
+    blocks = work.table(blocks, "small-blocks")
+    ends = judge_hulls(blocks, ["name0"], work, "ends")
+    work.drop("small-blocks")
+    return ends
 
 
 def with_probes(documents: DataFrame, judged: DataFrame) -> DataFrame:
