@@ -94,6 +94,10 @@ def cases(spark: SparkSession) -> dict:
 
     return {
         "s1_csv_header": lambda: drain(read_delimited(spark, [csv], has_header=True, replacement="_").rows()),
+        "s6_csv_generic_header": lambda: drain(read_delimited(spark, [csv]).rows()),
+        "s1_csv_landed": lambda: land(
+            read_delimited(spark, [csv], has_header=True), TableSink(new_dataset(spark, "bench"), "t")
+        ),
         "s2_mysql_dialect": lambda: drain(
             read_delimited(spark, [tsv], format=dialect("MYSQL"), header=[(".*", columns)]).rows()
         ),
@@ -110,7 +114,7 @@ def cases(spark: SparkSession) -> dict:
         "w4_partition": lambda: land(
             rows, TableSink(new_dataset(spark, "bench"), "t", partition_by=("l_shipdate", "MONTH"))
         ),
-        "w10_avro": lambda: land_files(rows, FileSink(scratch(spark, "bench_avro"), format="parquet")) and None,
+        "w10_file_layout": lambda: land_files(rows, FileSink(scratch(spark, "bench_avro"), format="parquet")) and None,
     }
 
 
