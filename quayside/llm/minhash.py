@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,14 +26,26 @@ TURNS = 16
 class NearDup:
     """Parameters: shingles of ``words`` words; links at ``percent`` % Jaccard similarity or more.
 
-    A signature has ``bands * rows`` coordinates. With 32 bands of 4, two documents of
-    similarity 0.75 share no band with probability 5e-6, of 0.8 with 5e-8.
+    A signature has ``coordinates`` coordinates, the first ``bands * rows`` of which are
+    banded. With 32 bands of 4, two documents of similarity 0.75 share no band with
+    probability 5e-6, of 0.8 with 5e-8. The low four bits of all coordinates are the sketch
+    that later rounds estimate similarity from: a pair at the threshold differs in 3.7
+    standard deviations more coordinates than expected, and is not compared, with
+    probability 1e-4, one of 5 points more with 1e-8.
     """
 
     words: int = 5
     percent: int = 75
     bands: int = 32
     rows: int = 4
+    coordinates: int = 256
+
+    @property
+    def most_different(self) -> int:
+        """In how many coordinates the sketches of a pair to compare may differ."""
+        share = (100 - self.percent) / 100 * 15 / 16
+        spread = (self.coordinates * share * (1 - share)) ** 0.5
+        return math.ceil(self.coordinates * share + 3.7 * spread)
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +88,26 @@ def circulant_minima(hashes: np.ndarray, begins: np.ndarray, coordinates: int) -
     return out
 
 
+def _sketch(low: np.ndarray) -> np.ndarray:
+    """The low four bits of the coordinates, 16 to a number: ``[document, number]``."""
+    nibbles = (low & U(15)).reshape(-1, 16, low.shape[1])
+    out = np.zeros((nibbles.shape[0], low.shape[1]), dtype=np.uint64)
+    for j in range(16):
+        out |= nibbles[:, j] << U(4 * j)
+    return np.ascontiguousarray(out.T)
+
+
+def differences(a: Column, b: Column, n: int) -> Column:
+    """In how many coordinates two sketches of ``n`` numbers differ."""
+    total = F.lit(0)
+    for i in range(n):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def _permuted(x: np.ndarray, a: np.uint32, b: np.uint32) -> np.ndarray:
     x = (x ^ (x >> np.uint32(16))) * a
     x = (x ^ (x >> np.uint32(15))) * b
@@ -111,10 +144,12 @@ def _signatures(p: NearDup):
                 full = sizes > 0
                 begins = (np.cumsum(sizes) - sizes)[full]
                 bands = np.empty((0, p.bands), dtype=np.uint64)
+                sketch = np.empty((0, p.coordinates // 16), dtype=np.uint64)
                 a = b = np.zeros(len(sizes), dtype=np.uint64)
                 if full.any():
-                    low = circulant_minima(sets, begins, p.bands * p.rows).astype(np.uint64)
-                    low = low.reshape(p.bands, p.rows, -1)
+                    low = circulant_minima(sets, begins, p.coordinates).astype(np.uint64)
+                    sketch = _sketch(low)
+                    low = low[: p.bands * p.rows].reshape(p.bands, p.rows, -1)
                     key = np.broadcast_to(np.arange(1, p.bands + 1, dtype=np.uint64)[:, None], low[:, 0].shape)
                     for j in range(p.rows):
                         key = mixed(key * U(0x9E3779B97F4A7C15) + low[:, j])
@@ -130,8 +165,9 @@ def _signatures(p: NearDup):
                         _signed(a),
                         _signed(b),
                         array_column(bands.ravel().view(np.int64), full * p.bands, pa.int64()),
+                        array_column(sketch.ravel().view(np.int64), full * (p.coordinates // 16), pa.int64()),
                     ],
-                    [ID, TEXT_HASH, "n_shingles", "set_a", "set_b", "bands"],
+                    [ID, TEXT_HASH, "n_shingles", "set_a", "set_b", "bands", "sketch"],
                 )
 
     return run
@@ -173,24 +209,24 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     Documents with equal sets become one representative first, so copies are never paired.
     Representatives that share a band meet in its bucket. A bucket is worked on in rounds, see
     ``_links``: all members with one leader, then members outside the largest component with
-    those of other components, until no two that are in different components have not been
-    compared. So a large group of near copies costs a few comparisons a member, and a bucket
-    of documents that are not alike is still compared in full. Links are confirmed on the full
-    sets.
+    those of other components whose sketch is near enough, until no two such members are left
+    that are in different components. So a large group of near copies costs a few comparisons a member, and a bucket
+    of documents that are not alike is still looked at in full. Links are confirmed on the
+    full sets.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near-duplicates")
     base = keyed(docs)
     signed = base.select(ID, TEXT_HASH, "text").mapInArrow(
         _signatures(p),
-        f"{ID} long, {TEXT_HASH} long, n_shingles long, set_a long, set_b long, bands array<long>",
+        f"{ID} long, {TEXT_HASH} long, n_shingles long, set_a long, set_b long, bands array<long>,"
+        " sketch array<long>",
     )
     signed = work.table(signed, "signatures")
     alike = signed.where((F.col("n_shingles") > 0) & (F.col(ID) != NO_ID))
+    # Tables of their own, so that Spark shuffles both sides of a join and splits hot keys.
     classes = alike.groupBy("set_a", "set_b").agg(F.min(ID).alias("node"))
-    members = work.table(
-        alike.select(ID, "set_a", "set_b", "n_shingles").join(classes, ["set_a", "set_b"]), "members"
-    )
+    classes = work.table(classes, "classes")
     firsts = classes.withColumnRenamed("node", ID)
     buckets = (
         alike.join(firsts, [ID, "set_a", "set_b"])
@@ -199,8 +235,9 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     )
     buckets = work.table(buckets, "buckets")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = work.table(shared, "full")
     buckets = work.table(buckets.join(shared, "bucket"), "shared")
-    work.drop("buckets")
+    work.drop("buckets", "full")
 
     nodes = buckets.select("node").distinct()
     texts = base.select(F.col(ID).alias("node"), TEXT_HASH, "text").join(nodes, "node")
@@ -212,7 +249,12 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     )
     sets = work.table(sets, "sets")
 
-    links = _links(work, buckets, sets, p)
+    sketches = alike.join(firsts, [ID, "set_a", "set_b"]).select(
+        F.col(ID).alias("node"), "n_shingles", "bands", "sketch"
+    )
+    sketches = work.table(sketches.join(nodes, "node", "left_semi").distinct(), "sketches")
+    links = _links(work, buckets, sets, sketches, p)
+    members = alike.select(ID, "set_a", "set_b").join(classes, ["set_a", "set_b"])
     same = members.where(F.col(ID) != F.col("node")).select(F.col(ID).alias("a"), F.col("node").alias("b"))
     found = connected(links.unionByName(same), work, "documents")
     component = F.when(F.col(ID) != NO_ID, F.coalesce("component", F.col(ID)))
@@ -241,14 +283,17 @@ def distinct_documents(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     return stay.select("_row").unionByName(own.where(F.col(ID) == NO_ID).select("_row")).select("_row.*")
 
 
-def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
+def _links(
+    work: Workspace, buckets: DataFrame, sets: DataFrame, sketches: DataFrame, p: NearDup
+) -> DataFrame:
     """Links between representatives, enough of them to give all components.
 
-    Round 0 compares each node with the smallest leader of its buckets, round 1 each bucket's
-    members with its leader. Later rounds look at buckets that still hold several components:
-    each member outside the bucket's largest one is compared with the members of the other
-    components. Where these are many they take turns: about ``TURNS`` of a bucket first, then
-    the square of that, and so on.
+    Round 0 compares each node with the smallest leader of its buckets and labels it with
+    that, round 1 each bucket's members with its leader; then labels are components. Later
+    rounds look at buckets that still hold several components: each member outside the
+    bucket's largest one is compared with the members of the other components, unless their
+    sizes or sketches rule a link out. Where these are many they take turns: about ``TURNS``
+    of a bucket first, then the square of that, and so on.
     """
     spark = buckets.sparkSession
     links = spark.createDataFrame([], "a long, b long")
@@ -278,9 +323,10 @@ def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) ->
             pairs = rows.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         else:
             lead = rows.where((F.col("component") != F.col("main")) & (turn * F.col("outside") < most))
-            lead = lead.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = rows.select("bucket", F.col("node").alias("a"), "component").join(lead, "bucket")
-            pairs = pairs.where("component <> other").select("a", "b")
+            lead = lead.select("bucket", "node", "component").join(sketches, "node")
+            lead = lead.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("component", *sketches.columns)])
+            pairs = rows.select("bucket", "node", "component").join(sketches, "node").join(lead, "bucket")
+            pairs = pairs.where(_promising(p)).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if round_:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -289,7 +335,12 @@ def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) ->
         links = links.unionByName(judged.where("linked").select("a", "b"))
         if round_ > 1 and most >= outside:
             break
-        found = connected(links, work, f"round-{round_}")
+        if round_:
+            found = connected(links, work, f"round-{round_}")
+        else:
+            # labels need not be whole components yet: nodes of one label have to be connected
+            found = judged.where("linked").select(F.col("b").alias("node"), F.col("a").alias("component"))
+            found = found.groupBy("node").agg(F.min("component").alias("component"))
         rows = (
             rows.select("bucket", "node")
             .join(found, "node", "left")
@@ -300,6 +351,23 @@ def _links(work: Workspace, buckets: DataFrame, sets: DataFrame, p: NearDup) ->
     return links
 
 
+def _promising(p: NearDup) -> Column:
+    """Whether two members of a bucket are to be compared: in the first bucket that they share,
+    if they are in different components and neither their sizes nor their sketches rule it out."""
+    shared = [
+        F.when(F.get("bands", F.lit(i)) == F.get("bands_b", F.lit(i)), F.get("bands", F.lit(i)))
+        for i in range(p.bands)
+    ]
+    smaller, larger = F.least("n_shingles", "n_shingles_b"), F.greatest("n_shingles", "n_shingles_b")
+    differ = differences(F.col("sketch"), F.col("sketch_b"), p.coordinates // 16)
+    return (
+        (F.col("component") != F.col("component_b"))
+        & (100 * smaller >= p.percent * larger)
+        & (differ <= p.most_different)
+        & (F.coalesce(*shared) == F.col("bucket"))
+    )
+
+
 def _judged(pairs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
     """``a, b, linked`` by the Jaccard similarity of the full sets."""
 

@@ -86,3 +86,16 @@ def test_components_of_a_long_path_and_a_star(spark):
     found = connected(spark.createDataFrame(links, "a long, b long"), Workspace(spark, "test"), "links").collect()
     want = {i: 200 for i in range(200, 301)} | {i: 5 for i in [5, 7, *range(400, 450)]}
     assert {r["node"]: r["component"] for r in found} == want
+
+
+def test_sketches_count_differing_coordinates(spark):
+    from pyspark.sql import functions as F
+
+    from quayside.llm.minhash import _sketch, differences
+
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 4, (32, 2), dtype=np.uint64)
+    sketch = _sketch(low).view(np.int64).tolist()
+    row = spark.createDataFrame([tuple(sketch)], "a array<long>, b array<long>")
+    got = row.select(differences(F.col("a"), F.col("b"), 2)).first()[0]
+    assert got == int((low[:, 0] % 16 != low[:, 1] % 16).sum())
