@@ -19,7 +19,7 @@ from quayside.scratch import Workspace
 U = np.uint64
 
 #: Members of a bucket that are compared with all others in the first of the later rounds.
-TURNS = 16
+TURNS = 1024
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class NearDup:
     percent: int = 75
     bands: int = 32
     rows: int = 4
-    coordinates: int = 256
+    coordinates: int = 512
 
     @property
     def most_different(self) -> int:
