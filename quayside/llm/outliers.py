@@ -29,20 +29,27 @@ class Outliers:
     ``half`` is the share of a group's rows that the estimate fits (the h of the method);
     sources of fewer than ``least`` rows are one group by language, and where that is smaller
     it has no estimate and rejects nothing. ``floors`` are
-    the smallest standard deviations of the transformed statistics: most documents have no
-    symbols or repeats at all, whose variance would be 0. ``weight_cut`` and ``cut`` are squared
-    distances: the 0.975 quantile of chi-square with 5 degrees of freedom for the reweighting
-    step, and ten standard deviations, beyond which a document is rejected. ``median`` is its
-    median.
+    the smallest standard deviations of the transformed statistics, and widen no larger one:
+    most documents have no symbols or repeats at all, whose variance would be 0, and one symbol
+    or line in a document of 350 words, a middling length, is 0.25. ``least_variance`` is
+    added to all variances, so that a covariance of statistics that go together can be
+    inverted. ``weight_cut`` and ``cut`` are squared distances: the 0.975 and 0.999 quantiles of
+    chi-square with 5 degrees of freedom, for the reweighting step and for the verdict.
+    ``nearest`` and ``reweighted`` are how much the covariance of a normal sample exceeds that
+    of its nearest ``half``, and of its part within ``weight_cut``: 0.75 and 0.975 over the
+    shares of chi-square with 7 degrees of freedom below the 0.75 and 0.975 quantiles of that
+    with 5.
     """
 
     half: float = 0.75
     least: int = 50
     steps: int = 10
-    floors: tuple[float, ...] = (0.3, 0.1, 0.25, 0.5, 0.5)
-    median: float = 4.351
+    floors: tuple[float, ...] = (0.01, 0.01, 0.25, 0.25, 0.25)
+    least_variance: float = 1e-4
+    nearest: float = 1.412
     weight_cut: float = 12.833
-    cut: float = 100.0
+    reweighted: float = 1.056
+    cut: float = 20.515
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -184,8 +191,8 @@ def _start(rows: DataFrame, p: Outliers) -> DataFrame:
     return each.groupBy(*GROUP).agg(*means, *inverse, F.lit(0.0).alias("log_det"))
 
 
-def _fit(rows: DataFrame, p: Outliers) -> DataFrame:
-    """Mean and inverse covariance of each group's rows."""
+def _fit(rows: DataFrame, p: Outliers, factor: float = 1.0) -> DataFrame:
+    """Mean and inverse covariance, ``factor`` times that of the rows, of each group."""
     sums = [F.sum(x).alias(f"s_{x}") for x in X]
     squares = [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}{j}") for i, j in PAIRS]
     moments = rows.groupBy(*GROUP).agg(F.count("*").alias("n"), *sums, *squares)
@@ -198,7 +205,9 @@ def _fit(rows: DataFrame, p: Outliers) -> DataFrame:
             for k, (i, j) in enumerate(PAIRS):
                 value = batch.column(8 + k).to_numpy() / n - mean[:, i] * mean[:, j]
                 cov[:, i, j] = cov[:, j, i] = value
-            cov += np.diag(np.square(p.floors))
+            cov *= factor
+            i = np.arange(5)
+            cov[:, i, i] += np.maximum(np.square(p.floors) - cov[:, i, i], p.least_variance)
             inverse = np.linalg.inv(cov) if len(n) else cov
             log_det = np.linalg.slogdet(cov)[1] if len(n) else n
             yield pa.RecordBatch.from_arrays(
@@ -220,8 +229,10 @@ def estimates(rows: DataFrame, work: Workspace, p: Outliers) -> DataFrame:
     """The estimate of each group that is large enough: all of its rows take part.
 
     Concentration steps: fit the share ``half`` of the rows that are nearest to the estimate
-    so far, until no determinant changes. Then the covariance is scaled so that the median
-    distance is that of a normal sample, and rows within ``weight_cut`` are fitted once more.
+    so far, until no determinant changes. Then the covariance is scaled by
+    ``nearest``, and rows within ``weight_cut`` are fitted once more, scaled by ``reweighted``.
+    The factors are those of a normal sample: a median distance would be too small where most
+    rows have the same zeros.
     A step is two passes over the numbers, with sums by group combined before the shuffle.
     """
     large = rows.groupBy(*GROUP).agg(F.count("*").alias("n")).where(F.col("n") >= p.least).drop("n")
@@ -235,14 +246,8 @@ def estimates(rows: DataFrame, work: Workspace, p: Outliers) -> DataFrame:
         now = new
         if moved is None or (step > 1 and moved < 1e-6):
             break
-    scaled = rows.join(now, GROUP)
-    middle = _quantile(scaled, GROUP, _log_bin(_distance()), 0.5)
-    factor = F.exp((F.col("bin") + 0.5) / 100) / p.median
-    now = now.join(middle, GROUP).select(
-        *GROUP, *MEAN, *[(F.col(c) / factor).alias(c) for c in INVERSE], "log_det"
-    )
-    now = work.table(now, "scaled")
-    return work.table(_fit(rows.join(now, GROUP).where(_distance() <= p.weight_cut).select(*GROUP, *X), p), "final")
+    near = rows.join(now, GROUP).where(_distance() / p.nearest <= p.weight_cut).select(*GROUP, *X)
+    return work.table(_fit(near, p, p.reweighted), "final")
 
 
 def _nearest(rows: DataFrame, estimate: DataFrame, share: float) -> DataFrame:

@@ -194,6 +194,24 @@ def test_far_documents_are_rejected_and_near_ones_stay(frame):
     assert all(r["kept"] and r["distance"] is None for r in few)
 
 
+def test_documents_of_symbols_or_of_repeated_lines_are_rejected(frame):
+    """Below the base rule, in a clean group: each statistic can reject alone."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(60, 300))) for _ in range(200)]
+    own = rng.sample(vocabulary, 180)
+    symbols = " ".join(w if i % 20 else f"#{w}" for i, w in enumerate(own[:100]))
+    line = " ".join(own[:3])
+    lines = "\n".join([" ".join(own[3 : 3 + 70]), *[line] * 17])  # 17 lines of 3 words in 121
+    two = [" ".join(own[i : i + 2]) for i in range(0, 80, 2)]
+    pairs = "\n".join([*two, *rng.sample(two, 40)])
+    got = {r["doc_id"]: r for r in judge_documents(frame([*texts, symbols, lines, pairs])).collect()}
+    assert [got[i]["n_symbols"] * 100 / got[i]["n_words"] for i in (200,)] == [5]
+    assert got[201]["n_dup_lines"] == 16 and got[202]["n_dup_lines"] == 40
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i in (200, 201, 202))
+    assert sum(got[i]["kept"] for i in range(200)) >= 198
+
+
 def test_estimate_is_that_of_a_concentrated_half(spark):
     """The estimates against the same steps by sorting whole groups."""
     from quayside.llm.outliers import GROUP, MEAN, X, estimates
