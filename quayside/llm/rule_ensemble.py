@@ -115,10 +115,11 @@ def fit(rows: DataFrame, p: RuleParameters = RuleParameters()) -> Ensemble:
     """Rules and weights from ``rows``: the statistics and ``label`` 0 or 1.
 
     ``rows`` has at most about ``most_rows`` rows and is brought in one order in one
-    partition, so that the fit does not depend on how it was partitioned. Without rows, or
+    partition, so that the fit does not depend on how it was partitioned; what made them is
+    not in that task. Without rows, or
     with one label only, there are no rules and the score is the smoothed share of label 1.
     """
-    rows = rows.select("label", *NAMES).coalesce(1).sortWithinPartitions("label", *NAMES).cache()
+    rows = rows.select("label", *NAMES).repartition(1).sortWithinPartitions("label", *NAMES).cache()
     try:
         ones, n = rows.agg(F.sum("label"), F.count("*")).first()
         ones = ones or 0
@@ -156,7 +157,8 @@ def labelled(scored: DataFrame, labels: DataFrame, learn: Column, p: RuleParamet
     """Rows of the statistics to learn from, with ``label``; about ``most_rows`` by a hash of the id.
 
     Labels that are NULL, or of a NULL id, are left out; several labels of a document count as
-    the larger half of them, ties as 1.
+    the larger half of them, ties as 1. Where rows repeat labelled ids so that there are more
+    than ``most_rows``, equal rows count once and the others are taken by a hash of the row.
     """
     own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     own = own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
@@ -167,4 +169,12 @@ def labelled(scored: DataFrame, labels: DataFrame, learn: Column, p: RuleParamet
     if n > p.most_rows:
         share = int(p.most_rows / n * 1_000_000)
         own = own.where(F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.lit(1_000_000)) < share)
-    return scored.join(own, "doc_id")
+    rows = scored.join(own, "doc_id")
+    if rows.count() > p.most_rows:
+        row = ["doc_id", *NAMES]
+        rows = rows.dropDuplicates(row)
+        n = rows.count()
+        if n > p.most_rows:
+            share = int(p.most_rows / n * 1_000_000)
+            rows = rows.where(F.pmod(F.xxhash64(F.lit(p.seed + 1), *row), F.lit(1_000_000)) < share)
+    return rows

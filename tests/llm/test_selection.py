@@ -270,3 +270,20 @@ def test_odd_labels(spark, frame):
     none = fit(rows.limit(0))
     assert [round(r[0], 3) for r in stats.limit(1).select(score_column(none)).collect()] == [0.5]
     assert labelled(stats, labels.limit(0), F.lit(True), RuleParameters()).count() == 0
+
+
+def test_only_the_sample_reaches_one_task(frame, corpus):
+    """Labels by partition: all would be 1 if the rows were made in the task of the fit."""
+    from pyspark import TaskContext
+
+    first = F.udf(lambda _: float(TaskContext.get().partitionId() == 0), "double").asNondeterministic()
+    rows = with_statistics(frame(corpus)).withColumn("label", first("doc_id"))
+    assert fit(rows.withColumn("word_length", F.col("label")), RuleParameters(trees=3, depth=2)).rules
+
+
+def test_rows_that_repeat_a_labelled_id_are_bounded(spark, frame):
+    stats = with_statistics(frame([(1, f"{'a ' * i}b") for i in range(400)] + [(1, "c")] * 200 + [(2, "d")] * 10))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    p = RuleParameters(most_rows=100)
+    assert 60 <= labelled(stats, labels, F.lit(True), p).count() <= 140
+    assert labelled(stats.where("doc_id = 2"), labels, F.lit(True), p).count() == 10
