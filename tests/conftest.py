@@ -45,7 +45,3 @@ def dataset(spark):
     from quayside.plans.fixtures import new_dataset
 
     return new_dataset(spark, "test")
-
-
-def tuples(df) -> list[tuple]:
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 import gzip
 
 import pytest
-from conftest import tuples
+from landing_helpers import tuples
 
 from quayside.batch import LandingError
 from quayside.functions.names import Destination

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import tuples
+from landing_helpers import tuples
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T

@@ -3,7 +3,7 @@ from datetime import UTC, date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from landing_helpers import tuples
 from pyspark.sql import functions as F
 
 from quayside.batch import LandingError, from_frame

@@ -1,7 +1,7 @@
 from datetime import UTC, datetime
 
 import pytest
-from conftest import tuples
+from landing_helpers import tuples
 from pyspark.sql import functions as F
 
 from quayside.batch import Batch, LandingError, from_frame
