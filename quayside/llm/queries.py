@@ -13,11 +13,13 @@ from quayside.llm.language_id import learn_profiles, predict
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.minhash import near_duplicates
 from quayside.llm.mixing import mix_sources, taken
+from quayside.llm.negatives import hard_negatives
 from quayside.llm.outliers import judge_documents
 from quayside.llm.rule_ensemble import RuleParameters, fit, labelled, score_column, with_statistics
 from quayside.llm.sharding import shard_manifest
 from quayside.llm.suffix_array import cut_repeated_strings
 from quayside.llm.suffix_trees import cut_repeated_sequences, words_digest
+from quayside.llm.vectors import embeddings
 from quayside.llm.windows import KEY
 from quayside.scratch import Workspace
 
@@ -185,3 +187,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query(
+    "op11_hard_negatives",
+    r"""
+    WITH sound AS (
+        SELECT row_number() OVER () AS row_no, vec_id,
+               CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * CAST(c AS DOUBLE)) for c in embedding] AS x
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len([c for c in embedding if c IS NOT NULL AND isfinite(c)]) = len(embedding)
+    ), scored AS (
+        SELECT a.row_no AS anchor, a.vec_id AS anchor_id, b.row_no AS other, b.vec_id AS other_id,
+               a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+        FROM sound a JOIN sound b ON a.row_no <> b.row_no WHERE a.vec_id % 50 = 0
+    ), positives AS (
+        SELECT * FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id NULLS LAST, other) <= 5
+    )
+    SELECT p.anchor_id, p.other_id AS positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id NULLS LAST, n.other)
+                AS INTEGER) AS rank,
+           n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    QUALIFY rank <= 3
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = embeddings(spark, sf_dir).select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
