@@ -20,6 +20,7 @@ from quayside.llm.sharding import shard_manifest
 from quayside.llm.suffix_array import cut_repeated_strings
 from quayside.llm.suffix_trees import cut_repeated_sequences, words_digest
 from quayside.llm.vectors import embeddings
+from quayside.llm.whitening import whiten
 from quayside.llm.windows import KEY
 from quayside.scratch import Workspace
 
@@ -220,3 +221,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = embeddings(spark, sf_dir).select("vec_id", label.alias("label"), "embedding")
     return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(embeddings(spark, sf_dir))
