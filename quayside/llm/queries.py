@@ -13,6 +13,7 @@ from quayside.llm.language_id import learn_profiles, predict
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.minhash import near_duplicates
 from quayside.llm.mixing import mix_sources, taken
+from quayside.llm.near_vectors import near_vectors
 from quayside.llm.negatives import hard_negatives
 from quayside.llm.outliers import judge_documents
 from quayside.llm.rule_ensemble import RuleParameters, fit, labelled, score_column, with_statistics
@@ -226,3 +227,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(embeddings(spark, sf_dir))
+
+
+@query("op13_small_worlds")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(embeddings(spark, sf_dir))

@@ -30,7 +30,9 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The nearest vectors met by each query and their cosines, the best first; -1 for none."""
-        ids, cosines = descend(self.x, self.links, queries, 0)
+        ids = np.zeros((len(queries), 1), dtype=np.int32)
+        for upper in reversed(self.links[1:]):
+            ids, _ = nearest(self.x, upper, queries, ids, UPPER_BEAM)
         return nearest(self.x, self.links[0], queries, ids, beam)
 
 
@@ -42,14 +44,6 @@ def level_sizes(n: int) -> list[int]:
     return sizes
 
 
-def descend(x, links, queries: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors to start from on ``level``, found on the levels above it."""
-    ids = np.zeros((len(queries), 1), dtype=np.int32)
-    for upper in range(len(links) - 1, level, -1):
-        ids, _ = nearest(x, links[upper], queries, ids, UPPER_BEAM)
-    return ids, np.empty(0)
-
-
 def nearest(x, links, queries, start, beam) -> tuple[np.ndarray, np.ndarray]:
     """Beam search on one level, for all queries at once."""
     count, n = len(queries), len(links)
