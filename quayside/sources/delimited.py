@@ -1,7 +1,8 @@
 """Delimited files: every cell is text, headers come from the data or the job.
 
-Files with the same header are read together by Spark's CSV source. Dialects it cannot
-read, and entries of archives, go through a record splitter inside tasks.
+Files with the same header are read together by Spark's CSV source. Files with line ends in
+their cells and dialects that source cannot read are put together and split by ``lines``, in
+the JVM as well. Entries of archives go through a record splitter inside tasks.
 """
 
 from __future__ import annotations
@@ -10,11 +11,11 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.batch import META, TABLE, Batch, error_record, no_rejects
+from quayside.batch import META, TABLE, Batch, error_record, keep, no_rejects
 from quayside.functions.names import (
     Destination,
     clean_header,
@@ -22,15 +23,15 @@ from quayside.functions.names import (
     generic_header,
     without_dot_slash,
 )
-from quayside.sources.dialects import Dialect, dialect, line_end, records, text_lines
-from quayside.sources.files import hidden_files, list_files
-from quayside.sources.units import NONE, UNIT, emitter, open_unit, split_size, spread, units
+from quayside.sources.dialects import Dialect, dialect, records, text_lines
+from quayside.sources.files import hidden_files, list_files, open_plain, short
+from quayside.sources.lines import Grammar, file_path, lines_alone, lines_together
+from quayside.sources.units import NONE, emitter, open_unit, spread, units
 
 # A header for the files whose name matches a pattern: (pattern, column names).
 HeaderRule = tuple[str, list[str]]
-PROBE = (
-    "path string, file_name string, names array<string>, width int, line_end string, whole boolean"
-)
+PROBE = "path string, file_name string, names array<string>, width int"
+HEAD = "path string, file_name string, names array<string>, header_line long"
 ORIGIN = "bad string, message string, file_name string, archive string"
 
 
@@ -57,41 +58,29 @@ def read_delimited(
     d, skip = format or dialect(), tuple(skip)
     plain = compression == NONE
     listed = list_files(spark, patterns)
-    work = plain_units(listed, d) if plain else units(listed, compression, skip)
-
     choice = HeaderChoice(d, has_header, header, replacement, allow_extra_columns, generic_prefix)
-    probed = (
-        spread(work)
-        .mapInArrow(choice.probe(skip), PROBE)
-        .groupBy("path", "file_name")
-        .agg(
-            F.max("names").alias("names"),
-            F.max("width").alias("width"),
-            F.max("line_end").alias("line_end"),
-            F.max("whole").alias("whole"),
-        )
-        .withColumn(TABLE, table_of(destination))
-    )
-    # A lenient file may end in cells its header has no name for; they have no column.
-    # Files that Spark leaves out for their names are read in tasks, and the others with them.
-    odd = plain and bool(hidden_files(spark, patterns))
-    if plain and not odd and d.spark_reads_it and not (allow_extra_columns and d.null != ""):
-        found = sorted(probed.collect(), key=lambda r: r["path"])
-        named = [(r[TABLE], choice.columns(r["names"], r["width"])) for r in found]
-        groups: dict[tuple, list[str]] = {}
-        for row, (_, columns) in zip(found, named, strict=True):
-            group = (tuple(columns), row["line_end"] if row["whole"] else None)
-            groups.setdefault(group, []).append(row["path"])
-        columns = union_of(named)
-        parsed = scan_groups(spark, groups, columns, d, has_header)
+    if plain:
+        # Files that Spark leaves out for their names are opened by path in tasks.
+        seen = listed.filter(~F.col("file_name").rlike("^[_.]"))
+        work = units(listed.filter(F.col("file_name").rlike("^[_.]")))
+        odd = bool(hidden_files(spark, patterns))
+        found = described(seen, choice, destination)
     else:
+        work, odd, found = units(listed, compression, skip), True, []
+
+    named = [(r[TABLE], r["columns"]) for r in found]
+    if odd:
+        probed = probe_units(work, choice, skip, destination)
         headers = probed.groupBy(TABLE, "names", "width").agg(F.min("path").alias("at"))
-        named = [
+        named += [
             (r[TABLE], choice.columns(r["names"], r["width"]))
             for r in sorted(headers.collect(), key=lambda r: (r["at"], r["width"]))
         ]
-        columns = union_of(named)
-        parsed = split_in_tasks(work, probed, choice, columns, skip)
+    columns = union_of(named)
+    scans = scan_files(spark, found, columns, choice)
+    if odd:
+        scans.append(split_in_tasks(work, probed, choice, columns, skip))
+    parsed = reduce(DataFrame.unionByName, scans) if scans else empty_cells(spark, columns)
 
     meta = [without_dot_slash(F.col("file_name")).alias("meta_file_name")]
     if not plain:
@@ -102,8 +91,8 @@ def read_delimited(
     if allow_extra_columns:
         good = marked.select(*cells, TABLE, META)
         return Batch(good, no_rejects(good), layout, [], routed)
-    good = marked.filter(F.col("bad").isNull()).select(*cells, TABLE, META)
-    bad = marked.filter(F.col("bad").isNotNull()).select(
+    good = keep(marked, F.col("bad").isNull()).select(*cells, TABLE, META)
+    bad = keep(marked, F.col("bad").isNotNull()).select(
         *error_record(F.col("message"), F.col("bad"), F.col(TABLE), routed)
     )
     return Batch(good, bad, layout, None, routed)
@@ -126,41 +115,61 @@ def layout_of(named: list[tuple[str | None, list[str]]]) -> dict[str | None, lis
     return {table: list(columns) for table, columns in layout.items()}
 
 
-def plain_units(listed: DataFrame, d: Dialect) -> DataFrame:
-    """Files as units, by what their lines are and not by how large they are.
+def described(files: DataFrame, choice: HeaderChoice, destination: Destination | None) -> list[dict]:
+    """Files with their table and columns, in the order of their paths.
 
-    A cell may contain line feeds, so all lines are looked at once. A file in which no cell
-    runs over a line end is read by lines, whichever line ends it has, and is cut in ranges
-    where it is big and not compressed. The others are read front to back.
+    ``alone`` says whether all lines of a file are records, whichever line ends it has; then it
+    can be read by lines. ``header_line`` is the number of the line that its header begins in.
     """
-    spark = listed.sparkSession
-    files = listed.collect()
-    size = split_size(spark, sum(f["length"] for f in files))
-    visible = [f["path"] for f in files if f["length"] and not is_hidden(f["file_name"])]
-    whole = {(f["file_name"], f["length"]) for f in files if is_hidden(f["file_name"])}
-    if visible:
-        opened = (
-            spark.read.text(visible)
-            .filter(~F.col("value").rlike(d.closed_line()))
-            .select(decoded("_metadata.file_name"), "_metadata.file_size")
-            .distinct()
-        )
-        whole |= {tuple(r) for r in opened.collect()}
-    rows = []
-    for path, name, length in files:
-        if (name, length) in whole:
-            rows.append((path, None, None, name, 0, length, "plain"))
-        elif length <= size or path.lower().endswith(".gz"):
-            rows.append((path, None, None, name, 0, length, "lines"))
-        else:
-            for start in range(0, length, size):
-                rows.append((path, None, None, name, start, min(size, length - start), "range"))
-    return spark.createDataFrame(rows, UNIT)
-
-
-def is_hidden(file_name: str) -> bool:
-    """Whether Spark's own scans leave the file out."""
-    return file_name.startswith(("_", "."))
+    spark, d = files.sparkSession, choice.d
+    heads = spread(files.select("path", "file_name", "length")).mapInArrow(choice.head(), HEAD)
+    found = [r.asDict() for r in heads.withColumn(TABLE, table_of(destination)).collect()]
+    found.sort(key=lambda r: r["path"])
+    if not found:
+        return []
+    lines = spark.read.text([r["path"] for r in found]).select(file_path().alias("path"), line_is_record(d).alias("alone"))
+    together = {r["path"] for r in lines.filter(~F.col("alone")).select("path").distinct().collect()}
+    for r in found:
+        r["alone"] = short(r["path"]) not in together
+    generic = [r for r in found if r["names"] is None]
+    widths = {}
+    if generic:
+        counted = file_records(spark, generic, choice).groupBy("path").agg(F.max(Grammar(d).count(F.col("record"))))
+        widths = {r[0]: r[1] for r in counted.collect()}
+    for r in found:
+        r["columns"] = choice.columns(r["names"], widths.get(short(r["path"]), 0))
+    return found
+
+
+def line_is_record(d: Dialect) -> Column:
+    """Whether a line alone is a record for the reader that would read it by lines."""
+    return F.col("value").rlike(d.closed_line()) if d.spark_reads_it else Grammar(d).alone(F.col("value"))
+
+
+def file_records(spark: SparkSession, files: list[dict], choice: HeaderChoice) -> DataFrame:
+    """``record, path, file_name`` of files, without their headers."""
+    alone = [r["path"] for r in files if r["alone"]]
+    others = [r for r in files if not r["alone"]]
+    parts = []
+    if alone:
+        parts.append(lines_alone(spark, alone, choice.d, choice.has_header))
+    if others:
+        records = lines_together(spark, [r["path"] for r in others], choice.d)
+        if choice.has_header:
+            at = spark.createDataFrame([(short(r["path"]), r["header_line"]) for r in others], "path string, header long")
+            records = records.join(at, "path").filter(F.col("number") > F.col("header")).drop("header")
+        parts.append(records)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def probe_units(
+    work: DataFrame, choice: HeaderChoice, skip: tuple[str, ...], destination: Destination | None
+) -> DataFrame:
+    """Names or widths of what is read in tasks: archive entries and oddly named files."""
+    probed = spread(work).mapInArrow(choice.probe(skip), PROBE).groupBy("path", "file_name")
+    return probed.agg(F.max("names").alias("names"), F.max("width").alias("width")).withColumn(
+        TABLE, table_of(destination)
+    )
 
 
 class HeaderChoice:
@@ -186,86 +195,114 @@ class HeaderChoice:
             names = generic_header(width, self.prefix)
         return clean_header(names, self.replacement, fill_missing=self.lenient)
 
-    def read(
-        self, file_name: str, stream, at_start: bool = True
-    ) -> tuple[list[str] | None, int, str]:
-        """The names of a file, or None and the width of its widest record; its line end."""
+    def read(self, file_name: str, stream) -> tuple[list[str] | None, int]:
+        """The names of a file, or None and the width of its widest record."""
         parsed = records(text_lines(stream), self.d)
-        first, text = next(parsed, ([], ""))
+        first, _ = next(parsed, ([], ""))
         names = self.by_name(file_name)
         if names is None and self.from_file:
             names = [n or "" for n in first]
         if names is not None:
-            return names, len(names), line_end(text)
-        return None, self.widest(first, parsed, at_start), line_end(text)
-
-    def widest(self, first: list, rest: Iterator[tuple], at_start: bool) -> int:
-        width = 0 if self.has_header and at_start else len(first)
-        return max(width, max((len(cells) for cells, _ in rest), default=0))
+            return names, len(names)
+        width = 0 if self.has_header else len(first)
+        return None, max(width, max((len(cells) for cells, _ in parsed), default=0))
 
     def probe(self, skip: tuple[str, ...]) -> Callable:
         def rows(unit: dict) -> Iterator[tuple]:
-            path, at_start = unit["path"], unit["start"] == 0
-            whole = unit["how"] not in ("range", "lines")
-            if whole or at_start or not (self.from_file or self.by_name(unit["file_name"])):
-                for file_name, stream in open_unit(unit, skip):
-                    yield path, file_name, *self.read(file_name, stream, at_start), whole
+            for file_name, stream in open_unit(unit, skip):
+                yield unit["path"], file_name, *self.read(file_name, stream)
 
         return emitter(rows, PROBE)
 
+    def head(self) -> Callable:
+        """Files to the names that rules or their own first records give them; reads no further."""
+
+        def rows(file: dict) -> Iterator[tuple]:
+            names, number = self.by_name(file["file_name"]), 0
+            if self.has_header and file["length"]:
+                with open_plain(file["path"]) as stream:
+                    lines = CountedLines(text_lines(stream))
+                    first, text = next(records(lines, self.d), ([], ""))
+                number = lines.count - max(len(ANY_LINE.findall(text)) - 1, 0)
+                if names is None and self.from_file:
+                    names = [n or "" for n in first]
+            yield file["path"], file["file_name"], names, number
+
+        return emitter(rows, HEAD)
+
+
+class CountedLines:
+    """Lines that are counted as they are taken."""
+
+    def __init__(self, lines: Iterable[str]):
+        self.lines, self.count = iter(lines), 0
+
+    def __iter__(self) -> CountedLines:
+        return self
+
+    def __next__(self) -> str:
+        line = next(self.lines)
+        self.count += 1
+        return line
+
+
+#: A line with or without its end.
+ANY_LINE = re.compile(r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+")
+
+
+def scan_files(spark: SparkSession, found: list[dict], columns: list[str], choice: HeaderChoice) -> list[DataFrame]:
+    """A scan per header, all with the cells of ``columns``: Spark's CSV source where a file is
+    read by lines and the source gives its cells, else records and their cells in the JVM."""
+    d = choice.d
+    by_spark = d.spark_reads_it and not (choice.lenient and d.null != "")
+    groups: dict[tuple, list[dict]] = {}
+    for r in found:
+        if r["columns"]:
+            groups.setdefault((tuple(r["columns"]), by_spark and r["alone"]), []).append(r)
+    return [
+        (scan_csv if simple else scan_records)(spark, list(names), files, columns, choice)
+        for (names, simple), files in groups.items()
+    ]
+
+
+def scan_csv(spark: SparkSession, names: list[str], files: list[dict], columns: list[str], choice: HeaderChoice) -> DataFrame:
+    d = choice.d
+    fields = [T.StructField(f"s{i}", T.StringType()) for i in range(len(names))]
+    scan = (
+        spark.read.schema(T.StructType([*fields, T.StructField("bad", T.StringType())]))
+        .options(**d.spark_options())
+        .option("columnNameOfCorruptRecord", "bad")
+        .option("columnPruning", False)
+        .option("header", choice.has_header)
+        .csv([r["path"] for r in files])
+    )
+    at = {name: F.col(f"s{i}") for i, name in enumerate(names)}
+    cells = [d.spark_cell(at[c]) if c in at else F.lit(None).cast("string") for c in columns]
+    # Spark refuses to read nothing but the corrupt record, so a cell goes along with
+    # it: as its first 0 characters.
+    beside = F.left(F.coalesce(F.col("s0"), F.lit("")), F.lit(0))
+    return scan.select(
+        *[cell.alias(f"c{i}") for i, cell in enumerate(cells)],
+        F.concat(beside, F.col("bad")).alias("bad"),
+        F.lit(f"record does not have {len(names)} cells").alias("message"),
+        decoded("_metadata.file_name").alias("file_name"),
+        F.lit(None).cast("string").alias("archive"),
+    )
 
-def scan_groups(
-    spark: SparkSession,
-    groups: dict[tuple, list[str]],
-    columns: list[str],
-    d: Dialect,
-    has_header: bool,
-) -> DataFrame:
-    """One CSV scan per header, all with the cells of ``columns``."""
-    scans = [empty_cells(spark, columns)]
-    for (names, line_end_found), paths in groups.items():
-        if not names:
-            continue
-        fields = [T.StructField(f"s{i}", T.StringType()) for i in range(len(names))]
-        scan = (
-            spark.read.schema(T.StructType([*fields, T.StructField("bad", T.StringType())]))
-            .options(**d.spark_options())
-            .option("columnNameOfCorruptRecord", "bad")
-            .option("columnPruning", False)
-            .option("header", has_header)
-            .options(**whole_file_options(line_end_found))
-            .csv(paths)
-        )
-        at = {name: F.col(f"s{i}") for i, name in enumerate(names)}
-        if line_end_found == "\n":
-            at[names[-1]] = F.regexp_replace(at[names[-1]], r"\r\z", "")
-        nothing = F.lit(None).cast("string")
-        cells = [d.spark_cell(at[c]) if c in at else nothing for c in columns]
-        # Spark refuses to read nothing but the corrupt record, so a cell goes along with
-        # it: as its first 0 characters.
-        beside = F.left(F.coalesce(F.col("s0"), F.lit("")), F.lit(0))
-        scans.append(
-            scan.select(
-                *[cell.alias(f"c{i}") for i, cell in enumerate(cells)],
-                F.concat(beside, F.col("bad")).alias("bad"),
-                F.lit(f"record does not have {len(names)} cells").alias("message"),
-                decoded("_metadata.file_name").alias("file_name"),
-                nothing.alias("archive"),
-            )
-        )
-    return reduce(DataFrame.unionByName, scans[1:]) if len(scans) > 1 else scans[0]
-
-
-def whole_file_options(line_end_found: str | None) -> dict[str, str]:
-    """Options for files that are read as a whole, which keep line feeds within cells.
-
-    Without a given separator Spark would change the line ends in quoted cells. In a file
-    that mixes line ends, what a carriage return leaves behind is cut off the last cell.
-    """
-    if line_end_found is None:
-        return {"multiLine": "false"}
-    known = {"\n": {"lineSep": "\n"}, "\r\n": {"lineSep": "\r\n"}}
-    return {"multiLine": "true", **known.get(line_end_found, {})}
+
+def scan_records(spark: SparkSession, names: list[str], files: list[dict], columns: list[str], choice: HeaderChoice) -> DataFrame:
+    split = file_records(spark, files, choice).withColumn("cells", Grammar(choice.d).cells(F.col("record")))
+    at = {name: F.get("cells", F.lit(i)) for i, name in enumerate(names)}
+    nothing = F.lit(None).cast("string")
+    wrong = F.lit(False) if choice.lenient else F.size("cells") != len(names)
+    message = F.concat(F.lit("record has "), F.size("cells"), F.lit(f" cells instead of {len(names)}"))
+    return split.select(
+        *[at.get(c, nothing).alias(f"c{i}") for i, c in enumerate(columns)],
+        F.when(wrong, F.col("record")).alias("bad"),
+        message.alias("message"),
+        "file_name",
+        nothing.alias("archive"),
+    )
 
 
 def empty_cells(spark: SparkSession, columns: list[str]) -> DataFrame:
@@ -291,8 +328,7 @@ def split_in_tasks(
     def header_of(unit: dict, file_name: str) -> tuple:
         if unit["width"] is not None and not choice.from_file:
             return choice.by_name(file_name), unit["width"]
-        start = {**unit, "start": 0, "how": "plain"} if unit["how"] == "range" else unit
-        for name, stream in open_unit(start, skip):
+        for name, stream in open_unit(unit, skip):
             return choice.read(name, stream)
         return [], 0
 
@@ -302,10 +338,10 @@ def split_in_tasks(
             # The entries are not known before the archive is read, nor are their headers.
             headers = {name: choice.read(name, stream) for name, stream in open_unit(unit, skip)}
         for file_name, stream in open_unit(unit, skip):
-            names = choice.columns(*(headers.get(file_name) or header_of(unit, file_name))[:2])
+            names = choice.columns(*(headers.get(file_name) or header_of(unit, file_name)))
             places = [at[n] for n in names]
             parsed = records(text_lines(stream), d)
-            if choice.has_header and (unit["how"] != "range" or unit["start"] == 0):
+            if choice.has_header:
                 next(parsed, None)
             for cells, text in parsed:
                 row, bad, message = [None] * len(columns), None, None

@@ -73,11 +73,6 @@ class Dialect:
         When every line of a file matches, the file can be cut at any line end.
         """
         blank_or_text = r"(?:|.*\S.*)"
-        if self.escape:
-            e = java_char(self.escape)
-            if not self.quote:
-                return rf"^(?:[^{e}]++|{e}.)*+$"
-            return rf"^(?:[^{e}{java_char(self.quote)}]++|{e}.)*+$"
         if not self.quote:
             return rf"^{blank_or_text}$"
         q, sep = java_char(self.quote), "".join(java_char(c) for c in self.sep)
@@ -159,10 +154,6 @@ def records(lines: Iterable[str], d: Dialect) -> Iterator[tuple[list[str | None]
         yield [cell_value(c, d) for c in cells or [""]], text
 
 
-def line_end(text: str) -> str:
-    return text[len(text.rstrip("\r\n")) :]
-
-
 def cell_value(cell: str, d: Dialect) -> str | None:
     if cell == QUOTED_EMPTY and d.keep_quoted_empty:
         return ""
@@ -205,8 +196,8 @@ def split_records(lines: Iterator[str], d: Dialect) -> Iterator[list[str] | None
                 if at == len(line):
                     cell += mark
                     continue
-                char = line[at]
-                at += 1
+                char = "\r\n" if line.startswith("\r\n", at) else line[at]
+                at += len(char)
                 if char in ESCAPES:
                     cell += ESCAPES[char]
                 elif char in "\r\n\t\b\f" or char in (d.sep, d.escape, d.quote, d.comment):
