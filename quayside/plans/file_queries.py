@@ -718,20 +718,25 @@ def s10_zip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def s1_mixed_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file with several line ends gives the same rows whole and cut in ranges."""
+    """Files with several line ends give the same rows whole and cut in ranges."""
     end = F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.lit("\r"))
     status = F.concat(F.col("o_orderstatus"), end)
     lines = table(spark, sf_dir, "orders").select(F.concat_ws(",", F.col("o_orderkey").cast("string"), status))
-    folder = text_files(spark, lines.coalesce(1), "mixed")
+    folder = text_files(spark, lines.repartition(6), "mixed")
+    return in_two_sizes(spark, folder, ["KEY", "STATUS"])
+
+
+def in_two_sizes(spark: SparkSession, folder: str, header: list[str]) -> DataFrame:
+    """The rows of delimited files, read in large ranges and in small ones, with the ``setting``."""
     names, found = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"), []
     before = [spark.conf.get(n, None) for n in names]
     for size in ("128m", "8k"):
         try:
             for name in names:
                 spark.conf.set(name, size)
-            batch = read_delimited(spark, [f"{folder}/*.txt"], header=[(".*", ["KEY", "STATUS"])])
-            rows = batch.rows().select(F.lit(size).alias("setting"), "key", "status")
-            kept = scratch(spark, "mixed-rows")
+            batch = read_delimited(spark, [f"{folder}/*.txt"], header=[(".*", header)])
+            rows = batch.rows().select(F.lit(size).alias("setting"), *batch.columns)
+            kept = scratch(spark, "read-rows")
             rows.write.parquet(kept)
             found.append(spark.read.parquet(kept))
         finally:
@@ -741,24 +746,50 @@ def s1_mixed_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "s9_odd_names",
+    "s1_quoted_line_ends",
     """
-    SELECT o_orderkey::VARCHAR AS "key", CASE o_orderkey % 3 WHEN 0 THEN '_0.csv' WHEN 1 THEN '.1.csv' ELSE '2.csv' END AS file
+    SELECT setting, o_orderkey::VARCHAR AS "key",
+           CASE o_orderkey % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'to' || chr(10) || '"' || o_clerk || '", ' || chr(10) || chr(10)
+           WHEN 2 THEN chr(13) || chr(10) || 'x' ELSE o_clerk END AS note,
+           o_orderstatus AS status
+    FROM orders, (VALUES ('128m'), ('8k')) AS v(setting)
+    """,
+)
+def s1_quoted_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with line ends within cells are cut in ranges too; a range knows how it begins."""
+    kind = F.col("o_orderkey") % 5
+    note = (
+        F.when(kind == 0, F.lit("plain"))
+        .when(kind == 1, F.concat(F.lit('"to\n""'), "o_clerk", F.lit('"", \n\n"')))
+        .when(kind == 2, F.lit('"\r\nx"'))
+        .otherwise(F.col("o_clerk"))
+    )
+    key = F.col("o_orderkey").cast("string")
+    lines = table(spark, sf_dir, "orders").select(F.concat_ws(",", key, note, "o_orderstatus"))
+    folder = text_files(spark, lines.repartition(6), "quoted")
+    return in_two_sizes(spark, folder, ["KEY", "NOTE", "STATUS"])
+
+
+ODD_FILES = 24
+
+
+@query(
+    "s9_odd_names",
+    f"""
+    SELECT o_orderkey::VARCHAR AS "key",
+           CASE o_orderkey % 3 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE '' END || (o_orderkey % {ODD_FILES}) || '.csv' AS file
     FROM orders
     """,
 )
 def s9_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that Spark's scans leave out for their names are read when a pattern names them."""
-    orders = table(spark, sf_dir, "orders")
-    folder = scratch(spark, "odd")
-    target = Folder(spark, folder)
-    for n, name in enumerate(("_0.csv", ".1.csv", "2.csv")):
-        lines = orders.where(F.col("o_orderkey") % 3 == n).select(F.col("o_orderkey").cast("string").alias("value"))
-        written = text_files(spark, lines.coalesce(1), "odd")
-        (part,) = Folder(spark, written).data_files("")
-        Folder(spark, folder.rpartition("/")[0]).move(
-            f"{written.rpartition('/')[2]}/{part}", f"{folder.rpartition('/')[2]}/{name}"
-        )
-    assert target.names("")
-    batch = read_delimited(spark, [f"{folder}/*.csv"], header=[(".*", ["KEY"])])
+    number = F.col("o_orderkey") % ODD_FILES
+    lines = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("value"), number.alias("n"))
+    written = scratch(spark, "odd")
+    lines.repartition(ODD_FILES, "n").write.partitionBy("n").text(written)
+    target = Folder(spark, written)
+    for part in target.data_files(""):
+        n = int(part.partition("/")[0].partition("=")[2])
+        target.move(part, f"all/{('_', '.', '')[n % 3]}{n}.csv")
+    batch = read_delimited(spark, [f"{written}/all/*.csv"], header=[(".*", ["KEY"])])
     return batch.good.select("key", F.col("_meta.meta_file_name").alias("file"))

@@ -172,9 +172,10 @@ def lines_together(spark: SparkSession, paths: list[str], d: Dialect) -> DataFra
     known = known.withColumn("starts", ~F.col("inside") & ~F.col("continued")).withColumn(
         "alone", F.col("starts") & ~after & ~F.col("continues")
     )
-    counted = known.withColumn(
-        "starts_after", F.coalesce(F.sum(F.col("starts").cast("int")).over(here.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
-    ).withColumn("started", F.max("starts").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    start = F.col("starts").cast("int")
+    counted = known.withColumn("starts_to_here", F.sum(start).over(here.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "starts_after", F.sum(start).over(Window.partitionBy("path", "block")) - F.col("starts_to_here")
+    ).withColumn("started", F.col("starts_to_here") > 0)
     # A record is known by the range it starts in and the starts that follow it there; lines before
     # the first start of a range belong to the last record of the range that has one.
     counted = counted.select(

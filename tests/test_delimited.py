@@ -10,9 +10,9 @@ from quayside.sources.dialects import dialect, records
 from quayside.sources.files import existing, file_patterns
 from quayside.sources.tables import read_staged
 
-HEADED = "FIELD_1,FIELD_2,FIELD_3\nA,B,\nC,D,2\nD,E,3"
-BARE = "A,B,\nC,D,2\nD,E,3"
-ROWS = [("A", "B", None), ("C", "D", "2"), ("D", "E", "3")]
+HEADED = "Plant,Bed No,Height\nleek,north,\nkale,south,31\nchard,,7"
+BARE = HEADED.partition("\n")[2]
+ROWS = [("chard", None, "7"), ("kale", "south", "31"), ("leek", "north", None)]
 
 
 @pytest.fixture(params=["spark", "tasks"])
@@ -27,7 +27,7 @@ def path_taken(request, monkeypatch):
 
 def test_header_from_file(spark, write, path_taken):
     batch = read_delimited(spark, [write("in/a.csv", HEADED)], has_header=True)
-    assert batch.columns == ["field1", "field2", "field3"]
+    assert batch.columns == ["plant", "bedno", "height"]
     assert tuples(batch.rows()) == ROWS
     assert batch.rejects().columns == ["errorMessage", "rawData"]
     assert batch.bad.count() == 0
@@ -49,13 +49,13 @@ def test_generic_header_counts_columns_not_rows(spark, write, path_taken):
 
 
 def test_header_by_pattern(spark, write, path_taken):
-    path = write("csv-without-header.csv", BARE)
-    rules = [(".*some_pattern.*", ["X"]), (".*CSV-WITHOUT-HEADER.*", ["FIELD_1", "FIELD_2", "FIELD_3"])]
+    path = write("beds-2021.csv", BARE)
+    rules = [("frames-.*", ["X"]), ("BEDS-[0-9]+.csv", ["Plant", "Bed No", "Height"])]
     batch = read_delimited(spark, [path], header=rules, replacement="_")
-    assert batch.columns == ["field_1", "field_2", "field_3"]
+    assert batch.columns == ["plant", "bed_no", "height"]
     assert tuples(batch.rows()) == ROWS
     # A pattern has to match the whole name; without a match the header is generic.
-    batch = read_delimited(spark, [path], header=[("csv-without", ["X"])], replacement="_")
+    batch = read_delimited(spark, [path], header=[("beds", ["X"])], replacement="_")
     assert batch.columns == ["column_1", "column_2", "column_3"]
 
 
@@ -68,12 +68,12 @@ def test_header_rule_beats_the_header_in_the_file(spark, write, path_taken):
 
 
 def test_dynamic_destination(spark, write, path_taken):
-    destination = Destination(r"(csv-)(.*)\.csv", 2, "prefix_", "_suffix")
-    path = write("csv-with-header.csv", HEADED + "\nonly one")
+    destination = Destination(r"(plot-)(.*)\.csv", 2, "garden_", "_raw")
+    path = write("plot-west.csv", HEADED + "\nonly one")
     batch = read_delimited(spark, [path], has_header=True, destination=destination)
-    assert {r[0] for r in batch.good.select("_table").collect()} == {"prefix_with_header_suffix"}
-    assert {r[0] for r in batch.bad.select("_table").collect()} == {"prefix_with_header_suffix_error"}
-    assert batch.layout == {"prefix_with_header_suffix": ["field1", "field2", "field3"]}
+    assert {r[0] for r in batch.good.select("_table").collect()} == {"garden_west_raw"}
+    assert {r[0] for r in batch.bad.select("_table").collect()} == {"garden_west_raw_error"}
+    assert batch.layout == {"garden_west_raw": ["plant", "bedno", "height"]}
 
 
 def test_files_with_different_headers(spark, write, path_taken):
@@ -249,3 +249,99 @@ def test_line_ends_do_not_depend_on_the_size(spark, write):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
     assert found[0] == found[1] and len(found[0][0]) == 1000 and found[0][1] == 0
+
+
+def in_small_ranges(spark, size="64"):
+    """Files are cut in ranges of a few bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
+@pytest.fixture
+def small_ranges(spark):
+    yield lambda size="64": in_small_ranges(spark, size)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_line_ends_within_cells_do_not_depend_on_the_size(spark, write, small_ranges):
+    records_ = [f'{i},"a{i}\r\n""b"",\n\n{"x" * (i % 90)}"' if i % 3 else f"{i},plain" for i in range(200)]
+    path = write("cells.csv", "\n".join(["K,V", *records_, "1,2,3", '7,"tail', ""]))
+    want = sorted((str(i), f'a{i}\r\n"b",\n\n{"x" * (i % 90)}' if i % 3 else "plain") for i in range(200))
+    for size in ("64", "128m"):
+        small_ranges(size)
+        batch = read_delimited(spark, [path], has_header=True)
+        got = sorted(map(tuple, batch.rows().collect()))
+        # the quote that is never closed takes what is left of the file
+        assert got == sorted([*want, ("7", "tail")])
+        assert tuples(batch.bad.select("rawData")) == [("1,2,3",)]
+
+
+def test_more_than_one_task_parses_a_file_with_line_ends_in_cells(spark, write, small_ranges):
+    from quayside.sources.lines import lines_together
+
+    path = write("cells.csv", "".join(f'{i},"a\nb"\n' for i in range(300)))
+    small_ranges("512")
+    records_ = lines_together(spark, [path], dialect())
+    assert records_.count() == 300
+    plan = records_._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Python" not in plan
+    assert spark.read.text(path).rdd.getNumPartitions() > 3
+
+
+def test_a_file_does_not_depend_on_its_namesakes(spark, write):
+    mixed = "1,a\r\n2,b\n3,c\r4,d\n"
+    one, other = write("a/f.csv", mixed), write("b/f.csv", '1,"a\nb"'.ljust(len(mixed), "x"))
+    alone = tuples(read_delimited(spark, [one], header=[(".*", ["K", "V"])]).rows())
+    both = tuples(read_delimited(spark, [one, other], header=[(".*", ["K", "V"])]).rows())
+    assert alone == [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d")]
+    assert [r for r in both if "\n" not in r[1]] == alone and len(both) == 5
+
+
+@pytest.mark.parametrize("name", ["csv", "mysql", "postgres", "odd", "blank"])
+def test_records_are_those_of_a_reader_from_front_to_back(spark, tmp_path, small_ranges, name):
+    """Random texts of the characters that matter, cut in ranges of eleven bytes."""
+    import io
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quayside.sources.dialects import text_lines
+    from quayside.sources.lines import Grammar, lines_together
+
+    d, alphabet = {
+        "csv": (dialect(), 'a,"\n\r x'),
+        "mysql": (dialect("MYSQL"), 'a\t\\\nnx"'),
+        "postgres": (dialect("POSTGRES_TEXT"), 'a\t\\\n"n x'),
+        "odd": (dialect(delimiter="||", quote="'", comment="#"), "|a'\n# \r"),
+        "blank": (dialect(ignore_empty_lines=False), 'a,"\n'),
+    }[name]
+    rng, want = random.Random(7), {}
+    for i in range(40):
+        text = "".join(rng.choices(alphabet, k=rng.randint(1, 80))) + "x"
+        (tmp_path / f"f{i:02}.csv").write_text(text, newline="")
+        want[f"f{i:02}.csv"] = [list(cells) for cells, _ in records(text_lines(io.BytesIO(text.encode())), d)]
+    small_ranges("11")
+    split = lines_together(spark, [str(tmp_path)], d).withColumn("cells", Grammar(d).cells(F.col("record")))
+    got: dict = {}
+    for row in split.orderBy("file_name", "number").collect():
+        got.setdefault(row.file_name, []).append(list(row.cells))
+    assert got == {name: rows for name, rows in want.items() if rows}
+
+
+def test_escape_dialects_stay_in_the_jvm(spark, write):
+    path = write("a.tsv", "a\\tb\t\\N\nc\t\\\\d\n")
+    batch = read_delimited(spark, [path], format=dialect("MYSQL"), header=[(".*", ["A", "B"])])
+    plan = batch.good._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Python" not in plan
+    assert tuples(batch.rows()) == [("a\tb", "\\N"), ("c", "\\d")]
+
+
+def test_oddly_named_files_do_not_change_how_others_are_read(spark, write):
+    write("d/_a.csv", "1,x\n")
+    write("d/b.csv", '2,"y\nz"\n3,w\n')
+    path = write("d/c.csv", "4,v\n")
+    batch = read_delimited(spark, [path.replace("c.csv", "*.csv")], header=[(".*", ["K", "V"])])
+    assert tuples(batch.rows()) == [("1", "x"), ("2", "y\nz"), ("3", "w"), ("4", "v")]
+    plan = batch.good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "csv" in plan
