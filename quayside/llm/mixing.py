@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import ID, NO_ID, TEXT_HASH, WORD, whole_rows
 from quayside.llm.ranges import end_to_end
+from quayside.scratch import Workspace
 
 #: Up to so many sources are sent to all executors; more are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
@@ -142,6 +143,8 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), identity: Column | None = Non
         (F.lit(0).cast("long") if identity is None else identity).alias("identity"),
         text_hash.alias(TEXT_HASH),
     )
+    # Words are counted once; all that follows reads the counts.
+    sized = Workspace(spark, "mixing").table(sized, "sized")
     found = sized.groupBy("source").agg(F.sum("size").alias("size")).collect()
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [r["size"] for r in found]
@@ -151,7 +154,9 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), identity: Column | None = Non
         [(r["source"], i, sizes[i], wanted[i]) for i, r in enumerate(found)],
         "source string, source_no int, source_size long, target double",
     )
-    known = F.broadcast(sources) if len(found) <= BROADCAST_SOURCES else sources
+    if len(found) <= BROADCAST_SOURCES:
+        sources = F.broadcast(sources)
+    known = sources
     rows = (
         sized.withColumnRenamed("source", "_source")
         .join(known, F.col("_source").eqNullSafe(known["source"]))
@@ -214,12 +219,11 @@ def _slots(docs: DataFrame, counts: np.ndarray, sizes: list[int], mix: Mix) -> D
 def taken(mixed: Mixed) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken``."""
     sums = mixed.pieces.groupBy(*ROW).agg(F.sum("n_words").alias("taken"))
-    known = F.broadcast(mixed.sources)
     sized = mixed.rows.where("size > 0").join(sums, ROW, "left")
     empty = mixed.rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return (
         sized.unionByName(empty)
-        .join(known, "source_no")
+        .join(mixed.sources, "source_no")
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
     )
 
