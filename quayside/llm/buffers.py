@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,12 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Runs:
-    """Fingerprints of runs of a sequence of 64-bit values, from its prefix sums."""
+    """Quick fingerprints of runs of a sequence of 64-bit values, from its prefix sums.
+
+    Equal runs have equal fingerprints, but long runs of a regular kind can share one without
+    being equal: modulo a power of two, the Thue-Morse word and its complement do. They are good for
+    choosing positions and not for calling runs equal.
+    """
 
     def __init__(self, values: np.ndarray, base: int = 0):
         n = len(values)
@@ -64,6 +70,59 @@ class Runs:
         return mixed((self.sums[length:] - self.sums[:n]) * self.inverse[:n])
 
 
+#: A prime that a product can be reduced by with shifts, and two bases for it.
+PRIME = (1 << 61) - 1
+_FIELD_BASES = (0x1B873593CC9E2D51 % PRIME, 0x0A54D38E9B6F27C3 % PRIME)
+_FIELD_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """Products modulo the prime, by halves of 30 and 31 bits."""
+    low = U((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> U(31), a & low, b >> U(31), b & low
+    cross = a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << U(1)) + (cross >> U(30)) + ((cross & U((1 << 30) - 1)) << U(31)) + a0 * b0)
+
+
+def field_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse, modulo the prime."""
+    have = _FIELD_POWERS.get(base)
+    if have is None or len(have[0]) < n:
+        out = []
+        for b in (_FIELD_BASES[base], pow(_FIELD_BASES[base], -1, PRIME)):
+            p = np.ones(1, dtype=np.uint64)
+            while len(p) < max(n, 1 << 16):
+                p = np.concatenate([p, times(p, U(pow(b, len(p), PRIME)))])
+            out.append(p)
+        have = _FIELD_POWERS[base] = (out[0], out[1])
+    return have[0][:n], have[1][:n]
+
+
+class FieldRuns:
+    """Fingerprints of runs of 64-bit values that stand for equality: polynomials over a prime field.
+
+    Two different runs of n values share a fingerprint for at most n of 2**61 bases, and one of
+    both bases independently. A sequence has up to four million values.
+    """
+
+    def __init__(self, values: np.ndarray, base: int = 0):
+        n = len(values)
+        power, self.inverse = field_powers(base, n + 1)
+        terms = times(_reduced(values), power[:n])
+        high, low = np.cumsum(terms >> U(31)), np.cumsum(terms & U((1 << 31) - 1))
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        self.sums[1:] = _reduced((high >> U(30)) + ((high & U((1 << 30) - 1)) << U(31)) + low)
+
+    def at(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        between = _reduced(self.sums[start + length] + (U(PRIME) - self.sums[start]))
+        return mixed(times(between, self.inverse[start]))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and where each begins (and the last ends); NULL is empty."""
     if column.null_count:
@@ -136,9 +195,33 @@ def _words(data: np.ndarray, borders: np.ndarray, lower: bool) -> tuple[np.ndarr
     begin = inside[1:] & (change | cut)
     end = inside[:-1] & (change | cut)
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
-    symbols = BYTE_VALUES[LOWER][data] if lower else BYTE_VALUES[data]
-    runs = Runs(symbols)
-    return starts, ends, runs.at(starts, ends - starts) + (ends - starts).astype(np.uint64)
+    return starts, ends, word_hashes(LOWER[data] if lower else data, starts, ends - starts)
+
+
+#: Words of more bytes than this are hashed one by one.
+LONG_WORD = 64
+_KEPT = U(2**64 - 1) >> (U(8) * (U(8) - np.minimum(np.arange(9, dtype=np.uint64), U(8)))).clip(0, 63)
+_KEPT[0] = 0
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, eight at a time; no polynomial, so that words made to a
+    pattern do not share one."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    out = mixed(lengths.astype(np.uint64) + U(0x9E3779B97F4A7C15))
+    own = np.arange(len(starts))
+    for done in range(0, LONG_WORD, 8):
+        own = own[lengths[own] > done]
+        if not len(own):
+            break
+        chunk = np.ascontiguousarray(eights[starts[own] + done]).view("<u8")[:, 0]
+        chunk = chunk & _KEPT[np.minimum(lengths[own] - done, 8)]
+        out[own] = mixed(out[own] * U(0xD6E8FEB86659FD93) ^ chunk)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        word = data[starts[i] : starts[i] + lengths[i]].tobytes()
+        out[i] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return out
 
 
 def array_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:

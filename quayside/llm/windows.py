@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.buffers import BYTE_VALUES, Runs, Words, document_runs, text_buffer
+from quayside.llm.buffers import BYTE_VALUES, FieldRuns, Runs, Words, document_runs, text_buffer
 from quayside.llm.common import ID, TEXT_HASH, keyed
 from quayside.scratch import Workspace
 
@@ -186,7 +186,7 @@ def fingerprints(
         lo = max(0, int(ordered[at]) - before)
         to = int(np.searchsorted(ordered, ordered[at] + PART))
         part = values(lo, int(ordered[to - 1]) + after)
-        runs = Runs(part, base)
+        runs = FieldRuns(part, base)
         own = ordered[at:to] - lo
         for k, (offset, length) in enumerate(lengths):
             inside = (own + offset >= 0) & (own + offset + length <= len(part))
