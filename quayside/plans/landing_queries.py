@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.batch import META, TABLE, Batch, LandingError, from_frame
+from quayside.batch import META, TABLE, Batch, LandingError, from_frame, with_hidden
 from quayside.functions.names import Destination
 from quayside.operators.flatten import flatten
 from quayside.operators.metadata import inject_metadata
@@ -360,8 +360,8 @@ def w12_error_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams --------------------------------------------------------------------------
 
 
-def message_stream(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    """Events as messages in several files, read as a stream of one file per batch."""
+def message_stream(spark: SparkSession, sf_dir: str, files: int = 4, per_batch: int = 1) -> DataFrame:
+    """Events as messages in several files, read as a stream of so many files per batch."""
     events = event_documents(spark, sf_dir).select(
         F.col("value").cast("binary").alias("payload"),
         F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("message_id"),
@@ -369,7 +369,7 @@ def message_stream(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFram
     )
     folder = scratch(spark, "messages")
     events.repartition(files, "message_id").write.parquet(folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
 
 
 @query(
@@ -443,12 +443,22 @@ def w7_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.groupBy("id", "type").agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
-@query(
-    "w7_two_streams",
-    """
-    SELECT event_id::VARCHAR AS id, 2 AS copies FROM events WHERE event_type <> 'error'
-    """,
-)
+def landed_copies(spark: SparkSession, dataset: str, table: str) -> DataFrame:
+    """``id, side, copies`` of a table's rows and of its rejects."""
+    good = spark.table(f"{dataset}.{table}").select("id", F.lit("good").alias("side"))
+    bad = spark.table(f"{dataset}.{table}_error").select(F.col("rawData").alias("id"), F.lit("bad").alias("side"))
+    return good.unionByName(bad).groupBy("id", "side").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+
+#: Every event once: by its id, or as the broken text it came as.
+EVENT_SIDES = """
+    SELECT CASE event_type WHEN 'error' THEN '{"ID": ' || event_id ELSE event_id::VARCHAR END AS id,
+           CASE event_type WHEN 'error' THEN 'bad' ELSE 'good' END AS side
+    FROM events
+"""
+
+
+@query("w7_two_streams", f"SELECT id, side, 2 AS copies FROM ({EVENT_SIDES})")
 def w7_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams append all of their rows to one table."""
     dataset = new_dataset(spark, "w7two")
@@ -457,15 +467,14 @@ def w7_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
         land_stream(
             messages, read_events, TableSink(dataset, "events"), scratch(spark, "w7check"), available_now=True
         ).awaitTermination()
-    return spark.table(f"{dataset}.events").groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    return landed_copies(spark, dataset, "events")
 
 
 @query(
     "w7_unknown_columns",
-    """
-    SELECT method, event_id::VARCHAR AS id, columns
-    FROM events, (VALUES ('STORAGE_WRITE_API', 'id'), ('STREAMING_INSERTS', 'click,id,seen,type')) AS v(method, columns)
-    WHERE event_type <> 'error'
+    f"""
+    SELECT method, id, side, 1 AS copies, columns
+    FROM ({EVENT_SIDES}), (VALUES ('STORAGE_WRITE_API', 'id'), ('STREAMING_INSERTS', 'click,id,seen,type')) AS v(method, columns)
     """,
 )
 def w7_unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,41 +488,72 @@ def w7_unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         land_stream(
             messages, read_events, sink, scratch(spark, "w7check"), method=method, available_now=True
         ).awaitTermination()
-        landed = spark.table(f"{dataset}.{method.lower()}")
-        columns = F.lit(",".join(sorted(landed.columns)))
-        found.append(landed.select(F.lit(method).alias("method"), "id", columns.alias("columns")))
+        columns = F.lit(",".join(sorted(spark.table(f"{dataset}.{method.lower()}").columns)))
+        found.append(
+            landed_copies(spark, dataset, method.lower()).select(
+                F.lit(method).alias("method"), "id", "side", "copies", columns.alias("columns")
+            )
+        )
     return found[0].unionByName(found[1])
 
 
 @query(
     "w8_stream_retry",
-    """
-    SELECT method, event_id::VARCHAR AS id, 2 AS copies
-    FROM events, (VALUES ('STREAMING_INSERTS'), ('STORAGE_API_AT_LEAST_ONCE')) AS v(method)
-    WHERE event_type <> 'error'
+    f"""
+    SELECT method, id, side, n AS copies
+    FROM ({EVENT_SIDES}),
+         (VALUES ('STREAMING_INSERTS', 2), ('STORAGE_API_AT_LEAST_ONCE', 2), ('STORAGE_WRITE_API', 1)) AS v(method, n)
     """,
 )
 def w8_stream_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At-least-once methods append a replayed micro-batch again."""
+    """A micro-batch replayed from its checkpoint comes again with the at-least-once methods, and once with the other."""
     dataset = new_dataset(spark, "w8")
-    messages = message_stream(spark, sf_dir, files=2)
-    found = None
-    for method in (STREAMING_INSERTS, AT_LEAST_ONCE):
-        for _ in range(2):
+    messages = message_stream(spark, sf_dir, per_batch=1000)
+    found = []
+    for method in (STREAMING_INSERTS, AT_LEAST_ONCE, EXACTLY_ONCE):
+        checkpoint = scratch(spark, "w8check")
+        for attempt in range(2):
+            if attempt:
+                forget_last_batch(spark, checkpoint)
             land_stream(
-                messages,
-                read_events,
-                TableSink(dataset, method.lower()),
-                scratch(spark, "w8check"),
-                method=method,
-                available_now=True,
+                messages, read_events, TableSink(dataset, method.lower()), checkpoint, method=method, available_now=True
             ).awaitTermination()
-        copies = spark.table(f"{dataset}.{method.lower()}").groupBy("id")
-        shown = copies.agg(F.count(F.lit(1)).cast("int").alias("copies")).select(
-            F.lit(method).alias("method"), "id", "copies"
+        copies = landed_copies(spark, dataset, method.lower())
+        found.append(copies.select(F.lit(method).alias("method"), "id", "side", "copies"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query(
+    "w1_two_routes",
+    """
+    SELECT CASE o_orderkey % 5 WHEN 3 THEN 'orders_error' ELSE 'orders' END AS landed_in,
+           o_orderkey::VARCHAR AS id, 1 AS copies
+    FROM orders
+    UNION ALL SELECT 'orders_error', '!' || o_orderkey, 1 FROM orders WHERE o_orderkey % 5 = 4
+    """,
+)
+def w1_two_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a table, with the default's name, in two spellings, and rows routed to the error table;
+    landed under one id and tried again."""
+    key = F.col("o_orderkey").cast("string")
+    kind = F.col("o_orderkey") % 5
+    target = F.when(kind == 1, F.lit("orders")).when(kind == 2, F.lit("ORDERS")).when(kind == 3, F.lit("orders_error"))
+    orders = table(spark, sf_dir, "orders")
+    good = with_hidden(orders.select(key.alias("id"), target.alias(TABLE)))
+    bad = with_hidden(
+        orders.where(kind == 4).select(
+            F.lit("no order").alias("errorMessage"), F.concat(F.lit("!"), key).alias("rawData"), F.lit(None).cast("string").alias(TABLE)
         )
-        found = shown if found is None else found.unionByName(shown)
-    return found
+    )
+    dataset = new_dataset(spark, "w1routes")
+    for _ in range(2):
+        land_tables(Batch(good, bad, routed=True), TableSink(dataset, "orders"), "stream-0")
+    found = [
+        spark.table(f"{dataset}.{name}").select(F.lit(name).alias("landed_in"), value.alias("id"))
+        for name, value in (("orders", F.col("id")), ("orders_error", F.coalesce("id", "rawData")))
+    ]
+    landed = found[0].unionByName(found[1])
+    return landed.groupBy("landed_in", "id").agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
 # --- whole jobs -----------------------------------------------------------------------

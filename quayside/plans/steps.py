@@ -92,11 +92,13 @@ def start_stream(spark, source: Step, waiting: list[tuple[str, Step]], options:
         return read_messages(micro, replacement=replacement_of(source))
 
     def write(batch: Batch, batch_id: str) -> None:
-        for kind, step in waiting:
+        stream, _, number = batch_id.rpartition("-")
+        for i, (kind, step) in enumerate(waiting):
             if kind in TRANSFORMS:
                 batch = transform_with(spark, batch, step)
             else:
-                write_with(batch, step, options, batch_id)
+                # two writes of a batch are two commits, also where they reach one table
+                write_with(batch, step, options, f"{stream}.{i}-{number}")
 
     if options.checkpoint is None:
         raise LandingError("a streaming read needs a checkpoint folder")

@@ -1,39 +1,61 @@
-"""Append a micro-batch to a table once, however often it is tried.
+"""Append a micro-batch to its tables once, however often it is tried.
 
-The rows are written to a staging folder below the table, then a commit file with the names
-of the files written is put beside the table's data, then the files are moved in. A try that
-finds the commit file only moves what has not been moved. The commit file is written by a
-rename, so it is there as a whole or not at all. Folders that start with an underscore are
-not read as data.
+The rows of every table, good ones and rejects, are written to a staging folder below that
+table. Then one commit file with the names of all files written is put in the dataset's folder, and the files
+are moved in. A try that finds the commit file only moves what has not been moved. The
+commit file is written by a rename, so it is there as a whole or not at all: either all tables
+have the micro-batch or none. Folders that start with an underscore are not read as data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from collections.abc import Callable
 
-from quayside.batch import session
+from pyspark.sql import SparkSession
 
 COMMITS, STAGING = "_commits", "_staging"
 
 
-def append_once(rows: DataFrame, name: str, batch_id: str, partitions: list[str], format: str) -> None:
-    """Append rows that have the columns of the table, under an id ``<stream>-<number>``."""
-    spark = session(rows)
-    root = location(spark, name)
-    files = Folder(spark, root)
-    commit, staging = f"{COMMITS}/{batch_id}", f"{STAGING}/{batch_id}"
-    if not files.exists(commit):
+def append_once(spark: SparkSession, home: str, batch_id: str, writes: list, at_once: Callable) -> None:
+    """Append rows that have their tables' columns, under an id ``<stream>-<number>``.
+
+    ``home`` is the folder that has the commits; each table has one of the ``writes``.
+    """
+
+    def put_aside(write) -> dict:
+        root, staging = location(spark, write.name), f"{STAGING}/{batch_id}"
+        files = Folder(spark, root)
+        files.delete(staging)
+        write.rows.write.format(write.format).partitionBy(*write.partitions).save(f"{root}/{staging}")
+        return {
+            "table": write.name,
+            "root": root,
+            "partitioned": bool(write.partitions),
+            "files": files.data_files(staging),
+        }
+
+    record = at_once(put_aside, writes) if writes else []
+    Folder(spark, home).write(f"{COMMITS}/{batch_id}", json.dumps(record))
+    finish(spark, home, batch_id)
+
+
+def finish(spark: SparkSession, home: str, batch_id: str) -> bool:
+    """Move in what a commit names and is not there yet; False where there is no such commit."""
+    commits = Folder(spark, home)
+    if not commits.exists(f"{COMMITS}/{batch_id}"):
+        return False
+    for own in json.loads(commits.read(f"{COMMITS}/{batch_id}")):
+        files, staging = Folder(spark, own["root"]), f"{STAGING}/{batch_id}"
+        for name in own["files"]:
+            if files.exists(f"{staging}/{name}"):
+                files.move(f"{staging}/{name}", name)
         files.delete(staging)
-        rows.write.format(format).partitionBy(*partitions).save(f"{root}/{staging}")
-        files.write(commit, "\n".join(files.data_files(staging)))
-    for own in files.read(commit).splitlines():
-        if own and files.exists(f"{staging}/{own}"):
-            files.move(f"{staging}/{own}", own)
-    files.delete(staging)
-    if partitions:
-        spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
-    forget_before(files, batch_id)
+        if own["partitioned"]:
+            spark.catalog.recoverPartitions(own["table"])
+        spark.catalog.refreshTable(own["table"])
+    forget_before(commits, batch_id)
+    return True
 
 
 def forget_before(files: Folder, batch_id: str) -> None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
+from zlib import crc32
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +25,7 @@ from quayside.batch import (
 )
 from quayside.operators.stage import staged
 from quayside.scratch import delete_folder, scratch
-from quayside.sinks.commits import append_once
+from quayside.sinks.commits import append_once, finish
 
 # The dispositions and units a table can be written with.
 CREATE_IF_NEEDED, CREATE_NEVER = "CREATE_IF_NEEDED", "CREATE_NEVER"
@@ -56,22 +58,67 @@ class TableSink:
 
     def name(self, table: str) -> str:
         parts = (self.project, self.dataset, table)
-        return ".".join("`" + p.replace("`", "``") + "`" for p in parts if p)
+        return ".".join(quoted_name(p) for p in parts if p)
+
+
+def quoted_name(part: str) -> str:
+    return "`" + part.replace("`", "``") + "`"
 
 
 def land_tables(batch: Batch, sink: TableSink, batch_id: str | None = None) -> None:
-    """Write good rows, then rejects, each to the table it asks for.
+    """Write good rows and rejects, each to the table it asks for.
 
-    With a ``batch_id`` rows that an earlier attempt has committed under that id are not
-    written again, so that a replayed micro-batch does not repeat rows. Rejects are stored
-    by time only where they have the column.
+    Rows that reach one table on several ways (without a table and by its default name, by spellings that
+    the catalog holds for one, or rejects and rows routed to the error table) are one write.
+    With a ``batch_id`` all tables are one commit: rows that an earlier attempt has committed under that id
+    are not written again, so that a replayed micro-batch does not repeat rows. Rejects are
+    stored by time only where they have the column.
     """
-    good = batch.good, batch.layout, known_tables(batch)
-    land_side(*good, sink, sink.table, batch_id, batch.names)
+    spark = session(batch.good)
+    if batch_id is not None:
+        # several sinks of one micro-batch have a commit each
+        stream, _, number = batch_id.rpartition("-")
+        batch_id = f"{stream}.{crc32(repr(sink).encode()):08x}-{number}"
+        if finish(spark, commits_of(spark, sink), batch_id):
+            return
+    stage = scratch(spark, "stage")
     default = None if sink.table is None else sink.table + sink.error_suffix
-    if sink.partition_by is not None and sink.partition_by[0] not in visible(batch.bad):
-        sink = replace(sink, partition_by=None)
-    land_side(batch.bad, None, batch.bad_tables, sink, default, batch_id)
+    try:
+        routes = side_routes(batch.good, batch.layout, known_tables(batch), sink.table, f"{stage}/good", batch.names)
+        good = len(routes)
+        routes += side_routes(batch.bad, None, batch.bad_tables, default, f"{stage}/bad", {})
+        by_table: dict[str, list[tuple[bool, str, DataFrame]]] = {}
+        for i, (table, rows) in enumerate(routes):
+            by_table.setdefault(sink.name(table).lower(), []).append((i < good, table, rows))
+
+        def prepared(parts: list[tuple[bool, str, DataFrame]]) -> Write:
+            table = parts[0][1]
+            rows = merged([rows for _, _, rows in parts], sink, table)
+            own = sink
+            if sink.partition_by is not None and not any(is_good for is_good, _, _ in parts):
+                if sink.partition_by[0] not in rows.columns:
+                    own = replace(sink, partition_by=None)
+            return prepare(rows, own, table, batch_id is not None)
+
+        def write(parts: list[tuple[bool, str, DataFrame]]) -> None:
+            prepared(parts).run()
+
+        if batch_id is None:
+            at_once(write, by_table.values())
+        else:
+            writes = at_once(prepared, by_table.values())
+            append_once(spark, commits_of(spark, sink), batch_id, writes, at_once)
+    finally:
+        delete_folder(spark, stage)
+
+
+def at_once(work: Callable, items: Iterable) -> list:
+    """The results for all items; the jobs of different tables do not wait for each other."""
+    items = list(items)
+    if len(items) == 1:
+        return [work(items[0])]
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(work), item) for item in items]]
 
 
 def known_tables(batch: Batch) -> list[str | None] | None:
@@ -80,42 +127,61 @@ def known_tables(batch: Batch) -> list[str | None] | None:
     return None if batch.routed else [None]
 
 
-def land_side(
+def side_routes(
     df: DataFrame,
     layout: dict | None,
     tables: list[str | None] | None,
-    sink: TableSink,
     default: str | None,
-    batch_id: str | None,
-    names: dict[str, str] | None = None,
-) -> None:
-    """Write the rows of one side; without known ``tables`` the rows tell, if there are any."""
+    stage: str,
+    names: dict[str, str],
+) -> list[tuple[str, DataFrame]]:
+    """Tables and their rows of one side; without known ``tables`` the rows tell, if there are any."""
     if tables == []:
-        return
-    def write(table: str | None, rows: DataFrame) -> None:
-        target = table if table is not None else default
-        if target is None:
-            raise LandingError("no table is configured, and rows do not ask for one")
+        return []
+    if tables is not None and len(tables) == 1:
+        parts = {tables[0]: df}
+    else:
+        parts = split_by_table(df, stage, few=tables is not None and len(tables) <= FEW_TABLES)
+    if None in parts and default is None:
+        raise LandingError("no table is configured, and rows do not ask for one")
+    routes = []
+    for table, rows in parts.items():
         columns = {c: c for c in visible(rows)}
         if layout is not None and table in layout:
-            columns = {c: (names or {}).get(c, c) for c in layout[table]}
+            columns = {c: names.get(c, c) for c in layout[table]}
         named = rows.select(*[quoted(c).alias(name) for c, name in columns.items()])
-        write_table(named, sink, target, batch_id)
-
-    if tables is not None and len(tables) == 1:
-        write(tables[0], df)
-        return
-    stage = scratch(session(df), "stage")
-    try:
-        parts = split_by_table(df, stage, few=tables is not None and len(tables) <= FEW_TABLES)
-        if None in parts and default is None:
-            raise LandingError("no table is configured, and rows do not ask for one")
-        # The jobs of different tables do not wait for each other.
-        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-            for done in [pool.submit(inheritable_thread_target(write), t, rows) for t, rows in parts.items()]:
-                done.result()
-    finally:
-        delete_folder(session(df), stage)
+        routes.append((default if table is None else table, named))
+    return routes
+
+
+def merged(parts: list[DataFrame], sink: TableSink, table: str) -> DataFrame:
+    """Rows for one table as one frame. Where their types differ they get the table's, else become text."""
+    if len(parts) == 1:
+        return parts[0]
+    spark, name = session(parts[0]), sink.name(table)
+    stored = {f.name.lower(): f for f in spark.table(name).schema} if spark.catalog.tableExists(name) else {}
+    fields: dict[str, T.StructField] = {}
+    for field in (f for part in parts for f in part.schema):
+        key = field.name.lower()
+        known = fields.setdefault(key, field)
+        if known.dataType.simpleString() != field.dataType.simpleString():
+            fields[key] = stored.get(key, T.StructField(known.name, T.StringType()))
+    shaped = []
+    for part in parts:
+        own = {f.name.lower(): f for f in part.schema}
+        cells = [
+            fitted(quoted(own[key].name), own[key].dataType, field, name) if key in own else F.lit(None).cast(field.dataType)
+            for key, field in fields.items()
+        ]
+        shaped.append(part.select(*[c.alias(field.name) for c, field in zip(cells, fields.values(), strict=True)]))
+    return reduce(DataFrame.unionByName, shaped)
+
+
+def commits_of(spark: SparkSession, sink: TableSink) -> str:
+    """The folder of the dataset, where its commits are."""
+    dataset = ".".join(quoted_name(p) for p in (sink.project, sink.dataset) if p)
+    described = spark.sql(f"DESCRIBE DATABASE EXTENDED {dataset}").collect()
+    return next(r[1] for r in described if r[0] == "Location").rstrip("/")
 
 
 def split_by_table(df: DataFrame, stage: str, few: bool) -> dict[str | None, DataFrame]:
@@ -137,7 +203,26 @@ def split_by_table(df: DataFrame, stage: str, few: bool) -> dict[str | None, Dat
     }
 
 
-def write_table(rows: DataFrame, sink: TableSink, table: str, batch_id: str | None = None) -> None:
+@dataclass(frozen=True)
+class Write:
+    """Rows that are ready to go to a table, and how: ``create``, ``replace`` or ``append``."""
+
+    rows: DataFrame
+    name: str
+    partitions: list[str]
+    format: str
+    how: str
+
+    def run(self) -> None:
+        if self.how == "append":
+            self.rows.write.mode("append").insertInto(self.name)
+            return
+        writer = self.rows.write.format(self.format).partitionBy(*self.partitions)
+        (writer.mode("overwrite") if self.how == "replace" else writer).saveAsTable(self.name)
+
+
+def prepare(rows: DataFrame, sink: TableSink, table: str, by_commit: bool = False) -> Write:
+    """Check a table's dispositions and give rows its columns; for a commit the table has to be there."""
     spark, name = session(rows), sink.name(table)
     partitions = []
     if sink.partition_by is not None:
@@ -155,18 +240,11 @@ def write_table(rows: DataFrame, sink: TableSink, table: str, batch_id: str | No
         raise LandingError(f"table does not exist and must not be created: {name}")
     if exists and sink.write == WRITE_EMPTY and not spark.table(name).isEmpty():
         raise LandingError(f"table is not empty: {name}")
-    if exists and sink.write == WRITE_TRUNCATE and batch_id is None:
-        rows.write.format(sink.format).partitionBy(*partitions).mode("overwrite").saveAsTable(name)
-    elif not exists and batch_id is None:
-        rows.write.format(sink.format).partitionBy(*partitions).saveAsTable(name)
-    else:
-        if not exists:
-            rows.limit(0).write.format(sink.format).partitionBy(*partitions).saveAsTable(name)
-        rows = align(rows, name, sink)
-        if batch_id is None:
-            rows.write.mode("append").insertInto(name)
-        else:
-            append_once(rows, name, batch_id, partitions, sink.format)
+    if not by_commit and (not exists or sink.write == WRITE_TRUNCATE):
+        return Write(rows, name, partitions, sink.format, "replace" if exists else "create")
+    if not exists:
+        rows.limit(0).write.format(sink.format).partitionBy(*partitions).saveAsTable(name)
+    return Write(align(rows, name, sink), name, partitions, sink.format, "append")
 
 
 def align(rows: DataFrame, name: str, sink: TableSink) -> DataFrame:

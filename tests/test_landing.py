@@ -1,4 +1,6 @@
 import os
+import time
+from dataclasses import replace
 from datetime import UTC, date, datetime
 from decimal import Decimal
 
@@ -6,7 +8,7 @@ import pytest
 from landing_helpers import tuples
 from pyspark.sql import functions as F
 
-from quayside.batch import LandingError, from_frame
+from quayside.batch import Batch, LandingError, from_frame, with_hidden
 from quayside.operators.flatten import flatten
 from quayside.operators.metadata import inject_metadata
 from quayside.operators.routing import route
@@ -127,10 +129,95 @@ def test_a_replayed_batch_lands_once(spark, dataset):
     assert landed.count() == 25 and "_batch_id" not in landed.columns
     place = location(spark, f"{dataset}.t")
     # what can no longer be replayed is forgotten
-    assert sorted(Folder(spark, place).names("_commits")) == ["other-0", "s-2", "s-3"]
+    kept = Folder(spark, place.rpartition("/")[0]).names("_commits")
+    assert sorted((n.partition(".")[0], n.rpartition("-")[2]) for n in kept) == [("other", "0"), ("s", "2"), ("s", "3")]
     assert Folder(spark, place).names("_staging") == []
 
 
+def routes_to_one_table(spark):
+    """Rows without a table, with the default's name, in another spelling, and routed to the error table."""
+    names = [None, "t", "T", "t_error", "other"]
+    good = spark.createDataFrame([(i, names[i % 5]) for i in range(50)], "n int, _table string")
+    bad = spark.createDataFrame([("no", f"r{i}", None) for i in range(7)], "errorMessage string, rawData string, _table string")
+    return Batch(with_hidden(good), with_hidden(bad), routed=True)
+
+
+@pytest.mark.parametrize("batch_id", [None, "s-0"])
+def test_routes_that_end_in_one_table_are_one_write(spark, dataset, batch_id):
+    for times in (1, 2):
+        land_tables(routes_to_one_table(spark), TableSink(dataset, "t"), batch_id)
+        landed = 1 if batch_id else times
+        assert spark.table(f"{dataset}.t").count() == 30 * landed
+        assert spark.table(f"{dataset}.other").count() == 10 * landed
+        errors = spark.table(f"{dataset}.t_error")
+        assert errors.where("n IS NOT NULL").count() == 10 * landed
+        assert errors.where("rawData IS NOT NULL").count() == 7 * landed
+
+
+def test_columns_of_two_routes_with_different_types_become_text(spark, dataset):
+    good = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, 't' AS _table UNION ALL SELECT 2, 'x', NULL")
+    batch = replace(from_frame(good), routed=True, layout={None: ["a"], "t": ["b"]}, names={"b": "A"})
+    land_tables(batch, TableSink(dataset, "t"))
+    assert tuples(spark.table(f"{dataset}.t")) == [("2",), (None,)]
+
+
+def test_sinks_of_one_batch_do_not_take_each_others_commits(spark, dataset):
+    for sink, n in ((TableSink(dataset, "a"), 3), (TableSink(dataset, "b"), 4), (TableSink(dataset, "a"), 3)):
+        land_tables(from_frame(spark.range(n)), sink, "s-0")
+    assert (spark.table(f"{dataset}.a").count(), spark.table(f"{dataset}.b").count()) == (3, 4)
+
+
+def test_all_tables_of_a_batch_are_one_commit(spark, dataset, monkeypatch):
+    """A try that is lost before the commit leaves nothing in any table."""
+    write = Folder.write
+
+    def lost(self, name, text):
+        raise OSError("lost")
+
+    monkeypatch.setattr(Folder, "write", lost)
+    with pytest.raises(OSError, match="lost"):
+        land_tables(routes_to_one_table(spark), TableSink(dataset, "t"), "s-0")
+    counts = [spark.table(f"{dataset}.{t}").count() for t in ("t", "other", "t_error")]
+    assert counts == [0, 0, 0]
+    monkeypatch.setattr(Folder, "write", write)
+    land_tables(routes_to_one_table(spark), TableSink(dataset, "t"), "s-0")
+    assert [spark.table(f"{dataset}.{t}").count() for t in ("t", "other", "t_error")] == [30, 10, 17]
+
+
+def test_a_stream_lands_on_a_timed_trigger(spark, dataset, tmp_path):
+    """Two batches, each started by the clock, land what has come since the one before."""
+    schema = "payload binary, message_id string, attributes map<string,string>"
+
+    def arrive(n):
+        rows = [(f'{{"id": {n}}}'.encode(), f"m{n}", {})]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+
+    arrive(0)
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    running = land_stream(
+        stream, read_messages, TableSink(dataset, "t"), f"{tmp_path}/check", trigger="1 second"
+    )
+
+    def landed():
+        if not spark.catalog.tableExists(f"{dataset}.t"):
+            return []
+        spark.catalog.refreshTable(f"{dataset}.t")  # the stream writes in a session of its own
+        return tuples(spark.table(f"{dataset}.t").select("id"))
+
+    try:
+        for n in range(2):
+            if n:
+                arrive(n)
+            for _ in range(120):
+                if len(landed()) > n:
+                    break
+                time.sleep(0.5)
+        assert landed() == [("0",), ("1",)]
+        assert running.lastProgress["batchId"] >= 1
+    finally:
+        running.stop()
+
+
 def test_a_try_that_was_lost_half_way_is_finished(spark, dataset, monkeypatch):
     sink, batch = TableSink(dataset, "t"), from_frame(schema_test(spark, 50).repartition(4))
     move, calls = Folder.move, []
