@@ -15,6 +15,8 @@ SEPARATOR = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: Up to so many different windows (8 bytes each) are sent to all executors; more are joined
 #: by a shuffle. The rows are the same.
 BROADCAST_WINDOWS = 1_000_000
+#: Their words are sent up to so many bytes, and joined beyond.
+BROADCAST_BYTES = 64 << 20
 
 
 def normal_words(text: Column) -> Column:
@@ -76,8 +78,12 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, size: int = 10) ->
 
     passages = per_item.select("hash", "length", "passage").distinct()
     hashes = passages.select("hash", "length").distinct()
-    if passages.count() <= BROADCAST_WINDOWS:
-        hashes, passages = F.broadcast(hashes), F.broadcast(passages)
+    held = F.octet_length(F.array_join("passage", "")) + 24 * F.size("passage")
+    n_passages, n_bytes = passages.agg(F.count("*"), F.sum(held)).first()
+    if n_passages <= BROADCAST_WINDOWS:
+        hashes = F.broadcast(hashes)
+    if n_bytes <= BROADCAST_BYTES:
+        passages = F.broadcast(passages)
     found = (
         base.select(ID, TEXT_HASH, normal_words(F.col("text")).alias("words"))
         .select(ID, TEXT_HASH, F.inline(windows(F.col("words"), lengths)))

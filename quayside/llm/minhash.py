@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,26 +25,20 @@ TURNS = 1024
 class NearDup:
     """Parameters: shingles of ``words`` words; links at ``percent`` % Jaccard similarity or more.
 
-    A signature has ``coordinates`` coordinates, the first ``bands * rows`` of which are
-    banded. With 32 bands of 4, two documents of similarity 0.75 share no band with
-    probability 5e-6, of 0.8 with 5e-8. The low four bits of all coordinates are the sketch
-    that later rounds estimate similarity from: a pair at the threshold differs in 3.7
-    standard deviations more coordinates than expected, and is not compared, with
-    probability 1e-4, one of 5 points more with 1e-8.
+    A signature has ``bands * rows`` coordinates. With 32 bands of 4, two documents of
+    similarity 0.75 share no band with probability 5e-6, of 0.8 with 5e-8. That is all that
+    is lost: later rounds rule pairs out by bounds that hold for every pair.
     """
 
     words: int = 5
     percent: int = 75
     bands: int = 32
     rows: int = 4
-    coordinates: int = 512
 
-    @property
-    def most_different(self) -> int:
-        """In how many coordinates the sketches of a pair to compare may differ."""
-        share = (100 - self.percent) / 100 * 15 / 16
-        spread = (self.coordinates * share * (1 - share)) ** 0.5
-        return math.ceil(self.coordinates * share + 3.7 * spread)
+
+#: Places of an outline, and numbers of 64 bits that hold them.
+PLACES = 2048
+OUTLINE = PLACES // 64
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,23 +81,25 @@ def circulant_minima(hashes: np.ndarray, begins: np.ndarray, coordinates: int) -
     return out
 
 
-def _sketch(low: np.ndarray) -> np.ndarray:
-    """The low four bits of the coordinates, 16 to a number: ``[document, number]``."""
-    nibbles = (low & U(15)).reshape(-1, 16, low.shape[1])
-    out = np.zeros((nibbles.shape[0], low.shape[1]), dtype=np.uint64)
-    for j in range(16):
-        out |= nibbles[:, j] << U(4 * j)
-    return np.ascontiguousarray(out.T)
+def outlines(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set's outline ``[document, number]``: a bit for every place that elements fall on by their hash;
+    and how many of its elements fall on a place that another one has taken."""
+    out = np.zeros((len(sizes), OUTLINE), dtype=np.uint64)
+    place = mixed(sets ^ U(0x2545F4914F6CDD1D)) & U(PLACES - 1)
+    document = np.repeat(np.arange(len(sizes)), sizes)
+    np.bitwise_or.at(out, (document, (place >> U(6)).astype(np.int64)), U(1) << (place & U(63)))
+    return out, sizes - np.bitwise_count(out).sum(axis=1, dtype=np.int64)
+
 
+def most_in_common(a: Column, b: Column, spare_a: Column, spare_b: Column) -> Column:
+    """A bound on the elements that two sets have in common, from their outlines.
 
-def differences(a: Column, b: Column, n: int) -> Column:
-    """In how many coordinates two sketches of ``n`` numbers differ."""
-    total = F.lit(0)
-    for i in range(n):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    Elements in common that took their place in both sets share it; of the others each set has
+    so many to spare.
+    """
+    total = F.least(spare_a, spare_b)
+    for i in range(OUTLINE):
+        total = total + F.bit_count(F.get(a, F.lit(i)).bitwiseAND(F.get(b, F.lit(i))))
     return total
 
 
@@ -144,12 +139,10 @@ def _signatures(p: NearDup):
                 full = sizes > 0
                 begins = (np.cumsum(sizes) - sizes)[full]
                 bands = np.empty((0, p.bands), dtype=np.uint64)
-                sketch = np.empty((0, p.coordinates // 16), dtype=np.uint64)
                 a = b = np.zeros(len(sizes), dtype=np.uint64)
                 if full.any():
-                    low = circulant_minima(sets, begins, p.coordinates).astype(np.uint64)
-                    sketch = _sketch(low)
-                    low = low[: p.bands * p.rows].reshape(p.bands, p.rows, -1)
+                    low = circulant_minima(sets, begins, p.bands * p.rows).astype(np.uint64)
+                    low = low.reshape(p.bands, p.rows, -1)
                     key = np.broadcast_to(np.arange(1, p.bands + 1, dtype=np.uint64)[:, None], low[:, 0].shape)
                     for j in range(p.rows):
                         key = mixed(key * U(0x9E3779B97F4A7C15) + low[:, j])
@@ -157,6 +150,7 @@ def _signatures(p: NearDup):
                     a, b = a.copy(), b.copy()
                     a[full] = np.add.reduceat(mixed(sets), begins)
                     b[full] = np.add.reduceat(mixed(sets ^ U(0x5851F42D4C957F2D)), begins)
+                outline, spare = outlines(sets, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
@@ -165,9 +159,10 @@ def _signatures(p: NearDup):
                         _signed(a),
                         _signed(b),
                         array_column(bands.ravel().view(np.int64), full * p.bands, pa.int64()),
-                        array_column(sketch.ravel().view(np.int64), full * (p.coordinates // 16), pa.int64()),
+                        array_column(outline[full].ravel().view(np.int64), full * OUTLINE, pa.int64()),
+                        pa.array(spare.astype(np.int64)),
                     ],
-                    [ID, TEXT_HASH, "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                    [ID, TEXT_HASH, "n_shingles", "set_a", "set_b", "bands", "outline", "spare"],
                 )
 
     return run
@@ -209,7 +204,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     Documents with equal sets become one representative first, so copies are never paired.
     Representatives that share a band meet in its bucket. A bucket is worked on in rounds, see
     ``_links``: all members with one leader, then members outside the largest component with
-    those of other components whose sketch is near enough, until no two such members are left
+    those of other components that bounds on sizes and common elements do not rule out, until no two such members are left
     that are in different components. So a large group of near copies costs a few comparisons a member, and a bucket
     of documents that are not alike is still looked at in full. Links are confirmed on the
     full sets.
@@ -220,7 +215,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     signed = base.select(ID, TEXT_HASH, "text").mapInArrow(
         _signatures(p),
         f"{ID} long, {TEXT_HASH} long, n_shingles long, set_a long, set_b long, bands array<long>,"
-        " sketch array<long>",
+        " outline array<long>, spare long",
     )
     signed = work.table(signed, "signatures")
     alike = signed.where((F.col("n_shingles") > 0) & (F.col(ID) != NO_ID))
@@ -249,11 +244,11 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     )
     sets = work.table(sets, "sets")
 
-    sketches = alike.join(firsts, [ID, "set_a", "set_b"]).select(
-        F.col(ID).alias("node"), "n_shingles", "bands", "sketch"
+    drawn = alike.join(firsts, [ID, "set_a", "set_b"]).select(
+        F.col(ID).alias("node"), "n_shingles", "bands", "outline", "spare"
     )
-    sketches = work.table(sketches.join(nodes, "node", "left_semi").distinct(), "sketches")
-    links = _links(work, buckets, sets, sketches, p)
+    drawn = work.table(drawn.join(nodes, "node", "left_semi").distinct(), "outlines")
+    links = _links(work, buckets, sets, drawn, p)
     members = alike.select(ID, "set_a", "set_b").join(classes, ["set_a", "set_b"])
     same = members.where(F.col(ID) != F.col("node")).select(F.col(ID).alias("a"), F.col("node").alias("b"))
     found = connected(links.unionByName(same), work, "documents")
@@ -268,23 +263,32 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 def distinct_documents(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near copies, the row with the smallest ``doc_id``.
 
-    Of rows that share that id one stays, whichever text it has. Rows without a ``doc_id`` stay.
+    Rows are compared by their texts whatever their ids: rows that share an id and are not alike
+    all stay, rows without an id are compared like others and come after all ids. Of rows that
+    repeat an id and a text one stays. Texts without words, and NULL, are like no other.
     """
     work = Workspace(docs.sparkSession, "distinct")
-    found = near_duplicates(docs, p).where("kept and doc_id is not null")
-    first = found.groupBy(F.col("doc_id").alias(ID), TEXT_HASH).agg(F.count("*").alias("n"))
-    first = first.groupBy(ID).agg(F.min(F.struct(TEXT_HASH, "n")).alias("first")).select(ID, "first.*")
-    first = work.table(first, "first")
     own = whole_rows(docs)
+    node = F.xxhash64(ID, TEXT_HASH)
+    rows = work.table(own.groupBy(ID, TEXT_HASH).agg(F.count("*").alias("n")).withColumn("node", node), "rows")
+    texts = docs.select(
+        F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce("text", F.lit("")))).alias("doc_id"),
+        "text",
+    )
+    found = near_duplicates(texts, p).select(F.col("doc_id").alias("node"), F.col("component_id").alias("component"))
+    joined = rows.join(found.distinct(), "node")
+    order = F.struct((F.col(ID) == NO_ID).alias("unnamed"), ID, TEXT_HASH, "n")
+    first = joined.groupBy("component").agg(F.min(order).alias("first")).select(f"first.{ID}", f"first.{TEXT_HASH}", "first.n")
+    first = work.table(first, "first")
     stay = own.join(first, [ID, TEXT_HASH])
     if not first.where("n > 1").isEmpty():
         # only rows that repeat an id and a text are grouped with their texts
         stay = stay.where("n = 1").unionByName(stay.where("n > 1").dropDuplicates([ID, TEXT_HASH]))
-    return stay.select("_row").unionByName(own.where(F.col(ID) == NO_ID).select("_row")).select("_row.*")
+    return stay.select("_row.*")
 
 
 def _links(
-    work: Workspace, buckets: DataFrame, sets: DataFrame, sketches: DataFrame, p: NearDup
+    work: Workspace, buckets: DataFrame, sets: DataFrame, drawn: DataFrame, p: NearDup
 ) -> DataFrame:
     """Links between representatives, enough of them to give all components.
 
@@ -292,7 +296,7 @@ def _links(
     that, round 1 each bucket's members with its leader; then labels are components. Later
     rounds look at buckets that still hold several components: each member outside the
     bucket's largest one is compared with the members of the other components, unless their
-    sizes or sketches rule a link out. Where these are many they take turns: about ``TURNS``
+    sizes or outlines rule a link out. Where these are many they take turns: about ``TURNS``
     of a bucket first, then the square of that, and so on.
     """
     spark = buckets.sparkSession
@@ -323,9 +327,9 @@ def _links(
             pairs = rows.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         else:
             lead = rows.where((F.col("component") != F.col("main")) & (turn * F.col("outside") < most))
-            lead = lead.select("bucket", "node", "component").join(sketches, "node")
-            lead = lead.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("component", *sketches.columns)])
-            pairs = rows.select("bucket", "node", "component").join(sketches, "node").join(lead, "bucket")
+            lead = lead.select("bucket", "node", "component").join(drawn, "node")
+            lead = lead.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("component", *drawn.columns)])
+            pairs = rows.select("bucket", "node", "component").join(drawn, "node").join(lead, "bucket")
             pairs = pairs.where(_promising(p)).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if round_:
@@ -353,17 +357,17 @@ def _links(
 
 def _promising(p: NearDup) -> Column:
     """Whether two members of a bucket are to be compared: in the first bucket that they share,
-    if they are in different components and neither their sizes nor their sketches rule it out."""
+    if they are in different components and neither their sizes nor their outlines rule it out."""
     shared = [
         F.when(F.get("bands", F.lit(i)) == F.get("bands_b", F.lit(i)), F.get("bands", F.lit(i)))
         for i in range(p.bands)
     ]
     smaller, larger = F.least("n_shingles", "n_shingles_b"), F.greatest("n_shingles", "n_shingles_b")
-    differ = differences(F.col("sketch"), F.col("sketch_b"), p.coordinates // 16)
+    common = most_in_common(F.col("outline"), F.col("outline_b"), F.col("spare"), F.col("spare_b"))
     return (
         (F.col("component") != F.col("component_b"))
         & (100 * smaller >= p.percent * larger)
-        & (differ <= p.most_different)
+        & ((100 + p.percent) * common >= p.percent * (smaller + larger))
         & (F.coalesce(*shared) == F.col("bucket"))
     )
 

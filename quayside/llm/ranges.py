@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
+#: Copies of a row that are listed at once.
+RUN = 1 << 16
 
 
 def end_to_end(rows: DataFrame, group: str, weight: Column, identity: list[str]) -> DataFrame:
@@ -38,12 +40,13 @@ def end_to_end(rows: DataFrame, group: str, weight: Column, identity: list[str])
     return (
         counted.join(parts, [group, "_part"])
         .withColumn("_first", first)
+        .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(RUN).cast("long"))))
         .select(
             group,
             *identity,
             "_first",
             "_weight",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy"),
+            F.explode(F.sequence("_run", F.least(F.col("_run") + RUN, "_copies") - 1)).alias("_copy"),
         )
         .select(group, *identity, (F.col("_first") + F.col("_copy") * F.col("_weight")).alias("start"))
     )

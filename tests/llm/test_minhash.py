@@ -67,8 +67,10 @@ def test_distinct_documents_keeps_one_row_and_all_columns(frame):
     docs = frame([(9, text), (2, text), (2, text), (3, "else"), (None, text), (5, None), (5, "five")])
     kept = distinct_documents(docs)
     assert kept.columns == docs.columns
-    ids = sorted(r["doc_id"] or 0 for r in kept.collect())
-    assert ids == [0, 2, 3, 5]
+    # of rows that are alike the smallest id stays; unlike rows of one id all stay
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(2, text), (3, "else"), (5, ""), (5, "five")]
+    unnamed = distinct_documents(frame([(None, text), (None, text), (None, "else")]))
+    assert sorted(r["text"] for r in unnamed.collect()) == ["else", text]
 
 
 def test_signature_estimates_similarity():
@@ -88,14 +90,58 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert {r["node"]: r["component"] for r in found} == want
 
 
-def test_sketches_count_differing_coordinates(spark):
+def test_bounds_hold_for_every_pair(spark):
+    """Elements in common are never more than the outlines say, and the bound is near for sets of usual size."""
     from pyspark.sql import functions as F
 
-    from quayside.llm.minhash import _sketch, differences
+    from quayside.llm.minhash import most_in_common, outlines
 
     rng = np.random.default_rng(3)
-    low = rng.integers(0, 4, (32, 2), dtype=np.uint64)
-    sketch = _sketch(low).view(np.int64).tolist()
-    row = spark.createDataFrame([tuple(sketch)], "a array<long>, b array<long>")
-    got = row.select(differences(F.col("a"), F.col("b"), 2)).first()[0]
-    assert got == int((low[:, 0] % 16 != low[:, 1] % 16).sum())
+    rows = []
+    for n in (1, 5, 200, 900, 6000):
+        shared = rng.integers(0, 2**63, n // 2, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([shared, rng.integers(0, 2**63, n - n // 2, dtype=np.uint64)])) for _ in range(2)]
+        sizes = np.array([len(x) for x in sets])
+        outline, spare = outlines(np.concatenate(sets), sizes)
+        common = len(np.intersect1d(*sets))
+        rows.append((n, common, *outline.view(np.int64).tolist(), *spare.tolist()))
+    frame = spark.createDataFrame(rows, "n long, common long, a array<long>, b array<long>, c long, d long")
+    bound = most_in_common(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
+    for n, common, most in frame.select("n", "common", bound).collect():
+        assert most >= common
+        assert n > 900 or most <= common + 0.25 * n
+
+
+def thue_morse(letters: str, rounds: int) -> str:
+    text = letters[0]
+    for _ in range(rounds):
+        text += text.translate(str.maketrans(letters, letters[::-1]))
+    return text
+
+
+def test_words_made_to_a_pattern_are_not_alike(frame):
+    one, other = thue_morse("ab", 10), thue_morse("ba", 10)
+    rows = [(1, one), (2, other), (3, one), (4, f"{one} {other}"), (5, f"{other} {one}")]
+    assert result(frame, rows) == near_groups(rows)
+
+
+def test_a_bucket_of_near_misses_is_settled_by_bounds(frame, spark, monkeypatch):
+    """Texts that share bands and are not alike: few of their pairs need their full sets."""
+    from quayside.llm import minhash
+
+    rng, base = random.Random(4), [f"w{i}" for i in range(200)]
+    rows = []
+    for n in range(300):
+        text = list(base)
+        for k in range(9):
+            text[rng.randrange(200)] = f"n{n}-{k}"
+        rows.append((n, " ".join(text)))
+    judged, compared = minhash._judged, []
+
+    def counting(pairs, sets, p):
+        compared.append(pairs.count())
+        return judged(pairs, sets, p)
+
+    monkeypatch.setattr(minhash, "_judged", counting)
+    assert result(frame, rows) == near_groups(rows)
+    assert sum(compared) < 300 * 299 // 2 // 4
