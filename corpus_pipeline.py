@@ -20,22 +20,23 @@ from quayside.scratch import Workspace
 SHARDS = 8
 
 
-#: A text whose nearest profile is farther than this is in none of the languages.
-LEAST_SCORE = 0.2
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from these documents; a missing ``lang`` is filled in.
 
-    Texts without letters, and texts whose score is below ``LEAST_SCORE``, go.
+    Texts whose language cannot be told go: those that are NULL, empty or without letters, and all where no
+    language was learned. Columns of any names stay as they are.
     """
     profiles = learn_profiles(docs.where(remainder(F.col("doc_id"), 4) != 2))
-    told = predict(docs, profiles).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    told = predict(docs.select("text", F.struct(*docs.columns).alias("_row")), profiles)
+    row = F.col("_row")
+    known = {"lang": F.coalesce(row["lang"], F.col("lang_pred"))}
+    return told.where(F.col("lang_pred") != UNDETERMINED).select(
+        *[known.get(c, row[c]).alias(c) for c in docs.columns]
+    )
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id."""
+    """One document of each group of near copies stays, that of the smallest id; unlike texts of one id all stay."""
     return distinct_documents(docs)
 
 
