@@ -161,3 +161,25 @@ def test_query_digests_are_those_of_the_texts(spark):
         rows = QUERIES[name](spark, sf_dir).collect()
         size = "n_words" if join else "n_bytes"
         assert {r["doc_id"]: (r[size], r["n_removed"], r["kept_sha256"]) for r in rows} == want
+
+
+def thue_morse(letters: str, rounds: int) -> str:
+    text = letters[0]
+    for _ in range(rounds):
+        text += text.translate(str.maketrans(letters, letters[::-1]))
+    return text
+
+
+def test_words_and_strings_made_to_a_pattern_are_told_apart(frame):
+    """Polynomials modulo a power of two give each such word and its complement one hash."""
+    one, other = thue_morse("ab", 11), thue_morse("ba", 11)
+    shared = " ".join(f"w{i}" for i in range(34))
+    assert cut_repeated_sequences(frame([f"{shared} {one}", f"{shared} {other}"])).count() == 0
+    sequence = {w: " ".join(thue_morse(w, 11)) for w in ("ab", "ba")}
+    rows = [sequence["ab"], sequence["ba"]]
+    for got, units in (
+        (cut_repeated_sequences(frame(rows), 1500), [words_of(t) for t in rows]),
+        (cut_repeated_strings(frame([one, other]), 1500), [one.encode(), other.encode()]),
+    ):
+        want = Counter(sum(covered) for covered in removed(units, 1500) if any(covered))
+        assert Counter(r["n_removed"] for r in got.collect()) == want
