@@ -749,8 +749,8 @@ def in_two_sizes(spark: SparkSession, folder: str, header: list[str]) -> DataFra
     "s1_quoted_line_ends",
     """
     SELECT setting, o_orderkey::VARCHAR AS "key",
-           CASE o_orderkey % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'to' || chr(10) || '"' || o_clerk || '", ' || chr(10) || chr(10)
-           WHEN 2 THEN chr(13) || chr(10) || 'x' ELSE o_clerk END AS note,
+           CASE o_orderkey % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'to' || chr(10) || '"' || o_orderpriority || '", ' || chr(10) || chr(10)
+           WHEN 2 THEN chr(13) || chr(10) || 'x' ELSE o_orderpriority END AS note,
            o_orderstatus AS status
     FROM orders, (VALUES ('128m'), ('8k')) AS v(setting)
     """,
@@ -760,9 +760,9 @@ def s1_quoted_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("o_orderkey") % 5
     note = (
         F.when(kind == 0, F.lit("plain"))
-        .when(kind == 1, F.concat(F.lit('"to\n""'), "o_clerk", F.lit('"", \n\n"')))
+        .when(kind == 1, F.concat(F.lit('"to\n""'), "o_orderpriority", F.lit('"", \n\n"')))
         .when(kind == 2, F.lit('"\r\nx"'))
-        .otherwise(F.col("o_clerk"))
+        .otherwise(F.col("o_orderpriority"))
     )
     key = F.col("o_orderkey").cast("string")
     lines = table(spark, sf_dir, "orders").select(F.concat_ws(",", key, note, "o_orderstatus"))

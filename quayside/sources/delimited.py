@@ -2,7 +2,9 @@
 
 Files with the same header are read together by Spark's CSV source. Files with line ends in
 their cells and dialects that source cannot read are put together and split by ``lines``, in
-the JVM as well. Entries of archives go through a record splitter inside tasks.
+the JVM as well. Entries of archives, which are not lines to Spark, are split into records inside tasks,
+once: the records are a table from which headers, good rows and rejects are taken, and which
+Spark cuts anew, so that what comes after does not depend on how large an entry is.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from quayside.functions.names import (
     generic_header,
     without_dot_slash,
 )
+from quayside.scratch import Workspace
 from quayside.sources.dialects import Dialect, dialect, records, text_lines
 from quayside.sources.files import hidden_files, list_files, open_plain, short
 from quayside.sources.lines import Grammar, file_path, lines_alone, lines_together
@@ -30,7 +33,10 @@ from quayside.sources.units import NONE, emitter, open_unit, spread, units
 
 # A header for the files whose name matches a pattern: (pattern, column names).
 HeaderRule = tuple[str, list[str]]
-PROBE = "path string, file_name string, names array<string>, width int"
+SPLIT = (
+    "path string, file_name string, archive string, first boolean, names array<string>,"
+    " cells array<string>, record string"
+)
 HEAD = "path string, file_name string, names array<string>, header_line long"
 ORIGIN = "bad string, message string, file_name string, archive string"
 
@@ -70,16 +76,13 @@ def read_delimited(
 
     named = [(r[TABLE], r["columns"]) for r in found]
     if odd:
-        probed = probe_units(work, choice, skip, destination)
-        headers = probed.groupBy(TABLE, "names", "width").agg(F.min("path").alias("at"))
-        named += [
-            (r[TABLE], choice.columns(r["names"], r["width"]))
-            for r in sorted(headers.collect(), key=lambda r: (r["at"], r["width"]))
-        ]
+        split = Workspace(spark, "records").table(split_units(work, choice, skip), "split")
+        headers = headers_of(split, choice, destination)
+        named += [(r[TABLE], r["columns"]) for r in headers]
     columns = union_of(named)
     scans = scan_files(spark, found, columns, choice)
     if odd:
-        scans.append(split_in_tasks(work, probed, choice, columns, skip))
+        scans.append(placed_cells(split, headers, columns, choice))
     parsed = reduce(DataFrame.unionByName, scans) if scans else empty_cells(spark, columns)
 
     meta = [without_dot_slash(F.col("file_name")).alias("meta_file_name")]
@@ -162,16 +165,6 @@ def file_records(spark: SparkSession, files: list[dict], choice: HeaderChoice) -
     return reduce(DataFrame.unionByName, parts)
 
 
-def probe_units(
-    work: DataFrame, choice: HeaderChoice, skip: tuple[str, ...], destination: Destination | None
-) -> DataFrame:
-    """Names or widths of what is read in tasks: archive entries and oddly named files."""
-    probed = spread(work).mapInArrow(choice.probe(skip), PROBE).groupBy("path", "file_name")
-    return probed.agg(F.max("names").alias("names"), F.max("width").alias("width")).withColumn(
-        TABLE, table_of(destination)
-    )
-
-
 class HeaderChoice:
     """Where the header of a file comes from: a rule for its name, itself, or its width."""
 
@@ -195,25 +188,6 @@ class HeaderChoice:
             names = generic_header(width, self.prefix)
         return clean_header(names, self.replacement, fill_missing=self.lenient)
 
-    def read(self, file_name: str, stream) -> tuple[list[str] | None, int]:
-        """The names of a file, or None and the width of its widest record."""
-        parsed = records(text_lines(stream), self.d)
-        first, _ = next(parsed, ([], ""))
-        names = self.by_name(file_name)
-        if names is None and self.from_file:
-            names = [n or "" for n in first]
-        if names is not None:
-            return names, len(names)
-        width = 0 if self.has_header else len(first)
-        return None, max(width, max((len(cells) for cells, _ in parsed), default=0))
-
-    def probe(self, skip: tuple[str, ...]) -> Callable:
-        def rows(unit: dict) -> Iterator[tuple]:
-            for file_name, stream in open_unit(unit, skip):
-                yield unit["path"], file_name, *self.read(file_name, stream)
-
-        return emitter(rows, PROBE)
-
     def head(self) -> Callable:
         """Files to the names that rules or their own first records give them; reads no further."""
 
@@ -313,44 +287,72 @@ def cell_schema(columns: list[str]) -> str:
     return "".join(f"c{i} string, " for i in range(len(columns))) + ORIGIN
 
 
-def split_in_tasks(
-    work: DataFrame,
-    probed: DataFrame,
-    choice: HeaderChoice,
-    columns: list[str],
-    skip: tuple[str, ...],
-) -> DataFrame:
-    """Split records inside tasks; every task finds the header of its own unit."""
-    d, at = choice.d, {name: i for i, name in enumerate(columns)}
-    widths = probed.select("path", "file_name", "width")
-    schema = cell_schema(columns)
-
-    def header_of(unit: dict, file_name: str) -> tuple:
-        if unit["width"] is not None and not choice.from_file:
-            return choice.by_name(file_name), unit["width"]
-        for name, stream in open_unit(unit, skip):
-            return choice.read(name, stream)
-        return [], 0
+def split_units(work: DataFrame, choice: HeaderChoice, skip: tuple[str, ...]) -> DataFrame:
+    """The records of archive entries and oddly named files, each opened once.
+
+    ``names`` are with the first record of a file, if rules or the record itself name its
+    cells. The text of a record is there where it may be of another width than its header.
+    """
+    d = choice.d
 
     def rows(unit: dict) -> Iterator[tuple]:
-        headers = {}
-        if unit["how"] in ("tar stream", "zip"):
-            # The entries are not known before the archive is read, nor are their headers.
-            headers = {name: choice.read(name, stream) for name, stream in open_unit(unit, skip)}
         for file_name, stream in open_unit(unit, skip):
-            names = choice.columns(*(headers.get(file_name) or header_of(unit, file_name)))
-            places = [at[n] for n in names]
-            parsed = records(text_lines(stream), d)
-            if choice.has_header:
-                next(parsed, None)
-            for cells, text in parsed:
-                row, bad, message = [None] * len(columns), None, None
-                for place, cell in zip(places, cells):
-                    row[place] = cell
-                if len(cells) != len(places) and not choice.lenient:
-                    bad = text.rstrip("\r\n")
-                    message = f"record has {len(cells)} cells instead of {len(places)}"
-                yield (*row, bad, message, file_name, unit["archive"])
-
-    named = work.join(widths, ["path", "file_name"], "left")
-    return spread(named).mapInArrow(emitter(rows, schema), schema)
+            names, expected = choice.by_name(file_name), None
+            for i, (cells, text) in enumerate(records(text_lines(stream), d)):
+                if i == 0 and names is None and choice.from_file:
+                    names = [c or "" for c in cells]
+                if i == 0 and names is not None:
+                    expected = len(names)
+                kept = None if len(cells) == expected else text.rstrip("\r\n")
+                yield unit["path"], file_name, unit["archive"], i == 0, names if i == 0 else None, cells, kept
+
+    return spread(work).mapInArrow(emitter(rows, SPLIT), SPLIT)
+
+
+def headers_of(split: DataFrame, choice: HeaderChoice, destination: Destination | None) -> list[dict]:
+    """The different headers of what was split: names, or the width of the widest record, and columns."""
+    firsts = split.filter("first").select("path", "file_name", "names")
+    counted = split.filter(~F.col("first")) if choice.has_header else split
+    widths = counted.groupBy("path", "file_name").agg(F.max(F.size("cells")).alias("width"))
+    files = firsts.join(widths, ["path", "file_name"], "left").withColumn(
+        "width", F.when(F.col("names").isNull(), F.coalesce("width", F.lit(0)))
+    )
+    found = files.withColumn(TABLE, table_of(destination)).groupBy(TABLE, "names", "width").agg(F.min("path").alias("at"))
+    headers = sorted((r.asDict() for r in found.collect()), key=lambda r: (r["at"], r["width"] or len(r["names"] or [])))
+    for r in headers:
+        r["columns"] = choice.columns(r["names"], r["width"] or 0)
+    return headers
+
+
+def placed_cells(split: DataFrame, headers: list[dict], columns: list[str], choice: HeaderChoice) -> DataFrame:
+    """Split records with the cells of ``columns``, by the header of their file."""
+    spark = split.sparkSession
+    at = {(tuple(r["names"]) if r["names"] is not None else None, r["width"]): r["columns"] for r in headers}
+    known = spark.createDataFrame(
+        [
+            (list(names) if names is not None else None, width, len(own), [own.index(c) if c in own else -1 for c in columns])
+            for (names, width), own in at.items()
+        ],
+        "names array<string>, width int, count int, places array<int>",
+    )
+    firsts = split.filter("first").select("path", "file_name", "names")
+    counted = split.filter(~F.col("first")) if choice.has_header else split
+    widths = counted.groupBy("path", "file_name").agg(F.max(F.size("cells")).alias("most"))
+    files = firsts.join(widths, ["path", "file_name"], "left").select(
+        "path",
+        "file_name",
+        F.col("names").alias("own_names"),
+        F.when(F.col("names").isNull(), F.coalesce("most", F.lit(0))).alias("own_width"),
+    )
+    same = F.col("own_names").eqNullSafe(F.col("names")) & F.col("own_width").eqNullSafe(F.col("width"))
+    files = files.join(known, same).select("path", "file_name", "count", "places")
+    rows = (split.filter(~F.col("first")) if choice.has_header else split).drop("names").join(files, ["path", "file_name"])
+    wrong = F.lit(False) if choice.lenient else F.size("cells") != F.col("count")
+    place = [F.get("places", F.lit(i)) for i in range(len(columns))]
+    return rows.select(
+        *[F.when(p >= 0, F.get("cells", p)).alias(f"c{i}") for i, p in enumerate(place)],
+        F.when(wrong, F.col("record")).alias("bad"),
+        F.concat(F.lit("record has "), F.size("cells"), F.lit(" cells instead of "), F.col("count")).alias("message"),
+        "file_name",
+        "archive",
+    )

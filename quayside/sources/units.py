@@ -1,6 +1,6 @@
 """Units of work for readers that parse inside tasks.
 
-A unit is a whole file, a byte range of one, an archive entry or a run of entries. Units are rows, so
+A unit is a whole file, an archive entry or a run of entries. Units are rows, so
 Spark spreads them over the cluster; a task opens its unit by path and streams it.
 """
 
@@ -148,12 +148,12 @@ def open_unit(unit: dict, skip: Iterable[str] = ()) -> Iterator[tuple[str, Binar
     elif how == "tar entry":
         with open_path(unit["path"]) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
             yield unit["file_name"], io.BufferedReader(tar.extractfile(unit["entry"]), 1 << 20)
-    elif how in ("plain", "lines"):
+    elif how == "plain":
         with open_plain(unit["path"]) as stream:
             yield unit["file_name"], stream
     else:
         with open_path(unit["path"]) as stream:
-            window = Window(stream, unit["start"], unit["length"], lines=how == "range")
+            window = Window(stream, unit["start"], unit["length"])
             yield unit["file_name"], io.BufferedReader(window, 1 << 20)
 
 
@@ -173,52 +173,18 @@ class Forward(io.RawIOBase):
 
 
 class Window(io.RawIOBase):
-    """A part of a stream.
+    """A part of a stream."""
 
-    With ``lines`` the part is moved to line ends: it begins after the first line feed at
-    or past ``start - 1`` and runs on to the end of the line that crosses its limit, so
-    that the ranges of a file cover every line once.
-    """
-
-    def __init__(self, stream: BinaryIO, start: int, length: int, lines: bool):
-        self.stream, self.left, self.lines, self.done = stream, length, lines, False
+    def __init__(self, stream: BinaryIO, start: int, length: int):
+        self.stream, self.left = stream, length
         stream.seek(start)
-        if lines and start > 0:
-            stream.seek(start - 1)
-            self.left += 1
-            self.skip_line()
-
-    def skip_line(self) -> None:
-        while not self.done:
-            at = self.stream.tell()
-            block = self.stream.read(1 << 16)
-            cut = block.find(b"\n") + 1
-            self.done = not block
-            if cut or self.done:
-                break
-            self.left -= len(block)
-        if not self.done:
-            self.stream.seek(at + cut)
-            self.left -= cut
 
     def readable(self) -> bool:
         return True
 
     def readinto(self, buffer) -> int:
-        if self.done:
-            return 0
-        if self.left > 0:
-            block = self.stream.read(min(len(buffer), self.left))
-            self.left -= len(block)
-            self.last = block[-1:] or b"\n"
-        else:
-            if not self.lines or getattr(self, "last", b"\n") == b"\n":
-                self.done = True
-                return 0
-            block = self.stream.read(min(len(buffer), 1 << 16))
-            cut = block.find(b"\n") + 1
-            self.done = bool(cut) or not block
-            block = block[:cut] if cut else block
+        block = self.stream.read(min(len(buffer), self.left))
+        self.left -= len(block)
         buffer[: len(block)] = block
         return len(block)
 

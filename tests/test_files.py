@@ -218,3 +218,31 @@ def test_names_that_scans_leave_out(spark, write, tmp_path):
 def test_unknown_compression(spark, write):
     with pytest.raises(LandingError, match="RAR"):
         read_delimited(spark, [write("a.csv", CSV)], compression="RAR")
+
+
+@pytest.mark.parametrize("kind", ["ZIP", "TAR"])
+def test_archives_are_split_once(spark, write, kind):
+    """Headers, good rows and rejects come from one table of records; nothing opens the archive again."""
+    from quayside.plans.fixtures import packed
+    from quayside.sources.delimited import read_delimited
+
+    files = [("beds.csv", b"K,V\n1,a\n2\n3,b\n"), ("frames.csv", b"V,W\nx,y\n"), ("none.csv", b"")]
+    name = "in.zip" if kind == "ZIP" else "in.tar.gz"
+    path = write(name, packed(files, kind.lower(), name))
+    batch = read_delimited(spark, [path], has_header=True, compression=kind)
+    for side in (batch.good, batch.bad):
+        assert "MapInArrow" not in side._jdf.queryExecution().executedPlan().toString()
+    os.remove(path)
+    assert batch.columns == ["k", "v", "w"]
+    assert tuples(batch.rows()) == sorted([("1", "a", None), ("3", "b", None), (None, "x", "y")], key=repr)
+    assert [r["rawData"] for r in batch.bad.collect()] == ["2"]
+
+
+def test_generic_headers_of_entries_have_the_width_of_the_widest_record(spark, write):
+    from quayside.plans.fixtures import packed
+    from quayside.sources.delimited import read_delimited
+
+    path = write("in.zip", packed([("a.csv", b"1,2,3\n4\n"), ("b.csv", b"5\n")], "zip", "in.zip"))
+    batch = read_delimited(spark, [path], compression="ZIP", replacement="_")
+    assert tuples(batch.rows()) == sorted([("1", "2", "3"), ("5", None, None)], key=repr)
+    assert [r["rawData"] for r in batch.bad.collect()] == ["4"]
