@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import math
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from by_hand import words_of
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quayside.llm import ranges
 from quayside.llm.mixing import Mix, draws, mix_sources, mixed_documents, permuted, taken, targets
-from quayside.llm.sharding import rendezvous, shard_manifest
+from quayside.llm.sharding import SEED, rendezvous, shard_manifest
 
 
 def test_manifest(frame):
@@ -31,6 +34,26 @@ def test_manifest(frame):
     assert shard_manifest(frame(["x"]).limit(0), [1.0]).count() == 0
 
 
+def shard_by_hand(key, weights):
+    """The shard with the smallest -ln(u) / weight, u from the standard 64-bit xxHash of seed, shard and key."""
+    scores = []
+    for shard, weight in enumerate(weights):
+        if weight:
+            h = 42
+            for kind, value in (("<i", SEED), ("<i", shard), ("<q", key)):
+                if value is not None:
+                    h = xxhash.xxh64_intdigest(struct.pack(kind, value), seed=h)
+            scores.append((-math.log(((h >> 11) + 0.5) / 2**53) / weight, shard))
+    return min(scores)[1]
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 8, [1.0, 0.0, 3.0], [2.5]])
+def test_shards_against_hand_written_rendezvous(spark, weights):
+    keys = [*range(500), -7, 2**62, None]
+    frame = spark.createDataFrame([(k,) for k in keys], "key long").withColumn("shard", rendezvous(F.col("key"), weights))
+    assert {r["key"]: r["shard"] for r in frame.collect()} == {k: shard_by_hand(k, weights) for k in keys}
+
+
 def test_shares_follow_weights_and_few_keys_move(spark):
     keys = spark.range(20_000)
     weights = [1.0, 2.0, 0.0, 5.0]
@@ -119,6 +142,25 @@ def test_mixed_documents_hold_the_words_taken(frame, spark):
     assert +words == +want
 
 
+def test_pipeline_stages_keep_clashing_columns_and_rows_of_one_id(spark):
+    """Columns named like results pass, texts that share an id are judged apart, rows without an id too."""
+    english, german = ("the cat sat on the mat and looked at the dog " * 3, "der hund und die katze liegen auf dem haus " * 3)
+    rows = [(1, english, "en"), (1, german, "de"), (2, german, None), (None, english, "en"), (3, "12 -", "en"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr(
+        "doc_id", "text", "lang", "'s' AS source", "1L AS n_chars", "'mine' AS SCORE", "'mine' AS lang_pred", "'mine' AS shard"
+    )
+    told = corpus_pipeline.language(spark, docs, "")
+    assert told.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"], r["lang"]) for r in told.collect()) == sorted(
+        [(1, english, "en"), (1, german, "de"), (2, german, "de"), (0, english, "en")]
+    )
+    assert {tuple(r) for r in told.select("SCORE", "lang_pred", "shard").collect()} == {("mine",) * 3}
+    kept = corpus_pipeline.dedup(spark, told, "")
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(1, english), (1, german)])
+    sharded = corpus_pipeline.shard(spark, kept, "")
+    assert {(r["doc_id"], r["shard"]) for r in sharded.collect()} == {(1, shard_by_hand(1, [1.0] * 8))}
+
+
 def test_pipeline(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -213,7 +213,7 @@ def test_documents_of_symbols_or_of_repeated_lines_are_rejected(frame):
 
 
 def test_estimate_is_that_of_a_concentrated_half(spark):
-    """The estimates against the same steps by sorting whole groups."""
+    """Mean and spread are roughly those of the clean rows, whatever the others are."""
     from quayside.llm.outliers import GROUP, MEAN, X, estimates
     from quayside.scratch import Workspace
 
@@ -229,6 +229,60 @@ def test_estimate_is_that_of_a_concentrated_half(spark):
     assert np.all(spread > 0.5 * clean.var(axis=0)) and np.all(spread < 1.5 * clean.var(axis=0) + 0.3)
 
 
+def estimate_by_hand(x, p):
+    """Mean and covariance of a group's rows by the steps of the method, with whole groups sorted."""
+
+    def at(bins, share):
+        return np.sort(bins)[math.ceil(share * len(bins)) - 1]
+
+    def distance(mean, cov):
+        return np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov), x - mean)
+
+    def fitted(rows, factor=1.0):
+        cov = factor * np.cov(rows.T, bias=True)
+        i = np.arange(5)
+        cov[i, i] += np.maximum(np.square(p.floors) - cov[i, i], p.least_variance)
+        return rows.mean(axis=0), cov
+
+    low, middle, high = ([at(np.floor(c * 200), q) for c in x.T] for q in (0.25, 0.5, 0.75))
+    spread = np.maximum((np.array(high) - low) / 200 / 1.349, p.floors)
+    mean, cov, before = (np.array(middle) + 0.5) / 200, np.diag(spread**2), 0.0
+    for step in range(p.steps):
+        bins = np.floor(np.log(distance(mean, cov) + 1e-6) * 100)
+        mean, cov = fitted(x[bins <= at(bins, p.half)])
+        now = np.linalg.slogdet(cov)[1]
+        if step and abs(now - before) < 1e-6:
+            break
+        before = now
+    mean, cov = fitted(x[distance(mean, cov) / p.nearest <= p.weight_cut], p.reweighted)
+    return distance(mean, cov)
+
+
+def test_verdicts_are_those_of_sorted_groups(frame):
+    """``kept`` and ``distance`` against the same estimate with whole groups in memory."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(300)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(60, 400))) for _ in range(150)]
+    for i in range(0, 150, 9):  # some repeat lines, some have symbols, some are short words
+        texts[i] += "\n" + "\n".join([" ".join(rng.choices(vocabulary, k=4))] * (i % 5))
+        texts[i + 1] = texts[i + 1].replace(" ", " #", i % 12)
+        texts[i + 2] = " ".join(w[:2] for w in texts[i + 2].split())
+    p = Outliers()
+    got = {r["doc_id"]: r for r in judge_documents(frame(texts)).collect()}
+    rows = {}
+    for i, text in enumerate(texts):
+        n, chars, symbols, lines, repeats = statistics_by_hand(text)
+        failed = n < p.min_words or 100 * repeats > p.max_repeat_percent * n
+        assert got[i]["base_failed"] == failed
+        if not failed:
+            rates = [math.log1p(100 * c / n) for c in (symbols, lines, repeats)]
+            rows[i] = [math.log(n), chars / n, *rates]
+    want = estimate_by_hand(np.array(list(rows.values())), p)
+    assert np.allclose([got[i]["distance"] for i in rows], want, rtol=1e-6)
+    kept = want <= p.cut
+    assert [got[i]["kept"] for i in rows] == kept.tolist() and 0.5 < kept.mean() < 1
+
+
 # --- rules ----------------------------------------------------------------------------
 
 
