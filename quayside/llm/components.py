@@ -14,7 +14,8 @@ def connected(links: DataFrame, work: Workspace, label: str) -> DataFrame:
     Alternates two steps until nothing changes: each node hands its larger neighbours to the
     smallest one (large star), then its smaller neighbours and itself (small star). The rounds
     grow with the logarithm of the longest path. Smallest neighbours are combined on the map
-    side, and a node with very many links is a skewed join that Spark splits.
+    side; the links of one node meet its smallest neighbour in one task, so that a node with very
+    many links makes a long one.
     """
     edges = links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     edges = work.table(edges.where("lo < hi").distinct(), f"{label}-0")
