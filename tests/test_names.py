@@ -8,10 +8,10 @@ from quayside.functions import names
 @pytest.mark.parametrize(
     ("name", "replacement", "expected"),
     [
-        ("SIO#$#JHNDkkk2ss88980", "_", "sio___jhndkkk2ss88980"),
-        ("0034358sSD#@#Hs", "_", "0034358ssd___hs"),
-        ("FIELD_1", "", "field1"),
-        ("FIELD_1", "_", "field_1"),
+        ("Ab#$#Cd9ef0", "_", "ab___cd9ef0"),
+        ("007xY#@#z", "_", "007xy___z"),
+        ("BED_1", "", "bed1"),
+        ("BED_1", "_", "bed_1"),
         ("__Order Key!!", "_", "order_key"),
         ("a.b", ".", "a.b"),
         ("..a$b..", "$", "a$b"),
@@ -42,11 +42,11 @@ def test_clean_header_refuses_names_that_cannot_be_told_apart():
     ("destination", "file", "expected"),
     [
         (
-            names.Destination(r"(csv-)(.*)\.csv", 2, "prefix_", "_suffix"),
-            "csv-with-header.csv",
-            "prefix_with_header_suffix",
+            names.Destination(r"(plot-)(.*)\.csv", 2, "garden_", "_raw"),
+            "plot-far-west.csv",
+            "garden_far_west_raw",
         ),
-        (names.Destination(r"no_match_(\d+)", 1), "csv-without-header.csv", "csv_without_header_csv"),
+        (names.Destination(r"frame_(\d+)", 1), "plot-far-west.csv", "plot_far_west_csv"),
         (names.Destination(), "./A  File--1.CSV", "a_file_1_csv"),
         (names.Destination(r"\d+", prefix="T"), "x12y34", "t12"),
     ],
@@ -59,8 +59,8 @@ def test_destination(spark, destination, file, expected):
 def test_file_name_functions(spark):
     df = spark.createDataFrame(
         [
-            ("csv-with-header-athena_20230101_12345.csv",),
-            ("csv-with-header-athena.csv",),
+            ("tides-orion_20240229_777.csv",),
+            ("tides-orion.csv",),
             ("a_1_2_3.tar.gz",),
             ("./x",),
         ],
@@ -74,7 +74,7 @@ def test_file_name_functions(spark):
         names.without_dot_slash(f),
     ).collect()
     assert [tuple(r)[:3] for r in found] == [
-        ("12345", "20230101", "20230101"),
+        ("777", "20240229", "20240229"),
         (None, None, None),
         (None, "1", "1"),
         (None, None, None),

@@ -21,11 +21,11 @@ from quayside.sources.delimited import read_delimited
 from quayside.sources.json_lines import read_documents
 from quayside.sources.tables import read_table
 
-CSV = "FIELD_1,FIELD_2,FIELD_3\nA,B,1\nC,D,2\nD,E,3\nshort\n"
+CSV = "Tide,Harbour,Depth\nebb,Cork,4\nflow,Lima,11\nneap,,9\nshort\n"
 LOADED = datetime(2023, 1, 2, 12, 5, tzinfo=UTC)
 
 
-def csv_batch(spark, write, name="csv-with-header-athena_20230101_12345.csv") -> Batch:
+def csv_batch(spark, write, name="tides-orion_20240229_777.csv") -> Batch:
     return read_delimited(spark, [write(name, CSV)], has_header=True)
 
 
@@ -33,27 +33,27 @@ def csv_batch(spark, write, name="csv-with-header-athena_20230101_12345.csv") ->
 
 
 def test_file_name_metadata(spark, write):
-    lookup = read_lookup(spark, write("lookup.json", '{"12345": "MIN_VAL", "2": null, "3": 4}'))
+    lookup = read_lookup(spark, write("lookup.json", '{"777": "Coast", "2": null, "3": 4}'))
     batch = inject_metadata(
         file_name_metadata(csv_batch(spark, write), lookup), load_timestamp=LOADED
     )
     assert batch.columns == [
         "meta_file_name", "meta_filedate", "meta_load_timestamp", "meta_ministry", "meta_ministryid",
-        "field1", "field2", "field3",
+        "tide", "harbour", "depth",
     ]
     assert batch.layout == {None: batch.columns}
-    row = batch.rows().orderBy("field1").first()
+    row = batch.rows().orderBy("tide").first()
     assert tuple(row)[:5] == (
-        "csv-with-header-athena_20230101_12345.csv", "20230101", LOADED.replace(tzinfo=None),
-        "MIN_VAL", "12345",
+        "tides-orion_20240229_777.csv", "20240229", LOADED.replace(tzinfo=None),
+        "Coast", "777",
     )
     bad = batch.rejects().first().asDict()
-    assert bad["meta_ministry"] == "MIN_VAL" and bad["rawData"] == "short"
+    assert bad["meta_ministry"] == "Coast" and bad["rawData"] == "short"
 
 
 def test_file_name_without_metadata(spark, write):
-    lookup = read_lookup(spark, write("lookup.json", '{"12345": "MIN_VAL"}'))
-    batch = csv_batch(spark, write, "csv-with-header-athena.csv")
+    lookup = read_lookup(spark, write("lookup.json", '{"777": "Coast"}'))
+    batch = csv_batch(spark, write, "tides-orion.csv")
     row = inject_metadata(file_name_metadata(batch, lookup)).rows().first()
     assert (row["meta_filedate"], row["meta_ministry"], row["meta_ministryid"]) == (None, None, None)
 
@@ -65,11 +65,11 @@ def test_broken_lookup(spark, write, text):
 
 
 def test_rename(spark, write):
-    batch = inject_metadata(csv_batch(spark, write), rename={"field1": "RENAMED_FIELD_1", "x": "y"})
-    assert batch.columns[2:] == ["RENAMED_FIELD_1", "field2", "field3"]
-    assert rename_columns(batch, {"field2": "F 2"}).layout[None][-2:] == ["F 2", "field3"]
-    with pytest.raises(LandingError, match="field3"):
-        inject_metadata(csv_batch(spark, write), rename={"field1": "field3"})
+    batch = inject_metadata(csv_batch(spark, write), rename={"tide": "PHASE", "x": "y"})
+    assert batch.columns[2:] == ["PHASE", "harbour", "depth"]
+    assert rename_columns(batch, {"harbour": "F 2"}).layout[None][-2:] == ["F 2", "depth"]
+    with pytest.raises(LandingError, match="depth"):
+        inject_metadata(csv_batch(spark, write), rename={"tide": "depth"})
     with pytest.raises(LandingError, match="meta_file_name"):
         inject_metadata(inject_metadata(csv_batch(spark, write)))
 
@@ -150,7 +150,7 @@ def test_standardise(spark):
 
 
 def test_standardise_after_metadata_keeps_both_kinds_of_rejects(spark, write):
-    batch = standardise(inject_metadata(csv_batch(spark, write)), {"field1": "int"})
+    batch = standardise(inject_metadata(csv_batch(spark, write)), {"tide": "int"})
     assert batch.good.count() == 0
     assert batch.bad.count() == 4
 
