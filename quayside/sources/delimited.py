@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
+from hashlib import blake2b
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from quayside.sources.units import NONE, emitter, open_unit, spread, units
 HeaderRule = tuple[str, list[str]]
 SPLIT = (
     "path string, file_name string, archive string, first boolean, names array<string>,"
-    " cells array<string>, record string"
+    " header long, record string"
 )
 HEAD = "path string, file_name string, names array<string>, header_line long"
 ORIGIN = "bad string, message string, file_name string, archive string"
@@ -291,20 +292,21 @@ def split_units(work: DataFrame, choice: HeaderChoice, skip: tuple[str, ...]) ->
     """The records of archive entries and oddly named files, each opened once.
 
     ``names`` are with the first record of a file, if rules or the record itself name its
-    cells. The text of a record is there where it may be of another width than its header.
+    cells, and ``header`` stands for them with every record. The text of a record is split into
+    its cells in the JVM.
     """
     d = choice.d
 
     def rows(unit: dict) -> Iterator[tuple]:
         for file_name, stream in open_unit(unit, skip):
-            names, expected = choice.by_name(file_name), None
+            names, header = choice.by_name(file_name), None
             for i, (cells, text) in enumerate(records(text_lines(stream), d)):
                 if i == 0 and names is None and choice.from_file:
                     names = [c or "" for c in cells]
                 if i == 0 and names is not None:
-                    expected = len(names)
-                kept = None if len(cells) == expected else text.rstrip("\r\n")
-                yield unit["path"], file_name, unit["archive"], i == 0, names if i == 0 else None, cells, kept
+                    header = header_key(names)
+                first = i == 0
+                yield unit["path"], file_name, unit["archive"], first, names if first else None, header, text.rstrip("\r\n")
 
     return spread(work).mapInArrow(emitter(rows, SPLIT), SPLIT)
 
@@ -312,8 +314,8 @@ def split_units(work: DataFrame, choice: HeaderChoice, skip: tuple[str, ...]) ->
 def headers_of(split: DataFrame, choice: HeaderChoice, destination: Destination | None) -> list[dict]:
     """The different headers of what was split: names, or the width of the widest record, and columns."""
     firsts = split.filter("first").select("path", "file_name", "names")
-    counted = split.filter(~F.col("first")) if choice.has_header else split
-    widths = counted.groupBy("path", "file_name").agg(F.max(F.size("cells")).alias("width"))
+    counted = (split.filter(~F.col("first")) if choice.has_header else split).filter(F.col("header").isNull())
+    widths = counted.groupBy("path", "file_name").agg(F.max(Grammar(choice.d).count(F.col("record"))).alias("width"))
     files = firsts.join(widths, ["path", "file_name"], "left").withColumn(
         "width", F.when(F.col("names").isNull(), F.coalesce("width", F.lit(0)))
     )
@@ -324,32 +326,39 @@ def headers_of(split: DataFrame, choice: HeaderChoice, destination: Destination
     return headers
 
 
+def header_key(names: list[str]) -> int:
+    text = "\0".join(f"{len(n)}:{n}" for n in names).encode()
+    return int.from_bytes(blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+#: Headers of up to so many cells together are sent to all executors, more are joined by a shuffle.
+BROADCAST_CELLS = 1_000_000
+
+
 def placed_cells(split: DataFrame, headers: list[dict], columns: list[str], choice: HeaderChoice) -> DataFrame:
     """Split records with the cells of ``columns``, by the header of their file."""
     spark = split.sparkSession
-    at = {(tuple(r["names"]) if r["names"] is not None else None, r["width"]): r["columns"] for r in headers}
-    known = spark.createDataFrame(
-        [
-            (list(names) if names is not None else None, width, len(own), [own.index(c) if c in own else -1 for c in columns])
-            for (names, width), own in at.items()
-        ],
-        "names array<string>, width int, count int, places array<int>",
-    )
-    firsts = split.filter("first").select("path", "file_name", "names")
-    counted = split.filter(~F.col("first")) if choice.has_header else split
-    widths = counted.groupBy("path", "file_name").agg(F.max(F.size("cells")).alias("most"))
-    files = firsts.join(widths, ["path", "file_name"], "left").select(
-        "path",
-        "file_name",
-        F.col("names").alias("own_names"),
-        F.when(F.col("names").isNull(), F.coalesce("most", F.lit(0))).alias("own_width"),
-    )
-    same = F.col("own_names").eqNullSafe(F.col("names")) & F.col("own_width").eqNullSafe(F.col("width"))
-    files = files.join(known, same).select("path", "file_name", "count", "places")
-    rows = (split.filter(~F.col("first")) if choice.has_header else split).drop("names").join(files, ["path", "file_name"])
+    rows = split.filter(~F.col("first")) if choice.has_header else split
+    rows = rows.drop("names", "first")
+
+    def known(key: str, own: dict[int, list[str]]) -> DataFrame:
+        places = [(k, len(names), [names.index(c) if c in names else -1 for c in columns]) for k, names in own.items()]
+        frame = spark.createDataFrame(places, f"{key} long, count int, places array<int>")
+        return F.broadcast(frame) if len(own) * len(columns) <= BROADCAST_CELLS else frame
+
+    parts = []
+    if named := {header_key(r["names"]): r["columns"] for r in headers if r["names"] is not None}:
+        parts.append(rows.filter(F.col("header").isNotNull()).join(known("header", named), "header"))
+    if wide := {r["width"]: r["columns"] for r in headers if r["names"] is None}:
+        generic = rows.filter(F.col("header").isNull())
+        widths = generic.groupBy("path", "file_name").agg(F.max(Grammar(choice.d).count(F.col("record"))).cast("long").alias("width"))
+        parts.append(generic.join(widths.join(known("width", wide), "width").drop("width"), ["path", "file_name"]))
+    if not parts:
+        return empty_cells(spark, columns)
+    placed = reduce(DataFrame.unionByName, parts).withColumn("cells", Grammar(choice.d).cells(F.col("record")))
     wrong = F.lit(False) if choice.lenient else F.size("cells") != F.col("count")
     place = [F.get("places", F.lit(i)) for i in range(len(columns))]
-    return rows.select(
+    return placed.select(
         *[F.when(p >= 0, F.get("cells", p)).alias(f"c{i}") for i, p in enumerate(place)],
         F.when(wrong, F.col("record")).alias("bad"),
         F.concat(F.lit("record has "), F.size("cells"), F.lit(" cells instead of "), F.col("count")).alias("message"),

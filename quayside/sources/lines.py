@@ -105,7 +105,15 @@ class Grammar:
             text = F.when(text == "", F.lit("")).otherwise(self.known(text))
         else:
             text = self.known(text)
-        return F.when(cell.rlike(start) if d.trim else cell.startswith(d.quote), text).otherwise(self.known(bare))
+        if d.trim:
+            return F.when(cell.rlike(start), text).otherwise(self.known(bare))
+        # most quoted cells have nothing to resolve
+        middle = F.substring(cell, F.lit(2), F.length(cell) - 2)
+        simple = (F.length(cell) > 2) & cell.endswith(d.quote) & ~middle.contains(d.quote)
+        if d.escape:
+            simple = simple & ~middle.contains(d.escape)
+        text = F.when(simple, self.known(middle)).otherwise(text)
+        return F.when(cell.startswith(d.quote), text).otherwise(self.known(bare))
 
     def known(self, text: Column) -> Column:
         return text if self.d.null is None else F.nullif(text, F.lit(self.d.null))
