@@ -95,12 +95,11 @@ def most_in_common(a: Column, b: Column, spare_a: Column, spare_b: Column) -> Co
     """A bound on the elements that two sets have in common, from their outlines.
 
     Elements in common that took their place in both sets share it; of the others each set has
-    so many to spare.
+    so many to spare. A loop over the numbers, as one expression of all of them makes a method
+    that the JVM does not compile.
     """
-    total = F.least(spare_a, spare_b)
-    for i in range(OUTLINE):
-        total = total + F.bit_count(F.get(a, F.lit(i)).bitwiseAND(F.get(b, F.lit(i))))
-    return total
+    both = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(y)))
+    return F.aggregate(both, F.least(spare_a, spare_b), lambda total, n: total + n)
 
 
 def _permuted(x: np.ndarray, a: np.uint32, b: np.uint32) -> np.ndarray:
@@ -245,7 +244,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     sets = work.table(sets, "sets")
 
     drawn = alike.join(firsts, [ID, "set_a", "set_b"]).select(
-        F.col(ID).alias("node"), "n_shingles", "bands", "outline", "spare"
+        F.col(ID).alias("node"), "n_shingles", "outline", "spare"
     )
     drawn = work.table(drawn.join(nodes, "node", "left_semi").distinct(), "outlines")
     links = _links(work, buckets, sets, drawn, p)
@@ -356,19 +355,14 @@ def _links(
 
 
 def _promising(p: NearDup) -> Column:
-    """Whether two members of a bucket are to be compared: in the first bucket that they share,
-    if they are in different components and neither their sizes nor their outlines rule it out."""
-    shared = [
-        F.when(F.get("bands", F.lit(i)) == F.get("bands_b", F.lit(i)), F.get("bands", F.lit(i)))
-        for i in range(p.bands)
-    ]
+    """Whether two members of a bucket are to be compared: if they are in different components
+    and neither their sizes nor their outlines rule it out."""
     smaller, larger = F.least("n_shingles", "n_shingles_b"), F.greatest("n_shingles", "n_shingles_b")
     common = most_in_common(F.col("outline"), F.col("outline_b"), F.col("spare"), F.col("spare_b"))
     return (
         (F.col("component") != F.col("component_b"))
         & (100 * smaller >= p.percent * larger)
         & ((100 + p.percent) * common >= p.percent * (smaller + larger))
-        & (F.coalesce(*shared) == F.col("bucket"))
     )
 
 

@@ -145,3 +145,18 @@ def test_a_bucket_of_near_misses_is_settled_by_bounds(frame, spark, monkeypatch)
     monkeypatch.setattr(minhash, "_judged", counting)
     assert result(frame, rows) == near_groups(rows)
     assert sum(compared) < 300 * 299 // 2 // 4
+
+
+def test_the_test_of_a_pair_is_compiled(spark, capsys):
+    """The JVM leaves methods of 8000 bytes and more to its interpreter, which took 20 µs a pair."""
+    import re
+
+    from quayside.llm.minhash import _promising
+
+    kinds = {"component": "long", "n_shingles": "long", "spare": "long", "node": "long"}
+    kinds |= {"bands": "array<long>", "outline": "array<long>"}
+    schema = "bucket long, " + ", ".join(f"{c} {kind}, {c}_b {kind}" for c, kind in kinds.items())
+    frame = spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
+    frame.where(_promising(NearDup())).select("node", "node_b").explain("codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
