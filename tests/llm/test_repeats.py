@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from by_hand import words_of
 
@@ -183,3 +185,38 @@ def test_words_and_strings_made_to_a_pattern_are_told_apart(frame):
     ):
         want = Counter(sum(covered) for covered in removed(units, 1500) if any(covered))
         assert Counter(r["n_removed"] for r in got.collect()) == want
+
+
+def test_byte_runs_are_polynomials_over_the_field():
+    from quayside.llm.buffers import _FIELD_BASES, PRIME, ByteRuns, mixed
+
+    rng = np.random.default_rng(5)
+    data = np.concatenate([rng.integers(0, 256, 40_000, dtype=np.uint8), np.full(1 << 20, 255, dtype=np.uint8)])
+    start = np.array([0, 1, 16_383, 16_384, 39_900, 600_000, len(data) - 400])
+    for base in (0, 1):
+        runs = ByteRuns(data, base)
+        want = [sum(int(x) * pow(_FIELD_BASES[base], i, PRIME) for i, x in enumerate(data[s : s + 400])) % PRIME for s in start]
+        assert runs.at(start, 400).tolist() == mixed(np.array(want, dtype=np.uint64)).tolist()
+        # sums of a whole part of the largest bytes do not overflow
+        whole = runs.at(np.array([40_000]), 1 << 20)
+        want = 255 * (pow(_FIELD_BASES[base], 1 << 20, PRIME) - 1) * pow(_FIELD_BASES[base] - 1, -1, PRIME) % PRIME
+        assert whole.tolist() == mixed(np.array([want], dtype=np.uint64)).tolist()
+
+
+def test_bytes_cost_no_product_over_the_field_each(monkeypatch):
+    from quayside.llm import buffers
+
+    text = pa.array(["".join(random.Random(6).choices("abc ", k=60_000))])
+    start, times, multiplied = np.arange(0, 59_000, 1000), buffers.times, []
+
+    def counting(a, b):
+        multiplied.append(a.size)
+        return times(a, b)
+
+    scheme = Scheme("byte", 400, 64, 32)
+    for base in (0, 1):  # the tables of powers are made once
+        buffers.field_powers(base, 1 << 16)
+    monkeypatch.setattr(buffers, "times", counting)
+    for _, _, values in windows.sequences(scheme, text):
+        windows.fingerprints(values, start, [(0, 400), (400, 400)])
+    assert 0 < sum(multiplied) <= 2 * len(start)
