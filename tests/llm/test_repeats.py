@@ -220,3 +220,17 @@ def test_bytes_cost_no_product_over_the_field_each(monkeypatch):
     for _, _, values in windows.sequences(scheme, text):
         windows.fingerprints(values, start, [(0, 400), (400, 400)])
     assert 0 < sum(multiplied) <= 2 * len(start)
+
+
+def test_bytes_are_worked_on_in_parts_that_fit_the_cache(monkeypatch):
+    """Any part size gives the same anchors, and parts of bytes hold a document of usual size."""
+    scheme = Scheme("byte", 400, 64, 32)
+    begins = np.arange(0, 4_000_001, 100_000)
+    parts = [e[-1] - s[0] for _, s, e in windows._parts(begins, scheme)]
+    assert sum(parts) == 4_000_000 and 200_000 <= min(parts) and max(parts) <= 1 << 18
+    data = np.random.default_rng(8).integers(97, 100, 50_000, dtype=np.uint8)
+    starts, found = np.arange(0, 49_000, 50), []
+    for most in (1 << 18, 4096):
+        monkeypatch.setattr(windows, "BYTE_PART", most)
+        found.append(windows.fingerprints(lambda lo, hi: data[lo:hi], starts, [(0, 400), (-31, 431)]))
+    assert (found[0][:, 1:] == found[1][:, 1:]).all() and len(set(found[0][0].tolist())) == len(starts)
