@@ -17,6 +17,16 @@ from quayside.scratch import Workspace
 NO_ID = np.iinfo(np.int64).max
 #: How deep the lists are read at first; every further round reads as much again.
 FIRST = 32
+#: Once more than one of so many rows has been met, the others are looked up at once: from there on
+#: reading the lists takes longer than the products that are left.
+SCAN = 8
+#: A task holds some blocks and reads about so many anchors, or more so that there are no more than
+#: so many tasks (or four for each core): what the driver keeps grows with the tasks, and pairs are many.
+STRIPE_ROWS, TASKS = 1024, 500
+#: From so many blocks on a task holds several at once, with their lists up to so many bytes. Each
+#: anchor is sent to every task that holds other blocks.
+SINGLE_BLOCKS, HELD_BYTES = 64, 1 << 27
+SENT = ["group", "row", "id", "label", "x"]
 FOUND = "anchor_row long, window long, other_row long, other_id long, score long"
 
 
@@ -28,7 +38,7 @@ class Mining:
     ``positives`` rows of the same label. For each of them the best ``negatives`` rows of
     another label are wanted whose score is at least ``least`` and at most ``most`` percent of
     the positive's. Candidates are dealt in blocks of about ``block_rows`` and anchors in groups
-    of about ``group_rows``; a task reads one of each.
+    of about ``group_rows``; a task reads a block and then one group after the other.
     """
 
     scale: int = 256
@@ -53,7 +63,8 @@ def hard_negatives(rows: DataFrame, anchors: Column, p: Mining | None = None) ->
     Blocks of candidates keep a sorted list per dimension. An anchor reads each list from the
     end its own sign favours, looks up what it meets, and stops in a block once the bound on
     all rows not met, the sum of its products with the last entries read, is strictly below
-    the last score wanted in each of its windows, or below the window. The first pass finds positives, the second
+    the last score wanted in each of its windows, or below the window. Where that does not come
+    early, the rest of the block is looked up at once. The first pass finds positives, the second
     negatives; per anchor only what a block found is sent on, and ranked over all blocks.
     """
     p = p or Mining()
@@ -84,17 +95,29 @@ def hard_negatives(rows: DataFrame, anchors: Column, p: Mining | None = None) ->
 
     blocks = pieces(n, p.block_rows)
     dealt = kept.select(piece_of(F.col("row"), blocks).alias("block"), "row", "id", "label", "x")
-    candidates = work.table(packed(dealt, "block", "c_", flat=("x",)), "blocks")
+    candidates = work.table(packed(dealt, "block", "", flat=("x",)), "blocks")
     groups = pieces(n_anchors, p.group_rows)
     asking = kept.where("anchor").select(piece_of(F.col("row"), groups).alias("group"), "row", "id", "label", "x")
+    most_tasks = max(TASKS, 4 * rows.sparkSession.sparkContext.defaultParallelism)
+    held, stripes, tasks = grid(blocks, groups, n_anchors, 20 * max(width, 1) * p.block_rows, most_tasks)
+    shares = pieces(blocks, held)
 
     def best(asked: DataFrame, same_label: bool, k: int) -> DataFrame:
         """The best ``k`` rows of each anchor and window, over all blocks."""
+        groups_of = packed(asked, "group", "", flat=("x",)).select(
+            F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"),
+            F.pmod("group", F.lit(stripes)).alias("stripe"), *SENT, "windows",
+        )
+        blocks_of = candidates.select(
+            F.floor(F.col("block") / held).cast("int").alias("share"),
+            F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"), F.lit(-1).alias("group"), *SENT[1:],
+        )
+        cell = F.col("share").cast("long") * stripes + F.col("stripe")
+        task = F.floor(cell * tasks / F.lit(shares * stripes)).cast("int")
         pairs = (
-            packed(asked, "group", "a_", flat=("x",))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-            .join(candidates, "block")
-            .repartition(min(blocks * groups, 100_000), "block", "group")
+            blocks_of.unionByName(groups_of, allowMissingColumns=True)
+            .repartitionById(tasks, task)
+            .sortWithinPartitions("share", "stripe", "group")
         )
         found = pairs.mapInArrow(searcher(width, largest, same_label, k), FOUND)
         order = [F.desc("score"), F.asc("other_id"), F.asc("other_row")]
@@ -125,6 +148,14 @@ def hard_negatives(rows: DataFrame, anchors: Column, p: Mining | None = None) ->
     )
 
 
+def grid(blocks: int, groups: int, n_anchors: int, block_bytes: int, most_tasks: int) -> tuple[int, int, int]:
+    """How many blocks a task holds at once, in how many stripes the groups of anchors go to them, and how many tasks there are."""
+    held = max(1, min(blocks // SINGLE_BLOCKS, HELD_BYTES // block_bytes))
+    shares = pieces(blocks, held)
+    stripes = max(1, min(pieces(n_anchors, STRIPE_ROWS), groups, most_tasks // shares))
+    return held, stripes, min(shares * stripes, most_tasks)
+
+
 def known(column: str) -> Column:
     return F.when(F.col(column) != int(NO_ID), F.col(column))
 
@@ -157,6 +188,10 @@ class SortedLists:
             yield new, (self.x[new] @ anchor).astype(np.int64), bound
             if bound is None:
                 return
+            if SCAN * np.count_nonzero(met) > n:
+                rest = np.flatnonzero(~met)
+                yield rest, (self.x @ anchor)[rest].astype(np.int64), None
+                return
             low, high = high, 2 * high
 
     def best(self, anchor: np.ndarray, allowed: np.ndarray, low: np.ndarray, high: np.ndarray, k: int):
@@ -177,34 +212,40 @@ class SortedLists:
 
 
 def searcher(width: int, largest: int, same_label: bool, k: int):
-    """Reads pairs of a block and a group of anchors, gives what the block has for each anchor."""
+    """Reads blocks, each with the groups of anchors that ask it, gives what a block has for each anchor."""
     # sums of whole numbers are exact in floats that have bits enough for the largest
     kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else np.int64
     schema = pa.schema([(c.split()[0], pa.int64()) for c in FOUND.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, lists = None, None
+        cell, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                rows, ids = values(batch, "c_row", i), values(batch, "c_id", i, NO_ID)
-                labels = values(batch, "c_label", i)
-                if batch.column("block")[i].as_py() != block:
-                    block = batch.column("block")[i].as_py()
-                    lists = SortedLists(values(batch, "c_x", i).reshape(len(rows), width).astype(kind))
+                if (own := (batch.column("share")[i].as_py(), batch.column("stripe")[i].as_py())) != cell:
+                    cell, held = own, []
+                rows, labels = values(batch, "row", i), values(batch, "label", i)
+                x = values(batch, "x", i).reshape(len(rows), width).astype(kind)
+                if batch.column("group")[i].as_py() < 0:  # blocks come before the groups that ask them
+                    held.append((rows.copy(), values(batch, "id", i, NO_ID).copy(), labels.copy(), SortedLists(x)))
+                    continue
+                windows = batch.column("windows")[i].as_py()
+                bounds = [[np.array([w[c] for w in own], dtype=np.int64) for c in ("low", "high")] for own in windows]
+                met: list[list[tuple]] = [[] for _ in rows]
+                for own_rows, own_ids, own_labels, lists in held:
+                    for row, label, anchor, (low, high), own in zip(rows, labels, x, bounds, met, strict=True):
+                        allowed = (own_labels == label) & (own_rows != row) if same_label else own_labels != label
+                        near, scores = lists.best(anchor, allowed, low, high, k)
+                        own.append((own_rows[near], own_ids[near], scores))
                 out = []
-                own_rows, own_labels = values(batch, "a_row", i), values(batch, "a_label", i)
-                anchors = values(batch, "a_x", i).reshape(len(own_rows), width).astype(kind)
-                for row, label, anchor, windows in zip(
-                    own_rows, own_labels, anchors, batch.column("a_windows")[i].as_py(), strict=True
-                ):
-                    allowed = (labels == label) & (rows != row) if same_label else labels != label
-                    low, high = (np.array([w[c] for w in windows], dtype=np.int64) for c in ("low", "high"))
-                    near, scores = lists.best(anchor, allowed, low, high, k)
-                    order = np.lexsort((rows[near], ids[near], -scores))
-                    near, scores = near[order], scores[order]
-                    for w, lo, hi in zip(windows, low, high, strict=True):
+                for row, own, wanted, (low, high) in zip(rows, met, windows, bounds, strict=True):
+                    if not own:
+                        continue
+                    near, ids, scores = map(np.concatenate, zip(*own, strict=True))
+                    order = np.lexsort((near, ids, -scores))
+                    near, ids, scores = near[order], ids[order], scores[order]
+                    for w, lo, hi in zip(wanted, low, high, strict=True):
                         at = np.flatnonzero((scores >= lo) & (scores <= hi))[:k]
-                        out += [(row, w["window"], rows[j], ids[j], s) for j, s in zip(near[at], scores[at], strict=True)]
+                        out += [(row, w["window"], near[j], ids[j], scores[j]) for j in at]
                 if out:
                     cells = np.array(out, dtype=np.int64).T
                     yield pa.record_batch([pa.array(c) for c in cells], schema=schema)

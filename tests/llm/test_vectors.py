@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import near_vectors as nv
-from quayside.llm import small_worlds
+from quayside.llm import negatives, small_worlds
 from quayside.llm.near_vectors import NearVectors, near_vectors
 from quayside.llm.negatives import Mining, SortedLists, hard_negatives
 from quayside.llm.whitening import Whitening, count_above, leading, whiten
@@ -77,6 +77,38 @@ def test_negatives(vectors, kind):
     assert sorted(map(tuple, got.collect()), key=repr) == negatives_by_hand(rows, p)
 
 
+def test_tasks_of_negatives_do_not_grow_with_the_pairs(spark, vectors):
+    """Forty blocks and as many groups are no 1,600 tasks; the groups come one after the other."""
+    rng = np.random.default_rng(3)
+    rows = [(i, i % 2, rng.standard_normal(3).tolist()) for i in range(40)]
+    p = Mining(block_rows=1, group_rows=1)
+    spark.sparkContext.setJobGroup("negatives", "")
+    try:
+        got = hard_negatives(vectors(rows), F.lit(True), p).collect()
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("negatives") for s in tracker.getJobInfo(j).stageIds]
+        most = max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert most <= 40
+    assert sorted(map(tuple, got), key=repr) == negatives_by_hand(rows, p, every=1)
+
+
+def test_a_task_of_negatives_goes_through_several_blocks_and_stripes(vectors, monkeypatch):
+    """Whatever a task holds and however many there are, also where no row was dealt to a block."""
+    rng = np.random.default_rng(4)
+    rows = [(i, i % 2, rng.standard_normal(3).tolist()) for i in range(30)]
+    p = Mining(block_rows=2, group_rows=3)
+    for given in ((1, 1, 4), (4, 3, 2)):
+        monkeypatch.setattr(negatives, "grid", lambda *_, given=given: given)
+        got = hard_negatives(vectors(rows), F.lit(True), p)
+        assert sorted(map(tuple, got.collect()), key=repr) == negatives_by_hand(rows, p, every=1)
+    monkeypatch.undo()
+    for blocks, n_anchors in ((1, 0), (7, 1_000), (75, 12_000), (2_000, 300_000), (90_000, 10**7)):
+        held, stripes, tasks = negatives.grid(blocks, -(-n_anchors // 128) or 1, n_anchors, 20 * 64 * 8192, 500)
+        assert 1 <= tasks <= 500 and stripes >= 1 and held * 20 * 64 * 8192 <= negatives.HELD_BYTES
+
+
 def test_no_rows_give_no_negatives(vectors):
     assert hard_negatives(vectors([(0, None, [1.0])]), F.lit(True)).count() == 0
     assert hard_negatives(vectors([(0, 1, [1.0])]).limit(0), F.lit(True)).count() == 0
