@@ -10,6 +10,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,26 @@ def text_files(spark: SparkSession, lines: DataFrame, label: str, mode: str = "e
 
 
 def one_file_per_row(spark: SparkSession, texts: DataFrame, label: str) -> str:
+    """Write each row of one text column as a line of a file of its own; gives the folder.
+
+    Tasks write the files themselves: Spark's writer takes a process to set the rights of each.
+    """
     folder = scratch(spark, label)
-    texts.write.option("maxRecordsPerFile", 1).text(folder)
+    filesystem, root = file_system(folder)
+    filesystem.create_dir(root, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = file_system(folder)
+        part, written = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                path = posixpath.join(root, f"part-{part:05d}-{written:07d}.txt")
+                with filesystem.open_output_stream(path, compression=None) as out:
+                    out.write(f"{text or ''}\n".encode())
+                written += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([written], pa.int64())})
+
+    texts.mapInArrow(write, "files long").agg(F.sum("files")).first()
     return folder
 
 

@@ -1,7 +1,8 @@
 """XML files: every element below the root is a record.
 
-The default reads a file as a whole, so that an error anywhere rejects all of it; a row
-tag instead lets Spark's XML source split big files and reject single records.
+The default reads a file as a whole, so that an error anywhere rejects all of it; with a row
+tag the records before an error are good. Records of small files are cut out once, and Spark's XML
+parser gets them as a table of texts; the others go through Spark's XML source.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from quayside.batch import META, TABLE, Batch, error_record, quoted
 from quayside.functions.names import Destination, decoded
 from quayside.operators.documents import BAD, fold_keys, parse_documents, union_keys
 from quayside.operators.documents import DOCUMENT as RECORDS
+from quayside.scratch import Workspace
 from quayside.sources.files import existing, list_files
 from quayside.sources.json_lines import with_origin
 from quayside.sources.units import NONE, emitter, open_unit, spread, units
@@ -30,6 +32,12 @@ KEYS = "key string, shape string, at int, file_name string, archive string"
 DOCUMENT = "value string, bad string, message string, file_name string, archive string"
 # Fixed value: the name of text next to child elements, as Spark's XML source calls it.
 MIXED_TEXT = "_VALUE"
+CUT = "text string, path string, file_name string"
+CORRUPT = "_corrupt"
+# Files up to so many bytes are cut into records, up to so many of them and so much text by a task.
+SMALL_FILE, TASK_FILES, TASK_BYTES = 1 << 20, 2000, 1 << 24
+# The marks of encodings that Spark's XML source may read in a way of its own.
+MARKS = (b"\xef\xbb\xbf", b"\xfe\xff", b"\xff\xfe")
 
 
 def read_xml(
@@ -79,30 +87,120 @@ def read_xml(
 
 
 def tagged_records(spark: SparkSession, paths: list[str], row_tag: str) -> DataFrame:
+    """``value, bad, message, file_name, archive`` of the elements with a tag, as a written table.
+
+    Spark's source opens each file anew to find a schema, in one task that carries the names of all
+    files along, so it gets only large files and those in which the records cannot be cut out for sure.
+    """
     if not paths:
         return spark.createDataFrame([], DOCUMENT)
-    rows = (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("inferSchema", False)
-        .option("valueTag", MIXED_TEXT)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .load(paths)
-    )
-    cells = [quoted(c) for c in rows.columns if c != "_corrupt"]
-    value, bad = F.lit(None).cast("string"), F.lit(None).cast("string")
-    if cells:
-        value = F.to_json(F.struct(*cells))
-    if "_corrupt" in rows.columns:
-        # Spark refuses to read nothing but the corrupt record: 0 characters go along.
-        bad = F.concat(F.left(F.coalesce(value, F.lit("")), F.lit(0)), F.col("_corrupt"))
-    return rows.select(
+    work, cores = Workspace(spark, "xml"), spark.sparkContext.defaultParallelism
+    files = spark.read.format("binaryFile").load(paths)
+    small = F.col("length") <= SMALL_FILE
+    n, total = files.coalesce(cores).where(small).agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    contents = files.where(small).select("path", "content").coalesce(max(cores, n // TASK_FILES, total // TASK_BYTES))
+    cut = work.table(contents.mapInArrow(record_cutter(row_tag), CUT), "records")
+    unsure = files.coalesce(cores).where(~small).select("path").unionByName(cut.where("text IS NULL").select("path"))
+    unsure = sorted(r["path"] for r in unsure.collect())
+    options = {"rowTag": row_tag, "inferSchema": "false", "valueTag": MIXED_TEXT, "columnNameOfCorruptRecord": CORRUPT}
+    texts = cut.where("text IS NOT NULL")
+    schema = schema_of_records(texts.select("text"), options)
+    if unsure:
+        schema = united(schema, spark.read.format("xml").options(**options).load(unsure).schema)
+    cells = [f for f in schema.fields if f.name != CORRUPT]
+    # Spark refuses to read nothing but the corrupt record: 0 characters go along.
+    schema = T.StructType([*(cells or [T.StructField(MIXED_TEXT, T.StringType())]), T.StructField(CORRUPT, T.StringType())])
+    record = F.from_xml("text", schema, options).alias("r")
+    found = texts.select(record, "file_name").select("r.*", F.col("file_name").alias("_file"))
+    if unsure:
+        rows = spark.read.format("xml").options(**options).schema(schema).load(unsure)
+        found = found.unionByName(rows.select("*", decoded("_metadata.file_name").alias("_file")))
+    value = F.to_json(F.struct(*[quoted(f.name) for f in cells])) if cells else F.lit(None).cast("string")
+    beside = value if cells else F.col(MIXED_TEXT)
+    bad = F.concat(F.left(F.coalesce(beside, F.lit("")), F.lit(0)), F.col(CORRUPT))
+    docs = found.select(
         value.alias("value"),
         bad.alias("bad"),
         F.when(bad.isNotNull(), F.lit("not a valid XML record")).alias("message"),
-        decoded("_metadata.file_name").alias("file_name"),
+        F.col("_file").alias("file_name"),
         F.lit(None).cast("string").alias("archive"),
     )
+    return work.table(docs, "documents")
+
+
+def schema_of_records(texts: DataFrame, options: dict[str, str]) -> T.StructType:
+    """What Spark's XML source finds for such records."""
+    spark = texts.sparkSession
+    strings = getattr(texts._jdf, "as")(spark.sparkContext._jvm.org.apache.spark.sql.Encoders.STRING())
+    return T.StructType.fromJson(json.loads(spark.read.options(**options)._jreader.xml(strings).schema().json()))
+
+
+def united(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both, as Spark's XML source merges the types of records that are text in the end."""
+    if isinstance(a, T.ArrayType) or isinstance(b, T.ArrayType):
+        inner = [kind.elementType if isinstance(kind, T.ArrayType) else kind for kind in (a, b)]
+        return T.ArrayType(united(*inner))
+    if not isinstance(a, T.StructType) and not isinstance(b, T.StructType):
+        return T.StringType()
+    found: dict[str, T.DataType] = {}
+    for kind in (a, b):
+        fields = kind.fields if isinstance(kind, T.StructType) else [T.StructField(MIXED_TEXT, T.StringType())]
+        for f in fields:
+            found[f.name] = united(found[f.name], f.dataType) if f.name in found else f.dataType
+    return T.StructType([T.StructField(name, found[name]) for name in sorted(found)])
+
+
+def record_cutter(row_tag: str):
+    """Files to the texts of their records, or to one row without a text if it takes Spark's source to tell."""
+
+    def rows(file: dict) -> Iterator[tuple]:
+        path = file["path"]
+        name = path.rpartition("/")[2]
+        texts = records_in(file["content"], row_tag)
+        if texts is None:
+            yield None, path, name
+        else:
+            for text in texts:
+                yield text, None, name
+
+    return emitter(rows, CUT)
+
+
+def records_in(content: bytes, row_tag: str) -> list[str] | None:
+    """The outermost elements with a tag; None for what is not plain, well-formed UTF-8 without a document type."""
+    if content.startswith(MARKS) or b"<!DOCTYPE" in content:
+        return None
+    found: list[str] = []
+    depth = start = 0
+    parser = expat.ParserCreate("utf-8")
+    closing = b"</" + row_tag.encode()
+
+    def begin(name: str, _) -> None:
+        nonlocal depth, start
+        if depth:
+            depth += 1
+        elif name == row_tag:
+            depth, start = 1, parser.CurrentByteIndex
+
+    def end(_) -> None:
+        nonlocal depth
+        if not depth:
+            return
+        depth -= 1
+        if not depth:
+            # an empty element ends where this event is, any other one with the tag that begins here
+            at = parser.CurrentByteIndex
+            after = content[at + len(closing) : at + len(closing) + 1]
+            if content.startswith(closing, at) and (after == b">" or after.isspace()):
+                at = content.index(b">", at) + 1
+            found.append(content[start:at].decode())
+
+    parser.StartElementHandler, parser.EndElementHandler = begin, end
+    try:
+        parser.Parse(content, True)
+    except (expat.ExpatError, UnicodeDecodeError):
+        return None
+    return found
 
 
 def record_reader(skip: tuple[str, ...], kinds: dict[str, T.DataType]):

@@ -1,10 +1,13 @@
 import io
+import json
 import os
 import tarfile
 import zipfile
 
 import pytest
 from landing_helpers import tuples
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
 
 from quayside.batch import LandingError
 from quayside.functions.names import Destination
@@ -13,7 +16,7 @@ from quayside.sources.dialects import dialect
 from quayside.sources.files import list_files
 from quayside.sources.json_lines import read_json_lines
 from quayside.sources.units import units
-from quayside.sources.xml_files import read_xml
+from quayside.sources.xml_files import read_xml, tagged_records, united
 
 RECORD = (
     "<voyage><Port>{}</Port><days>31</days><Stops><stop>Cork</stop><stop>Lima</stop></Stops>"
@@ -100,6 +103,74 @@ def test_xml_row_tag(spark, write):
     assert "G<x>" in batch.bad.first()["rawData"]
 
 
+ODD_XML = {
+    "cut.xml": "<root><!-- <r><N>no</N></r> --><r a='1'><N>x&amp;y</N></r><r/><rx><r/></rx><r\n b='2'><N><![CDATA[</r>]]></N></r ></root>",
+    "nested.xml": "<root><a><r><r><N>in</N></r><N>out</N></r></a></root>",
+    "mixed.xml": "<root><r>t<N>1</N>u</r><r> </r></root>",
+    "space.xml": "<x:root xmlns:x='u'><x:r><N>p</N></x:r><r><q:N xmlns:q='v'>q</q:N></r></x:root>",
+}
+BROKEN_XML = {
+    "broken.xml": "<root><r><N>1</N></r><r><M>2</N></r><r><N>3</N></r></root>",
+    "open.xml": "<root><r><N>1</N></r>",
+    "two.xml": "<r><N>1</N></r><r><N>2</N></r>",
+    "marked.xml": "\ufeff<root><r><N>b</N></r></root>",
+    "typed.xml": "<!DOCTYPE root><root><r><N>d</N></r></root>",
+}
+
+
+def by_source(spark, path):
+    """Records as Spark's XML source has them, without the fields that are not there."""
+    options = {"rowTag": "r", "inferSchema": "false", "columnNameOfCorruptRecord": "_corrupt"}
+    rows = spark.read.format("xml").options(**options).load(path)
+    texts = rows.select(F.to_json(F.struct("*")).alias("t")) if rows.columns else rows.selectExpr("'{}' AS t")
+    return sorted(r["t"] for r in texts.collect())
+
+
+@pytest.mark.parametrize("name", [*ODD_XML, *BROKEN_XML])
+def test_records_with_a_tag_are_those_of_sparks_source(spark, write, name, monkeypatch):
+    """Records cut out of small files are what the source gives, which only reads files that may differ."""
+    path = write(name, (ODD_XML | BROKEN_XML)[name])
+    asked, load = [], DataFrameReader.format
+    want = by_source(spark, path)
+    monkeypatch.setattr(DataFrameReader, "format", lambda self, kind: asked.append(kind) or load(self, kind))
+    found = tagged_records(spark, [path], "r").collect()
+    assert ("xml" in asked) == (name in BROKEN_XML)
+    rejects = [r["bad"] for r in found if r["bad"] is not None]
+    good = [r["value"] for r in found if r["bad"] is None]
+    assert sorted(good + [json.dumps({"_corrupt": t}, separators=(",", ":")) for t in rejects]) == want
+    assert {r["file_name"] for r in found} == {name}
+
+
+def test_records_of_files_that_differ_have_one_schema(spark, write):
+    for name, text in {"a.xml": "<x><r><N>1</N><N>2</N></r></x>", "b.xml": "<x><r><N>3</N></r></y>", "c.xml": "<x><r><M k='1'/></r></x>"}.items():
+        path = write(name, text)
+    batch = read_xml(spark, [path.rsplit("/", 1)[0]], row_tag="r")
+    assert sorted(r[0] or [] for r in batch.rows().select("n").collect()) == [[], ["1", "2"], ["3"]]
+    assert [r["rawData"] for r in batch.bad.collect()] == ["<x><r><N>3</N></r></y>"]
+
+
+def test_a_file_of_nothing_but_errors(spark, write):
+    batch = read_xml(spark, [write("a.xml", "<root><r><N>a & b</N></r></root>")], row_tag="r")
+    assert batch.good.count() == 0
+    assert [r["rawData"] for r in batch.bad.collect()] == ["<root><r><N>a & b</N></r></root>"]
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "both"),
+    [
+        ("string", "array<string>", "array<string>"),
+        ("struct<a:string>", "struct<b:string>", "struct<a:string,b:string>"),
+        ("struct<a:string>", "string", "struct<_VALUE:string,a:string>"),
+        ("array<struct<a:string>>", "struct<a:array<string>>", "array<struct<a:array<string>>>"),
+    ],
+)
+def test_types_of_records_meet(a, b, both):
+    from pyspark.sql.types import StructType
+
+    kinds = [StructType.fromDDL(f"x {t}")["x"].dataType for t in (a, b)]
+    assert united(*kinds).simpleString() == united(*reversed(kinds)).simpleString() == both
+
+
 # --- archives -------------------------------------------------------------------------
 
 
