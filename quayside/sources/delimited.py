@@ -29,7 +29,7 @@ from quayside.functions.names import (
 from quayside.scratch import Workspace
 from quayside.sources.dialects import Dialect, dialect, records, text_lines
 from quayside.sources.files import hidden_files, list_files, open_plain, short
-from quayside.sources.lines import Grammar, file_path, lines_alone, lines_together
+from quayside.sources.lines import Grammar, lines_alone, lines_together, short_path, task_count
 from quayside.sources.units import NONE, emitter, open_unit, spread, units
 
 # A header for the files whose name matches a pattern: (pattern, column names).
@@ -131,8 +131,10 @@ def described(files: DataFrame, choice: HeaderChoice, destination: Destination |
     found.sort(key=lambda r: r["path"])
     if not found:
         return []
-    lines = spark.read.text([r["path"] for r in found]).select(file_path().alias("path"), line_is_record(d).alias("alone"))
-    together = {r["path"] for r in lines.filter(~F.col("alone")).select("path").distinct().collect()}
+    paths = [r["path"] for r in found]
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value").coalesce(task_count(spark, paths))
+    others = lines.filter(~line_is_record(d)).select("file").distinct()
+    together = {r["path"] for r in others.select(short_path(decoded("file")).alias("path")).collect()}
     for r in found:
         r["alone"] = short(r["path"]) not in together
     generic = [r for r in found if r["names"] is None]

@@ -3,8 +3,8 @@
 A record may run over line ends, inside quotes or after an escape character. Whether a line begins
 inside quotes depends on all lines before it, but each line only changes that in one of
 four ways: it keeps it, swaps it, or ends outside or inside whatever came before. So the
-lines of a range of a file are summed up in one row, the rows of a file are gone through in order, and then each
-range knows how it begins. No file is read front to back.
+lines of a range of a file are summed up in one row, which does the same to the state, and from the rows before it
+each range knows how it begins. No file is read front to back.
 """
 
 from __future__ import annotations
@@ -13,14 +13,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.names import decoded
+from quayside.scratch import Workspace
 from quayside.sources.dialects import ESCAPES, Dialect, java_char
 
 OUTSIDE, INSIDE = False, True
+#: A task reads so many bytes at least, and so many ranges of files at most are sent to all executors.
+TASK_BYTES, BROADCAST_RANGES = 1 << 23, 250_000
 
 
 def file_path() -> Column:
     """The path of a row's file, as listings of files have it."""
-    return F.regexp_replace(decoded("_metadata.file_path"), "^file:/+", "file:/")
+    return short_path(decoded("_metadata.file_path"))
+
+
+def short_path(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 class Grammar:
@@ -166,31 +173,37 @@ def lines_together(spark: SparkSession, paths: list[str], d: Dialect) -> DataFra
     """``record, path, file_name, number`` of any files; ``number`` is that of its first line in the file, from 1.
 
     Line ends outside of quotes end records, those inside are kept as they are. A quote that is never
-    closed takes the rest of its file into one record.
+    closed takes the rest of its file into one record. The lines are written once, with all that
+    their own range tells of them.
     """
-    g = Grammar(d)
-    lines = numbered(spark, paths, g)
-    begin = beginnings(lines)
-    here = Window.partitionBy("path", "block").orderBy("at", "piece")
+    g, work = Grammar(d), Workspace(spark, "lines")
+    tasks = task_count(spark, paths)
+    lines = work.table(numbered(spark, paths, g, tasks), "lines").coalesce(tasks)
+    begin = work.table(beginnings(lines), "ranges").coalesce(tasks)
+    if begin.count() <= BROADCAST_RANGES:
+        begin = F.broadcast(begin)
     first = F.col("n") == 1
-    known = lines.join(begin, ["path", "block"])
+    known = lines.join(begin, ["file", "block"])
     inside = F.when(first, F.col("begins")).otherwise(F.coalesce("last_fixed", F.col("then")) != F.col("swapped"))
-    known = known.withColumn("inside", inside).withColumn("continued", F.when(first, F.col("begins_continued")).otherwise(F.col("continued")))
-    after = F.when(first, F.col("then")).when(F.col("inside"), F.col("stays")).otherwise(F.col("opens"))
-    known = known.withColumn("starts", ~F.col("inside") & ~F.col("continued")).withColumn(
-        "alone", F.col("starts") & ~after & ~F.col("continues")
+    continued = F.when(first, F.col("begins_continued")).otherwise(F.col("continued"))
+    after = F.when(first, F.col("then")).when(inside, F.col("stays")).otherwise(F.col("opens"))
+    begins_record = (~F.col("begins") & ~F.col("begins_continued")).cast("int")
+    to_here = F.when(F.col("then"), F.col("starts_inside")).otherwise(F.col("starts_outside"))
+    counted = known.select(
+        "path", "file_name", "block", "text", "end", "owner",
+        (~inside & ~continued & ~F.col("continues")).alias("may_be_alone"),
+        after.alias("after"),
+        (to_here + begins_record > 0).alias("started"),
+        (F.col("starts") - to_here).alias("starts_after"),
+        (F.col("before") + F.col("n")).alias("number"),
     )
-    start = F.col("starts").cast("int")
-    counted = known.withColumn("starts_to_here", F.sum(start).over(here.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "starts_after", F.sum(start).over(Window.partitionBy("path", "block")) - F.col("starts_to_here")
-    ).withColumn("started", F.col("starts_to_here") > 0)
     # A record is known by the range it starts in and the starts that follow it there; lines before
     # the first start of a range belong to the last record of the range that has one.
     counted = counted.select(
-        "path", "file_name", "block", "at", "piece", "text", "end", "alone",
+        "path", "file_name", "text", "end", "number",
+        (F.col("may_be_alone") & ~F.col("after")).alias("alone"),
         F.when(F.col("started"), F.col("block")).otherwise(F.col("owner")).alias("owner"),
         F.when(F.col("started"), F.col("starts_after")).otherwise(F.lit(0)).alias("from_last"),
-        (F.col("before") + F.col("n")).alias("number"),
     )
     single = counted.where("alone").select(F.col("text").alias("record"), "path", "file_name", "number")
     parts = F.sort_array(F.collect_list(F.struct("number", "text", "end")))
@@ -213,22 +226,35 @@ def lines_together(spark: SparkSession, paths: list[str], d: Dialect) -> DataFra
     return records
 
 
-def numbered(spark: SparkSession, paths: list[str], g: Grammar) -> DataFrame:
+def odd(until: Column, since: Column) -> Column:
+    """Whether the state was swapped an odd number of times since."""
+    return F.pmod(until - F.coalesce(since, F.lit(0)), F.lit(2)) == 1
+
+
+def task_count(spark: SparkSession, paths: list[str]) -> int:
+    """How many tasks read files in parts of some MB, however small the ranges are that Spark cuts them into."""
+    cores = spark.sparkContext.defaultParallelism
+    total = spark.read.format("binaryFile").load(paths).select("length").coalesce(cores).agg(F.sum("length")).first()[0]
+    return max(cores, (total or 0) // TASK_BYTES)
+
+
+def numbered(spark: SparkSession, paths: list[str], g: Grammar, tasks: int) -> DataFrame:
     """Lines with their place in their range of a file, and what they do to the state of quotes there."""
     read = spark.read.option("lineSep", "\n").text(paths).select(
-        file_path().alias("path"),
-        decoded("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-        F.split("value", r"\r(?!\z)").alias("pieces"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
     text = F.col("text")
-    lines = read.select("*", F.posexplode("pieces").alias("piece", "text")).select(
-        "path", "file_name", "block", "at", "piece",
-        F.regexp_replace(text, r"\r\z", "").alias("text"),
-        F.when(F.col("piece") < F.size("pieces") - 1, "\r").when(text.endswith("\r"), "\r\n").otherwise("\n").alias("end"),
+    pieces = F.when(F.col("value").contains("\r"), F.split("value", r"\r(?!\z)")).otherwise(F.array("value"))
+    lines = read.coalesce(tasks).select(
+        "file", "block", F.monotonically_increasing_id().alias("at"), pieces.alias("pieces")
     )
-    here = Window.partitionBy("path", "block").orderBy("at", "piece")
+    ended = text.endswith("\r")
+    lines = lines.select("*", F.posexplode("pieces").alias("piece", "text")).select(
+        "file", "block", "at", "piece",
+        F.when(ended, F.left(text, F.length(text) - 1)).otherwise(text).alias("text"),
+        F.when(F.col("piece") < F.size("pieces") - 1, "\r").when(ended, "\r\n").otherwise("\n").alias("end"),
+    )
+    here = Window.partitionBy("file", "block").orderBy("at", "piece")
     to_here = here.rowsBetween(Window.unboundedPreceding, 0)
     before = here.rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumn("n", F.row_number().over(here)).withColumn("continues", g.continues(text))
@@ -247,31 +273,32 @@ def numbered(spark: SparkSession, paths: list[str], g: Grammar) -> DataFrame:
         .withColumn("swap", swaps)
         .withColumn("at_fixed", F.when(F.col("fixed").isNotNull(), F.col("swaps")))
     )
-
-    def odd(until: Column, since: Column) -> Column:
-        return F.pmod(until - F.coalesce(since, F.lit(0)), F.lit(2)) == 1
-
-    return (
+    lines = (
         lines.withColumn("last_fixed", F.last("fixed", True).over(before))
         .withColumn("swapped", odd(F.col("swaps") - F.col("swap"), F.last("at_fixed", True).over(before)))
         .withColumn("fixed_here", F.last("fixed", True).over(to_here))
         .withColumn("swapped_here", odd(F.col("swaps"), F.last("at_fixed", True).over(to_here)))
     )
 
+    def starts_if(state: bool) -> Column:
+        """How many records start up to a line, if the range's second line begins in a state."""
+        within = F.coalesce("last_fixed", F.lit(state)) != F.col("swapped")
+        return F.sum((later & ~F.col("continued") & ~within).cast("long")).over(to_here)
+
+    lines = lines.withColumn("starts_outside", starts_if(OUTSIDE)).withColumn("starts_inside", starts_if(INSIDE))
+    return lines.drop("at", "piece", "fixed", "swaps", "swap", "at_fixed")
+
 
 def beginnings(lines: DataFrame) -> DataFrame:
-    """How each range of a file begins: ``path, block, begins, then, begins_continued, before, owner``.
+    """How each range of a file begins: ``file, block, path, file_name, begins, then, begins_continued, before, owner, starts``.
 
     ``begins`` and ``then`` say whether its first and second line begin inside quotes, ``before``
-    how many lines are before it, ``owner`` in which range the record starts that it begins with.
+    how many lines are before it, ``owner`` in which range the record starts that it begins with,
+    ``starts`` how many records start after its first line. A range keeps, swaps or fixes the state
+    as a line does.
     """
     first = F.col("n") == 1
-
-    def starts_if(inside: bool) -> Column:
-        state = F.coalesce("last_fixed", F.lit(inside)) != F.col("swapped")
-        return F.coalesce(F.max(~first & ~F.col("continued") & ~state), F.lit(False))
-
-    ranges = lines.groupBy("path", "block").agg(
+    ranges = lines.groupBy("file", "block").agg(
         F.max("n").cast("long").alias("lines"),
         F.max(F.when(first, F.col("opens"))).alias("opens"),
         F.max(F.when(first, F.col("opens_continued"))).alias("opens_continued"),
@@ -279,38 +306,37 @@ def beginnings(lines: DataFrame) -> DataFrame:
         F.max_by("fixed_here", "n").alias("fixed"),
         F.max_by("swapped_here", "n").alias("swapped"),
         F.max_by("continues", "n").alias("continues"),
-        starts_if(OUTSIDE).alias("starts_outside"),
-        starts_if(INSIDE).alias("starts_inside"),
+        F.max("starts_outside").alias("outside"),
+        F.max("starts_inside").alias("inside"),
     )
-    files = ranges.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", *ranges.columns[2:]))).alias("ranges"))
-    told = "array<struct<block:bigint,begins:boolean,then:boolean,begins_continued:boolean,before:bigint,owner:bigint>>"
-    zero = F.struct(
-        F.lit(OUTSIDE).alias("inside"),
-        F.lit(False).alias("continued"),
-        F.lit(0).cast("long").alias("before"),
-        F.lit(0).cast("long").alias("owner"),
-        F.array().cast(told).alias("told"),
+    here = Window.partitionBy("file").orderBy("block")
+    to_here = here.rowsBetween(Window.unboundedPreceding, 0)
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("begins_continued", F.coalesce(F.lag("continues").over(here), F.lit(False)))
+    if_outside = F.when(F.col("begins_continued"), F.col("opens_continued")).otherwise(F.col("opens"))
+    ranges = ranges.withColumn("out", F.coalesce("fixed", if_outside) != F.col("swapped")).withColumn(
+        "out_inside", F.coalesce("fixed", "stays") != F.col("swapped")
     )
-
-    def step(so_far: Column, r: Column) -> Column:
-        then = F.when(so_far["inside"], r["stays"]).when(so_far["continued"], r["opens_continued"]).otherwise(r["opens"])
-        begins_record = ~so_far["inside"] & ~so_far["continued"]
-        has_start = begins_record | F.when(then, r["starts_inside"]).otherwise(r["starts_outside"])
-        own = F.struct(
-            r["block"].alias("block"),
-            so_far["inside"].alias("begins"),
-            then.alias("then"),
-            so_far["continued"].alias("begins_continued"),
-            so_far["before"].alias("before"),
-            so_far["owner"].alias("owner"),
-        )
-        return F.struct(
-            (F.coalesce(r["fixed"], then) != r["swapped"]).alias("inside"),
-            r["continues"].alias("continued"),
-            (so_far["before"] + r["lines"]).alias("before"),
-            F.when(has_start, r["block"]).otherwise(so_far["owner"]).alias("owner"),
-            F.concat(so_far["told"], F.array(own)).alias("told"),
+    swap = (F.col("out") & ~F.col("out_inside")).cast("int")
+    ranges = ranges.withColumn("set", F.when(F.col("out") == F.col("out_inside"), F.col("out"))).withColumn(
+        "swaps", F.sum(swap).over(to_here)
+    )
+    ranges = ranges.withColumn("at_set", F.when(F.col("set").isNotNull(), F.col("swaps")))
+    begins = F.coalesce(F.last("set", True).over(before), F.lit(OUTSIDE)) != odd(
+        F.col("swaps") - swap, F.last("at_set", True).over(before)
+    )
+    ranges = ranges.withColumn("begins", begins).withColumn(
+        "then", F.when(F.col("begins"), F.col("stays")).otherwise(if_outside)
+    )
+    ranges = ranges.withColumn("starts", F.when(F.col("then"), F.col("inside")).otherwise(F.col("outside")))
+    has_start = (~F.col("begins") & ~F.col("begins_continued")) | (F.col("starts") > 0)
+    zero = F.lit(0).cast("long")
+    return (
+        ranges.withColumn("before", F.coalesce(F.sum("lines").over(before), zero))
+        .withColumn("owner", F.coalesce(F.last(F.when(has_start, F.col("block")), True).over(before), zero))
+        .select(
+            "file", "block", short_path(decoded("file")).alias("path"),
+            F.element_at(F.split(decoded("file"), "/"), -1).alias("file_name"),
+            "begins", "then", "begins_continued", "before", "owner", "starts",
         )
-
-    done = files.select("path", F.explode(F.aggregate("ranges", zero, step, lambda end: end["told"])).alias("r"))
-    return done.select("path", "r.*")
+    )

@@ -55,10 +55,10 @@ def units(files: DataFrame, compression: str = NONE, skip: Iterable[str] = ()) -
 
 
 def spread(work: DataFrame) -> DataFrame:
-    """Give every core its share of the units, in tasks of about one scan split each."""
+    """Give every core its share of the units, in tasks of about one scan split each, and no more tasks than units."""
     spark = work.sparkSession
-    total = work.agg(F.sum("length")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, total // split_size(spark, total))
+    total, n = work.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    tasks = max(spark.sparkContext.defaultParallelism, min(n, total // split_size(spark, total)))
     return work.repartition(int(tasks))
 
 

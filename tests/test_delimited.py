@@ -289,6 +289,23 @@ def test_more_than_one_task_parses_a_file_with_line_ends_in_cells(spark, write,
     assert spark.read.text(path).rdd.getNumPartitions() > 3
 
 
+def test_small_ranges_are_no_tasks_of_their_own(spark, write, small_ranges):
+    """The 166 ranges of a file are read by few tasks, in each of the passes over it."""
+    path = write("cells.csv", "".join(f'{i},"a\nb"\n' if i % 2 else f"{i},c\n" for i in range(1300)))
+    small_ranges("64")
+    assert spark.read.text(path).rdd.getNumPartitions() > 150
+    spark.sparkContext.setJobGroup("ranges", "")
+    try:
+        rows = read_delimited(spark, [path], header=[(".*", ["K", "V"])]).rows().collect()
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("ranges") for s in tracker.getJobInfo(j).stageIds]
+        most = max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert most <= 20
+    assert sorted(map(tuple, rows)) == sorted((str(i), "a\nb" if i % 2 else "c") for i in range(1300))
+
+
 def test_a_file_does_not_depend_on_its_namesakes(spark, write):
     mixed = "1,a\r\n2,b\n3,c\r4,d\n"
     one, other = write("a/f.csv", mixed), write("b/f.csv", '1,"a\nb"'.ljust(len(mixed), "x"))
